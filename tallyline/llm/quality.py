@@ -15,15 +15,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_CHARS, let, words
+from .common import keep, let, words
 
 #: Fixed values of the base rule and of the statistics.
 SYMBOLS, WINDOW, LEAST_WORDS, MOST_REPEAT_PERCENT = "#*$%&|<>", 8, 20, 30
 KEEP = 0.5
 
 
-def repeated_words(w: Column, window: int = WINDOW) -> Column:
-    """Words that lie in a window of so many words found twice or more in the array, the first one included."""
+def repeated_words(h: Column) -> Column:
+    """Words that lie in a window of 8 words found twice or more, the first one included; h: the words' hashes in order."""
+    window = WINDOW
 
     def covered(h: Column) -> Column:
         # Windows in order of their hash; those with an equal neighbour are the repeated ones.
@@ -32,30 +33,43 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
         spans = let(F.sort_array(starts), lambda p: F.transform(p, lambda x, k: F.least(F.coalesce(F.get(p, k + 1) - x, F.lit(window)), F.lit(window))))
         return F.aggregate(spans, F.lit(0), lambda a, x: a + x)
 
-    def of(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(window))))
-        return F.when(F.size(w) < window, 0).otherwise(let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))))
+    def doubled(h: Column, step: int) -> Column:
+        return let(h, lambda x: F.zip_with(x, F.slice(x, step + 1, F.size(x)), lambda a, b: F.xxhash64(a, b)))
 
-    return let(w, of).cast("long")
+    def of(h: Column) -> Column:
+        # Hashes of 1, 2, 4 and then 8 words; the last of an array have no partner and are cut off.
+        hashes = let(doubled(doubled(doubled(h, 1), 2), 4), lambda x: F.slice(x, 1, F.size(x) - (window - 1)))
+        return let(hashes, lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), 0).otherwise(covered(x)))
+
+    return let(h, lambda x: F.when(F.size(x) < window, 0).otherwise(of(x))).cast("long")
+
+
+def found(text: Column, chars: str) -> Column:
+    """How many characters of the text are among chars."""
+    rest = text
+    for c in chars:
+        rest = F.replace(rest, F.lit(c), F.lit(""))
+    return (F.length(text) - F.length(rest)).cast("long")
 
 
 def statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document with the counts that rules read. A null text has no words and counts of 0."""
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, WHITE_CHARS, "")) > 0)
-    counted = lambda of: (F.length(t) - F.length(F.translate(t, of, ""))).cast("long")
+    # Lines with a word keep their place in front; a line without one is dropped.
+    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return (
         docs.select(F.col(doc_id), t.alias("_t"), words(t).alias("_w"), lines.alias("_l"))
+        .withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
         .select(
             doc_id,
             F.size("_w").cast("long").alias("n_words"),
-            F.length(F.translate("_t", WHITE_CHARS, "")).cast("long").alias("word_chars"),
-            (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+            found(F.col("_t"), SYMBOLS).alias("n_symbols"),
             (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("_w")).alias("n_repeat_words"),
-            F.size(F.array_distinct("_w")).cast("long").alias("n_distinct"),
-            (F.length("_t") - F.length(F.translate("_t", ".!?", ""))).cast("long").alias("n_stops"),
-            (F.length("_t") - F.length(F.translate("_t", "0123456789", ""))).cast("long").alias("n_digits"),
+            repeated_words(F.col("_h")).alias("n_repeat_words"),
+            F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
+            found(F.col("_t"), ".!?").alias("n_stops"),
+            found(F.col("_t"), "0123456789").alias("n_digits"),
             F.size("_l").cast("long").alias("n_lines"),
         )
     )
@@ -130,8 +144,12 @@ def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def score(stats: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP) -> DataFrame:
-    """The statistics with votes, p_good, base_failed and kept. stats is read twice: for the patterns and for the result."""
-    voted = votes(stats, rules)
+    """The statistics with votes, p_good, base_failed and kept.
+
+    stats, a few numbers per document, is written to the shared folder first, as it is read for the
+    patterns and for the result.
+    """
+    voted = votes(keep(stats, "quality"), rules)
     names = [f"vote_{r.name}" for r in rules]
     seen = [(tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect()]
     odds = fit(seen, len(rules)).log_odds(names)
