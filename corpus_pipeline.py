@@ -1,15 +1,58 @@
-"""A pipeline of five operators over the documents of a training corpus."""
+"""A pipeline of five operators over the documents of a training corpus.
+
+Every stage reads all that the one before kept, written as Parquet in between, and drops or rewrites
+documents; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyline.llm import decontaminate, neardup, packing, pii, toxicity
+from tallyline.llm.common import boxed, keep, small, table, unboxed
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold of the toxicity grammar, which is fitted on the labelled documents of the stage's input."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(boxed(docs), model, carry=("_row", "text"))
+    return unboxed(scored.where("predicted = 0"), docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the least id, of each group of near duplicates; of repeated rows one."""
+    found = neardup.near_duplicates(docs)
+    gone = keep(found.where("not kept").select("doc_id").distinct(), "gone")
+    out = docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    return out.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else out
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    gone = keep(decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "gone")
+    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
+
+
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced."""
+    out = unboxed(pii.pseudonymise(boxed(docs), carry=("_row",)), docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in pieces, with the bin, the place in it and the text of each."""
+    return packing.filled(docs, packing.pack(docs))
+
 
-STAGES: list = []
+STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated), ("pii", pseudonymise), ("packing", pack)]
+#: SQL can't express the learned grammar, sketches and packing; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

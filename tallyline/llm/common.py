@@ -88,12 +88,23 @@ def map_text(df: DataFrame, make: Callable[[], Callable[[list], list]], fields:
     """For each row the carried columns and those that make()(texts) returns; make runs once in a worker's task."""
     schema = T.StructType([*(df.schema[c] for c in carry), *(T.StructField(n, t) for n, t in fields)])
     kinds, names = [ARROW[t] for _, t in fields], schema.names
+    sent = [*carry] if text in carry else [*carry, text]
+    at = sent.index(text)
 
     def run(batches):
         f = make()
         for batch in batches:
-            for part in slices(batch, len(carry)):
-                made = f(part.column(len(carry)).to_pylist())
+            for part in slices(batch, at):
+                made = f(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(carry))), *(pa.array(c, k) for c, k in zip(made, kinds, strict=True))], names=names)
 
-    return df.select(*carry, text).mapInArrow(run, schema)
+    return df.select(*sent).mapInArrow(run, schema)
+
+
+def boxed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The text, and all other columns in one struct `_row`, so that their names can't clash with new columns."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("_row"), text)
+
+
+def unboxed(df: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    return df.select(*(F.col(text) if c == text else F.col("_row")[c].alias(c) for c in columns))

@@ -143,7 +143,7 @@ def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return stats.withColumns({f"vote_{r.name}": F.when(F.expr(r.bad), -1).when(F.expr(r.good), 1).otherwise(0) for r in rules})
 
 
-def score(stats: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP) -> DataFrame:
+def score(stats: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = KEEP) -> DataFrame:
     """The statistics with votes, p_good, base_failed and kept.
 
     stats, a few numbers per document, is written to the shared folder first, as it is read for the
@@ -154,4 +154,4 @@ def score(stats: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP)
     seen = [(tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect()]
     odds = fit(seen, len(rules)).log_odds(names)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
-    return voted.withColumn("p_good", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= keep))
+    return voted.withColumn("p_good", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, neardup, pii, quality, secrets, sharding, tokens, toxicity
+from . import decontaminate, language, neardup, packing, pii, quality, secrets, sharding, tokens, toxicity
 from .common import held_out, table
 
 
@@ -18,6 +18,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
@@ -45,5 +53,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_near_duplicates, op5_token_counts, op6_toxicity, op8_language, op9_sharding, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_decontamination, op4_near_duplicates, op5_token_counts, op6_toxicity, op7_packing, op8_language, op9_sharding, op10_pii)}
 ORACLE: dict[str, str] = {}
