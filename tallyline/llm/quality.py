@@ -19,7 +19,9 @@ from .common import keep, let, words
 
 #: Fixed values of the base rule and of the statistics.
 SYMBOLS, WINDOW, LEAST_WORDS, MOST_REPEAT_PERCENT = "#*$%&|<>", 8, 20, 30
-KEEP = 0.5
+#: Least posterior of a document that is kept, and what is asked of the rules (see fit).
+KEEP = 0.8
+MOST_FALSE, LEAST_TRUE, MOST_TRUE, MOST_LIFT = 0.005, 0.15, 0.35, 1.2
 
 
 def repeated_words(h: Column) -> Column:
@@ -81,18 +83,18 @@ class Rule:
 
     name: str
     bad: str
-    good: str
+    good: str = "false"
 
 
 RULES = (
     Rule("length", "n_words < 20", "n_words >= 50"),
-    Rule("symbols", "n_symbols > 0.15 * n_words", "n_symbols <= 0.05 * n_words"),
-    Rule("repeats", "n_repeat_words > 0.30 * n_words", "n_repeat_words <= 0.10 * n_words"),
-    Rule("duplicate_lines", "n_dup_lines > 0.50 * n_lines", "n_lines >= 3 and n_dup_lines <= 0.20 * n_lines"),
+    Rule("symbols", "n_symbols > 0.10 * n_words"),
+    Rule("repeats", "n_repeat_words > 0.30 * n_words"),
+    Rule("duplicate_lines", "n_dup_lines > 0.50 * n_lines"),
     Rule("variety", "n_words >= 30 and n_distinct < 0.20 * least(n_words, 400)", "n_words >= 30 and n_distinct > 0.35 * least(n_words, 400)"),
-    Rule("word_length", "word_chars < 2 * n_words or word_chars > 14 * n_words", "word_chars between 3 * n_words and 10 * n_words"),
+    Rule("word_length", "word_chars < 2 * n_words or word_chars > 14 * n_words"),
     Rule("sentences", "n_words >= 60 and n_stops * 200 < n_words", "n_stops * 60 >= n_words"),
-    Rule("digits", "n_digits > 0.25 * word_chars", "n_digits <= 0.05 * word_chars"),
+    Rule("digits", "n_digits > 0.25 * word_chars"),
 )
 
 
@@ -112,17 +114,19 @@ class LabelModel:
         return total
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 50, prior: float = 0.85) -> LabelModel:
-    """Expectation maximisation over (votes, count) patterns.
+def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 60, prior: float = 0.85) -> LabelModel:
+    """Expectation maximisation over (votes, count) patterns; without patterns the start.
 
-    Starts from rules that are right 8 times of 10 when they vote. A rule stays at least as likely to
-    vote good on good documents as on bad ones, so that the two classes can't change places. Without
-    patterns the start is returned.
+    A bad document mostly fails one rule and passes the others, which two classes with independent votes
+    can't tell apart from noise: left alone, one frequent kind of bad documents becomes the bad class and
+    the rest count as good. So each estimate is held to what is asked of a rule as a specialist: it votes
+    bad on at most MOST_FALSE of good documents, on LEAST_TRUE to MOST_TRUE of bad ones, and its good
+    votes are at most MOST_LIFT times as likely on good documents as on bad ones.
     """
-    good, bad = [(0.05, 0.15, 0.8)] * rules, [(0.4, 0.3, 0.3)] * rules
+    good, bad = [(MOST_FALSE / 2, 0.2, 0.8 - MOST_FALSE / 2)] * rules, [(0.3, 0.1, 0.6)] * rules
     for _ in range(rounds if patterns else 0):
-        sums = {c: [[0.5, 0.5, 0.5] for _ in range(rules)] for c in (0, 1)}
-        mass = [1.0, 1.0]
+        sums = {c: [[0.01, 0.01, 0.01] for _ in range(rules)] for c in (0, 1)}
+        mass = {0: 1.0, 1: 1.0}
         for votes, n in patterns:
             odds = math.log(prior / (1 - prior)) + sum(math.log(good[j][v + 1] / bad[j][v + 1]) for j, v in enumerate(votes))
             p = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
@@ -130,12 +134,15 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 5
                 mass[c] += share
                 for j, v in enumerate(votes):
                     sums[c][j][v + 1] += share
-        prior = min(0.99, max(0.5, mass[1] / sum(mass)))
-        good, bad = ([tuple(x / sum(row) for x in row) for row in sums[c]] for c in (1, 0))
-        for j in range(rules):
-            if good[j][2] < bad[j][2] or good[j][0] > bad[j][0]:
-                even = tuple((x + y) / 2 for x, y in zip(good[j], bad[j], strict=True))
-                good[j] = bad[j] = even
+        prior = min(0.95, max(0.5, mass[1] / (mass[0] + mass[1])))
+        good, bad = [], []
+        for g, b in zip(sums[1], sums[0], strict=True):
+            g, b = [x / sum(g) for x in g], [x / sum(b) for x in b]
+            low = min(g[0], MOST_FALSE)
+            good.append((low, g[1] * (1 - low) / (g[1] + g[2]), g[2] * (1 - low) / (g[1] + g[2])))
+            low = min(MOST_TRUE, max(b[0], LEAST_TRUE))
+            high = min(max(b[2] * (1 - low) / (b[1] + b[2]), good[-1][2] / MOST_LIFT), 0.999 - low)
+            bad.append((low, 1 - low - high, high))
     return LabelModel(prior, tuple(good), tuple(bad))
 
 

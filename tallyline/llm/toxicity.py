@@ -25,8 +25,8 @@ from .common import held_out, map_text, small, words
 
 #: Labelled documents that lexicon and weights are fitted on, about; entries of the learned lexicon.
 SAMPLE_DOCS, LEXICON = 8_000, 400
-#: A word is learned if it is in so many different toxic texts (near copies counting once) and its log-odds reach this.
-LEAST_TEXTS, LEAST_LOG_ODDS = 4, 3.5
+#: A word is learned if it is in so many different toxic texts and in this share of them (near copies counting once), and its log-odds reach this.
+LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 4, 0.03, 3.5
 THRESHOLD = 0.3
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -154,7 +154,7 @@ def learn_insults(rows: DataFrame, text: str) -> list[str]:
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     counted = found.select("toxic", "sig", F.explode("w").alias("word")).where("length(word) > 2").groupBy("word").agg(*(F.countDistinct(F.when(F.col("toxic") == k, F.col("sig"))).alias(f"n{k}") for k in (0, 1)))
     odds = F.log((F.col("n1") + 0.5) / (bad + 1)) - F.log((F.col("n0") + 0.5) / (good + 1))
-    top = counted.where((F.col("n1") >= LEAST_TEXTS) & (odds >= LEAST_LOG_ODDS)).orderBy(F.desc("n1"), "word").limit(LEXICON)
+    top = counted.where((F.col("n1") >= max(LEAST_TEXTS, LEAST_SHARE * bad)) & (odds >= LEAST_LOG_ODDS)).orderBy(F.desc("n1"), "word").limit(LEXICON)
     return [r.word for r in top.select("word").collect()]
 
 
