@@ -22,7 +22,7 @@ class Policy(Enum):
 
 def by_key(actual: DataFrame, key: str, policy: Policy, order: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
     """key, n_actual, actual (a struct of the row that counts) and, for AGGREGATE, sum_<c> and nulls_<c> of each summed column."""
-    row, at = F.struct(*actual.columns), F.struct(*order)
+    row, at = F.struct(*(F.col(f"`{c}`") for c in actual.columns)), F.struct(*order)
     pick = F.max_by(row, at) if policy is Policy.LAST else F.min_by(row, at)
     extra = [x for c in sums for x in (F.sum(c).alias(f"sum_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))] if policy is Policy.AGGREGATE else []
     return actual.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_actual"), pick.alias("actual"), *extra)

@@ -27,6 +27,10 @@ def lookup(rows: DataFrame, *names: str) -> Column:
     return n.text(F.col(f"`{found[-1]}`")) if found else F.lit("")
 
 
+def at(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def report_field(name: str, *more: str) -> Column:
     return n.text(F.col("actual")[name]) if not more else n.text(F.coalesce(*(F.col("actual")[x] for x in (name, *more))))
 
@@ -64,22 +68,21 @@ def ltx(test: DataFrame, report: DataFrame) -> DataFrame:
     rows = rows.withColumn("outcome", rules.presence(F.col("expectation"), F.col("match") == "MATCH")).withColumn("note", F.when(F.col("outcome") == "MISSING", "not in the report").when(F.col("outcome") == "UNEXPECTED", "in the report, but must not be").otherwise("must not be in the report, and is not"))
     amount, dr = number(report_field("Transaction Amount")), F.col("suffix") == "DR"
     near = F.when(dr, within(F.col("transfer"), amount) | within(F.col("debit"), amount)).otherwise(within(F.col("fees"), amount))
-    account = (n.value(F.col(k.FROM_ACCOUNT)) != "") & (F.lower(n.value(F.col(k.FROM_ACCOUNT))) == F.lower(n.value(report_field("FI Arrangement Number"))))
+    account = (n.value(at(k.FROM_ACCOUNT)) != "") & (F.lower(n.value(at(k.FROM_ACCOUNT))) == F.lower(n.value(report_field("FI Arrangement Number"))))
     only_dr = lambda status, gate=None: F.when(dr & (~n.blank(gate) if gate is not None else F.lit(True)), status)
-    test_col = F.col
     fields = [
-        c.Field("FI Arrangement Number", c.passed(account), test_col(k.FROM_ACCOUNT), report_field("FI Arrangement Number")),
+        c.Field("FI Arrangement Number", c.passed(account), at(k.FROM_ACCOUNT), report_field("FI Arrangement Number")),
         c.Field("Transaction Amount", c.passed(near), F.when(dr, F.coalesce("transfer", "debit")).otherwise(F.col("fees")), report_field("Transaction Amount")),
-        c.Field("Transaction Date", c.date_or_reference(test_col(k.TXN_DATE), report_field("Transaction Date"), F.col("key")), test_col(k.TXN_DATE), report_field("Transaction Date")),
-        c.Field("Currency Id", c.exact_or_review(test_col(k.FROM_CCY), report_field("Currency Id")), test_col(k.FROM_CCY), report_field("Currency Id")),
-        c.Field("Outflow Transaction Purpose", only_dr(c.exact_or_review(test_col(k.PURPOSE), report_field("Outflow Transaction Purpose"))), test_col(k.PURPOSE), report_field("Outflow Transaction Purpose")),
-        c.Field("Beneficiary or Sender Name", only_dr(c.exact_or_review(test_col(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")), test_col(k.TO_CIF_NAME)), test_col(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")),
-        c.Field("Country Id of Beneficiary or Sender", F.when(~n.blank(test_col(k.TO_REGION)), only_dr(c.exact_or_review(test_col(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")), test_col(k.TO_CIF_NAME))), test_col(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")),
+        c.Field("Transaction Date", c.date_or_reference(at(k.TXN_DATE), report_field("Transaction Date"), F.col("key")), at(k.TXN_DATE), report_field("Transaction Date")),
+        c.Field("Currency Id", c.exact_or_review(at(k.FROM_CCY), report_field("Currency Id")), at(k.FROM_CCY), report_field("Currency Id")),
+        c.Field("Outflow Transaction Purpose", only_dr(c.exact_or_review(at(k.PURPOSE), report_field("Outflow Transaction Purpose"))), at(k.PURPOSE), report_field("Outflow Transaction Purpose")),
+        c.Field("Beneficiary or Sender Name", only_dr(c.exact_or_review(at(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")), at(k.TO_CIF_NAME)), at(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")),
+        c.Field("Country Id of Beneficiary or Sender", F.when(~n.blank(at(k.TO_REGION)), only_dr(c.exact_or_review(at(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")), at(k.TO_CIF_NAME))), at(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")),
         # Fixed-value mismatches only colour the cell; the row stays as its key conditions have it.
-        c.Field("Relationship with Beneficiary or Sender", only_dr(F.replace(c.fixed_value(k.RELATIONSHIP_OTHER, report_field("Relationship with Beneficiary or Sender")), F.lit(c.FAIL), F.lit(c.REVIEW)), test_col(k.TO_CIF_NAME)), F.lit(k.RELATIONSHIP_OTHER), report_field("Relationship with Beneficiary or Sender")),
-        c.Field("Cust Code", only_dr(c.exact_or_review(test_col(k.CIF_NO), report_field("Cust Code")), test_col(k.CIF_NO)), test_col(k.CIF_NO), report_field("Cust Code")),
-        c.Field("Cust Name", F.when(~n.blank(test_col(k.CIF_NAME)), only_dr(c.exact_or_review(test_col(k.CIF_NAME), report_field("Cust Name")), test_col(k.CIF_NO))), test_col(k.CIF_NAME), report_field("Cust Name")),
-        c.Field("Inflow Transaction Purpose", F.when(~n.blank(report_field("Inflow Transaction Purpose")) & ~n.blank(test_col(k.PURPOSE)), c.exact_or_review(test_col(k.PURPOSE), report_field("Inflow Transaction Purpose"))), test_col(k.PURPOSE), report_field("Inflow Transaction Purpose")),
+        c.Field("Relationship with Beneficiary or Sender", only_dr(F.replace(c.fixed_value(k.RELATIONSHIP_OTHER, report_field("Relationship with Beneficiary or Sender")), F.lit(c.FAIL), F.lit(c.REVIEW)), at(k.TO_CIF_NAME)), F.lit(k.RELATIONSHIP_OTHER), report_field("Relationship with Beneficiary or Sender")),
+        c.Field("Cust Code", only_dr(c.exact_or_review(at(k.CIF_NO), report_field("Cust Code")), at(k.CIF_NO)), at(k.CIF_NO), report_field("Cust Code")),
+        c.Field("Cust Name", F.when(~n.blank(at(k.CIF_NAME)), only_dr(c.exact_or_review(at(k.CIF_NAME), report_field("Cust Name")), at(k.CIF_NO))), at(k.CIF_NAME), report_field("Cust Name")),
+        c.Field("Inflow Transaction Purpose", F.when(~n.blank(report_field("Inflow Transaction Purpose")) & ~n.blank(at(k.PURPOSE)), c.exact_or_review(at(k.PURPOSE), report_field("Inflow Transaction Purpose"))), at(k.PURPOSE), report_field("Inflow Transaction Purpose")),
     ]
     return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
 
@@ -103,12 +106,12 @@ def ptx(test: DataFrame, report: DataFrame, no_fee_fails: bool = False) -> DataF
     outcome = F.when(F.col("excluded") & found, "UNEXPECTED").when(F.col("excluded"), "EXPECTED_ABSENCE").when(~F.col("has_slot") & ~F.lit(no_fee_fails), "SKIP").when(F.col("key").isNull(), "INVALID_KEY").when(~found, "MISSING").otherwise("COMPARE")
     rows = rows.withColumn("outcome", outcome).withColumn("note", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
     amount = number_or_zero(F.col("fee_amount")).cast("string")
-    core = [("Currency Id", "TEXT", F.col(k.FROM_CCY)), ("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD)), ("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE)), ("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE)), ("Transaction Amount in Foreign Currency", "AMOUNT", amount)]
+    core = [("Currency Id", "TEXT", at(k.FROM_CCY)), ("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD)), ("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE)), ("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE)), ("Transaction Amount in Foreign Currency", "AMOUNT", amount)]
     customer = [("Cust Code", k.CIF_NO), ("CMF CODE", k.CIF_NO), ("Cust Name", k.CIF_NAME), ("Involved Party Id", k.TO_CIF_NO), ("Involved Party Name", k.TO_CIF_NAME), ("Country Id of Involved Party", k.TO_REGION)]
     fields = [
-        c.Field("Receive Payment Transaction Date", c.date_of_set_or_reference(F.col(k.TXN_DATE), report_field("Data Set Date"), F.col("key")), F.col(k.TXN_DATE), report_field("Data Set Date")),
+        c.Field("Receive Payment Transaction Date", c.date_of_set_or_reference(at(k.TXN_DATE), report_field("Data Set Date"), F.col("key")), at(k.TXN_DATE), report_field("Data Set Date")),
         *(c.Field(name, c.typed(kind, e, report_field(name)), e, report_field(name)) for name, kind, e in core),
-        *(c.Field(name, c.optional_value(F.col(e), report_field(name)), F.col(e), report_field(name)) for name, e in customer),
+        *(c.Field(name, c.optional_value(at(e), report_field(name)), at(e), report_field(name)) for name, e in customer),
         c.Field("Receive Payment Item Description", c.optional_value(F.lit(""), report_field("Receive Payment Item Description")), F.lit(""), report_field("Receive Payment Item Description")),
     ]
     return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
@@ -125,7 +128,7 @@ def ftx(test: DataFrame, report: DataFrame) -> DataFrame:
     outcome = F.when(F.col("key") == "", "BLANK_KEY").when(F.col("excluded"), "EXCLUDED").when(F.col("match") == "MATCH", "COMPARE").otherwise(F.col("match"))
     rows = rows.withColumn("outcome", outcome).withColumn("note", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
     pairs = (("Buy Currency Id", k.FROM_CCY, c.spaced_text), ("Sell Currency Id", k.SETTLED_CCY, c.spaced_text), ("Transaction Date", k.TXN_DATE, c.loose_date))
-    fields = [c.Field(name, f(F.col(e), report_field(name)), F.col(e), report_field(name)) for name, e, f in pairs]
+    fields = [c.Field(name, f(at(e), report_field(name)), at(e), report_field(name)) for name, e, f in pairs]
     return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
 
 
@@ -155,7 +158,7 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     note = F.when(F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False)), F.concat(money(F.col("usd")), F.lit(" USD, not to be reported"))).otherwise(F.coalesce("reason", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" ")))))
     rows = rows.withColumn("outcome", outcome).withColumn("note", note)
     # Every report row of a compared key; the sum is one more field.
-    many = rows.where("outcome = 'COMPARE'").drop("actual").join(actual.select("key", F.struct(*actual.columns).alias("actual")), "key")
+    many = rows.where("outcome = 'COMPARE'").drop("actual").join(actual.select("key", F.struct(*map(at, actual.columns)).alias("actual")), "key")
     country = F.element_at(F.create_map(*(F.lit(x) for pair in k.COUNTRY_OF.items() for x in pair)), F.col("to"))
     d = F.col("direction")
     fields = [
