@@ -132,54 +132,69 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return sized.where(F.col("_i") * 100 >= (F.col("_n") - F.col("_i")) * percent).select("a", "b")
 
 
-def tiles(rows: DataFrame) -> DataFrame:
-    """Rows of active buckets -> pairs (a, b) of different components that sketches don't rule out.
+def rare_shingles(active: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """active: rep, root -> (t, rep, root, n_shingles, place): the rarest shingles of each set that another active set has too.
 
-    In each bucket the largest component is one side of the tiles only, all others are on both. Rows are
-    dealt to tiles of about TILE by TILE members; a task holds one tile at a time.
+    Two sets of the similarity share one of their rarest n - ceil(percent / 100 * n) + 1 shingles, rarest
+    first. A shingle of one set only takes a place, but can't be shared.
     """
-    counts = rows.groupBy("band", "key", "root").count()
-    main = counts.groupBy("band", "key").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("all"), F.max("count").alias("most"))
-    main = main.select("band", "key", "main", F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("na"), F.ceil(F.col("all") / TILE).cast("int").alias("nb"))
-    dealt = rows.join(main, ["band", "key"]).withColumn("_h", F.xxhash64("rep", F.lit(17)))
+    sets = keep(active.join(texts, "rep").select("rep", "root", F.array_distinct(shingles(F.col("text"), n)).alias("s")), "sets")
+    each = sets.select("rep", F.explode("s").alias("t"))
+    often = each.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
+    common = each.join(often, "t").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("c"))
+    placed = sets.select("rep", "root", F.size("s").alias("n_shingles")).join(common, "rep").withColumn("own", F.col("n_shingles") - F.size("c"))
+    room = F.greatest(F.lit(0), F.expr(f"n_shingles - (n_shingles * {percent} + 99) div 100 + 1 - own").cast("int"))
+    return placed.select("rep", "root", "n_shingles", "own", F.posexplode(F.slice("c", F.lit(1), room)).alias("k", "x")).select(F.col("x.t").alias("t"), "rep", "root", "n_shingles", (F.col("own") + F.col("k")).alias("place"))
+
+
+def tiled_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that share a shingle at places that leave room for the similarity.
+
+    Of each shingle's sets those of the largest component are on one side of the tiles only, all others
+    are on both. Tiles have about TILE sets a side; a task holds one tile at a time.
+    """
+    counts = postings.groupBy("t", "root").count()
+    main = counts.groupBy("t").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("all"), F.max("count").alias("most")).where("most < all")
+    main = main.select("t", "main", F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("na"), F.ceil(F.col("all") / TILE).cast("int").alias("nb"))
+    dealt = postings.join(main, "t").withColumn("_h", F.xxhash64("rep", F.lit(17)))
     a = dealt.where("root != main").withColumns({"ta": F.pmod("_h", F.col("na")).cast("int"), "tb": F.explode(F.sequence(F.lit(0), F.col("nb") - 1)), "side": F.lit(0)})
     b = dealt.withColumns({"tb": F.pmod("_h", F.col("nb")).cast("int"), "ta": F.explode(F.sequence(F.lit(0), F.col("na") - 1)), "side": F.lit(1)})
-    cols = ["band", "key", "ta", "tb", "side", "rep", "root", "n_shingles", *SKETCH]
-    sorted_ = a.select(cols).union(b.select(cols)).repartition("band", "key", "ta", "tb").sortWithinPartitions("band", "key", "ta", "tb", "side")
+    cols = ["t", "ta", "tb", "side", "rep", "root", "n_shingles", "place"]
+    laid = a.select(cols).union(b.select(cols)).repartition("t", "ta", "tb").sortWithinPartitions("t", "ta", "tb")
+
+    def of_tile(side, rep, root, size, place):
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for at in range(0, len(left), 256):
+            u = left[at : at + 256, None]
+            both = size[u] + size[right]
+            room = np.minimum(size[u] - place[u], size[right] - place[right])
+            x, y = np.nonzero((root[u] != root[right]) & (room * (100 + percent) >= both * percent))
+            if len(x):
+                p, q = rep[u[x, 0]], rep[right[y]]
+                yield np.minimum(p, q), np.maximum(p, q)
 
     def pairs(batches):
         held, at = [], None
-
-        def flush():
-            table = pa.Table.from_batches(held)
-            side = table.column("side").to_numpy()
-            data = {c: table.column(c).to_numpy() for c in ("rep", "root", "n_shingles", *SKETCH)}
-            left, right = side == 0, side == 1
-            l, r = {c: v[left] for c, v in data.items()}, {c: v[right] for c, v in data.items()}
-            for i in range(0, len(l["rep"]), 64):
-                p = {c: v[i : i + 64, None] for c, v in l.items()}
-                bits = sum(np.bitwise_count(p[k] ^ r[k][None, :]).astype(np.int32) for k in SKETCH)
-                lo, hi = np.minimum(p["n_shingles"], r["n_shingles"][None, :]), np.maximum(p["n_shingles"], r["n_shingles"][None, :])
-                x, y = np.nonzero((p["root"] != r["root"][None, :]) & (bits <= MOST_BITS) & (lo * 100 >= hi * PERCENT))
-                u, v = p["rep"][x, 0], r["rep"][y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
-
         for batch in batches:
-            tile = [batch.column(i).to_numpy() for i in range(4)]
-            cuts = np.flatnonzero(np.any([t[1:] != t[:-1] for t in tile], axis=0)) + 1 if batch.num_rows > 1 else []
-            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            data = [batch.column(i).to_numpy() for i in range(8)]
+            change = (data[0][1:] != data[0][:-1]) | (data[1][1:] != data[1][:-1]) | (data[2][1:] != data[2][:-1])
+            cuts, found = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows], []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if lo == hi:
                     continue
-                key = tuple(int(t[lo]) for t in tile)
+                key = (data[0][lo], data[1][lo], data[2][lo])
                 if held and key != at:
-                    yield from flush()
-                    held.clear()
+                    found += of_tile(*(held[0] if len(held) == 1 else [np.concatenate(c) for c in zip(*held, strict=True)]))
+                    held = []
                 at = key
-                held.append(batch.slice(lo, hi - lo))
+                held.append([c[lo:hi] for c in data[3:]])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], names=["a", "b"])
         if held:
-            yield from flush()
+            for p, q in of_tile(*(np.concatenate(c) for c in zip(*held, strict=True))):
+                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(q)], names=["a", "b"])
 
-    return sorted_.mapInArrow(pairs, "a long, b long").distinct()
+    return laid.mapInArrow(pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -197,30 +212,36 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = PERCENT, text: s
     linked = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = keep(linked.groupBy("key0", "key1", "n_shingles").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("bands", *SKETCH))), "classes")
 
-    # Buckets of two members and more.
-    members = classes.select("rep", "n_shingles", *SKETCH, F.posexplode("bands").alias("band", "key"))
-    shared = members.groupBy("band", "key").agg(F.count("*").alias("_n")).where("_n > 1")
-    buckets = keep(members.join(shared, ["band", "key"]), "buckets")
+    # Buckets of two members and more; a key tells the band too.
+    members = classes.select("rep", F.explode("bands").alias("key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    buckets = keep(members.join(shared, "key").join(classes.select("rep", "n_shingles", *SKETCH), "rep"), "buckets")
     reps = buckets.select("rep").distinct()
-    count = reps.count()
-    texts = keep(docs.withColumnRenamed("doc_id", "rep").join(small(reps, count), "rep").dropDuplicates(["rep"]), "texts")
+    texts = docs.withColumnRenamed("doc_id", "rep").join(small(reps, reps.count()), "rep")
+    if not linked.groupBy("doc_id").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["rep"])
+    texts = keep(texts, "texts")
 
     links = spark.createDataFrame([], "a long, b long")
-    roots = components(links)
+    roots = spark.createDataFrame([], "node long, root long")
     for step in range(LEADER_ROUNDS + 1):
         rows = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        active = rows.groupBy("band", "key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("_m")).where("_lo != _hi" + (" and _m > 2" if step else "")).select("band", "key")
-        rows = rows.drop("_n").join(active, ["band", "key"])
+        active = rows.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("_m")).where("_lo != _hi" + (" and _m > 2" if step else "")).select("key")
+        rows = rows.join(active, "key")
         if step < LEADER_ROUNDS:
-            # The first leader is the same in most buckets of a group; later ones differ by band.
-            order = F.struct(F.xxhash64("rep", *([F.col("band"), F.lit(step)] if step else [])).alias("h"), F.col("rep"), F.col("root"), F.col("n_shingles"), *SKETCH)
-            leaders = rows.groupBy("band", "key").agg(F.min(order).alias("l"))
-            pairs = rows.alias("m").join(leaders, ["band", "key"]).where((F.col("m.root") != F.col("l.root")) & alike("m", "l", percent)).select(F.col("m.rep").alias("a"), F.col("l.rep").alias("b")).distinct()
+            # The first leader is the same in most buckets of a group; later ones differ by bucket.
+            order = F.struct(F.xxhash64("rep", *([F.col("key")] if step else [])).alias("h"), F.col("rep"), F.col("root"), F.col("n_shingles"), *SKETCH)
+            leaders = rows.groupBy("key").agg(F.min(order).alias("l"))
+            pairs = rows.alias("m").join(leaders, "key").where((F.col("m.root") != F.col("l.root")) & alike("m", "l", percent)).select(F.col("m.rep").alias("a"), F.col("l.rep").alias("b")).distinct()
         else:
-            pairs = tiles(rows)
+            rest = keep(rows.select("rep", "root").distinct(), "active")
+            found = tiled_pairs(keep(rare_shingles(rest, texts, n, percent), "postings"), percent)
+            sketches = classes.select("rep", "n_shingles", *SKETCH).join(rest.select("rep"), "rep", "left_semi")
+            one, two = (sketches.select(F.col("rep").alias(c), F.struct("n_shingles", *SKETCH).alias(f"s{c}")) for c in "ab")
+            pairs = found.join(one, "a").join(two, "b").where(alike("sa", "sb", percent)).select("a", "b")
         pairs = keep(pairs, "pairs")
-        more = keep(links.union(confirmed(pairs, texts, n, percent)), "confirmed")
-        links, roots = more, components(more)
+        links = keep(links.union(confirmed(pairs, texts, n, percent)).distinct(), "confirmed")
+        roots = components(links)
         forget(pairs)
 
     found = classes.select("key0", "key1", "n_shingles", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key0", "key1", "n_shingles", F.coalesce("root", "rep").alias("_root"))
