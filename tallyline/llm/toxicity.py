@@ -6,8 +6,9 @@ and reported speech note in which scope. Their composition is one automaton over
 clause's end it emits the kind of clause that matched, if any. A document's score is a logistic
 function of its matched clauses, so that a listed word weighs by the clause it stands in.
 
-The lexicon of insults and the weights of clause kinds are learned from labelled documents that
-aren't held out; threats, targets, negations and reporting verbs are given below.
+The stems of insults and the weights of clause kinds are learned from labelled documents that aren't
+held out; threats, targets, negations and reporting verbs are given below. A stem stands for every
+word that begins with it, so that an inflected form needn't have been seen.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_text, small, words
+from .common import held_out, keep, map_text, small, words
 
-#: Labelled documents that lexicon and weights are fitted on, about; entries of the learned lexicon.
+#: Labelled documents that stems and weights are fitted on, about; stems learned at most; their lengths (a longer word counts by its beginning).
 SAMPLE_DOCS, LEXICON = 8_000, 400
-#: A word is learned if it is in so many different toxic texts and in this share of them (near copies counting once), and its log-odds reach this.
+SHORTEST, LONGEST = 3, 12
+#: A stem is learned if it is in so many different toxic texts and in this share of them (near copies counting once), and its log-odds reach this.
 LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 4, 0.03, 3.5
+#: A stem gives way to a longer one that has this share of its toxic texts.
+SAME_STEM = 0.95
 THRESHOLD = 0.3
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -108,9 +112,14 @@ def compose() -> tuple[np.ndarray, np.ndarray]:
 
 
 class Grammar:
+    """insults: stems, of SHORTEST characters at least."""
+
     def __init__(self, insults: list[str]):
-        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | dict.fromkeys(insults, INSULT) | dict.fromkeys(".!?;:,\n", END)
+        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | dict.fromkeys(".!?;:,\n", END)
         self.hot = frozenset(w for w, c in self.classes.items() if c in (INSULT, THREAT))
+        self.stems: dict[str, tuple[str, ...]] = {}
+        for stem in insults:
+            self.stems[stem[:SHORTEST]] = (*self.stems.get(stem[:SHORTEST], ()), stem)
         table, emit = compose()
         self.next, self.emit = table.tolist(), emit.tolist()
 
@@ -120,11 +129,13 @@ class Grammar:
         if not text:
             return found
         low = text.lower()
-        if self.hot.isdisjoint(_WORD.findall(low)):
+        seen = set(_WORD.findall(low))
+        stemmed = {w for w in seen if w[:SHORTEST] in self.stems and w.startswith(self.stems[w[:SHORTEST]])}
+        if not stemmed and self.hot.isdisjoint(seen):
             return found
         state, get = 0, self.classes.get
         for token in itertools.chain(_TOKEN.findall(low), "\n"):
-            c = get(token, OTHER)
+            c = INSULT if token in stemmed else get(token, OTHER)
             if c == END and (kind := self.emit[state]) >= 0:
                 found[kind] += 1
             state = self.next[state][c]
@@ -147,15 +158,33 @@ def learning_rows(docs: DataFrame, labels: DataFrame, sample_docs: int, doc_id:
 
 
 def learn_insults(rows: DataFrame, text: str) -> list[str]:
-    """Words whose presence speaks for the label, by log-odds over texts; near copies of a text mostly share its least word hash and count once."""
+    """Stems whose presence speaks for the label, by log-odds over texts; near copies of a text mostly share its least word hash and count once.
+
+    rows is a sample of bounded size; only stems of enough toxic texts are counted in the others.
+    """
     parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}']+", -1)
     found = rows.select("toxic", F.array_distinct(parts).alias("w")).withColumn("sig", F.array_min(F.transform("w", lambda x: F.xxhash64(x))))
     sizes = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.countDistinct("sig").alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    counted = found.select("toxic", "sig", F.explode("w").alias("word")).where("length(word) > 2").groupBy("word").agg(*(F.countDistinct(F.when(F.col("toxic") == k, F.col("sig"))).alias(f"n{k}") for k in (0, 1)))
-    odds = F.log((F.col("n1") + 0.5) / (bad + 1)) - F.log((F.col("n0") + 0.5) / (good + 1))
-    top = counted.where((F.col("n1") >= max(LEAST_TEXTS, LEAST_SHARE * bad)) & (odds >= LEAST_LOG_ODDS)).orderBy(F.desc("n1"), "word").limit(LEXICON)
-    return [r.word for r in top.select("word").collect()]
+    begins = F.transform(F.filter("w", lambda x: F.length(x) >= SHORTEST), lambda x: F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length(x), F.lit(LONGEST))), lambda i: F.substring(x, F.lit(1), i)))
+    texts_of = lambda label: found.where(F.col("toxic") == label).select("sig", F.explode(F.array_distinct(F.flatten(begins))).alias("stem"))
+    often = keep(texts_of(1).groupBy("stem").agg(F.countDistinct("sig").alias("n1")).where(F.col("n1") >= max(LEAST_TEXTS, LEAST_SHARE * bad)), "stems")
+    others = texts_of(0).join(small(often.select("stem"), often.count()), "stem").groupBy("stem").agg(F.countDistinct("sig").alias("n0"))
+    odds = F.log((F.col("n1") + 0.5) / (bad + 1)) - F.log((F.coalesce("n0", F.lit(0)) + 0.5) / (good + 1))
+    top = often.join(others, "stem", "left").where(odds >= LEAST_LOG_ODDS).orderBy(F.desc("n1"), "stem").limit(LEXICON * LONGEST).collect()
+    return chosen_stems({r.stem: r.n1 for r in top})
+
+
+def chosen_stems(texts: dict[str, int]) -> list[str]:
+    """Of the stems (with their numbers of texts) those that are neither the beginning of one nearly as frequent, nor begin with a shorter one that is left."""
+    longer: dict[str, int] = {}
+    for stem, n in texts.items():
+        longer[stem[:-1]] = max(n, longer.get(stem[:-1], 0))
+    left: list[str] = []
+    for stem in sorted((s for s, n in texts.items() if longer.get(s, 0) < SAME_STEM * n), key=lambda s: (len(s), s)):
+        if not stem.startswith(tuple(left)):
+            left.append(stem)
+    return sorted(left, key=lambda s: (-texts[s], s))[:LEXICON]
 
 
 def fit(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[float, tuple[float, ...]]:
@@ -177,8 +206,11 @@ def fit(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[float, tuple[floa
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """The driver gets the words learned (at most LEXICON) and counts of distinct clause patterns (at most (MOST + 1) ** len(CLAUSES) each)."""
-    rows = learning_rows(docs, labels, sample_docs, doc_id, text, label)
+    """The driver gets stems (at most LEXICON * LONGEST) and counts of distinct clause patterns (at most (MOST + 1) ** len(CLAUSES) each).
+
+    The sample is written to the shared folder once, so that the documents are read once.
+    """
+    rows = keep(learning_rows(docs, labels, sample_docs, doc_id, text, label), "sample")
     insults = tuple(learn_insults(rows, text))
     found = clauses(rows, insults, text, ("toxic",))
     cols = [F.least(F.col(f"n_{k}"), F.lit(MOST)).alias(f"n_{k}") for k in CLAUSES]

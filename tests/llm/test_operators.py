@@ -184,7 +184,23 @@ def test_grammar():
     only = lambda t: [k for k, v in kinds(t).items() for _ in range(v)]
     assert only("what a zorp") == ["plain"] and only("You are a ZORP!") == ["targeted"] and only("he is not a zorp.") == ["negated"]
     assert only("She said zorp.") == ["reported"] and only("I will kill you") == ["threat"] and only("kill the process") == []
-    assert only("not today, but zorp. fine.") == ["plain"] and only("zorpish") == [] and only(None) == [] and only("zorp. zorp") == ["plain", "plain"]
+    assert only("not today, but zorp. fine.") == ["plain"] and only("zorpish") == ["plain"] and only("unzorp") == [] and only(None) == [] and only("zorp. zorp") == ["plain", "plain"]
+
+
+def test_stems():
+    texts = {"glo": 40, "glor": 40, "glorf": 39, "glorfa": 9, "glorfo": 8, "tan": 30, "tanke": 12, "tankel": 12}
+    assert toxicity.chosen_stems(texts) == ["glorf", "tan"] and toxicity.chosen_stems({}) == []
+
+
+def test_unseen_forms_of_learned_stems(spark):
+    r = random.Random(11)
+    prose = [f"{a}{b}" for a in ("mar", "sol", "ten", "vil") for b in ("a", "on", "is", "ud", "em", "ok")]
+    rows = [(i, " ".join(r.choices(prose, k=30)) + (f" glorf{'abcdefghij'[i % 10]}x." if i % 5 == 0 else "."), int(i % 5 == 0)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    assert len(model.insults) == 1 and "glorf".startswith(model.insults[0])
+    odd = spark.createDataFrame([(0, "A wholly new glorfunk!"), (1, "marok solis"), (2, None)], "doc_id long, text string")
+    assert [x.predicted for x in toxicity.score(odd, model).orderBy("doc_id").collect()] == [1, 0, 0]
 
 
 def test_toxicity_held_out(spark):
