@@ -194,12 +194,12 @@ def test_stems():
 
 def test_unseen_forms_of_learned_stems(spark):
     r = random.Random(11)
-    prose = [f"{a}{b}" for a in ("mar", "sol", "ten", "vil") for b in ("a", "on", "is", "ud", "em", "ok")]
+    prose = ["".join(r.choices("abcdefghijklmnoprstuv", k=7)) for _ in range(3000)]
     rows = [(i, " ".join(r.choices(prose, k=30)) + (f" glorf{'abcdefghij'[i % 10]}x." if i % 5 == 0 else "."), int(i % 5 == 0)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
     assert len(model.insults) == 1 and "glorf".startswith(model.insults[0])
-    odd = spark.createDataFrame([(0, "A wholly new glorfunk!"), (1, "marok solis"), (2, None)], "doc_id long, text string")
+    odd = spark.createDataFrame([(0, "A wholly new glorfunk!"), (1, " ".join(prose[:20])), (2, None)], "doc_id long, text string")
     assert [x.predicted for x in toxicity.score(odd, model).orderBy("doc_id").collect()] == [1, 0, 0]
 
 
