@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ BROADCAST_ROWS = 1_000_000
 #: Arrow batches are cut to about so many characters before Python strings are made from them.
 SLICE_CHARS = 4_000_000
 
+#: Batches of arrays are cut to about so many items before numpy works on them.
+SLICE_ITEMS = 400_000
+
 ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(), T.StringType(): pa.string(), T.BooleanType(): pa.bool_(), T.BinaryType(): pa.binary(), T.ArrayType(T.LongType()): pa.list_(pa.int64())}
 
 
@@ -84,6 +88,15 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, each)
 
 
+def list_slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of SLICE_ITEMS items of its array column, one row at least; the column's values stay whole, its offsets are the slice's."""
+    ends, start = batch.column(at).offsets.to_numpy(), 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + SLICE_ITEMS, "right")) - 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def map_text(df: DataFrame, make: Callable[[], Callable[[list], list]], fields: list[tuple[str, T.DataType]], text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """For each row the carried columns and those that make()(texts) returns; make runs once in a worker's task."""
     schema = T.StructType([*(df.schema[c] for c in carry), *(T.StructField(n, t) for n, t in fields)])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, small
+from .common import keep, list_slices, small
 
 #: Masks of weight 6: tokens at the places of a 1 are hashed.
 MASKS = ("111111", "1101001011", "11001010011", "101100110001", "110100100101")
@@ -81,10 +81,10 @@ def training_hits(docs: DataFrame, masks: tuple[str, ...], wanted: np.ndarray |
         if known is not None:
             near = np.zeros(1 << 22, bool)
             near[(known >> np.uint64(42)).astype(np.intp)] = True
-        for batch in batches:
+        for batch in (part for whole in batches for part in list_slices(whole, 1)):
             ids, flat, ends = batch.column(0).to_pylist(), batch.column(1).values.to_numpy(zero_copy_only=False).view(np.uint64), batch.column(1).offsets.to_numpy()
             out = [[], [], [], []]
-            # Windows of the whole batch at once; those that run over a text's end are left out below.
+            # Windows of the whole slice at once; those that run over a text's end are left out below.
             row = np.repeat(np.arange(len(ids)), np.diff(ends))
             base = flat[ends[0] : ends[-1]]
             found = []

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, keep, let, small, words
+from .common import forget, keep, let, list_slices, small, words
 from .components import components
 
 #: 32 bands of 4: a pair of similarity 0.8 shares no band once in 20 million times.
@@ -79,7 +79,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", long), *(T.StructField(f, t) for f, t in fields)])
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in list_slices(whole, 1)):
             column = batch.column(1)
             flat, ends = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
             size, keys = np.zeros(len(column), np.int64), np.zeros((2, len(column)), np.uint64)
