@@ -22,6 +22,9 @@ BROADCAST_ROWS = 1_000_000
 #: Arrow batches are cut to about so many characters before Python strings are made from them.
 SLICE_CHARS = 4_000_000
 
+#: Rows of an Arrow batch at most, as whole texts are sent to workers.
+ARROW_ROWS = 1_000
+
 #: Batches of arrays are cut to about so many items before numpy works on them.
 SLICE_ITEMS = 400_000
 
@@ -78,6 +81,13 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def smaller_batches(spark: SparkSession) -> None:
+    """Lower the session's rows to an Arrow batch to ARROW_ROWS, if it has more: a batch is held whole by a task and by its worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about SLICE_CHARS bytes of text, one row at least."""
     n = batch.num_rows
@@ -111,6 +121,7 @@ def map_text(df: DataFrame, make: Callable[[], Callable[[list], list]], fields:
                 made = f(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(carry))), *(pa.array(c, k) for c, k in zip(made, kinds, strict=True))], names=names)
 
+    smaller_batches(df.sparkSession)
     return df.select(*sent).mapInArrow(run, schema)
 
 

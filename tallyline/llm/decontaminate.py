@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, list_slices, small
+from .common import keep, list_slices, small, smaller_batches
 
 #: Masks of weight 6: tokens at the places of a 1 are hashed.
 MASKS = ("111111", "1101001011", "11001010011", "101100110001", "110100100101")
@@ -105,6 +105,7 @@ def training_hits(docs: DataFrame, masks: tuple[str, ...], wanted: np.ndarray |
                 out[3].append(hashes[mine].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in out[1:])], names=schema.names)
 
+    smaller_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, keep, let, list_slices, small, words
+from .common import forget, keep, let, list_slices, small, smaller_batches, words
 from .components import components
 
 #: 32 bands of 4: a pair of similarity 0.8 shares no band once in 20 million times.
@@ -101,6 +101,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
             band_lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(column) * bands.shape[1] + 1, bands.shape[1]), pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), *(pa.array(k.view(np.int64)) for k in keys), band_lists, *(pa.array(packed[:, j].copy()) for j in range(SKETCH_WORDS))], names=schema.names)
 
+    smaller_batches(docs.sparkSession)
     return docs.select("doc_id", shingles(F.col("text"), n).alias("s")).mapInArrow(run, schema)
 
 
