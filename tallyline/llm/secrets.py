@@ -7,7 +7,9 @@ ratio of the two models is high enough, in total and for each character.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -103,10 +105,12 @@ class Finder:
         return sum(get(s[i : i + 2], 0.0) for i in range(len(s) - 1))
 
     def added(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        out = []
+        out, starts, furthest = [], [s for _, s, _ in base], list(itertools.accumulate((e for *_, e in base), max))
         for m in self.candidate.finditer(text):
             start, end = m.span()
-            if not any(s < end and start < e for _, s, e in base) and (x := self.llr(m[0])) >= self.least and x >= self.least_pair * (end - start - 1):
+            # Of the base spans that begin before the end, the one that reaches furthest.
+            before = bisect.bisect_left(starts, end)
+            if not (before and furthest[before - 1] > start) and (x := self.llr(m[0])) >= self.least and x >= self.least_pair * (end - start - 1):
                 out.append(("markov", start, end))
         return out
 
