@@ -43,7 +43,9 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in pieces, with the bin, the place in it and the text of each."""
-    return packing.filled(docs, packing.pack(docs))
+    # Ids may be null in many rows; written once, a row's key is the same for its pieces and its text.
+    keyed = keep(docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("_key")), "keyed")
+    return packing.filled(keyed, packing.pack(keyed, key="_key"), key="_key")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated), ("pii", pseudonymise), ("packing", pack)]

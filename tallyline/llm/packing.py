@@ -75,7 +75,7 @@ def pack_group(sizes: np.ndarray, sources: list, clusters: list, ties: np.ndarra
     return out[0], out[1]
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, text: str = "text", doc_id: str = "doc_id", source: str = "source", cluster: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, text: str = "text", doc_id: str = "doc_id", source: str = "source", cluster: str | None = None, key: str | None = None) -> DataFrame:
     """doc_id, piece, n_pieces, start, length, bin_id, offset for each piece of each document.
 
     A document of n characters takes n + 1 with its separator; one that is longer than a bin is cut into
@@ -83,18 +83,23 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     one duplicate cluster share a bin, nor more than per_source pieces of one source; rows without a
     source are of no source. cluster: a column; by default texts with equal words, case aside, are a
     cluster, texts without words are in none. Repeated rows are packed each for itself. The bins of an
-    input are the same in every run.
+    input are the same in every run. key: a column of whole numbers that names each row, for ids that are
+    null or not unique; with it the result has `row_key` too. Rows without an id are dealt to groups by
+    their text and their key, or their place in the input if there is none.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     own = F.xxhash64(F.array_join(words(F.lower(t)), " ")) if cluster is None else F.col(cluster)
     wordless = F.length(F.trim(t)) == 0
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
+    named = [] if key is None else ["row_key"]
+    own_key = [] if key is None else [F.col(key).cast("long").alias("row_key")]
+    salt = F.when(F.col(doc_id).isNull(), F.xxhash64(t, F.monotonically_increasing_id() if key is None else F.col(key)))
+    rows = docs.select(*own_key, salt.alias("_salt"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
     groups = max(1, docs.count() // GROUP_ROWS)
     rows = rows.withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")))
-    pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "piece", "n_pieces", "start", "length", "bin_id", "offset")])
+    pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece", "_salt"), F.lit(groups)))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in (*named, "doc_id", "piece", "n_pieces", "start", "length", "bin_id", "offset")])
 
     def of_group(table: pa.Table) -> pa.Table:
         # Clusters with no id are single; a document's own pieces may not share a bin unless they have no cluster.
@@ -105,14 +110,21 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         rank[order] = np.arange(len(order))
         bins, offsets = pack_group(table.column("size").to_numpy(), table.column("source").to_pylist(), clusters, rank, capacity, per_source)
         group = table.column("_g")[0].as_py()
-        made = [*(table.column(c).cast(pa.int64()) for c in ("doc_id", "piece", "n_pieces", "start", "length")), pa.array(bins * groups + group), pa.array(offsets)]
+        made = [*(table.column(c).cast(pa.int64()) for c in (*named, "doc_id", "piece", "n_pieces", "start", "length")), pa.array(bins * groups + group), pa.array(offsets)]
         return pa.Table.from_arrays(made, names=schema.names)
 
     return pieces.groupBy("_g").applyInArrow(of_group, schema)
 
 
-def filled(docs: DataFrame, packed: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The packed pieces with their text. Ids are unique in docs; a null text gives an empty piece."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    both = packed.join(texts, packed.doc_id.eqNullSafe(F.col("_id")))
-    return both.select(*packed.columns, F.substring("_t", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("text"))
+def filled(docs: DataFrame, packed: DataFrame, text: str = "text", doc_id: str = "doc_id", key: str | None = None) -> DataFrame:
+    """The packed pieces with their text; a null text gives an empty piece.
+
+    key: the column that pack() was given; docs must give each row the same key again, so it is to be
+    read from a table. Without a key the ids must be unique, or a ValueError is raised.
+    """
+    name = F.col(doc_id if key is None else key).cast("long")
+    texts = docs.select(name.alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    if key is None and not texts.groupBy("_id").count().where("count > 1").isEmpty():
+        raise ValueError("ids are null or repeated in several rows: pack and fill by a key")
+    both = packed.join(texts, packed["doc_id"].eqNullSafe(F.col("_id")) if key is None else packed["row_key"] == F.col("_id"))
+    return both.select(*(c for c in packed.columns if c != "row_key"), F.substring("_t", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("text"))
