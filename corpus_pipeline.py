@@ -6,6 +6,8 @@ documents; the last returns the packed pieces.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates; of repeated rows one."""
+    """One document, the one with the least id, of each group of near duplicates; of repeated rows one. Rows without an id all stay."""
     found = neardup.near_duplicates(docs)
     gone = keep(found.where("not kept").select("doc_id").distinct(), "gone")
     out = docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return out.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else out
+    if repeated.isEmpty():
+        return out
+    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).union(out.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    gone = keep(decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "gone")
-    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
+    """Documents without a passage of a benchmark item; rows without an id are checked each for itself."""
+    items = table(spark, sf_dir, "benchmark")
+
+    def clean(rows: DataFrame, name: str) -> DataFrame:
+        gone = keep(decontaminate.overlaps(rows, items, doc_id=name).select(F.col("doc_id").alias(name)).distinct(), "gone")
+        return rows.join(small(gone, gone.count()), name, "left_anti").select(docs.columns)
+
+    out, unnamed = clean(docs, "doc_id"), docs.where("doc_id is null")
+    if unnamed.isEmpty():
+        return out
+    key = next(f"_key{i}" for i in itertools.count() if f"_key{i}" not in docs.columns)
+    return out.where("doc_id is not null").union(clean(keep(unnamed.withColumn(key, F.monotonically_increasing_id()), "unnamed"), key))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,3 +21,18 @@ def test_rows_without_id_are_dealt_out(spark, monkeypatch):
     docs = spark.createDataFrame([(None, "same text", "s")] * 1000, "doc_id long, text string, source string")
     groups = collections.Counter(r.bin_id % 20 for r in packing.pack(docs).collect())
     assert len(groups) == 20 and max(groups.values()) < 150
+
+
+def test_rows_without_id_survive_repeats_elsewhere(spark):
+    texts = ["one two three four five", "six seven eight nine ten", "a b c d e f"]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(1, "x y z u v w")] * 2, "doc_id long, text string")
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == sorted([*((0, t) for t in texts), (1, "x y z u v w")])
+
+
+def test_rows_without_id_are_decontaminated(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, f"so {item} end"), (None, "clean text"), (None, "other clean"), (1, item), (2, "clean")], "doc_id long, text string")
+    found = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert found.columns == ["doc_id", "text"] and sorted(r.text for r in found.collect()) == ["clean", "clean text", "other clean"]
