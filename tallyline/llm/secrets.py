@@ -13,6 +13,7 @@ import itertools
 import math
 import random
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: Candidates of the model: runs of so many of these characters. Nats for the whole string and for each pair.
 CANDIDATE, LEAST_LLR, LEAST_LLR_PAIR = r"[A-Za-z0-9+/_=-]{20,}", 12.0, 0.35
+#: Within a run that fails as a whole: the least length of a random stretch, marks between parts, and how far from a mark a stretch's end is moved to it.
+LEAST_STRETCH, MARKS, NEAR = 20, "+/_=-", 4
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 IDENTIFIER_WORDS = """account action active address admin after agent alert array audit author backend balance batch before
@@ -93,6 +96,7 @@ class Finder:
         self.access = re.compile(r"AKIA[A-Z0-9]{%d,}" % (LEAST["access"] - 4))
         self.hex = re.compile(r"[0-9a-f]{%d,}" % LEAST["hex"])
         self.candidate = re.compile(CANDIDATE)
+        self.part = re.compile(r"[A-Za-z0-9]{%d,}" % LEAST_STRETCH)
 
     def base(self, text: str) -> list[tuple[str, int, int]]:
         found = [("assign", *m.span()) for m in self.assign.finditer(text) if len(m[2]) >= LEAST["assign"]] if ":" in text or "=" in text else []
@@ -104,16 +108,72 @@ class Finder:
         get = self.ratio.get
         return sum(get(s[i : i + 2], 0.0) for i in range(len(s) - 1))
 
+    def passes(self, s: str) -> bool:
+        return (x := self.llr(s)) >= self.least and x >= self.least_pair * (len(s) - 1)
+
+    def stretches(self, s: str) -> list[tuple[int, int]]:
+        """The maximal stretches of s whose pairs score above the least for a pair, by Ruzzo and Tompa, and that pass."""
+        get, total = self.ratio.get, 0.0
+        # (start, end, sum before, sum behind, the nearest earlier one with a lower sum before it)
+        held: list[tuple[int, int, float, float, int]] = []
+        for i in range(len(s) - 1):
+            x = get(s[i : i + 2], 0.0) - self.least_pair
+            start, before, total = i, total, total + x
+            if x <= 0:
+                continue
+            j = len(held) - 1
+            while True:
+                while j >= 0 and held[j][2] >= before:
+                    j = held[j][4]
+                if j < 0 or held[j][3] >= total:
+                    break
+                start, before, earlier = held[j][0], held[j][2], held[j][4]
+                del held[j:]
+                j = earlier
+            held.append((start, i + 2, before, total, j))
+        return [(a, b) for a, b, *_ in held if self.passes(s[a:b])]
+
+    def left(self, start: int, end: int, base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """What the base spans leave over of a candidate."""
+        for s, e in base:
+            if start < min(s, end):
+                yield start, min(s, end)
+            start = max(start, e)
+        if start < end:
+            yield start, end
+
     def added(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         out, starts, furthest = [], [s for _, s, _ in base], list(itertools.accumulate((e for *_, e in base), max))
         for m in self.candidate.finditer(text):
             start, end = m.span()
-            # Of the base spans that begin before the end, the one that reaches furthest.
-            before = bisect.bisect_left(starts, end)
-            if not (before and furthest[before - 1] > start) and (x := self.llr(m[0])) >= self.least and x >= self.least_pair * (end - start - 1):
-                out.append(("markov", start, end))
+            # The base spans that overlap: they begin before the end, and one of them or before reaches behind the start.
+            low, high = bisect.bisect_right(furthest, start), bisect.bisect_left(starts, end)
+            for a, b in self.left(start, end, [x[1:] for x in base[low:high]]):
+                if self.passes(text[a:b]):
+                    out.append(("markov", a, b))
+                    continue
+                parts = [p for m in self.part.finditer(text, a, b) if self.passes(m[0]) for p in [m.span()]]
+                end_of = a
+                for x, y in sorted([*parts, *(self.whole(text, a, b, a + x, a + y) for x, y in self.stretches(text[a:b]))]):
+                    # A base span beside it is a part of the string.
+                    if y - x < LEAST_STRETCH and not (x == a > start or y == b < end):
+                        continue
+                    if out and x < end_of:
+                        out[-1] = ("markov", out[-1][1], max(y, end_of))
+                    else:
+                        out.append(("markov", x, y))
+                    end_of = out[-1][2]
         return out
 
+    def whole(self, text: str, a: int, b: int, x: int, y: int) -> tuple[int, int]:
+        """The stretch (x, y) of the piece (a, b), its ends moved to the next mark if that is near."""
+        p, q = x, y
+        while p > a and text[p - 1] not in MARKS:
+            p -= 1
+        while q < b and text[q] not in MARKS:
+            q += 1
+        return p if x - p <= NEAR else x, q if q - y <= NEAR else y
+
 
 def scan(docs: DataFrame, ratio: dict[str, float] | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and spans: array of (kind, start, end) with the base spans and those that the model adds, by start, then kind.

@@ -1,9 +1,13 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
 import collections
+import random
+import string
+
+import pytest
 
 import corpus_pipeline
-from tallyline.llm import packing
+from tallyline.llm import packing, secrets
 
 
 def test_rows_without_id_keep_their_own_text(spark):
@@ -36,3 +40,24 @@ def test_rows_without_id_are_decontaminated(spark, tmp_path):
     docs = spark.createDataFrame([(None, f"so {item} end"), (None, "clean text"), (None, "other clean"), (1, item), (2, "clean")], "doc_id long, text string")
     found = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
     assert found.columns == ["doc_id", "text"] and sorted(r.text for r in found.collect()) == ["clean", "clean text", "other clean"]
+
+
+@pytest.mark.parametrize("before", ["/services/incoming/webhooks/customer/default/", "DATABASE_CONNECTION_PASSPHRASE=", "/var/lib/application/configuration/production/environment/credentials/"])
+def test_secrets_within_ordinary_runs(spark, before):
+    finder, r = secrets.Finder(secrets.train(secrets.default_samples(spark))), random.Random(8)
+    for n in (24, 32, 40):
+        made = ["".join(r.choices(string.ascii_letters + string.digits, k=n)) for _ in range(200)]
+        texts = [f"x {before}{s}/entry y" for s in made]
+        found = [finder.added(t, finder.base(t)) for t in texts]
+        assert sum(any(a <= t.index(s) and e >= t.index(s) + n for _, a, e in f) for t, s, f in zip(texts, made, found, strict=True)) >= 0.9 * 200
+    ordinary = [f"{before}{x.text}" for x in secrets.default_samples(spark, 300, seed=2).where("label = 0").collect()]
+    assert sum(bool(finder.added(t, finder.base(t))) for t in ordinary) <= 0.02 * 300
+
+
+def test_rest_of_a_secret_beside_a_base_span(spark):
+    finder = secrets.Finder(secrets.train(secrets.default_samples(spark, 800, seed=1)))
+    text = "x 9fK2xQ7bLm0ZtR4vYw8sJdHc3N0123456789abcdef01Qz7XkV3mTp9WbR5yGn2LsD y"
+    base = finder.base(text)
+    assert [k for k, *_ in base] == ["hex"]
+    covered = {i for _, a, e in [*base, *finder.added(text, base)] for i in range(a, e)}
+    assert covered == set(range(2, len(text) - 2))
