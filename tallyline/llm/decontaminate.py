@@ -18,8 +18,10 @@ from .common import keep, list_slices, small, smaller_batches
 
 #: Masks of weight 6: tokens at the places of a 1 are hashed.
 MASKS = ("111111", "1101001011", "11001010011", "101100110001", "110100100101")
-#: Items with fewer tokens than the longest mask get a mask of their own length; below LEAST_TOKENS an item is too short to tell.
-LEAST_TOKENS = 6
+#: More masks (mask, least, most) for items of that many tokens: any substitutions that verification accepts leave a seed.
+SHORT_MASKS = (("1111", 4, 4), ("11111", 5, 5), ("11011", 6, 7), ("1101011", 8, 12), ("10011011", 8, 12), ("1100111", 8, 12))
+#: Items with fewer tokens than LEAST_TOKENS must be matched exactly; below LEAST_EXACT an item is too short to tell.
+LEAST_TOKENS, LEAST_EXACT = 6, 4
 #: A stretch must hold so many equal tokens, or LEAST_SHARE of an item's tokens if that is less, at an identity of LEAST_SHARE.
 LEAST_EQUAL, LEAST_SHARE = 13, 0.7
 #: What a token adds to the score of a stretch.
@@ -28,9 +30,16 @@ EQUAL, UNEQUAL = 1.0, -1.5
 FILTER_HASHES = 2_000_000
 
 
+#: Scripts that put no spaces between words; each of their letters, with its marks, is a token.
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+
+
 def tokens(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters, marks and digits, in order; none for null."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", -1)
+    """Hashes of the lower-cased runs of letters, marks and digits, in order; none for null. Letters of unspaced scripts are single tokens."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    spaced = F.split(low, r"[^\p{L}\p{M}\p{N}]+", -1)
+    single = F.regexp_extract_all(low, F.lit(rf"(?=[\p{{L}}\p{{N}}])[{UNSPACED}]\p{{M}}*|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+"), F.lit(0))
+    parts = F.when((F.length(low) == F.octet_length(low)) | ~F.rlike(low, F.lit(f"[{UNSPACED}]")), spaced).otherwise(single)
     return F.transform(F.array_remove(parts, ""), lambda w: F.xxhash64(w))
 
 
@@ -51,8 +60,8 @@ def seeds(flat: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(seed, item_id, at) for each window of each item; items: item_id, tokens."""
+def item_seeds(items: DataFrame, masks: tuple[tuple[str, int, float], ...]) -> DataFrame:
+    """(seed, item_id, at) for each window of each item under the masks (mask, least, most) of its length; items: item_id, tokens."""
 
     def run(batches):
         for batch in batches:
@@ -60,8 +69,8 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
             out = [[], [], []]
             for i, name in enumerate(ids):
                 part = flat[ends[i] : ends[i + 1]]
-                for k, mask in enumerate(masks):
-                    found = seeds(part, mask, k)
+                for k, (mask, least, most) in enumerate(masks):
+                    found = seeds(part if least <= len(part) <= most else part[:0], mask, k)
                     out[0] += found.view(np.int64).tolist()
                     out[1] += [name] * len(found)
                     out[2] += range(len(found))
@@ -131,6 +140,8 @@ def verified(pairs: DataFrame) -> DataFrame:
                 doc, item = a[0][a[1][i] : a[1][i + 1]], b[0][b[1][i] : b[1][i + 1]]
                 lo, hi = max(0, shift[i]), min(len(doc), shift[i] + len(item))
                 start, end, equal = stretch(doc[lo:hi], item[lo - shift[i] : hi - shift[i]])
+                if len(item) < LEAST_TOKENS and equal < len(item):
+                    continue
                 if equal >= min(LEAST_EQUAL, LEAST_SHARE * len(item)) and equal >= LEAST_SHARE * (end - start):
                     for c, v in zip(out, (ids[i], items[i], lo + start, lo + end, equal, equal / (end - start)), strict=True):
                         c.append(v)
@@ -143,21 +154,22 @@ def verified(pairs: DataFrame) -> DataFrame:
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id and the best passage (first_token, end_token, n_equal, identity) for each document and item that overlap.
 
-    Null or empty texts and items, and items of fewer than LEAST_TOKENS tokens, overlap with nothing;
-    rows without an id are left out, as they can't be named. Items with the same tokens are one item,
-    with the least id. Repeated rows give one result.
+    Null or empty texts and items, and items of fewer than LEAST_EXACT tokens, overlap with nothing;
+    items of fewer than LEAST_TOKENS do with exact copies only. Rows without an id are left out, as they
+    can't be named. Items with the same tokens are one item, with the least id. Repeated rows give one
+    result.
     """
     items = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), tokens(F.col(item_text)).alias("tokens"))
-    items = keep(items.where(F.size("tokens") >= LEAST_TOKENS).groupBy("tokens").agg(F.min("item_id").alias("item_id")), "items")
-    longest = max(map(len, MASKS))
-    short = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") < longest).distinct().collect()]
-    masks = (*MASKS, *("1" * n for n in sorted(short)))
-    tested = keep(item_seeds(items, masks), "seeds")
+    items = keep(items.where(F.size("tokens") >= LEAST_EXACT).groupBy("tokens").agg(F.min("item_id").alias("item_id")), "items")
+    longest = max(most for *_, most in SHORT_MASKS)
+    short = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") <= longest).distinct().collect()]
+    used = (*((m, 0, np.inf) for m in MASKS), *((m, lo, hi) for m, lo, hi in SHORT_MASKS if any(lo <= n <= hi for n in short)))
+    tested = keep(item_seeds(items, used), "seeds")
     n = tested.count()
     wanted = np.unique(tested.select("seed").distinct().toArrow().column("seed").to_numpy().view(np.uint64)) if n <= FILTER_HASHES else None
 
     train = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), tokens(F.col(text)).alias("tokens"))
-    hit = keep(training_hits(train, masks, wanted), "hits")
+    hit = keep(training_hits(train, tuple(m for m, *_ in used), wanted), "hits")
     windows = hit.select("doc_id", F.explode(F.arrays_zip("at", "seed")).alias("w")).select("doc_id", F.col("w.at").alias("doc_at"), F.col("w.seed").alias("seed"))
     pairs = windows.join(small(tested, n), "seed").select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct()
     whole = pairs.join(hit.select("doc_id", "tokens").dropDuplicates(["doc_id"]), "doc_id").join(small(items.withColumnRenamed("tokens", "item"), n), "item_id")

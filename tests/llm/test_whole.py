@@ -1,13 +1,15 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
 import collections
+import itertools
 import random
 import string
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallyline.llm import packing, secrets
+from tallyline.llm import decontaminate, packing, secrets
 
 
 def test_rows_without_id_keep_their_own_text(spark):
@@ -61,3 +63,29 @@ def test_rest_of_a_secret_beside_a_base_span(spark):
     assert [k for k, *_ in base] == ["hex"]
     covered = {i for _, a, e in [*base, *finder.added(text, base)] for i in range(a, e)}
     assert covered == set(range(2, len(text) - 2))
+
+
+def test_short_items_keep_a_seed_whatever_is_substituted():
+    for n in range(6, 13):
+        used = [m for m, lo, hi in [*((m, 0, 99) for m in decontaminate.MASKS), *decontaminate.SHORT_MASKS] if lo <= n <= hi]
+        picked = [{i + at for i, c in enumerate(m) if c == "1"} for m in used for at in range(n - len(m) + 1)]
+        for k in range(n // 2):
+            for gone in itertools.combinations(range(n), k):
+                item = np.arange(n)
+                start, end, equal = decontaminate.stretch(np.where(np.isin(item, gone), -1, item), item)
+                if equal >= 0.7 * n and equal >= 0.7 * (end - start):
+                    assert any(not p & set(gone) for p in picked), (n, gone)
+
+
+def test_short_and_unspaced_items(spark):
+    r = random.Random(2)
+    vocab, han = [f"v{i}" for i in range(5000)], [chr(c) for c in range(0x4E00, 0x5E00)]
+    noise = lambda: " ".join(r.choices(vocab, k=30))
+    items = [r.choices(vocab, k=n) for n in (4, 5, 6, 7, 8, 9, 10, 12)]
+    edited = [[*w[:3], "edited", *w[4:]] for w in items]
+    chinese = "".join(r.choices(han, k=20))
+    bench = spark.createDataFrame([*((i, " ".join(w)) for i, w in enumerate(items)), (20, chinese)], "item_id long, text string")
+    texts = [f"{noise()} {' '.join(w)} {noise()}" for w in (*items, *edited)] + ["".join(r.choices(han, k=30)) + chinese[:9] + "\u4e00" + chinese[10:] + "".join(r.choices(han, k=30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((x.doc_id, x.item_id) for x in decontaminate.overlaps(docs, bench).collect())
+    assert found == [*((i, i) for i in range(8)), *((8 + i, i) for i in range(2, 8)), (16, 20)]
