@@ -196,12 +196,14 @@ class Redactor:
             kind = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup
             if new := self.swap(kind, m[0]):
                 found.append((*m.span(), kind, new))
-        for m in IBAN.finditer(text):
-            # Upper-case words may follow after a space.
-            whole = m[0]
+        at = 0
+        while m := IBAN.search(text, at):
+            # Upper-case words or another IBAN may follow after a space; the scan goes on behind the part that passes.
+            whole, at = m[0], m.start() + 1
             while len(whole) >= 15:
                 if new := self.swap("iban", whole):
-                    found.append((m.start(), m.start() + len(whole), "iban", new))
+                    at = m.start() + len(whole)
+                    found.append((m.start(), at, "iban", new))
                     break
                 whole = whole.rpartition(" ")[0]
         found.sort(key=lambda s: (s[0], -s[1]))

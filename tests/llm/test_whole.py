@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallyline.llm import decontaminate, packing, secrets
+from tallyline.llm import decontaminate, packing, pii, secrets
 
 
 def test_rows_without_id_keep_their_own_text(spark):
@@ -89,3 +89,10 @@ def test_short_and_unspaced_items(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = sorted((x.doc_id, x.item_id) for x in decontaminate.overlaps(docs, bench).collect())
     assert found == [*((i, i) for i in range(8)), *((8 + i, i) for i in range(2, 8)), (16, 20)]
+
+
+def test_every_iban_of_a_spaced_list():
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text in (f"{one} {two}", f"{two} {one} {two} END", f"AB12 {one} {two}", f"AB12 CDEF GHIJ KLMN {two}"):
+        new, n = pii.Redactor().redact(text)
+        assert n["iban"] == text.count(one) + text.count(two) and one not in new and two not in new
