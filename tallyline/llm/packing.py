@@ -22,7 +22,7 @@ from .common import words
 CAPACITY = 16_384
 #: Pieces of one source that a bin may hold.
 PER_SOURCE = 2
-#: Pieces of a group, about; a group is packed in one task.
+#: Pieces of a group, about, however many documents they are of; a group is packed in one task.
 GROUP_ROWS = 4_000
 
 
@@ -38,6 +38,11 @@ class Bins:
 
     def put(self, size: int, source: int, cluster: int) -> tuple[int, int]:
         """(bin, offset); source and cluster are single bits, or 0 for none."""
+        if size >= self.capacity:
+            # A full piece takes a bin of its own, which no later one can share.
+            self.clusters.append(0)
+            self.planes.append([0] * self.per_source)
+            return len(self.clusters) - 1, 0
         at = bisect.bisect_left(self.order, (size, -1))
         while at < len(self.order):
             room, b = self.order[at]
@@ -94,8 +99,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     own_key = [] if key is None else [F.col(key).cast("long").alias("row_key")]
     salt = F.when(F.col(doc_id).isNull(), F.xxhash64(t, F.monotonically_increasing_id() if key is None else F.col(key)))
     rows = docs.select(*own_key, salt.alias("_salt"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
-    groups = max(1, docs.count() // GROUP_ROWS)
     rows = rows.withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
+    groups = max(1, (rows.agg(F.sum("n_pieces")).first()[0] or 0) // GROUP_ROWS)
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")))
     pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece", "_salt"), F.lit(groups)))

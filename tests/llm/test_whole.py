@@ -96,3 +96,13 @@ def test_every_iban_of_a_spaced_list():
     for text in (f"{one} {two}", f"{two} {one} {two} END", f"AB12 {one} {two}", f"AB12 CDEF GHIJ KLMN {two}"):
         new, n = pii.Redactor().redact(text)
         assert n["iban"] == text.count(one) + text.count(two) and one not in new and two not in new
+
+
+def test_groups_count_pieces(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    docs = spark.createDataFrame([(i, "x" * 10_000, "s") for i in range(10)], "doc_id long, text string, source string")
+    found = packing.pack(docs, capacity=100).collect()
+    # 10 documents of 101 pieces; full pieces have bins of their own.
+    assert len(found) == 1010 and len({r.bin_id % 20 for r in found}) == 20
+    full = [r.bin_id for r in found if r.length == 100]
+    assert len(set(full)) == len(full) == 1000
