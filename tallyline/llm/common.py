@@ -51,29 +51,57 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    """The folder that the driver and all executors share.
+
+    Where the session names none, a temporary one serves a session on one machine; any other raises, as
+    executors would write to disks that the driver can't read.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tallyline-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _location(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+#: Tables in the shared folder that weren't forgotten yet, in the order of their making.
+_KEPT: list[DataFrame] = []
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: a cut in the lineage that outlives executors."""
+    """Write df as a table in the shared folder and read it back: a cut in the lineage that outlives executors.
+
+    Lazy results may read it, so it stays until it is forgotten, at the latest until the application ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyline-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    files, where = _location(spark, path)
+    files.deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)
     out._tallyline_path = path
+    _KEPT.append(out)
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table made by keep() once nothing lazy depends on it."""
-    spark, path = df.sparkSession, df._tallyline_path
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by keep() once nothing lazy depends on them."""
+    gone = {t._tallyline_path for t in tables}
+    for t in tables:
+        files, where = _location(t.sparkSession, t._tallyline_path)
+        files.delete(where, True)
+    _KEPT[:] = [t for t in _KEPT if t._tallyline_path not in gone]
+
+
+def kept() -> list[DataFrame]:
+    """The tables that keep() made and that weren't forgotten, in order."""
+    return list(_KEPT)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -22,7 +22,12 @@ BUCKETS, SMOOTHING, CHUNK = 1 << 15, 0.5, 1 << 18
 SAMPLE_DOCS = 8_000
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]").search
+# Candidates of letters; digits and numerals of other kinds, such as superscripts and fractions, are among them.
+_WORDY = re.compile(r"[^\W\d_]+").finditer
+
+
+def has_letter(text: str | None) -> bool:
+    return any(c.isalpha() for m in _WORDY(text or "") for c in m[0])
 
 
 def _table() -> np.ndarray:
@@ -50,10 +55,10 @@ def joined(texts: list, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
     """The languages, sorted, and the log-probability matrix with the log prior in its last row.
 
-    Learns from about sample_docs documents that have a language and aren't held out. What reaches the
-    driver has at most BUCKETS counts a language.
+    Learns from about sample_docs documents that have a text and a language and aren't held out. What
+    reaches the driver has at most BUCKETS counts a language.
     """
-    usable = docs.where(F.col(lang).isNotNull() & ~held_out(doc_id))
+    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id))
     share = max(1, usable.count() // sample_docs)
     sample = usable.where(F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(share)) == 0).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
@@ -83,8 +88,10 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
     """doc_id, lang_pred and score, the posterior probability of that language.
 
-    `und` with score 0 for a null text, one without a letter, or if there was nothing to learn from.
-    Between languages with equal posteriors the first by name is taken.
+    `und` with score 0 for a null or empty text, one without a letter, or if there was nothing to learn
+    from. Between languages with equal posteriors the first by name is taken. Each row, repeated ones
+    and those without an id too, is taken by itself; an empty table gives an empty result. Texts of any
+    length are scored whole, CHUNK characters at once.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model or train(docs, lang, text, doc_id))
 
@@ -106,7 +113,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None,
                     value = row.take(one, mode="clip") + row.take(two, mode="clip") + row.take(three, mode="clip")
                     total[lo:hi, j] += np.add.reduceat(value, cuts, dtype=np.float64)
             odds = np.exp(total - total.max(axis=1, keepdims=True))
-            best, known = total.argmax(axis=1), [bool(t) and bool(_LETTER(t)) for t in texts]
+            best, known = total.argmax(axis=1), [has_letter(t) for t in texts]
             share = odds.max(axis=1) / odds.sum(axis=1)
             return [[names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], [float(s) if k else 0.0 for s, k in zip(share, known, strict=True)]]
 

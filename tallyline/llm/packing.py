@@ -87,23 +87,27 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     full pieces and a last one. A null or empty text takes the room of its separator. No two pieces of
     one duplicate cluster share a bin, nor more than per_source pieces of one source; rows without a
     source are of no source. cluster: a column; by default texts with equal words, case aside, are a
-    cluster, texts without words are in none. Repeated rows are packed each for itself. The bins of an
-    input are the same in every run. key: a column of whole numbers that names each row, for ids that are
-    null or not unique; with it the result has `row_key` too. Rows without an id are dealt to groups by
-    their text and their key, or their place in the input if there is none.
+    cluster, texts without words (white space alone) are in none. Repeated rows are packed each for
+    itself; an empty table gives no rows. The bins of an input are the same in every run. key: a column of whole numbers that names each row, for ids that are
+    null or not unique; with it the result has `row_key` too. Rows without an id, and all rows where an
+    id repeats, are dealt to groups by their text and their key, or their place in the input if there is
+    none, so that no group grows with the repeats. Only lengths, ids and clusters are shuffled, no texts.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     own = F.xxhash64(F.array_join(words(F.lower(t)), " ")) if cluster is None else F.col(cluster)
-    wordless = F.length(F.trim(t)) == 0
+    wordless = F.size(words(t)) == 0
     named = [] if key is None else ["row_key"]
     own_key = [] if key is None else [F.col(key).cast("long").alias("row_key")]
-    salt = F.when(F.col(doc_id).isNull(), F.xxhash64(t, F.monotonically_increasing_id() if key is None else F.col(key)))
-    rows = docs.select(*own_key, salt.alias("_salt"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
+    place = F.xxhash64(t, F.monotonically_increasing_id() if key is None else F.col(key))
+    rows = docs.select(*own_key, place.alias("_place"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
     rows = rows.withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
-    groups = max(1, (rows.agg(F.sum("n_pieces")).first()[0] or 0) // GROUP_ROWS)
+    total, most = rows.groupBy("doc_id").agg(F.sum("n_pieces").alias("p"), F.when(F.col("doc_id").isNotNull(), F.count("*")).alias("k")).agg(F.sum("p"), F.max("k")).first()
+    groups = max(1, (total or 0) // GROUP_ROWS)
+    # Ids that are unique deal the pieces alone; where some repeat, or there is none, rows are told apart by their place.
+    dealt = [F.col("doc_id"), F.col("piece"), F.col("_place") if (most or 0) > 1 else F.when(F.col("doc_id").isNull(), F.col("_place"))]
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")))
-    pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece", "_salt"), F.lit(groups)))
+    pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64(*dealt), F.lit(groups)))
     schema = T.StructType([T.StructField(n, T.LongType()) for n in (*named, "doc_id", "piece", "n_pieces", "start", "length", "bin_id", "offset")])
 
     def of_group(table: pa.Table) -> pa.Table:

@@ -1,16 +1,20 @@
 """PII: format-preserving pseudonyms by a keyed Feistel permutation.
 
 Numbers and dates that pass their own validation (Luhn, mod 97, calendar, octets) and e-mail addresses
-are permuted within their format: a card stays a valid card, a date a calendar date. The permutation
-depends on the key and the value alone, so equal values stay linked across documents, in whatever
-layout they are written, and different values stay different.
+are permuted within their format: a card stays a valid card, a date a calendar date (with its month's
+name in its language, if it has one), a name in its script. The permutation depends on the key and the
+value alone, so equal values stay linked across documents, in whatever layout they are written, and
+different values stay different.
 """
 
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
+import ipaddress
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,31 +22,66 @@ from pyspark.sql import types as T
 
 from .common import map_text
 
-#: For tests and trials; production passes a secret of its own.
-KEY = b"tallyline trial key"
 KINDS = ("email", "ip", "date", "ssn", "card", "iban", "phone")
 ROUNDS = 10
 #: Values that a worker remembers.
 CACHE = 100_000
 
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal() - datetime.date(1900, 1, 1).toordinal() + 1
-LATIN = "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
-ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", LATIN)
-ALPHABET_OF = {c: a for a in ALPHABETS for c in a}
+#: Characters of a name that are permuted at once.
+PART = 64
+
+#: Country calling codes of one and of two digits; all others have three.
+CALLING_ONE = ("1", "7")
+CALLING_TWO = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+#: Names of months, January first.
+MONTHS = tuple(
+    tuple(x.split())
+    for x in (
+        "january february march april may june july august september october november december",
+        "jan feb mar apr may jun jul aug sep oct nov dec",
+        "januar februar märz april mai juni juli august september oktober november dezember",
+        "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+        "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    )
+)
+MONTH_OF = {name: (names, i + 1) for names in reversed(MONTHS) for i, name in enumerate(names)}
 
 NUMBER = re.compile(
     r"""(?<![\w@])(?:
       (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\w@]|\.\d)
-    | (?P<ymd>\d{4}([-/.])\d{1,2}\3\d{1,2})(?![\w@]|[-/.]\d)
+    | (?P<ymd>\d{4}([-/.])\d{1,2}\3\d{1,2})(?:(?=T\d\d:?\d\d)|(?![\w@]|[-/.]\d))
     | (?P<dmy>\d{1,2}([-/.])\d{1,2}\5\d{4})(?![\w@]|[-/.]\d)
     | (?P<ssn>\d{3}-\d{2}-\d{4})(?![\w@]|-\d)
     | (?P<card>\d{4}([ -])\d{4}\8\d{4}\8\d{1,7}|\d{4}([ -])\d{6}\9\d{5}|\d{13,19})(?![\w@]|-\d)
-    | (?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}|\+\d{8,15})(?![\w@]|-\d)
+    | (?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:(?!\ 0)[ .-]?\(?\d{1,4}\)?){1,5}|\+\d{8,15}|\(?0\d{1,4}\)?[ /-]\d{3,8}(?:[ -]\d{2,5}){0,2})(?![\w@]|[-/.]\d)
     )""",
     re.X | re.A,
 )
+#: A day and a year with a month's name between, or behind one: `word` is looked up or looked for.
+DAY_FIRST = re.compile(r"(?<![\w.,-])(?P<day>\d{1,2})(?P<mark>\.|st|nd|rd|th)?(?P<a>\s(?:de\s|of\s)?)(?P<word>[^\W\d_]{3,10})(?P<b>\.?,?\s(?:de\s)?)(?P<year>\d{4})(?![\w])")
+MONTH_FIRST = re.compile(r"(?<=[^\W\d_])(?P<a>\.?\s)(?P<day>\d{1,2})(?P<mark>st|nd|rd|th)?(?P<b>,?\s)(?P<year>\d{4})(?![\w])")
+LONGEST_MONTH = max(map(len, MONTH_OF))
+IPV6 = re.compile(r"(?<![\w:.])(?=[0-9a-f:]*\d)(?:[0-9a-f]{1,4}:|:(?=:))[0-9a-f:]*:[0-9a-f]{0,4}(?![\w:]|\.\d)", re.I | re.A)
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-_LOCAL, _DOMAIN = re.compile(r"[\w.+%-]"), re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
+_LOCAL, _DOMAIN = re.compile(r"[\w.+%'-]"), re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+(?:xn--[a-z0-9-]*[a-z0-9]|[^\W\d_]{2,})")
+
+
+@functools.lru_cache(maxsize=10_000)
+def alphabet(c: str) -> str | None:
+    """The characters that c may become: digits for a digit, else lower-case or caseless letters of its part of the code chart; None for marks.
+
+    Latin letters have a to z; others those of their 128 code points, so that a name stays in its script.
+    """
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    if not c.isalpha() or c.lower() != c:
+        return None
+    if c.isascii():
+        return "abcdefghijklmnopqrstuvwxyz"
+    first, kind = ord(c) & ~0x7F, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(first, first + 128)) if not x.isascii() and unicodedata.category(x) == kind and x.lower() == x)
 
 
 def luhn(digits: str) -> bool:
@@ -60,32 +99,47 @@ def mod97(iban: str) -> int:
 class Permuter:
     """Keyed permutations of ranges of whole numbers: a balanced Feistel network, walked until it ends within the range."""
 
-    def __init__(self, key: bytes = KEY):
+    def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key).digest()
 
-    def number(self, value: int, size: int, tweak: str) -> int:
+    def said(self, round_: int, size: int, tweak: bytes, right: int, width: int) -> int:
+        """The round function: as many bytes as asked for, of as many digests as that takes."""
+        out = b""
+        while len(out) < width + 8:
+            head = b"%d|%d|" % (round_, size) if not out else b"%d|%d|%d|" % (round_, size, len(out))
+            out += hashlib.blake2b(head + tweak + right.to_bytes(width, "big"), key=self.key, digest_size=min(64, width + 8)).digest()
+        return int.from_bytes(out, "big")
+
+    def number(self, value: int, size: int, tweak: str, back: bool = False) -> int:
+        """The value's pseudonym within range(size); with back, the value of a pseudonym."""
         if size < 2:
             return value
         half = max(1, ((size - 1).bit_length() + 1) // 2)
-        mask, width = (1 << half) - 1, (half + 7) // 8
+        mask, width, at = (1 << half) - 1, (half + 7) // 8, tweak.encode()
         while True:
             left, right = value >> half, value & mask
-            for i in range(ROUNDS):
-                said = hashlib.blake2b(b"%d|%d|" % (i, size) + tweak.encode() + right.to_bytes(width, "big"), key=self.key, digest_size=min(64, width + 8)).digest()
-                left, right = right, left ^ (int.from_bytes(said, "big") & mask)
+            for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
+                if back:
+                    left, right = right ^ (self.said(i, size, at, left, width) & mask), left
+                else:
+                    left, right = right, left ^ (self.said(i, size, at, right, width) & mask)
             value = left << half | right
             if value < size:
                 return value
 
     def letters(self, text: str, tweak: str) -> str:
-        """Every digit and letter is replaced by one of its own kind; case and other characters stay."""
+        """Every digit and letter is replaced by one of its own kind; case and other characters stay. Parts of PART characters depend on those before."""
+        if len(text) > PART:
+            parts = [text[i : i + PART] for i in range(0, len(text), PART)]
+            before = ["", *(hashlib.blake2b(text[:i].lower().encode("utf-8", "surrogatepass"), key=self.key, digest_size=16).hexdigest() for i in range(PART, len(text), PART))]
+            return "".join(self.letters(p, f"{tweak}|{b}") for p, b in zip(parts, before, strict=True))
         low = [c.lower() if len(c.lower()) == 1 else c for c in text]
-        sets = [ALPHABET_OF.get(c) for c in low]
+        sets = [alphabet(c) for c in low]
         value, size = 0, 1
         for c, a in zip(low, sets, strict=True):
             if a:
                 value, size = value * len(a) + a.index(c), size * len(a)
-        value = self.number(value, size, f"{tweak}|{''.join(c if not a else str(ALPHABETS.index(a)) for c, a in zip(low, sets, strict=True))}")
+        value = self.number(value, size, f"{tweak}|{''.join(c if not a else a[0] for c, a in zip(low, sets, strict=True))}")
         out = []
         for c, a in zip(reversed(text), reversed(sets), strict=True):
             if a:
@@ -106,6 +160,14 @@ class Permuter:
             return None
         return ".".join(map(str, self.number(int.from_bytes(bytes(parts)), 1 << 32, "ip").to_bytes(4)))
 
+    def ipv6(self, text: str) -> str | None:
+        try:
+            at = ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        made = str(ipaddress.IPv6Address(self.number(int(at), 1 << 128, "ipv6")))
+        return made.upper() if text.upper() == text and text.lower() != text else made
+
     def day(self, year: int, month: int, day: int) -> datetime.date | None:
         try:
             at = datetime.date(year, month, day).toordinal() - FIRST_DAY
@@ -123,6 +185,15 @@ class Permuter:
                 return mark.join(f"{made[k]:0{len(p)}d}" for k, p in zip(order, parts, strict=True))
         return None
 
+    def named_date(self, day: str, mark: str, word: str, year: str) -> tuple[str, str, str, str] | None:
+        """The same parts of the pseudonym's date, its month in the language, case and length of the given one."""
+        if (found := MONTH_OF.get(word.lower())) is None or not (new := self.day(int(year), found[1], int(day))):
+            return None
+        name = found[0][new.month - 1]
+        name = name.upper() if word.isupper() else name.capitalize() if word[0].isupper() else name
+        ending = "th" if 11 <= new.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+        return f"{new.day:02d}" if day[0] == "0" else str(new.day), ending if mark.isalpha() else mark, name, f"{new.year:04d}"
+
     def ssn(self, text: str) -> str | None:
         digits = text.replace("-", "")
         good = lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
@@ -141,11 +212,16 @@ class Permuter:
         return laid(text, body + next(c for c in "0123456789" if luhn(body + c)))
 
     def phone(self, text: str) -> str | None:
-        head = m[0] if (m := re.match(r"\+\d{1,3}(?=[ .(-])", text)) else "+" * text.startswith("+")
-        digits = re.sub(r"\D", "", text[len(head) :])
-        if not 7 <= len(digits) <= 15:
+        """The country's code stays; the rest is permuted in whatever layout, so that it is linked with the number without a code."""
+        digits = re.sub(r"\D", "", text)
+        code = 0 if text[0] != "+" else 1 if digits.startswith(CALLING_ONE) else 2 if digits[:2] in CALLING_TWO else 3
+        kept, rest = digits[:code], digits[code:]
+        if not 7 <= len(rest) <= 15 or (text[0] != "+" and digits[0] == "0" and not 9 <= len(digits) <= 12):
             return None
-        return head + laid(text[len(head) :], f"{self.number(int(digits), 10 ** len(digits), 'phone' + str(len(digits))):0{len(digits)}d}")
+        if text[0] != "+" and rest[0] == "0":
+            # The trunk prefix stays too.
+            kept, rest = "0", rest[1:]
+        return laid(text, kept + f"{self.number(int(rest), 10 ** len(rest), 'phone' + str(len(rest))):0{len(rest)}d}")
 
     def iban(self, text: str) -> str | None:
         plain = text.replace(" ", "")
@@ -163,7 +239,7 @@ def laid(layout: str, chars: str, place: str = r"\d") -> str:
 
 
 class Redactor:
-    def __init__(self, key: bytes = KEY):
+    def __init__(self, key: bytes):
         self.permuter, self.known = Permuter(key), {}
 
     def swap(self, kind: str, value: str) -> str | None:
@@ -178,24 +254,45 @@ class Redactor:
         out, at, done = [], text.find("@"), 0
         while at >= 0:
             start = at
-            while start > done and at - start < 64 and _LOCAL.match(text[start - 1]):
+            while start > done and _LOCAL.match(text[start - 1]):
                 start -= 1
             while start < at and not text[start].isalnum():
                 start += 1
             end = at + 1
-            if start < at and (m := _DOMAIN.match(text, at + 1, at + 256)):
+            if start < at and (m := _DOMAIN.match(text, at + 1)):
                 end = m.end()
                 out.append((start, end, "email", self.swap("email", text[start:end])))
             done, at = end, text.find("@", end)
         return out
 
+    def named_dates(self, text: str) -> list[tuple[int, int, str, str]]:
+        out = []
+        for m in DAY_FIRST.finditer(text):
+            if new := self.permuter.named_date(m["day"], m["mark"] or "", m["word"], m["year"]):
+                out.append((*m.span(), "date", f"{new[0]}{new[1]}{m['a']}{new[2]}{m['b']}{new[3]}"))
+        for m in MONTH_FIRST.finditer(text):
+            start = m.start()
+            while start and m.start() - start <= LONGEST_MONTH and text[start - 1].isalpha():
+                start -= 1
+            if new := self.permuter.named_date(m["day"], m["mark"] or "", text[start : m.start()], m["year"]):
+                out.append((start, m.end(), "date", f"{new[2]}{m['a']}{new[0]}{new[1]}{m['b']}{new[3]}"))
+        return out
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym), in order and without overlaps."""
         found = self.emails(text) if "@" in text else []
-        for m in NUMBER.finditer(text):
-            kind = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup
-            if new := self.swap(kind, m[0]):
-                found.append((*m.span(), kind, new))
+        at = 0
+        while m := NUMBER.search(text, at):
+            kind, whole, at = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup, m[0], m.end()
+            while not (new := self.swap(kind, whole)) and kind == "phone" and " " in whole:
+                # Another number may follow after a space; the scan goes on behind the part that passes.
+                whole = whole.rpartition(" ")[0]
+            if new:
+                at = m.start() + len(whole)
+                found.append((m.start(), at, kind, new))
+        found += self.named_dates(text)
+        if ":" in text:
+            found += [(*m.span(), "ip", new) for m in IPV6.finditer(text) if (new := self.swap("ipv6", m[0]))]
         at = 0
         while m := IBAN.search(text, at):
             # Upper-case words or another IBAN may follow after a space; the scan goes on behind the part that passes.
@@ -225,11 +322,13 @@ class Redactor:
         return "".join([*parts, text[end:]]) if parts else text, counts
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns, the text with its personal data replaced, and n_<kind> for each kind.
 
-    Null and empty texts stay as they are, with counts of 0; so do texts without personal data. Each
-    row is taken by itself. Columns that aren't carried don't reach the workers.
+    key: a secret; who has it can take pseudonyms back. Null and empty texts stay as they are, with counts
+    of 0; so do texts without personal data. Each row, repeated ones and those without an id too, is taken
+    by itself; an empty table gives an empty result. Texts of any length are read whole. Columns that
+    aren't carried don't reach the workers.
     """
 
     def make():

@@ -12,21 +12,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that a range holds, about; a range is ranked in one task.
-RANGE_ROWS = 20_000
+from .common import keep
+
+#: Rows that a range holds, about; a range is ranked in one task. Ranges of a block, whose counts are summed up in one task.
+RANGE_ROWS, BLOCK = 2_000, 1_000
+
+
+def starts(rows: DataFrame, groups: list[str], bucket: str) -> DataFrame:
+    """groups, bucket, `_before` (the rows of the group in lower buckets) and `_n` (all its rows).
+
+    Counts are summed up within blocks of buckets and then over blocks, so that no task sums up more than
+    BLOCK counts, or one for each block.
+    """
+    counts = rows.groupBy(*groups, bucket).agg(F.count("*").alias("_c")).withColumn("_block", F.floor(F.col(bucket) / BLOCK))
+    lower = lambda w: F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = counts.withColumn("_inside", lower(Window.partitionBy(*groups, "_block").orderBy(bucket)))
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    blocks = counts.groupBy(*groups, "_block").agg(F.sum("_c").alias("_c")).withColumn("_ahead", lower(whole.orderBy("_block"))).withColumn("_n", F.sum("_c").over(whole)).drop("_c")
+    return inside.join(blocks, [*groups, "_block"]).select(*groups, bucket, (F.col("_inside") + F.col("_ahead")).alias("_before"), "_n")
 
 
 def ranked(rows: DataFrame, groups: list[str], bucket: str, order: list, into: str) -> DataFrame:
-    """The place, from 0, of each row in its group by bucket and then order. Null groups are groups too."""
-    counts = rows.groupBy(*groups, bucket).count()
-    before = F.coalesce(F.sum("count").over(Window.partitionBy(*(groups or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*groups, bucket]]
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    starts = counts.withColumn("_before", before).drop("count")
+    """rows with the place, from 0, of each in its group by bucket and then order, and `_n`, the rows of the group. Groups and buckets aren't null."""
     within = F.row_number().over(Window.partitionBy(*groups, bucket).orderBy(*order)) - 1
-    return rows.withColumn("_within", within).alias("r").join(starts.alias("c"), on, "left").select("r.*", (F.col("_within") + F.col("_before")).cast("long").alias(into)).drop("_within")
+    placed = rows.withColumn("_within", within).join(starts(rows, groups, bucket), [*groups, bucket])
+    return placed.withColumn(into, (F.col("_within") + F.col("_before")).cast("long")).drop("_within", "_before")
 
 
 def interleave(docs: DataFrame, shards: int = 24, seed: int = 42, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -34,23 +44,24 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 42, source: str =
 
     size: UTF-8 bytes of the text plus 8; a null text has no bytes, and its crc32 is that of none, 0.
     Shards' row counts differ by one at most; with fewer rows than shards some stay empty. Rows without
-    a source are a source of their own. Rows alike in id, text and source change places freely; the
-    result is the same. An empty table gives no rows.
+    a source are a source of their own; rows without an id take their order from their text and place in
+    the input. Rows alike in id, text and source change places freely; the result is the same. An empty
+    table gives no rows. Texts of any length count by size and crc32 alone.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    rows = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(seed)))
-    total = docs.count()
+    unnamed = F.xxhash64("size", "text_crc32", F.monotonically_increasing_id(), F.lit(seed))
+    rows = rows.withColumn("_h", F.when(F.col("doc_id").isNull(), unnamed).otherwise(F.xxhash64("doc_id", F.lit(seed))))
+    # A few numbers for each row are written once; texts aren't read again.
+    rows = keep(rows.withColumn("_s", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))), "sizes")
+    total = rows.count()
     ranges = max(1, total // RANGE_ROWS)
 
-    rows = rows.withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(ranges)))
     order = ["_h", "doc_id", "text_crc32", "size"]
-    rows = ranked(rows, ["source"], "_b", order, "_rank")
-    sizes = rows.groupBy("source").count().withColumnRenamed("count", "_n")
-    rows = rows.alias("r").join(sizes.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select("r.*", "s._n")
+    rows = ranked(rows.withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(ranges))), ["_s"], "_b", order, "_rank")
 
     # The fractional rank is (rank + 1/2) / n; its range is exact in whole numbers.
-    rows = rows.withColumn("_f", (F.col("_rank") * 2 + 1) / (F.col("_n") * 2)).withColumn("_b", F.expr(f"((_rank * 2 + 1) * {ranges}) div (_n * 2)"))
+    rows = rows.withColumn("_f", (F.col("_rank") * 2 + 1) / (F.col("_n") * 2)).withColumn("_b", F.expr(f"((_rank * 2 + 1) * {ranges}) div (_n * 2)")).drop("_n")
     rows = ranked(rows, [], "_b", ["_f", "_h", *order[1:], "source"], "_place")
 
     shard = F.expr(f"_place * {shards} div {max(1, total)}")

@@ -36,7 +36,7 @@ SIMPLE = {
     "tokens": tokens.count_tokens,
     "language": language.identify,
     "sharding": sharding.interleave,
-    "pii": pii.pseudonymise,
+    "pii": lambda d: pii.pseudonymise(d, b"k"),
     "toxicity": lambda d: toxicity.score(d, toxicity.Model((), -3.0, tuple(toxicity.PRIOR))),
     "packing": packing.pack,
     "near": neardup.near_duplicates,
@@ -129,8 +129,8 @@ def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where(common.held_out()).collect()
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found) and all(0 <= r.score <= 1 for r in found)
-    odd = by_id(language.identify(table(spark, ["123 !!", None, "", "hello"]), language.train(docs)))
-    assert [odd[i][0].lang_pred for i in range(3)] == ["und"] * 3 and odd[3][0].lang_pred in ("en", "de", "fr", "es")
+    odd = by_id(language.identify(table(spark, ["123 !!", None, "", "² ½ Ⅷ 12 _", "hello"]), language.train(docs)))
+    assert [odd[i][0].lang_pred for i in range(4)] == ["und"] * 4 and odd[4][0].lang_pred in ("en", "de", "fr", "es")
 
 
 def test_sharding(spark):
@@ -160,7 +160,9 @@ def test_feistel():
     p = pii.Permuter(b"k")
     for size in (1, 2, 10, 97, 1000):
         assert sorted(p.number(i, size, "t") for i in range(size)) == list(range(size))
-    r = pii.Redactor()
+    for size in (2, 97, 10**9, 1 << 128, 1 << 2000):
+        assert all(p.number(p.number(v, size, "t"), size, "t", back=True) == v for v in (0, 1, size // 2, size - 1))
+    r = pii.Redactor(b"k")
     text = "a 4111 1111 1111 1111, 4111111111111111 on 29.02.1980 or 1980-02-29, 10.0.0.1, jo.3@mail.example.com, +1 (017) 555-7713, 123-45-6789, DE89 3704 0044 0532 0130 00 end"
     new, n = r.redact(text)
     assert n == {"email": 1, "ip": 1, "date": 2, "ssn": 1, "card": 2, "iban": 1, "phone": 1}
@@ -173,8 +175,49 @@ def test_feistel():
     assert r.redact(clean)[0] == clean
 
 
+@pytest.mark.parametrize("text, kind, n", [("иван@пример.рф and 王伟@例子.公司 and ab'c@x.com", "email", 3), ("x" * 200 + "@" + "long" * 80 + ".example.com", "email", 1), ("2020-03-04T12:00:00Z, 4 March 2020, March 4th, 2020, 4. März 2020, 4 de marzo de 2020, 4 mars 2020", "date", 6), ("fe80::1 and 2001:db8:85a3:0:0:8a2e:370:7334", "ip", 2), ("030 1234567, (030) 1234567, +49 30 1234567, +49301234567 +49 30 1234567 030 1234567", "phone", 6)])
+def test_pii_in_all_layouts(text, kind, n):
+    new, counts = pii.Redactor(b"k").redact(text)
+    assert counts == dict.fromkeys(pii.KINDS, 0) | {kind: n}
+    old, made = (set(re.findall(r"\w{2,}", t.lower())) for t in (text, new))
+    assert (old & made) <= {"рф", "公司", "com", "and", "de", "49", "t12", "00", "00z", "04t12", "march", "mars", "marzo", "märz"}
+
+
+def test_equal_values_stay_linked():
+    r = pii.Redactor(b"k")
+    swap = lambda t: r.redact(t)[0]
+    digits = lambda t: re.sub(r"\D", "", swap(t))
+    assert len({digits(t)[-10:] for t in ("+15551234567", "+1 (555) 123-4567", "(555) 123-4567", "555.123.4567")}) == 1
+    assert digits("030 1234567")[1:] == digits("+49 30 1234567")[2:]
+    assert swap("Jo.Do@Mail.example.com").lower() == swap("jo.do@mail.example.com")
+    day = pii.Permuter(b"k").day(2020, 3, 4)
+    months = [n.capitalize() for n in pii.MONTHS[0]]
+    assert swap("4 March 2020") == f"{day.day} {months[day.month - 1]} {day.year}" and swap("2020-03-04") == day.isoformat()
+    # Different values stay different, and another key gives other pseudonyms.
+    assert len({swap(f"a{i}@x.example.com") for i in range(2000)}) == 2000 and pii.Redactor(b"other").redact("jo@x.com") != r.redact("jo@x.com")
+    clean = "12:30:45 std::string a::b, 12 apples 2020 and march 2020, In May 2020, 01/02 0049, room 030 12, x @ y"
+    assert r.redact(clean) == (clean, dict.fromkeys(pii.KINDS, 0))
+
+
+def test_pii_against_brute_force(spark):
+    r, rnd = pii.Redactor(b"k"), random.Random(6)
+    made = ["jo{}@mail{}.example.com", "10.{}.{}.7", "19{}-0{}-11", "DE89 3704 0044 0532 0130 00"]
+    texts, wanted = [], []
+    for _ in range(200):
+        parts = []
+        for _ in range(rnd.randint(0, 6)):
+            plain = " ".join(rnd.choices(["alpha", "beta.", "gamma,", "12", "x-1"], k=rnd.randint(1, 5)))
+            value = rnd.choice(made).format(rnd.randint(10, 99), rnd.randint(1, 9))
+            kind = "email" if "@" in value else "ip" if value.startswith("10.") else "iban" if value.startswith("DE") else "date"
+            parts += [(plain, plain), (value, getattr(r.permuter, kind)(value))]
+        texts.append("; ".join(p for p, _ in parts))
+        wanted.append("; ".join(p for _, p in parts))
+    out = by_id(pii.pseudonymise(table(spark, texts), b"k"))
+    assert [out[i][0].text for i in range(len(texts))] == wanted
+
+
 def test_pii_keeps_the_rest(spark):
-    out = by_id(pii.pseudonymise(table(spark)))
+    out = by_id(pii.pseudonymise(table(spark), b"k"))
     assert [out[i][0].text for i in range(len(TEXTS))] == TEXTS
 
 

@@ -94,7 +94,7 @@ def test_short_and_unspaced_items(spark):
 def test_every_iban_of_a_spaced_list():
     one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
     for text in (f"{one} {two}", f"{two} {one} {two} END", f"AB12 {one} {two}", f"AB12 CDEF GHIJ KLMN {two}"):
-        new, n = pii.Redactor().redact(text)
+        new, n = pii.Redactor(b"k").redact(text)
         assert n["iban"] == text.count(one) + text.count(two) and one not in new and two not in new
 
 
