@@ -2,9 +2,10 @@
 
 Every rule turns text statistics into a vote: good (1), bad (-1) or abstain (0). Expectation
 maximisation over the counted vote patterns estimates how accurate each rule is, without labels; a
-document is kept if its posterior probability of being good is high enough. Statistics, votes and
-posteriors are SQL expressions; the driver sees only the counts of distinct vote patterns, of which
-there are at most 3 ** len(RULES).
+document is kept if it is more probably good than bad, so that one bad vote of a weak rule can be
+outweighed. Each kind of bad text is looked at by two or three rules, as two classes are told apart by
+votes that go together. Statistics, votes and posteriors are SQL expressions; the driver sees only the
+counts of distinct vote patterns, of which there are at most 3 ** len(RULES).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,14 @@ from .common import keep, let, words
 
 #: Fixed values of the base rule and of the statistics.
 SYMBOLS, WINDOW, LEAST_WORDS, MOST_REPEAT_PERCENT = "#*$%&|<>", 8, 20, 30
-#: Least posterior of a document that is kept, and what is asked of the rules (see fit).
-KEEP = 0.8
-MOST_FALSE, LEAST_TRUE, MOST_TRUE, MOST_LIFT = 0.005, 0.15, 0.35, 1.2
+#: Least posterior of a document that is kept.
+KEEP = 0.5
+#: What is assumed before any document is seen: P(good), and for every rule that votes P(bad vote | good) and P(bad vote | bad).
+PRIOR, GOOD, BAD = 0.85, 0.02, 0.40
+#: That assumption counts as so many documents; with many more the estimates are the documents' own.
+PRIOR_DOCS = 5.0
+#: Rounds of expectation maximisation at most, and the change at which it ends.
+ROUNDS, SETTLED = 1_000, 1e-9
 
 
 def repeated_words(h: Column) -> Column:
@@ -55,7 +62,11 @@ def found(text: Column, chars: str) -> Column:
 
 
 def statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document with the counts that rules read. A null text has no words and counts of 0."""
+    """One row per document with the counts that rules read.
+
+    A null or empty text has no words and counts of 0. Each row, repeated ones and those without an id too,
+    is counted by itself; an empty table gives an empty result. Texts of any length are counted whole.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
     # Lines with a word keep their place in front; a line without one is dropped.
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -70,7 +81,12 @@ def statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
             (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
             repeated_words(F.col("_h")).alias("n_repeat_words"),
             F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
-            found(F.col("_t"), ".!?").alias("n_stops"),
+            found(F.col("_t"), ".?").alias("n_ends"),
+            found(F.col("_t"), "!").alias("n_exclaims"),
+            F.length(F.regexp_replace("_t", r"\P{L}+", "")).cast("long").alias("n_letters"),
+            F.length(F.regexp_replace("_t", r"\P{Lu}+", "")).cast("long").alias("n_capitals"),
+            F.size(F.filter("_w", lambda x: F.length(x) == 1)).cast("long").alias("n_single"),
+            F.size(F.filter("_w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_lettered"),
             found(F.col("_t"), "0123456789").alias("n_digits"),
             F.size("_l").cast("long").alias("n_lines"),
         )
@@ -88,62 +104,64 @@ class Rule:
 
 RULES = (
     Rule("length", "n_words < 20", "n_words >= 50"),
-    Rule("symbols", "n_symbols > 0.10 * n_words"),
-    Rule("repeats", "n_repeat_words > 0.30 * n_words"),
-    Rule("duplicate_lines", "n_dup_lines > 0.50 * n_lines"),
-    Rule("variety", "n_words >= 30 and n_distinct < 0.20 * least(n_words, 400)", "n_words >= 30 and n_distinct > 0.35 * least(n_words, 400)"),
-    Rule("word_length", "word_chars < 2 * n_words or word_chars > 14 * n_words"),
-    Rule("sentences", "n_words >= 60 and n_stops * 200 < n_words", "n_stops * 60 >= n_words"),
-    Rule("digits", "n_digits > 0.25 * word_chars"),
+    Rule("symbols", "n_symbols > 0.10 * n_words", "n_symbols < 0.02 * n_words"),
+    Rule("letters", "n_letters < 0.88 * word_chars", "n_letters > 0.92 * word_chars"),
+    Rule("lettered_words", "n_lettered < 0.80 * n_words", "n_lettered > 0.95 * n_words"),
+    Rule("single_characters", "n_single > 0.30 * n_words", "n_single < 0.15 * n_words"),
+    Rule("word_length", "word_chars < 2.5 * n_words or word_chars > 6.8 * n_words", "word_chars > 3 * n_words and word_chars < 6.5 * n_words"),
+    Rule("capitals", "n_capitals > 0.30 * n_letters", "n_capitals < 0.10 * n_letters"),
+    Rule("exclaims", "n_exclaims > 0.10 * n_words", "n_exclaims < 0.02 * n_words"),
+    Rule("variety", "n_words >= 30 and n_distinct < 0.25 * least(n_words, 400)", "n_words >= 30 and n_distinct > 0.40 * least(n_words, 400)"),
+    Rule("repeats", "n_repeat_words > 0.30 * n_words", "n_words >= 30 and n_repeat_words < 0.10 * n_words"),
+    Rule("duplicate_lines", "n_dup_lines > 0.30 * n_lines", "n_lines >= 4 and n_dup_lines = 0"),
+    Rule("sentences", "n_words >= 60 and n_ends * 60 < n_words", "n_words >= 60 and n_ends * 25 >= n_words"),
+    Rule("digits", "n_digits > 0.25 * word_chars", "n_digits < 0.05 * word_chars"),
 )
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """P(good), and for each rule P(vote | good) and P(vote | bad), votes in the order -1, 0, 1."""
+    """P(good), and for each rule P(bad vote | good) and P(bad vote | bad) where it votes. Abstaining says nothing: rules abstain on what they can't judge, mostly short texts."""
 
     prior: float
-    good: tuple[tuple[float, float, float], ...]
-    bad: tuple[tuple[float, float, float], ...]
+    good: tuple[float, ...]
+    bad: tuple[float, ...]
+
+    def accuracies(self) -> tuple[float, ...]:
+        """For each rule the share of its votes that are right."""
+        return tuple(self.prior * (1 - g) + (1 - self.prior) * b for g, b in zip(self.good, self.bad, strict=True))
 
     def log_odds(self, names: list[str]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, g, b in zip(names, self.good, self.bad, strict=True):
-            lo, mid, hi = (math.log(x / y) for x, y in zip(g, b, strict=True))
-            total = total + F.when(F.col(name) < 0, lo).when(F.col(name) > 0, hi).otherwise(mid)
+            total = total + F.when(F.col(name) < 0, math.log(g / b)).when(F.col(name) > 0, math.log((1 - g) / (1 - b))).otherwise(0.0)
         return total
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 60, prior: float = 0.85) -> LabelModel:
-    """Expectation maximisation over (votes, count) patterns; without patterns the start.
+def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, prior: float = PRIOR) -> LabelModel:
+    """Expectation maximisation over (votes, count) patterns; without patterns the assumption stays.
 
-    A bad document mostly fails one rule and passes the others, which two classes with independent votes
-    can't tell apart from noise: left alone, one frequent kind of bad documents becomes the bad class and
-    the rest count as good. So each estimate is held to what is asked of a rule as a specialist: it votes
-    bad on at most MOST_FALSE of good documents, on LEAST_TRUE to MOST_TRUE of bad ones, and its good
-    votes are at most MOST_LIFT times as likely on good documents as on bad ones.
+    It begins with every rule being trusted alike, that is from how far the rules agree, and estimates
+    P(good) and how often each rule votes bad in either class, the assumption counting as PRIOR_DOCS
+    documents. The class with the fewer bad votes is the good one.
     """
-    good, bad = [(MOST_FALSE / 2, 0.2, 0.8 - MOST_FALSE / 2)] * rules, [(0.3, 0.1, 0.6)] * rules
-    for _ in range(rounds if patterns else 0):
-        sums = {c: [[0.01, 0.01, 0.01] for _ in range(rules)] for c in (0, 1)}
-        mass = {0: 1.0, 1: 1.0}
-        for votes, n in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(good[j][v + 1] / bad[j][v + 1]) for j, v in enumerate(votes))
-            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-            for c, share in ((1, p * n), (0, (1 - p) * n)):
-                mass[c] += share
-                for j, v in enumerate(votes):
-                    sums[c][j][v + 1] += share
-        prior = min(0.95, max(0.5, mass[1] / (mass[0] + mass[1])))
-        good, bad = [], []
-        for g, b in zip(sums[1], sums[0], strict=True):
-            g, b = [x / sum(g) for x in g], [x / sum(b) for x in b]
-            low = min(g[0], MOST_FALSE)
-            good.append((low, g[1] * (1 - low) / (g[1] + g[2]), g[2] * (1 - low) / (g[1] + g[2])))
-            low = min(MOST_TRUE, max(b[0], LEAST_TRUE))
-            high = min(max(b[2] * (1 - low) / (b[1] + b[2]), good[-1][2] / MOST_LIFT), 0.999 - low)
-            bad.append((low, 1 - low - high, high))
-    return LabelModel(prior, tuple(good), tuple(bad))
+    good, bad = np.full(rules, GOOD), np.full(rules, BAD)
+    if patterns:
+        votes, n = np.array([v for v, _ in patterns]), np.array([c for _, c in patterns], float)
+        no, yes = (votes < 0).astype(float), (votes > 0).astype(float)
+        first, last = prior, None
+        for _ in range(ROUNDS):
+            odds = np.log(prior / (1 - prior)) + no @ np.log(good / bad) + yes @ np.log((1 - good) / (1 - bad))
+            p = n / (1 + np.exp(-np.clip(odds, -500, 500)))
+            prior = (p.sum() + PRIOR_DOCS * first) / (n.sum() + PRIOR_DOCS)
+            good, bad = ((m @ no + PRIOR_DOCS * start) / (m @ (no + yes) + PRIOR_DOCS) for m, start in ((p, GOOD), (n - p, BAD)))
+            now = np.concatenate([[prior], good, bad])
+            if last is not None and np.abs(now - last).max() < SETTLED:
+                break
+            last = now
+        if good.sum() > bad.sum():
+            prior, good, bad = 1 - prior, bad, good
+    return LabelModel(float(prior), tuple(good.tolist()), tuple(bad.tolist()))
 
 
 def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -154,7 +172,8 @@ def score(stats: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = KEEP
     """The statistics with votes, p_good, base_failed and kept.
 
     stats, a few numbers per document, is written to the shared folder first, as it is read for the
-    patterns and for the result.
+    patterns and for the result. Documents with the same votes get the same posterior; an empty table
+    gives an empty result.
     """
     voted = votes(keep(stats, "quality"), rules)
     names = [f"vote_{r.name}" for r in rules]

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,17 +100,75 @@ def test_quality_statistics(spark):
         assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == brute_quality(t), t
 
 
-def test_label_model_finds_specialists():
-    r = random.Random(5)
-    rows = collections.Counter()
-    for _ in range(4000):
-        bad = r.random() < 0.1
-        hit = r.randrange(3) if bad else -1
-        rows[tuple(-1 if j == hit or r.random() < 0.002 else r.choice([0, 1, 1]) for j in range(3))] += 1
-    m = quality.fit(list(rows.items()), 3)
-    odds = lambda v: m.prior / (1 - m.prior) * __import__("math").prod(m.good[j][x + 1] / m.bad[j][x + 1] for j, x in enumerate(v))
-    assert odds((1, 1, 1)) > 4 and all(odds(tuple(-1 if j == k else 1 for j in range(3))) < 4 for k in range(3))
-    assert quality.fit([], 3).prior == 0.85
+def planted_votes(n, seed=5):
+    """Votes of rules of known accuracy, and each document's class (1 good); rules abstain now and then."""
+    rng = np.random.default_rng(seed)
+    good, bad, voting = np.array([0.02, 0.05, 0.10, 0.01, 0.20]), np.array([0.70, 0.50, 0.60, 0.40, 0.55]), np.array([1.0, 0.8, 0.9, 1.0, 0.7])
+    label = (rng.random(n) < 0.8).astype(int)
+    says_bad = rng.random((n, 5)) < np.where(label[:, None] == 1, good, bad)
+    return np.where(rng.random((n, 5)) < voting, np.where(says_bad, -1, 1), 0), label, good, bad
+
+
+def brute_em(votes, prior=quality.PRIOR):
+    """The same estimates document by document, in plain loops over probabilities."""
+    rules = votes.shape[1]
+    good, bad, start = [quality.GOOD] * rules, [quality.BAD] * rules, prior
+    for _ in range(400):
+        p = []
+        for v in votes.tolist():
+            a, b = prior, 1 - prior
+            for j, x in enumerate(v):
+                if x:
+                    a, b = a * (good[j] if x < 0 else 1 - good[j]), b * (bad[j] if x < 0 else 1 - bad[j])
+            p.append(a / (a + b))
+        prior = (sum(p) + quality.PRIOR_DOCS * start) / (len(p) + quality.PRIOR_DOCS)
+        for side, first, weight in ((good, quality.GOOD, p), (bad, quality.BAD, [1 - x for x in p])):
+            for j in range(rules):
+                voted = sum(w for w, v in zip(weight, votes[:, j], strict=True) if v)
+                no = sum(w for w, v in zip(weight, votes[:, j], strict=True) if v < 0)
+                side[j] = (no + quality.PRIOR_DOCS * first) / (voted + quality.PRIOR_DOCS)
+    return prior, good, bad
+
+
+def counted(votes):
+    return list(collections.Counter(map(tuple, votes.tolist())).items())
+
+
+def test_label_model_finds_planted_accuracies():
+    votes, label, good, bad = planted_votes(40_000)
+    m = quality.fit(counted(votes), 5)
+    assert abs(m.prior - 0.8) < 0.02 and np.abs(np.array(m.good) - good).max() < 0.02 and np.abs(np.array(m.bad) - bad).max() < 0.03
+    right = (np.where(label[:, None] == 1, votes > 0, votes < 0).sum(axis=0) / (votes != 0).sum(axis=0)).tolist()
+    assert np.allclose(m.accuracies(), right, atol=0.01)
+    assert quality.fit([], 3) == quality.LabelModel(quality.PRIOR, (quality.GOOD,) * 3, (quality.BAD,) * 3)
+
+
+def test_label_model_equals_brute_force():
+    votes, *_ = planted_votes(300, seed=8)
+    m, (prior, good, bad) = quality.fit(counted(votes), 5), brute_em(votes)
+    assert abs(m.prior - prior) < 1e-5 and np.allclose(m.good, good, atol=1e-5) and np.allclose(m.bad, bad, atol=1e-5)
+
+
+def test_bad_votes_are_weighed(spark):
+    """One bad vote of the weakest rule is outweighed, one of a strong rule without others' good votes isn't."""
+    votes, *_ = planted_votes(40_000)
+    m = quality.fit(counted(votes), 5)
+    names = [f"v{j}" for j in range(5)]
+    rows = spark.createDataFrame([(1, 1, 1, 1, -1), (-1, 0, 0, 0, 0), (0, 0, 0, 0, 0), (-1, -1, 1, 1, 1)], names)
+    assert [r.o > 0 for r in rows.select(m.log_odds(names).alias("o")).collect()] == [True, False, True, False]
+
+
+def test_quality_agrees_with_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.score(quality.statistics(docs)).join(labels, "doc_id").where("not base_failed").collect()
+    good, bad = ([r.kept for r in found if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
+    # The verdict against the brute-force label model over the same votes.
+    votes = np.array([[r[f"vote_{x.name}"] for x in quality.RULES] for r in quality.votes(quality.statistics(docs)).collect()])
+    prior, g, b = brute_em(votes)
+    for r in found:
+        odds = np.log(prior / (1 - prior)) + sum(np.log(g[j] / b[j]) if r[f"vote_{x.name}"] < 0 else np.log((1 - g[j]) / (1 - b[j])) for j, x in enumerate(quality.RULES) if r[f"vote_{x.name}"])
+        assert abs(1 / (1 + np.exp(-odds)) - r.p_good) < 1e-3
 
 
 def test_tokens_equal_the_library(spark):
