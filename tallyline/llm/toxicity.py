@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to classes (insult, threat, target, negation, reporting verb). Five small
-transducers read the classes: insult and threat note what a clause says, target notes whom, negation
-and reported speech note in which scope. Their composition is one automaton over clauses; at a
-clause's end it emits the kind of clause that matched, if any. A document's score is a logistic
-function of its matched clauses, so that a listed word weighs by the clause it stands in.
+Words and marks are mapped to classes (insult, threat, target, negation, reporting verb, quotation mark,
+pause, end). Small transducers read the classes: negation and reported speech say in which scope a word
+stands, insult and threat note what a clause says in it, target notes whom. Quotation holds what a
+quoted passage says until a reporting verb before or behind it tells whose words they are. Their
+composition is one transducer over clauses, made state by state as texts need it; it emits the kind of
+each clause that matched. A document's score is a logistic function of its matched clauses, so that a
+listed word weighs by the clause it stands in.
 
 The stems of insults and the weights of clause kinds are learned from labelled documents that aren't
 held out; threats, targets, negations and reporting verbs are given below. A stem stands for every
@@ -13,133 +15,204 @@ word that begins with it, so that an inflected form needn't have been seen.
 
 from __future__ import annotations
 
-import itertools
+import functools
 import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, keep, map_text, small, words
+from .common import held_out, keep, map_text, small
 
-#: Labelled documents that stems and weights are fitted on, about; stems learned at most; their lengths (a longer word counts by its beginning).
-SAMPLE_DOCS, LEXICON = 8_000, 400
-SHORTEST, LONGEST = 3, 12
+#: Labelled documents that stems and weights are fitted on, about; lengths of stems (a word of any length matches by its beginning).
+SAMPLE_DOCS = 8_000
+SHORTEST, LONGEST = 3, 32
 #: A stem is learned if it is in so many different toxic texts and in this share of them (near copies counting once), and its log-odds reach this.
 LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 4, 0.03, 3.5
 #: A stem gives way to a longer one that has this share of its toxic texts.
 SAME_STEM = 0.95
 THRESHOLD = 0.3
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
+OTHER, INSULT, THREAT, TARGET, OBJECT, OWNER, NEGATION, REPORT, SOFT, QUOTE, PAUSE, END, BREAK = range(13)
 WORDS = {
     INSULT: "idiot idiots moron morons stupid dumb loser losers scum trash worthless pathetic disgusting imbecile dumbass bastard vermin dummkopf arschloch abschaum imbécile connard ordure crétin estúpido imbécil basura escoria",
     THREAT: "kill hurt destroy murder strangle stab shoot töten umbringen verprügeln tuer frapper égorger matar golpear destruir",
-    TARGET: "you your yours yourself u he she they them him her these those du dich dir ihr euch sie tu toi te vous ils elles tú ti usted ustedes ellos ellas",
-    NEGATION: "not never isn't aren't wasn't don't doesn't nobody nicht kein keine nie niemals jamais aucun nunca jamás tampoco",
-    REPORT: "said says told called wrote claimed quoted reported sagte schrieb nannte behauptete dit disait écrivait appelait dijo escribió llamó afirmó",
+    TARGET: "you yourself u he she they him her them these those du ihr sie tu toi vous ils elles tú ti usted ustedes ellos ellas",
+    OBJECT: "dich dir euch ihn te",
+    OWNER: "your yours dein deine euer eure votre tes vuestro tus",
+    NEGATION: "not never isn't aren't wasn't don't doesn't didn't won't nobody nicht kein keine nie niemals jamais aucun nunca jamás tampoco",
+    REPORT: "said says told called wrote writes claimed quoted reported shouted sagte schrieb nannte behauptete dit disait écrivait appelait dijo escribió llamó afirmó",
+    SOFT: "kindness laughter laughing tickles freundlichkeit gentillesse amabilidad",
+    QUOTE: '" “ ” „ « »',
+    PAUSE: ", :",
+    END: ". ! ? ;",
 }
-#: Words that a negation or a reporting verb reaches.
-SCOPE = 4
+#: Words that a negation or a reporting verb reaches, and those between a threat and whom it is for.
+SCOPE, NEAR = 4, 2
 #: Kinds of clauses, and the weights before any document is seen.
 CLAUSES = ("plain", "targeted", "negated", "reported", "threat")
 PRIOR = np.array([3.0, 3.5, 1.0, 1.0, 2.5])
 PRIOR_VARIANCE = 4.0
-#: Of each kind no more clauses than this are counted in one document.
-MOST = 3
 
-_TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:,\n]")
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+_TOKEN = re.compile(_WORD.pattern + r'|[.!?;:,\n"“”„«»]')
 
+#: Of two mentions the stronger one counts, and of two clauses within one quotation.
+MODES = {None: 0, "negated": 1, "reported": 2, "plain": 3}
+KINDS = {None: 0, "negated": 1, "reported": 2, "threat": 3, "plain": 4, "targeted": 5}
 
-@dataclass(frozen=True)
-class Transducer:
-    """states, the start, step(state, class) -> state; each is reset at a clause's end."""
 
-    states: tuple
-    start: object
-    step: object
+def countdown(left: int, on: bool, reach: int) -> int:
+    """How many more words a scope reaches: a word that opens it sets it, others use it up."""
+    return reach if on else max(0, left - 1)
 
 
-def countdown(trigger: int) -> Transducer:
-    return Transducer(tuple(range(SCOPE + 1)), 0, lambda s, c: SCOPE if c == trigger else max(0, s - 1))
+class Negation(NamedTuple):
+    """Reaches SCOPE words, to the clause's end at most."""
 
+    left: int = 0
 
-def seen(trigger: int) -> Transducer:
-    return Transducer((False, True), False, lambda s, c: s or c == trigger)
+    def word(self, c: int) -> Negation:
+        return Negation(countdown(self.left, c == NEGATION, SCOPE))
 
 
-def compose() -> tuple[np.ndarray, np.ndarray]:
-    """(next[state, class], emit[state]) of the product of the five transducers, state 0 being the start.
+class Reporting(NamedTuple):
+    """A reporting verb reaches SCOPE words; a pause right behind it, as before direct speech, makes it reach to the sentence's end."""
 
-    A clause remembers its strongest mention: plain over reported over negated. emit is the clause kind
-    at the clause's end, -1 for none.
-    """
-    negation, report, target = countdown(NEGATION), countdown(REPORT), seen(TARGET)
-    rank = {None: 0, "negated": 1, "reported": 2, "plain": 3}
-    start = (negation.start, report.start, target.start, None, None)
-
-    def step(state, c):
-        n, r, t, insult, threat = state
-        mode = "negated" if n else "reported" if r else "plain"
-        if c == INSULT:
-            insult = max(insult, mode, key=rank.get)
+    left: int = 0
+    held: bool = False
+
+    def word(self, c: int) -> Reporting:
+        return Reporting(countdown(self.left, c == REPORT, SCOPE), self.held)
+
+    def pause(self) -> Reporting:
+        return Reporting(0, self.held or self.left >= SCOPE - NEAR)
+
+    def on(self) -> bool:
+        return self.held or self.left > 0
+
+
+class Insult(NamedTuple):
+    """The strongest mention of the clause and whether the clause names a target."""
+
+    mode: str | None = None
+    target: bool = False
+
+    def word(self, c: int, mode: str) -> Insult:
+        return Insult(max(self.mode, mode, key=MODES.get) if c == INSULT else self.mode, self.target or c in (TARGET, OBJECT, OWNER))
+
+
+class Threat(NamedTuple):
+    """A threat counts if whom it is for stands right behind the verb, or as an object right before it; a softening word takes it back."""
+
+    mode: str | None = None
+    armed: str | None = None
+    left: int = 0
+    object_left: int = 0
+
+    def word(self, c: int, mode: str) -> Threat:
+        if c == SOFT:
+            return Threat()
+        before = countdown(self.object_left, c == OBJECT, NEAR + 1)
         if c == THREAT:
-            threat = max(threat, mode, key=rank.get)
-        return negation.step(n, c), report.step(r, c), target.step(t, c), insult, threat
-
-    def emit(state):
-        _, _, t, insult, threat = state
-        if insult == "plain":
-            return CLAUSES.index("targeted" if t else "plain")
-        if threat == "plain" and t:
-            return CLAUSES.index("threat")
-        return CLAUSES.index(insult) if insult else -1
-
-    number, table = {start: 0}, []
-    for state in (queue := [start]):
-        row = []
-        for c in range(END):
-            new = step(state, c)
-            if new not in number:
-                number[new] = len(number)
-                queue.append(new)
-            row.append(number[new])
-        table.append([*row, 0])
-    return np.array(table, np.int32), np.array([emit(s) for s in queue], np.int8)
+            return Threat(max(self.mode, mode, key=MODES.get), None, 0, before) if self.object_left else Threat(self.mode, mode, NEAR, before)
+        if self.armed and c in (TARGET, OBJECT):
+            return Threat(max(self.mode, self.armed, key=MODES.get), None, 0, before)
+        left = max(0, self.left - 1)
+        return Threat(self.mode, self.armed if left else None, left, before)
+
+
+class Quotation(NamedTuple):
+    """place: out, own (a quotation without a reporting verb before it), reported, or behind (an own one, for SCOPE words). pending: the strongest clause of an own one."""
+
+    place: str = "out"
+    pending: str | None = None
+    left: int = 0
+
+
+class State(NamedTuple):
+    negation: Negation = Negation()
+    reporting: Reporting = Reporting()
+    insult: Insult = Insult()
+    threat: Threat = Threat()
+    quotation: Quotation = Quotation()
+
+    def clause(self) -> str | None:
+        """The kind of the clause so far."""
+        if self.insult.mode == "plain":
+            return "targeted" if self.insult.target else "plain"
+        if self.threat.mode == "plain":
+            return "threat"
+        return max(self.insult.mode, self.threat.mode, key=MODES.get)
+
+
+def strongest(a: str | None, b: str | None) -> str | None:
+    return max(a, b, key=KINDS.get)
+
+
+@functools.lru_cache(maxsize=200_000)
+def step(state: State, c: int) -> tuple[State, str | None]:
+    """The composition's next state and the kind of clause that it emits, if any."""
+    q, rest = state.quotation, State()
+    if c == BREAK:
+        return rest, strongest(q.pending, state.clause())
+    if c == QUOTE:
+        said = state.clause()
+        if q.place == "own":
+            # What was quoted waits for a reporting verb behind it.
+            pending = strongest(q.pending, said)
+            return rest._replace(quotation=Quotation("behind", pending, SCOPE) if pending else Quotation()), None
+        if q.place == "reported":
+            return rest, said
+        return rest._replace(quotation=Quotation("reported" if state.reporting.on() else "own")), strongest(q.pending, said)
+    if c in (PAUSE, END):
+        kept = rest._replace(reporting=state.reporting.pause() if c == PAUSE else Reporting(), quotation=q)
+        if q.place == "own":
+            return kept._replace(quotation=q._replace(pending=strongest(q.pending, state.clause()))), None
+        if q.place == "behind":
+            return (state, None) if c == PAUSE else (rest, strongest(q.pending, state.clause()))
+        return kept, state.clause()
+    said = None
+    if q.place == "behind":
+        if c == REPORT:
+            said, q = ("reported" if q.pending != "negated" else "negated"), Quotation()
+        else:
+            q = q._replace(left=q.left - 1)
+            if not q.left:
+                said, q = q.pending, Quotation()
+    mode = "negated" if state.negation.left else "reported" if state.reporting.on() or q.place == "reported" else "plain"
+    return State(state.negation.word(c), state.reporting.word(c), state.insult.word(c, mode), state.threat.word(c, mode), q), said
 
 
 class Grammar:
     """insults: stems, of SHORTEST characters at least."""
 
     def __init__(self, insults: list[str]):
-        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | dict.fromkeys(".!?;:,\n", END)
+        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | {"\n": BREAK}
         self.hot = frozenset(w for w, c in self.classes.items() if c in (INSULT, THREAT))
         self.stems: dict[str, tuple[str, ...]] = {}
         for stem in insults:
             self.stems[stem[:SHORTEST]] = (*self.stems.get(stem[:SHORTEST], ()), stem)
-        table, emit = compose()
-        self.next, self.emit = table.tolist(), emit.tolist()
 
     def clauses(self, text: str | None) -> list[int]:
         """How many clauses of each kind the text has."""
-        found = [0] * len(CLAUSES)
+        found = dict.fromkeys(CLAUSES, 0)
         if not text:
-            return found
-        low = text.lower()
+            return [*found.values()]
+        low = text.lower().replace("’", "'")
         seen = set(_WORD.findall(low))
         stemmed = {w for w in seen if w[:SHORTEST] in self.stems and w.startswith(self.stems[w[:SHORTEST]])}
         if not stemmed and self.hot.isdisjoint(seen):
-            return found
-        state, get = 0, self.classes.get
-        for token in itertools.chain(_TOKEN.findall(low), "\n"):
-            c = INSULT if token in stemmed else get(token, OTHER)
-            if c == END and (kind := self.emit[state]) >= 0:
+            return [*found.values()]
+        state, get = State(), self.classes.get
+        for token in (*_TOKEN.findall(low), "\n"):
+            state, kind = step(state, INSULT if token in stemmed else get(token, OTHER))
+            if kind:
                 found[kind] += 1
-            state = self.next[state][c]
-        return found
+        return [*found.values()]
 
 
 @dataclass(frozen=True)
@@ -171,7 +244,8 @@ def learn_insults(rows: DataFrame, text: str) -> list[str]:
     often = keep(texts_of(1).groupBy("stem").agg(F.countDistinct("sig").alias("n1")).where(F.col("n1") >= max(LEAST_TEXTS, LEAST_SHARE * bad)), "stems")
     others = texts_of(0).join(small(often.select("stem"), often.count()), "stem").groupBy("stem").agg(F.countDistinct("sig").alias("n0"))
     odds = F.log((F.col("n1") + 0.5) / (bad + 1)) - F.log((F.coalesce("n0", F.lit(0)) + 0.5) / (good + 1))
-    top = often.join(others, "stem", "left").where(odds >= LEAST_LOG_ODDS).orderBy(F.desc("n1"), "stem").limit(LEXICON * LONGEST).collect()
+    # Each is in LEAST_SHARE of the sample's toxic texts, so they are no more than a text's beginnings of words over that share.
+    top = often.join(others, "stem", "left").where(odds >= LEAST_LOG_ODDS).select("stem", "n1").collect()
     return chosen_stems({r.stem: r.n1 for r in top})
 
 
@@ -184,15 +258,15 @@ def chosen_stems(texts: dict[str, int]) -> list[str]:
     for stem in sorted((s for s, n in texts.items() if longer.get(s, 0) < SAME_STEM * n), key=lambda s: (len(s), s)):
         if not stem.startswith(tuple(left)):
             left.append(stem)
-    return sorted(left, key=lambda s: (-texts[s], s))[:LEXICON]
+    return sorted(left, key=lambda s: (-texts[s], s))
 
 
 def fit(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[float, tuple[float, ...]]:
-    """Logistic regression over (clause counts, label, documents) with the prior weights as the mean of a normal prior; bias first."""
+    """Logistic regression over (clause counts, label, documents), counts by log2(1 + n), with the prior weights as the mean of a normal prior; bias first."""
     mean = np.concatenate([[-3.0], PRIOR])
     if not rows:
         return float(mean[0]), tuple(PRIOR)
-    x = np.array([[1.0, *(min(MOST, c) for c in r[0])] for r in rows])
+    x = np.array([[1.0, *np.log2(1.0 + np.array(r[0]))] for r in rows])
     y, n = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
     w = mean.copy()
     for _ in range(60):
@@ -206,15 +280,14 @@ def fit(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[float, tuple[floa
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """The driver gets stems (at most LEXICON * LONGEST) and counts of distinct clause patterns (at most (MOST + 1) ** len(CLAUSES) each).
+    """The driver gets stems and the counts of distinct clause patterns, which are no more than the sample's documents.
 
     The sample is written to the shared folder once, so that the documents are read once.
     """
     rows = keep(learning_rows(docs, labels, sample_docs, doc_id, text, label), "sample")
     insults = tuple(learn_insults(rows, text))
     found = clauses(rows, insults, text, ("toxic",))
-    cols = [F.least(F.col(f"n_{k}"), F.lit(MOST)).alias(f"n_{k}") for k in CLAUSES]
-    patterns = found.select("toxic", *cols).groupBy("toxic", *(f"n_{k}" for k in CLAUSES)).count().collect()
+    patterns = found.groupBy("toxic", *(f"n_{k}" for k in CLAUSES)).count().collect()
     return Model(insults, *fit([(tuple(r[1:-1]), int(r.toxic), r[-1]) for r in patterns]))
 
 
@@ -231,11 +304,12 @@ def clauses(docs: DataFrame, insults: tuple[str, ...], text: str = "text", carry
 def score(docs: DataFrame, model: Model, text: str = "text", carry: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """The carried columns, score (0 to 1) and predicted (1 if score >= threshold).
 
-    A null or empty text matches no clause and gets the score of such documents. Each row stands for
-    itself; an empty table gives an empty result.
+    A null or empty text matches no clause and gets the score of such documents. Each row, repeated ones
+    and those without an id too, stands for itself; an empty table gives an empty result. Texts of any
+    length are read whole.
     """
     odds = F.lit(model.bias)
     for kind, w in zip(CLAUSES, model.weights, strict=True):
-        odds = odds + F.least(F.col(f"n_{kind}"), F.lit(MOST)) * w
+        odds = odds + F.log2(1.0 + F.col(f"n_{kind}")) * w
     scored = clauses(docs, model.insults, text, carry).withColumn("score", 1 / (1 + F.exp(-odds)))
     return scored.select(*carry, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

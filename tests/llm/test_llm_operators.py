@@ -289,6 +289,41 @@ def test_grammar():
     assert only("not today, but zorp. fine.") == ["plain"] and only("zorpish") == ["plain"] and only("unzorp") == [] and only(None) == [] and only("zorp. zorp") == ["plain", "plain"]
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ('He said, "you zorp".', ["reported"]), ("She said: you are a zorp.", ["reported"]), ('"You are a zorp", said the man.', ["reported"]),
+    ('"You are a zorp," said the man. You zorp!', ["targeted", "reported"]), ("“You zorp!” shouted the man, “you are a zorp!” You zorp.", ["targeted", "reported", "reported"]),
+    ('He wrote: "Fine. Good." You are a zorp.', ["targeted"]), ('The "zorp" is here.', ["plain"]), ('"zorp', ["plain"]), ("You aren’t a zorp.", ["negated"]), ("You aren't a zorp.", ["negated"]),
+    ("they will kill the process", []), ("kill him with kindness", []), ("I will kill them all", ["threat"]), ("don't kill him", ["negated"]), ("he said he will kill you", ["reported"]), ("ich werde dich töten", ["threat"]),
+    ("zorp. " * 9, ["plain"] * 9), ("zorp" + "a" * 90, ["plain"]),
+])
+def test_clauses(text, kinds):
+    found = dict(zip(toxicity.CLAUSES, toxicity.Grammar(["zorp"]).clauses(text), strict=True))
+    assert [k for k, n in found.items() for _ in range(n)] == sorted(kinds, key=toxicity.CLAUSES.index)
+
+
+def test_grammar_against_brute_force():
+    """Sentences without quotations and pauses, looked at word by word."""
+    r, g = random.Random(12), toxicity.Grammar(["zorp"])
+    vocab = ["zorp", "zorpy", "kill", "you", "your", "dich", "not", "said", "the", "house", "runs", "blue"]
+    for _ in range(3000):
+        sentences = [r.choices(vocab, k=r.randint(1, 9)) for _ in range(r.randint(1, 3))]
+        want = collections.Counter()
+        for w in sentences:
+            modes = []
+            for i, x in enumerate(w):
+                near = w[max(0, i - 4) : i]
+                mode = "negated" if "not" in near else "reported" if "said" in near else "plain"
+                if x.startswith("zorp"):
+                    modes.append(("targeted" if {"you", "your", "dich"} & set(w) else "plain") if mode == "plain" else mode)
+                if x == "kill":
+                    behind = list(itertools.takewhile(lambda y: y != "kill", w[i + 1 : i + 3]))
+                    if "dich" in w[max(0, i - 3) : i] or {"you", "dich"} & set(behind):
+                        modes.append("threat" if mode == "plain" else mode)
+            if modes:
+                want[max(modes, key=lambda m: (m in ("plain", "targeted"), m == "threat", m == "reported"))] += 1
+        assert dict(zip(toxicity.CLAUSES, g.clauses(". ".join(map(" ".join, sentences))), strict=True)) == {k: want[k] for k in toxicity.CLAUSES}, sentences
+
+
 def test_stems():
     texts = {"glo": 40, "glor": 40, "glorf": 39, "glorfa": 9, "glorfo": 8, "tan": 30, "tanke": 12, "tankel": 12}
     assert toxicity.chosen_stems(texts) == ["glorf", "tan"] and toxicity.chosen_stems({}) == []
