@@ -2,34 +2,58 @@
 
 Fixed masks pick some of the tokens in a window and ignore the others, so that a substituted token
 hides only the windows in which a mask picks it. Hashes of test and training windows are joined, and
-around each hit the passage is verified on all tokens: the best-scoring stretch of the alignment must
-be long enough and alike enough.
+around each hit the passage is verified on all tokens: any stretch of the alignment that is long enough
+and alike enough counts, whatever lies beside it.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, list_slices, small, smaller_batches
+from .common import BROADCAST_ROWS, keep, list_slices, small, smaller_batches
 
 #: Masks of weight 6: tokens at the places of a 1 are hashed.
 MASKS = ("111111", "1101001011", "11001010011", "101100110001", "110100100101")
-#: More masks (mask, least, most) for items of that many tokens: any substitutions that verification accepts leave a seed.
-SHORT_MASKS = (("1111", 4, 4), ("11111", 5, 5), ("11011", 6, 7), ("1101011", 8, 12), ("10011011", 8, 12), ("1100111", 8, 12))
-#: Items with fewer tokens than LEAST_TOKENS must be matched exactly; below LEAST_EXACT an item is too short to tell.
-LEAST_TOKENS, LEAST_EXACT = 6, 4
+#: Items of up to LONGEST_SHORT tokens have masks of their own. Those with fewer than LEAST_TOKENS must be matched exactly; below LEAST_EXACT an item is too short to tell.
+LONGEST_SHORT, LEAST_TOKENS, LEAST_EXACT = 12, 6, 4
 #: A stretch must hold so many equal tokens, or LEAST_SHARE of an item's tokens if that is less, at an identity of LEAST_SHARE.
 LEAST_EQUAL, LEAST_SHARE = 13, 0.7
-#: What a token adds to the score of a stretch.
-EQUAL, UNEQUAL = 1.0, -1.5
+#: Shares of a hot hash, where the join by hash shuffles.
+SALTS = 16
 #: With up to so many test hashes the training side drops windows without a hit before the join.
 FILTER_HASHES = 2_000_000
 
 
+def least_equal(n: int) -> int:
+    """The equal tokens that an item of n tokens asks for."""
+    return n if n < LEAST_TOKENS else min(LEAST_EQUAL, math.ceil(round(LEAST_SHARE * n, 9)))
+
+
+def masks_of(n: int) -> set[str]:
+    """Masks for items of n tokens: they are cut into k + 2 blocks, k of their tokens being all that may be unequal, and each mask picks two blocks, so that one of them misses every unequal token."""
+    if n < LEAST_TOKENS:
+        return {"1" * n}
+    blocks = n - least_equal(n) + 2
+    at = [round(i * n / blocks) for i in range(blocks + 1)]
+    return {"".join("1" if any(at[b] <= i < at[b + 1] for b in pair) else "0" for i in range(n)).strip("0") for pair in itertools.combinations(range(blocks), 2)}
+
+
+def masks_for(lengths: list[int]) -> tuple[tuple[str, frozenset[int]], ...]:
+    """(mask, the lengths of short items that it is for) with those of longer items first, whose set is empty."""
+    short: dict[str, set[int]] = {}
+    for n in lengths:
+        for m in sorted(masks_of(n)):
+            short.setdefault(m, set()).add(n)
+    return (*((m, frozenset()) for m in MASKS), *((m, frozenset(ns)) for m, ns in short.items()))
+
+
 #: Scripts that put no spaces between words; each of their letters, with its marks, is a token.
 UNSPACED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
 
@@ -60,8 +84,8 @@ def seeds(flat: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-def item_seeds(items: DataFrame, masks: tuple[tuple[str, int, float], ...]) -> DataFrame:
-    """(seed, item_id, at) for each window of each item under the masks (mask, least, most) of its length; items: item_id, tokens."""
+def item_seeds(items: DataFrame, masks: tuple[tuple[str, frozenset[int]], ...]) -> DataFrame:
+    """(seed, item_id, at) for each window of each item under the masks for its length; items: item_id, tokens."""
 
     def run(batches):
         for batch in batches:
@@ -69,8 +93,9 @@ def item_seeds(items: DataFrame, masks: tuple[tuple[str, int, float], ...]) -> D
             out = [[], [], []]
             for i, name in enumerate(ids):
                 part = flat[ends[i] : ends[i + 1]]
-                for k, (mask, least, most) in enumerate(masks):
-                    found = seeds(part if least <= len(part) <= most else part[:0], mask, k)
+                for k, (mask, lengths) in enumerate(masks):
+                    suits = len(part) in lengths if lengths else len(part) > LONGEST_SHORT
+                    found = seeds(part if suits else part[:0], mask, k)
                     out[0] += found.view(np.int64).tolist()
                     out[1] += [name] * len(found)
                     out[2] += range(len(found))
@@ -80,10 +105,10 @@ def item_seeds(items: DataFrame, masks: tuple[tuple[str, int, float], ...]) -> D
 
 
 def training_hits(docs: DataFrame, masks: tuple[str, ...], wanted: np.ndarray | None) -> DataFrame:
-    """(doc_id, tokens, at, seed) of the documents with a window whose hash is wanted; at and seed are arrays. wanted: sorted, None for all."""
+    """(doc_id, tokens, seed, at) of the documents with a window whose hash is wanted: the hashes found, each once, and for each the places of its windows. wanted: sorted, None for all."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(c, longs) for c in ("tokens", "at", "seed"))])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", longs), T.StructField("seed", longs), T.StructField("at", T.ArrayType(longs))])
 
     def run(batches):
         known = sent.value
@@ -105,48 +130,76 @@ def training_hits(docs: DataFrame, masks: tuple[str, ...], wanted: np.ndarray |
                 at = at[row[at] == row[at + len(mask) - 1]] if len(at) else at
                 found.append((row[at], at, hashes[at]))
             rows, at, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
-            for i in np.unique(rows):
-                mine = rows == i
-                start = ends[i] - ends[0]
+            order = np.lexsort((at, hashes, rows))
+            rows, at, hashes = rows[order], at[order], hashes[order]
+            for lo, hi in runs(rows):
+                i = rows[lo]
+                cuts = runs(hashes[lo:hi])
                 out[0].append(ids[i])
                 out[1].append(flat[ends[i] : ends[i + 1]].view(np.int64))
-                out[2].append(at[mine] - start)
-                out[3].append(hashes[mine].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in out[1:])], names=schema.names)
+                out[2].append(hashes[lo:hi][[a for a, _ in cuts]].view(np.int64))
+                out[3].append([at[lo + a : lo + b] - (ends[i] - ends[0]) for a, b in cuts])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in out[1:3]), pa.array(out[3], pa.list_(pa.list_(pa.int64())))], names=schema.names)
 
     smaller_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 
+def runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of each run of equal values."""
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [(a, b) for a, b in itertools.pairwise(cuts) if a < b]
+
+
 def stretch(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """(start, end, equal tokens) of the best-scoring stretch of two aligned runs of tokens."""
-    same = a == b
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, EQUAL, UNEQUAL))])
-    least = np.minimum.accumulate(total)
-    end = int((total - least).argmax())
-    start = int(total[: end + 1].argmin())
-    return start, end, int(same[start:end].sum())
+    """(start, end, equal tokens) of the stretch of two aligned runs of tokens with the most equal tokens at an identity of LEAST_SHARE, the first of several; (0, 0, 0) if nothing is equal.
+
+    Such a stretch begins and ends with an equal token. From the i-th to the j-th one (at p[i] and p[j])
+    it holds j - i + 1 equal of p[j] - p[i] + 1 tokens, so the identity holds if g[i] <= f[j] below.
+    """
+    p = np.flatnonzero(a == b)
+    if not len(p):
+        return 0, 0, 0
+    share = round(LEAST_SHARE * 1000)
+    n = np.arange(len(p))
+    g, f = 1000 * n - share * p, 1000 * (n + 1) - share * (p + 1)
+    # The first i with g[i] <= f[j] is where the running minimum of g falls to f[j]; i = j is always one.
+    first = np.searchsorted(-np.minimum.accumulate(g), -f, "left")
+    j = int((n - first).argmax())
+    i = int(first[j])
+    return int(p[i]), int(p[j]) + 1, j - i + 1
+
+
+def best_passage(doc: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> tuple[int, int, int, float] | None:
+    """(first, end, equal tokens, identity) of the passage with the most equal tokens, then the highest identity, then the furthest place; None if none holds."""
+    best = None
+    for shift in diagonals.tolist():
+        lo, hi = max(0, shift), min(len(doc), shift + len(item))
+        start, end, equal = stretch(doc[lo:hi], item[lo - shift : hi - shift])
+        if equal and equal >= least_equal(len(item)):
+            held = (equal, equal / (end - start), lo + start, lo + end)
+            best = held if best is None or held > best else best
+    return best and (best[2], best[3], best[0], best[1])
 
 
 def verified(pairs: DataFrame) -> DataFrame:
-    """(doc_id, item_id, diagonal, tokens, item) -> the passages that hold, with their place in the document's tokens."""
+    """(doc_id, item_id, hits, tokens, item) -> the best passage of each pair that holds; hits: array of (doc_at, item_at), the places of one hash in both."""
+    names = ["doc_id", "item_id", "first_token", "end_token", "n_equal", "identity"]
+
+    def numbers(column: pa.ListArray) -> list[np.ndarray]:
+        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        return [flat[a:b] for a, b in itertools.pairwise(ends)]
 
     def run(batches):
         for batch in batches:
-            ids, items, shift = (batch.column(i).to_pylist() for i in range(3))
-            a, b = ((batch.column(i).values.to_numpy(zero_copy_only=False), batch.column(i).offsets.to_numpy()) for i in (3, 4))
-            out = [[] for _ in range(6)]
+            out = [[] for _ in names]
+            ids, items, hits, docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), *(numbers(batch.column(i)) for i in (3, 4))
             for i in range(batch.num_rows):
-                doc, item = a[0][a[1][i] : a[1][i + 1]], b[0][b[1][i] : b[1][i + 1]]
-                lo, hi = max(0, shift[i]), min(len(doc), shift[i] + len(item))
-                start, end, equal = stretch(doc[lo:hi], item[lo - shift[i] : hi - shift[i]])
-                if len(item) < LEAST_TOKENS and equal < len(item):
-                    continue
-                if equal >= min(LEAST_EQUAL, LEAST_SHARE * len(item)) and equal >= LEAST_SHARE * (end - start):
-                    for c, v in zip(out, (ids[i], items[i], lo + start, lo + end, equal, equal / (end - start)), strict=True):
+                found = [np.unique(h["doc_at"].values.to_numpy()[:, None] - h["item_at"].values.to_numpy()) for h in hits[i]]
+                if held := best_passage(docs[i], texts[i], np.unique(np.concatenate(found))):
+                    for c, v in zip(out, (ids[i], items[i], *held), strict=True):
                         c.append(v)
-            kinds = [pa.int64()] * 5 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "item_id", "first_token", "end_token", "n_equal", "identity"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "identity" else pa.int64()) for n, c in zip(names, out, strict=True)], names=names)
 
     return pairs.mapInArrow(run, "doc_id long, item_id long, first_token long, end_token long, n_equal long, identity double")
 
@@ -157,22 +210,29 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id:
     Null or empty texts and items, and items of fewer than LEAST_EXACT tokens, overlap with nothing;
     items of fewer than LEAST_TOKENS do with exact copies only. Rows without an id are left out, as they
     can't be named. Items with the same tokens are one item, with the least id. Repeated rows give one
-    result.
+    result; of passages with as many equal tokens and the same identity the last one is given. An empty
+    table gives an empty result. Texts of any length are read whole; a text and an item meet once, with
+    all their hits, so that repeated tokens don't multiply rows.
     """
     items = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), tokens(F.col(item_text)).alias("tokens"))
     items = keep(items.where(F.size("tokens") >= LEAST_EXACT).groupBy("tokens").agg(F.min("item_id").alias("item_id")), "items")
-    longest = max(most for *_, most in SHORT_MASKS)
-    short = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") <= longest).distinct().collect()]
-    used = (*((m, 0, np.inf) for m in MASKS), *((m, lo, hi) for m, lo, hi in SHORT_MASKS if any(lo <= n <= hi for n in short)))
-    tested = keep(item_seeds(items, used), "seeds")
-    n = tested.count()
-    wanted = np.unique(tested.select("seed").distinct().toArrow().column("seed").to_numpy().view(np.uint64)) if n <= FILTER_HASHES else None
+    short = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") <= LONGEST_SHORT).distinct().collect()]
+    used = masks_for(sorted(short))
+    places = keep(item_seeds(items, used), "seeds")
+    n = places.count()
+    wanted = np.unique(places.select("seed").distinct().toArrow().column("seed").to_numpy().view(np.uint64)) if n <= FILTER_HASHES else None
+    tested = places.groupBy("seed", "item_id").agg(F.collect_list("at").alias("item_at"))
 
     train = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), tokens(F.col(text)).alias("tokens"))
-    hit = keep(training_hits(train, tuple(m for m, *_ in used), wanted), "hits")
-    windows = hit.select("doc_id", F.explode(F.arrays_zip("at", "seed")).alias("w")).select("doc_id", F.col("w.at").alias("doc_at"), F.col("w.seed").alias("seed"))
-    pairs = windows.join(small(tested, n), "seed").select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct()
-    whole = pairs.join(hit.select("doc_id", "tokens").dropDuplicates(["doc_id"]), "doc_id").join(small(items.withColumnRenamed("tokens", "item"), n), "item_id")
-    held = verified(whole.select("doc_id", "item_id", "diagonal", "tokens", "item"))
-    best = held.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_equal", "identity", "first_token", "end_token")).alias("b"))
-    return best.select("doc_id", "item_id", "b.first_token", "b.end_token", "b.n_equal", "b.identity")
+    hit = keep(training_hits(train, tuple(m for m, _ in used), wanted), "hits")
+    once = hit.dropDuplicates(["doc_id"])
+    found = once.select("doc_id", F.explode(F.arrays_zip("seed", "at")).alias("w")).select("doc_id", F.col("w.seed").alias("seed"), F.col("w.at").alias("doc_at"))
+    if n <= BROADCAST_ROWS:
+        met = found.join(small(tested, n), "seed")
+    else:
+        # A passage that many documents share is one hash: it is dealt out in shares.
+        salted = tested.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = found.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["seed", "_salt"])
+    pairs = met.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "item_at")).alias("hits"))
+    whole = pairs.join(once.select("doc_id", "tokens"), "doc_id").join(small(items.withColumnRenamed("tokens", "item"), n), "item_id")
+    return verified(whole.select("doc_id", "item_id", "hits", "tokens", "item"))

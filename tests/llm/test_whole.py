@@ -7,6 +7,7 @@ import string
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyline.llm import decontaminate, packing, pii, secrets
@@ -66,17 +67,85 @@ def test_rest_of_a_secret_beside_a_base_span(spark):
 
 
 def test_short_items_keep_a_seed_whatever_is_substituted():
-    for n in range(6, 13):
-        used = [m for m, lo, hi in [*((m, 0, 99) for m in decontaminate.MASKS), *decontaminate.SHORT_MASKS] if lo <= n <= hi]
-        picked = [{i + at for i, c in enumerate(m) if c == "1"} for m in used for at in range(n - len(m) + 1)]
-        for k in range(n // 2):
+    for n in range(6, decontaminate.LONGEST_SHORT + 1):
+        picked = [{i + at for i, c in enumerate(m) if c == "1"} for m in decontaminate.masks_of(n) for at in range(n - len(m) + 1)]
+        for k in range(n):
             for gone in itertools.combinations(range(n), k):
                 item = np.arange(n)
-                start, end, equal = decontaminate.stretch(np.where(np.isin(item, gone), -1, item), item)
-                if equal >= 0.7 * n and equal >= 0.7 * (end - start):
+                if decontaminate.stretch(np.where(np.isin(item, gone), -1, item), item)[2] >= decontaminate.least_equal(n):
                     assert any(not p & set(gone) for p in picked), (n, gone)
 
 
+def test_any_stretch_that_holds_counts(spark):
+    """13 equal tokens in a row hold, whatever follows them; so does a short item with equal tokens dealt over it."""
+    r = random.Random(3)
+    item = [f"i{j}" for j in range(100)]
+    mixed = item[:13] + [w if j % 8 >= 3 else f"x{j}" for j, w in enumerate(item[13:93])]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "a b c d e f g h i j")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(mixed)), (2, "s a b X d e Y g h Z j t"), (3, "s a b X d e Y g W Z j t"), (4, " ".join(r.choices(item, k=200)))], "doc_id long, text string")
+    # The first document's whole alignment holds 63 equal of 93 tokens, which is too few alike.
+    assert brute_overlaps(mixed, [(1, item)]) == {1: 43}
+    assert sorted((x.doc_id, x.item_id, x.n_equal) for x in decontaminate.overlaps(docs, bench).collect()) == [(1, 1, 43), (2, 2, 7)]
+
+
+def brute_overlaps(doc, items):
+    """Every diagonal and every stretch of every item."""
+    out = {}
+    for name, item in items:
+        best = 0
+        for shift in range(1 - len(item), len(doc)):
+            same = [doc[i + shift] == w for i, w in enumerate(item) if 0 <= i + shift < len(doc)]
+            p = [i for i, x in enumerate(same) if x]
+            best = max([best, *(j - i + 1 for i in range(len(p)) for j in range(i, len(p)) if 10 * (j - i + 1) >= 7 * (p[j] - p[i] + 1))])
+        if best >= decontaminate.least_equal(len(item)):
+            out[name] = best
+    return out
+
+
+def test_decontamination_against_brute_force(spark):
+    r = random.Random(21)
+    vocab = [f"w{i}" for i in range(40)]
+    items = [(i, r.choices(vocab, k=r.choice([4, 5, 6, 7, 8, 10, 12, 14, 20, 30]))) for i in range(25)]
+    docs = []
+    for i in range(120):
+        w = r.choices(vocab, k=r.randint(0, 60))
+        if i % 2:
+            _, item = r.choice(items)
+            w[r.randint(0, len(w)) : 0] = [x if r.random() > 0.15 else "zz" for x in item]
+        docs.append((i, w))
+    found = decontaminate.overlaps(*(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{n} long, text string") for rows, n in ((docs, "doc_id"), (items, "item_id"))))
+    got = {(x.doc_id, x.item_id): x.n_equal for x in found.collect()}
+    want = {(i, name): n for i, w in docs for name, n in brute_overlaps(w, items).items()}
+    # Nothing is found that brute force doesn't find; short items have a seed for all, longer ones for nearly all.
+    assert set(got) <= set(want) and all(got[k] <= want[k] for k in got)
+    assert {k for k in want if len(items[k[1]][1]) <= decontaminate.LONGEST_SHORT} <= set(got) and len(got) >= 0.97 * len(want)
+
+
+def test_all_alignments_of_the_corpus(spark):
+    """Documents with a benchmark passage on sf0.001, held against all alignments of all items by numpy."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+    split = lambda d, i: {r[0]: np.array(r[1]) for r in d.select(i, decontaminate.tokens(F.col("text"))).collect()}
+    texts, items, want = split(docs, "doc_id"), split(bench, "item_id"), set()
+    for name, item in items.items():
+        need = decontaminate.least_equal(len(item))
+        for i, doc in texts.items():
+            x, y = np.nonzero(doc[:, None] == item[None, :])
+            shifts, n = np.unique(x - y, return_counts=True)
+            if decontaminate.best_passage(doc, item, shifts[n >= need]):
+                want.add((i, name))
+    assert {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs, bench).collect()} == want and want
+
+
+def test_repeated_tokens_stay_linear(spark):
+    """Two texts of one repeated word and an item of it: one pair with few hits, not a row for each pair of windows."""
+    bench = spark.createDataFrame([(1, "word " * 60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "word " * 3000) for i in range(2)], "doc_id long, text string")
+    assert sorted((x.doc_id, x.n_equal) for x in decontaminate.overlaps(docs, bench).collect()) == [(0, 60), (1, 60)]
+    masks = decontaminate.masks_for([])
+    hits = decontaminate.training_hits(docs.select("doc_id", decontaminate.tokens(F.col("text")).alias("tokens")), tuple(m for m, _ in masks), None).collect()
+    assert [len(h.seed) for h in hits] == [len(masks)] * 2
+
+
 def test_short_and_unspaced_items(spark):
     r = random.Random(2)
     vocab, han = [f"v{i}" for i in range(5000)], [chr(c) for c in range(0x4E00, 0x5E00)]
