@@ -1,7 +1,8 @@
 """A pipeline of five operators over the documents of a training corpus.
 
 Every stage reads all that the one before kept, written as Parquet in between, and drops or rewrites
-documents; the last returns the packed pieces.
+documents; the last returns the packed pieces. All stages take nulls in any column, repeated rows, empty
+tables, texts of any length and extra columns of any name.
 """
 
 from __future__ import annotations
@@ -12,18 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import decontaminate, neardup, packing, pii, toxicity
-from tallyline.llm.common import boxed, keep, small, table, unboxed
+from tallyline.llm.common import boxed, forget, keep, kept, small, table, unboxed
+from tallyline.llm.queries import pii_key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the threshold of the toxicity grammar, which is fitted on the labelled documents of the stage's input."""
+    """Documents below the threshold of the toxicity grammar, which is fitted on the labelled documents of the stage's input.
+
+    A null or empty text isn't toxic; each of repeated rows is judged alike; an empty table stays empty.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(boxed(docs), model, carry=("_row", "text"))
     return unboxed(scored.where("predicted = 0"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates; of repeated rows one. Rows without an id all stay."""
+    """One document, the one with the least id, of each group of near duplicates; of repeated rows one. Rows without an id all stay, as do texts without words."""
     found = neardup.near_duplicates(docs)
     gone = keep(found.where("not kept").select("doc_id").distinct(), "gone")
     out = docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
@@ -34,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item; rows without an id are checked each for itself."""
+    """Documents without a passage of a benchmark item; rows without an id are checked each for itself. Null and empty texts stay; repeated rows go or stay together."""
     items = table(spark, sf_dir, "benchmark")
 
     def clean(rows: DataFrame, name: str) -> DataFrame:
@@ -49,13 +54,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced."""
-    out = unboxed(pii.pseudonymise(boxed(docs), carry=("_row",)), docs.columns)
+    """All documents, personal data in their texts replaced under the session's key (queries.PII_KEY); null and empty texts stay as they are."""
+    out = unboxed(pii.pseudonymise(boxed(docs), pii_key(spark), carry=("_row",)), docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in pieces, with the bin, the place in it and the text of each."""
+    """All documents in pieces, with the bin, the place in it and the text of each. A null or empty text is one empty piece; repeated rows are packed each for itself."""
     # Ids may be null in many rows; written once, a row's key is the same for its pieces and its text.
     keyed = keep(docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("_key")), "keyed")
     return packing.filled(keyed, packing.pack(keyed, key="_key"), key="_key")
@@ -67,7 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage wrote on its way, and the output of the stage before, is deleted once its own output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), name)
+        before = {id(t) for t in kept()} - {id(docs)}
+        made = keep(stage(spark, docs, sf_dir), name)
+        forget(*(t for t in kept() if t is not made and id(t) not in before))
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
