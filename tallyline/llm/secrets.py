@@ -32,6 +32,8 @@ KINDS = ("assign", "access", "hex", "markov")
 CANDIDATE, LEAST_LLR, LEAST_LLR_PAIR = r"[A-Za-z0-9+/_=-]{20,}", 12.0, 0.35
 #: Within a run that fails as a whole: the least length of a random stretch, marks between parts, and how far from a mark a stretch's end is moved to it.
 LEAST_STRETCH, MARKS, NEAR = 20, "+/_=-", 4
+#: Added to each pair's count, so that none is impossible.
+HALF = 0.5
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 IDENTIFIER_WORDS = """account action active address admin after agent alert array audit author backend balance batch before
@@ -64,25 +66,25 @@ def default_samples(spark: SparkSession, each: int = 3_000, seed: int = 11) -> D
 
 
 def train(samples: DataFrame) -> dict[str, float]:
-    """Log-likelihood ratio, random to ordinary, of each pair of characters; counts are taken in Spark, add-one smoothed.
+    """Log-likelihood ratio, random to ordinary, of each pair of characters; counts are taken in Spark, HALF added to each.
 
-    The table has at most (number of characters + 1) squared entries. Null samples and labels are left out.
+    Characters outside the alphabet are one, `?`, before pairs are counted, so that the driver gets at most
+    (number of characters + 1) squared counts a label. Null samples and labels are left out.
     """
     n = len(ALPHABET) + 1
+    plain = F.regexp_replace("text", "[^A-Za-z0-9+/_=-]", "?")
     pairs = (
         samples.where("text is not null and label in (0, 1) and length(text) > 1")
+        .select("label", plain.alias("text"))
         .select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("pair"))
         .groupBy("label", "pair").count()
         .collect()
     )
-    clean = lambda p: "".join(c if c in ALPHABET else "?" for c in p)
-    seen: dict[tuple[int, str], int] = {}
+    seen = {(r.label, r.pair): r["count"] for r in pairs}
     first: dict[tuple[int, str], int] = {}
-    for row in pairs:
-        p = clean(row.pair)
-        seen[row.label, p] = seen.get((row.label, p), 0) + row["count"]
-        first[row.label, p[0]] = first.get((row.label, p[0]), 0) + row["count"]
-    log = lambda label, p: math.log((seen.get((label, p), 0) + 0.5) / (first.get((label, p[0]), 0) + 0.5 * n))
+    for (label, p), k in seen.items():
+        first[label, p[0]] = first.get((label, p[0]), 0) + k
+    log = lambda label, p: math.log((seen.get((label, p), 0) + HALF) / (first.get((label, p[0]), 0) + HALF * n))
     return {a + b: log(1, a + b) - log(0, a + b) for a in ALPHABET + "?" for b in ALPHABET + "?"}
 
 
@@ -178,8 +180,9 @@ class Finder:
 def scan(docs: DataFrame, ratio: dict[str, float] | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and spans: array of (kind, start, end) with the base spans and those that the model adds, by start, then kind.
 
-    A null text is read as empty; an empty text has no spans. Each row stands for itself, so repeated
-    rows give repeated results. ratio: from train(); by default from default_samples().
+    A null text is read as empty; an empty text has no spans. Each row, with or without an id, stands for
+    itself, so repeated rows give repeated results; an empty table gives an empty result. Texts of any
+    length are read whole. ratio: from train(); by default from default_samples().
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(ratio or train(default_samples(spark)))

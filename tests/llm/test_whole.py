@@ -57,6 +57,22 @@ def test_secrets_within_ordinary_runs(spark, before):
     assert sum(bool(finder.added(t, finder.base(t))) for t in ordinary) <= 0.02 * 300
 
 
+def test_secrets_planted_in_the_corpus(spark):
+    """Recall on random strings behind paths and names within the corpus' own texts; spans add little to texts as they are."""
+    finder, r = secrets.Finder(secrets.train(secrets.default_samples(spark))), random.Random(17)
+    texts = [x.text or "" for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    before, found, n = ["", "https://api.example.com/v1/users/settings/", "config/production/app/user/", "session_identifier_for_customer_account_", "KEY="], 0, 0
+    for t in texts:
+        word = t.split(" ")
+        s, at = "".join(r.choices(string.ascii_letters + string.digits, k=r.choice([26, 32, 40]))), r.randint(0, len(word))
+        made = " ".join([*word[:at], r.choice(before) + s, *word[at:]])
+        start = made.index(s)
+        found += any(a <= start and e >= start + len(s) for _, a, e in finder.added(made, finder.base(made)))
+        n += 1
+    assert found >= 0.95 * n
+    assert sum(bool(finder.added(t, finder.base(t))) for t in texts) <= 0.02 * n
+
+
 def test_rest_of_a_secret_beside_a_base_span(spark):
     finder = secrets.Finder(secrets.train(secrets.default_samples(spark, 800, seed=1)))
     text = "x 9fK2xQ7bLm0ZtR4vYw8sJdHc3N0123456789abcdef01Qz7XkV3mTp9WbR5yGn2LsD y"
