@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -102,15 +103,42 @@ def purpose(direction: Column, expected: Column, inflow: Column, outflow: Column
 
 @dataclass(frozen=True)
 class Field:
-    """A named comparison: status is a Column of PASS, FAIL, REVIEW, SKIP or null (not applicable)."""
+    """A named comparison: status is a Column of PASS, FAIL, REVIEW, SKIP or null (not applicable).
+
+    source: the expected side's name of the field. reason: text or Column, why it doesn't pass. fixed: the
+    expected value is a constant.
+    """
 
     name: str
     status: Column
     expected: Column
     actual: Column
+    source: str = ""
+    reason: str | Column = "Value Mismatch"
+    fixed: bool = False
+
+
+RULE_NOT_FOUND = "Compare Rule Not Found"
+
+
+def for_headers(rules: dict[str, Field], headers: tuple[str, ...], actual: Callable[[str], Column]) -> list[Field]:
+    """The rule of each header; one without a rule fails."""
+    return [rules.get(h) or Field(h, F.lit(FAIL), F.lit(""), actual(h), reason=RULE_NOT_FOUND) for h in headers]
+
+
+def results(fields: list[Field]) -> Column:
+    """Array of the applicable fields' results, in order: a row's comparison stays in the row."""
+    reason = lambda f: f.reason if isinstance(f.reason, Column) else F.lit(f.reason)
+    items = [
+        F.struct(
+            F.lit(i).alias("ordinal"), F.lit(f.name).alias("field"), n.text(f.expected).alias("expected"), n.text(f.actual).alias("actual"), f.status.alias("status"),
+            F.lit(f.source).alias("source"), reason(f).alias("reason"), F.lit(f.fixed).alias("fixed"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return F.filter(F.array(*items), lambda x: x["status"].isNotNull())
 
 
 def long_results(rows: DataFrame, keys: list[str], fields: list[Field]) -> DataFrame:
-    """keys, ordinal, field, expected, actual, status: one row for each row and applicable field, made by one projection."""
-    items = [F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("field"), n.text(f.expected).alias("expected"), n.text(f.actual).alias("actual"), f.status.alias("status")) for i, f in enumerate(fields)]
-    return rows.select(*keys, F.inline(F.filter(F.array(*items), lambda x: x["status"].isNotNull())))
+    """keys, ordinal, field, expected, actual, status, source, reason, fixed: one row for each row and applicable field, made by one projection."""
+    return rows.select(*keys, F.inline(results(fields)))

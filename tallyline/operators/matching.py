@@ -57,16 +57,23 @@ def closest_amounts(expected: DataFrame, actual: DataFrame, group: str, expected
     """Each expected row's partner in its group within the tolerance: UNIQUE, AMBIGUOUS or NONE, and the least partner id.
 
     Amounts are dealt to bands as wide as the tolerance; a row is joined to its own band and the two
-    beside it, so that a large group doesn't meet itself row by row. With fallback, rows without a
-    partner try that amount.
+    beside it, so that a large group doesn't meet itself row by row. Equal amounts of a group are counted
+    once and meet as one. With fallback, rows without a partner try that amount.
     """
+    same = actual.select(F.col(group), F.col(actual_id).alias("_id"), F.col(actual_amount).alias("_amount"))
+    # Of each amount its rows and the least two ids: one of these is no row's own.
+    right = same.where("_amount is not null").groupBy(group, "_amount").agg(F.count("*").alias("_k"), F.min("_id").alias("_least"))
+    second = same.withColumn("_rn", F.row_number().over(Window.partitionBy(group, "_amount").orderBy("_id"))).where("_rn = 2").select(group, "_amount", F.col("_id").alias("_second"))
+    right = right.join(second, [group, "_amount"], "left").withColumn("_band", F.floor(F.col("_amount") / tolerance))
+    own = same.select(F.col(group).alias("_own_group"), F.col("_id").alias("_own_id"), F.col("_amount").alias("_own"))
 
     def tried(rows: DataFrame, by: str) -> DataFrame:
         band = F.floor(F.col(by) / tolerance)
-        left = rows.withColumn("_band", F.explode(F.array(band - 1, band, band + 1)))
-        right = actual.select(F.col(group), F.col(actual_id).alias("_id"), F.col(actual_amount).alias("_amount"), F.floor(F.col(actual_amount) / tolerance).alias("_band"))
-        near = left.join(right, [group, "_band"]).where((F.abs(F.col(by) - F.col("_amount")) <= tolerance) & (F.col(expected_id) != F.col("_id")))
-        return near.groupBy(expected_id).agg(F.count("*").alias("_n"), F.min("_id").alias("_partner"))
+        known = rows.join(own, (F.col(expected_id) == F.col("_own_id")) & (F.col(group) == F.col("_own_group")), "left")
+        near = known.withColumn("_band", F.explode(F.array(band - 1, band, band + 1))).join(right, [group, "_band"]).where(F.abs(F.col(by) - F.col("_amount")) <= tolerance)
+        itself = F.coalesce(F.col("_own") == F.col("_amount"), F.lit(False))
+        partner = F.when(itself & (F.col("_least") == F.col(expected_id)), F.col("_second")).otherwise(F.col("_least"))
+        return near.groupBy(expected_id).agg(F.sum(F.col("_k") - itself.cast("int")).alias("_n"), F.min(partner).alias("_partner")).where("_n > 0")
 
     found = expected.join(tried(expected, amount), expected_id, "left")
     if fallback:
@@ -103,6 +110,14 @@ def fan_out(actual: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return actual.join(groups, key, "left")
 
 
+#: A lookup table is broadcast only after its rows were counted and are at most so many.
+BROADCAST_ROWS = 100_000
+
+
 def looked_up(rows: DataFrame, key: str, values: DataFrame, into: str) -> DataFrame:
-    """A column from a small table of (key, value); null where it has no row."""
-    return rows.join(F.broadcast(values.select(F.col(values.columns[0]).alias(key), F.col(values.columns[1]).alias(into))), key, "left")
+    """A column from a table of (key, value); null where it has no row. A key that repeats raises, as it would multiply rows."""
+    named = values.select(F.col(values.columns[0]).alias(key), F.col(values.columns[1]).alias(into)).where(F.col(key).isNotNull())
+    total, different = named.agg(F.count("*"), F.count_distinct(key)).first()
+    if total != different:
+        raise ValueError(f"{total - different} keys of the lookup table repeat")
+    return rows.join(F.broadcast(named) if total <= BROADCAST_ROWS else named, key, "left")

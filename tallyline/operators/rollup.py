@@ -1,13 +1,46 @@
-"""From one row per field to one row per expected row: status, remarks, failed fields, order."""
+"""From results per field to one row per expected row: status, remarks, failed fields, order.
+
+Results of one row's fields are an array in the row (compare.results) and are rolled up there, without a
+shuffle. Only where several rows make one result, they are rows that are grouped.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .compare import FAIL, PASS, REVIEW, SKIP
 
 
+def row_status(results: Column, with_skip: bool = True) -> Column:
+    """FAIL if any fails; SKIP if there are some and all are skipped; else PASS."""
+    out = F.when(F.exists(results, lambda x: x["status"] == FAIL), FAIL)
+    return (out.when((F.size(results) > 0) & F.forall(results, lambda x: x["status"] == SKIP), SKIP) if with_skip else out).otherwise(PASS)
+
+
+def row_lines(results: Column, line: Callable[[Column], Column], *statuses: str) -> Column:
+    """Array of a line for each result of these statuses, in the fields' order."""
+    return F.transform(F.filter(results, lambda x: x["status"].isin(*statuses)), line)
+
+
+def row_names(results: Column, status: str) -> Column:
+    """Sorted array of the fields of this status; fields that passed as skipped aren't among the passed."""
+    held = F.filter(results, lambda x: (x["status"] == status) & ~((x["status"] == PASS) & F.lower(F.trim(x["reason"])).startswith("skipped")))
+    return F.array_sort(F.array_distinct(F.transform(held, lambda x: x["field"])))
+
+
+def row_map(results: Column) -> Column:
+    """Map from field to status; of repeated fields the last one counts."""
+    last = F.filter(results, lambda x: ~F.exists(results, lambda y: (y["field"] == x["field"]) & (y["ordinal"] > x["ordinal"])))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["field"], x["status"])))
+
+
+def plain_line(x: Column) -> Column:
+    return F.concat(x["field"], F.lit(": expected "), shown(x["expected"]), F.lit(", actual "), shown(x["actual"]))
+
+
 def group_status(status: Column, with_skip: bool = True) -> Column:
     """An aggregate: FAIL if any fails; SKIP if all are skipped; else PASS."""
     out = F.when(F.bool_or(status == FAIL), FAIL)

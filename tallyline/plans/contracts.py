@@ -74,9 +74,14 @@ CONTRACTS = {
         ),
     )
 }
-#: Registered, but without required columns.
+#: Known reports without required columns yet: they may be asked for, and are refused by name.
 STUBS = ("DF_FXU", "DF_OLB", "DF_FXM")
 
+#: What the validation sheet says about a cell; the second and third stand in blank cells for whoever fills them in.
+HAS_VALUE, REQUIRED_MESSAGE, CHECK_MESSAGE = "Field has value", "โปรดกรอกข้อมูล", "โปรดตรวจสอบข้อมูล"
+#: Parts of remarks.
+MUST_BE, PLEASE_REVIEW, NOT_FOUND_TEXT = "ต้องเป็น", "Please review", "ไม่พบข้อมูล"
+
 RELATIONSHIP_OTHER = "172064"
 PAYMENT_METHOD, TRANSACTION_TYPE, ITEM_TYPE = "234004", "270001", "268002"
 LEG_BUY, LEG_SELL = "182001", "182002"

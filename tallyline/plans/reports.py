@@ -1,8 +1,10 @@
 """The four reports' reconciliation plans.
 
 Each takes the test data (expected) and the report (actual) as sheets read by sources.sheet, that is
-text columns and `_row`, and returns the row results: test_no, key, _row (of the test data), status,
-outcome, remark, report_row. Every plan is lazy; nothing is collected.
+text columns, `_file` and `_row` (a sheet of one file may lack `_file`), and returns the row results:
+test_no, key, _file and _row (of the test data), status, outcome, remark, passed_fields, failed_fields,
+review_fields, report_file, report_row. A row is named by file and row together, and of equal keys the
+first or last row goes by file, then row. Every plan is lazy; nothing is collected.
 """
 
 from __future__ import annotations
@@ -35,18 +37,53 @@ def report_field(name: str, *more: str) -> Column:
     return n.text(F.col("actual")[name]) if not more else n.text(F.coalesce(*(F.col("actual")[x] for x in (name, *more))))
 
 
+ROW = ["_file", "_row"]
+
+
+def identified(sheet: DataFrame) -> DataFrame:
+    """The sheet with `_file`, blank if it has none."""
+    return sheet if "_file" in sheet.columns else sheet.withColumn("_file", F.lit(""))
+
+
 def with_key(report: DataFrame, key: Column, wanted: tuple[str, ...]) -> DataFrame:
-    """The report's key, row number and wanted columns, blank where the sheet lacks one."""
-    return report.select(key.alias("key"), "_row", *(lookup(report, x).alias(x) for x in wanted)).where("key != ''")
+    """The report's key, file, row number and wanted columns, blank where the sheet lacks one."""
+    return report.select(key.alias("key"), *ROW, *(lookup(report, x).alias(x) for x in wanted)).where("key != ''")
+
+
+def pair_line(label: str) -> Callable[[Column], Column]:
+    """A remark's line that holds the two sides' fields against each other; of a constant only the report's."""
+    quoted = lambda c: F.concat(F.lit('"'), n.trim(c), F.lit('"'))
+
+    def line(x: Column) -> Column:
+        there = F.concat(F.lit(f"[{label}] : "), x["field"], F.lit(" = "), quoted(x["actual"]))
+        both = F.concat(F.lit("[TS] : "), x["source"], F.lit(" = "), quoted(x["expected"]), F.lit(" | "), there)
+        return F.when(x["fixed"], F.concat(there, F.lit(f" {k.MUST_BE} "), quoted(x["expected"]))).otherwise(both)
+
+    return line
+
+
+def reason_line(left: str, right: str, bare_blank: bool = False) -> Callable[[Column], Column]:
+    """A remark's line that gives the reason, then both values."""
+    value = (lambda c: c) if bare_blank else (lambda c: rollup.shown(n.trim(c)))
+    return lambda x: F.concat(x["field"], F.lit(": "), x["reason"], F.lit(f" | [{left}]: "), value(x["expected"]), F.lit(f" | [{right}]: "), value(x["actual"]))
+
+
+def named(rows: DataFrame, status: Column, remark: Column, passed: Column, failed: Column, review: Column) -> DataFrame:
+    """The row results; rows that weren't compared have the status of their outcome and the note as remark."""
+    compared = F.col("outcome") == "COMPARE"
+    state = F.when(compared, status).when(F.col("outcome").isin("EXPECTED_ABSENCE", "EXCLUDED"), c.PASS).when(F.col("outcome") == "SKIP", c.SKIP).otherwise(c.FAIL)
+    some = lambda x: F.when(compared, x).otherwise(F.array().cast("array<string>"))
+    return rows.select(
+        "test_no", "key", *ROW, state.alias("status"), "outcome", F.when(compared, F.coalesce(remark, F.lit(""))).otherwise(F.coalesce("note", F.lit(""))).alias("remark"),
+        some(passed).alias("passed_fields"), some(failed).alias("failed_fields"), some(review).alias("review_fields"), F.col("actual._file").alias("report_file"), F.col("actual._row").alias("report_row"),
+    )
 
 
-def finished(rows: DataFrame, results: DataFrame) -> DataFrame:
-    """rows (with `outcome` and `note`) and their compared fields, rolled up."""
-    fields = rollup.rolled(results, ["_id"])
-    joined = rows.join(fields, "_id", "left")
-    status = F.when(F.col("outcome") == "COMPARE", F.coalesce("status", F.lit(c.PASS))).when(F.col("outcome").isin("EXPECTED_ABSENCE", "EXCLUDED"), c.PASS).when(F.col("outcome") == "SKIP", c.SKIP).otherwise(c.FAIL)
-    remark = F.when(F.col("outcome") == "COMPARE", F.coalesce("remark", F.lit(""))).otherwise(F.coalesce("note", F.lit("")))
-    return joined.select("test_no", "key", "_row", status.alias("status"), "outcome", remark.alias("remark"), F.coalesce("review_fields", F.array().cast("array<string>")).alias("review_fields"), F.col("actual._row").alias("report_row"))
+def finished(rows: DataFrame, fields: list[c.Field], remark: Callable[[Column], Column], with_skip: bool = True) -> DataFrame:
+    """rows (with `outcome` and `note`), each compared and rolled up where it stands: after the match nothing is shuffled."""
+    rows = rows.withColumn("_results", F.when(F.col("outcome") == "COMPARE", c.results(fields)))
+    found = F.col("_results")
+    return named(rows, rollup.row_status(found, with_skip), remark(found), *(rollup.row_names(found, s) for s in (c.PASS, c.FAIL, c.REVIEW)))
 
 
 def ltx(test: DataFrame, report: DataFrame) -> DataFrame:
@@ -57,79 +94,108 @@ def ltx(test: DataFrame, report: DataFrame) -> DataFrame:
     fees = total(*(number(lookup(test, *k.fee_aliases(5)[k.fee_headers(i)[2]])) for i in range(1, 6)))
     transfer, debit = number(lookup(test, k.TRANSFER_AMOUNT)), number(lookup(test, k.DEBIT_AMOUNT))
     large = lambda a: F.coalesce(a > TOLERANCE, F.lit(False))
+    test, report = identified(test), identified(report)
     base = test.select(
-        "_row", n.trim(F.regexp_replace(lookup(test, k.TEST_NO), "(?i)-return$", "")).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("id"), fees.alias("fees"), transfer.alias("transfer"), debit.alias("debit"),
+        *ROW, n.trim(F.regexp_replace(lookup(test, k.TEST_NO), "(?i)-return$", "")).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("id"), fees.alias("fees"), transfer.alias("transfer"), debit.alias("debit"),
         rules.decide([rules.RESIDENT_THB_TO_FOREIGN], field=lambda f: lookup(test, f)).alias("expectation"),
         *(lookup(test, x).alias(x) for x in (k.FROM_ACCOUNT, k.FROM_CCY, k.TXN_DATE, k.PURPOSE, k.TO_CIF_NAME, k.TO_REGION, k.CIF_NO, k.CIF_NAME)),
     ).where("id != ''")
-    expected = base.select("*", F.inline(keys.suffix_keys(F.col("id"), {"DR": large(F.col("transfer")) | large(F.col("debit")), "FE": large(F.col("fees"))}))).withColumn("_id", F.struct("_row", "suffix"))
+    expected = base.select("*", F.inline(keys.suffix_keys(F.col("id"), {"DR": large(F.col("transfer")) | large(F.col("debit")), "FE": large(F.col("fees"))})))
     actual = with_key(report, n.upper_key(lookup(report, "Reference Transaction Number")), k.CONTRACTS["DS_LTX"].report)
-    rows = matching.match(expected, actual, "key", Policy.FIRST, ["_row"])
+    rows = matching.match(expected, actual, "key", Policy.FIRST, ROW)
     rows = rows.withColumn("outcome", rules.presence(F.col("expectation"), F.col("match") == "MATCH")).withColumn("note", F.when(F.col("outcome") == "MISSING", "not in the report").when(F.col("outcome") == "UNEXPECTED", "in the report, but must not be").otherwise("must not be in the report, and is not"))
     amount, dr = number(report_field("Transaction Amount")), F.col("suffix") == "DR"
     near = F.when(dr, within(F.col("transfer"), amount) | within(F.col("debit"), amount)).otherwise(within(F.col("fees"), amount))
     account = (n.value(at(k.FROM_ACCOUNT)) != "") & (F.lower(n.value(at(k.FROM_ACCOUNT))) == F.lower(n.value(report_field("FI Arrangement Number"))))
     only_dr = lambda status, gate=None: F.when(dr & (~n.blank(gate) if gate is not None else F.lit(True)), status)
+    exact = lambda name, source, gate=None: c.Field(name, only_dr(c.exact_or_review(at(source), report_field(name)), gate), at(source), report_field(name), source)
+    filled = lambda source, f: c.Field(f.name, F.when(~n.blank(source), f.status), f.expected, f.actual, f.source, f.reason, f.fixed)
+    to_name, relation, inflow = at(k.TO_CIF_NAME), "Relationship with Beneficiary or Sender", "Inflow Transaction Purpose"
     fields = [
-        c.Field("FI Arrangement Number", c.passed(account), at(k.FROM_ACCOUNT), report_field("FI Arrangement Number")),
-        c.Field("Transaction Amount", c.passed(near), F.when(dr, F.coalesce("transfer", "debit")).otherwise(F.col("fees")), report_field("Transaction Amount")),
-        c.Field("Transaction Date", c.date_or_reference(at(k.TXN_DATE), report_field("Transaction Date"), F.col("key")), at(k.TXN_DATE), report_field("Transaction Date")),
-        c.Field("Currency Id", c.exact_or_review(at(k.FROM_CCY), report_field("Currency Id")), at(k.FROM_CCY), report_field("Currency Id")),
-        c.Field("Outflow Transaction Purpose", only_dr(c.exact_or_review(at(k.PURPOSE), report_field("Outflow Transaction Purpose"))), at(k.PURPOSE), report_field("Outflow Transaction Purpose")),
-        c.Field("Beneficiary or Sender Name", only_dr(c.exact_or_review(at(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")), at(k.TO_CIF_NAME)), at(k.TO_CIF_NAME), report_field("Beneficiary or Sender Name")),
-        c.Field("Country Id of Beneficiary or Sender", F.when(~n.blank(at(k.TO_REGION)), only_dr(c.exact_or_review(at(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")), at(k.TO_CIF_NAME))), at(k.TO_REGION), report_field("Country Id of Beneficiary or Sender")),
-        # Fixed-value mismatches only colour the cell; the row stays as its key conditions have it.
-        c.Field("Relationship with Beneficiary or Sender", only_dr(F.replace(c.fixed_value(k.RELATIONSHIP_OTHER, report_field("Relationship with Beneficiary or Sender")), F.lit(c.FAIL), F.lit(c.REVIEW)), at(k.TO_CIF_NAME)), F.lit(k.RELATIONSHIP_OTHER), report_field("Relationship with Beneficiary or Sender")),
-        c.Field("Cust Code", only_dr(c.exact_or_review(at(k.CIF_NO), report_field("Cust Code")), at(k.CIF_NO)), at(k.CIF_NO), report_field("Cust Code")),
-        c.Field("Cust Name", F.when(~n.blank(at(k.CIF_NAME)), only_dr(c.exact_or_review(at(k.CIF_NAME), report_field("Cust Name")), at(k.CIF_NO))), at(k.CIF_NAME), report_field("Cust Name")),
-        c.Field("Inflow Transaction Purpose", F.when(~n.blank(report_field("Inflow Transaction Purpose")) & ~n.blank(at(k.PURPOSE)), c.exact_or_review(at(k.PURPOSE), report_field("Inflow Transaction Purpose"))), at(k.PURPOSE), report_field("Inflow Transaction Purpose")),
+        c.Field("FI Arrangement Number", c.passed(account), at(k.FROM_ACCOUNT), report_field("FI Arrangement Number"), k.FROM_ACCOUNT),
+        c.Field("Transaction Amount", c.passed(near), F.when(dr, F.coalesce("transfer", "debit")).otherwise(F.col("fees")), report_field("Transaction Amount"), "Amount"),
+        c.Field("Transaction Date", c.date_or_reference(at(k.TXN_DATE), report_field("Transaction Date"), F.col("key")), at(k.TXN_DATE), report_field("Transaction Date"), k.TXN_DATE),
+        c.Field("Currency Id", c.exact_or_review(at(k.FROM_CCY), report_field("Currency Id")), at(k.FROM_CCY), report_field("Currency Id"), k.FROM_CCY),
+        exact("Outflow Transaction Purpose", k.PURPOSE),
+        exact("Beneficiary or Sender Name", k.TO_CIF_NAME, to_name),
+        filled(at(k.TO_REGION), exact("Country Id of Beneficiary or Sender", k.TO_REGION, to_name)),
+        # Fixed-value mismatches only ask for review; the row stays as its key conditions have it.
+        c.Field(relation, only_dr(F.replace(c.fixed_value(k.RELATIONSHIP_OTHER, report_field(relation)), F.lit(c.FAIL), F.lit(c.REVIEW)), to_name), F.lit(k.RELATIONSHIP_OTHER), report_field(relation), fixed=True),
+        exact("Cust Code", k.CIF_NO, at(k.CIF_NO)),
+        filled(at(k.CIF_NAME), exact("Cust Name", k.CIF_NAME, at(k.CIF_NO))),
+        c.Field(inflow, F.when(~n.blank(report_field(inflow)) & ~n.blank(at(k.PURPOSE)), c.exact_or_review(at(k.PURPOSE), report_field(inflow))), at(k.PURPOSE), report_field(inflow), k.PURPOSE),
     ]
-    return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
 
+    def remark(found: Column) -> Column:
+        review = rollup.row_lines(found, pair_line("LTX"), c.REVIEW)
+        last = F.when(F.size(review) > 0, F.array(F.lit(k.PLEASE_REVIEW))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(rollup.row_lines(found, pair_line("LTX"), c.FAIL), review, last), "\n")
+
+    return finished(rows, fields, remark)
+
+
+PTX_CORE = ("Receive Payment Transaction Date", "Currency Id", "Payment Method", "Receive Payment Transaction Type", "Receive Payment Item Type", "Transaction Amount in Foreign Currency")
+
+
+def ptx(test: DataFrame, report: DataFrame, no_fee_fails: bool = False, core: tuple[str, ...] = PTX_CORE) -> DataFrame:
+    """One expected row per fee slot; the last report row counts. A row without fees is skipped, or fails with no_fee_fails.
 
-def ptx(test: DataFrame, report: DataFrame, no_fee_fails: bool = False) -> DataFrame:
-    """One expected row per fee slot; the last report row counts. A row without fees is skipped, or fails with no_fee_fails."""
+    core: the headers to compare; one that no rule is known for fails.
+    """
+    test, report = identified(test), identified(report)
     fee = {i: {"fee_type": lookup(test, k.fee_headers(i)[0]), "fee_amount": lookup(test, *k.fee_aliases(2)[k.fee_headers(i)[2]])} for i in (1, 2)}
     used = {i: ~n.blank(p["fee_type"]) | ~n.blank(p["fee_amount"]) for i, p in fee.items()}
     number_names = ("Test No.", "Test No", "Test Script No.", "Test Script No")
     resident = rules.resident_to_foreign_account(lookup(test, k.RESIDENCE), lookup(test, k.FROM_CCY), lookup(test, k.TO_ACCOUNT_TYPE), lookup(test, k.TO_CCY))
     wanted = (k.TXN_DATE, k.FROM_CCY, k.CIF_NO, k.CIF_NAME, k.TO_CIF_NO, k.TO_CIF_NAME, k.TO_REGION)
     slotted = reshape.slots(test, fee, used)
-    base = slotted.select("_row", "slot", "has_slot", "fee_amount", n.first_filled(*(lookup(test, x) for x in number_names)).alias("test_no"), lookup(test, k.TEST_ID).alias("id"), resident.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted))
+    base = slotted.select(*ROW, "slot", "has_slot", "fee_amount", n.first_filled(*(lookup(test, x) for x in number_names)).alias("test_no"), lookup(test, k.TEST_ID).alias("id"), resident.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted))
     base = base.where((n.trim(F.col("id")) != "") | (F.col("test_no") != ""))
     key = F.when(F.col("has_slot"), keys.slot_key(F.col("id"), F.col("slot"))).otherwise(F.concat(F.lit("NO_FEE_ROW_"), F.col("_row").cast("string")))
-    expected = base.withColumn("key", key).withColumn("_id", F.struct("_row", "slot"))
-    names = (*k.CONTRACTS["DS_PTX"].report, "Payment Method", "Receive Payment Transaction Type", "Receive Payment Item Type", "Receive Payment Item Description", "Data Set Date")
+    expected = base.withColumn("key", key)
+    names = tuple(dict.fromkeys((*k.CONTRACTS["DS_PTX"].report, *core, "Receive Payment Item Description", "Data Set Date")))
     actual = with_key(report, n.trim(lookup(report, "Reference Transaction Number")), names)
-    rows = matching.match(expected, actual, "key", Policy.LAST, ["_row"])
+    rows = matching.match(expected, actual, "key", Policy.LAST, ROW)
     found = F.col("match") == "MATCH"
     outcome = F.when(F.col("excluded") & found, "UNEXPECTED").when(F.col("excluded"), "EXPECTED_ABSENCE").when(~F.col("has_slot") & ~F.lit(no_fee_fails), "SKIP").when(F.col("key").isNull(), "INVALID_KEY").when(~found, "MISSING").otherwise("COMPARE")
     rows = rows.withColumn("outcome", outcome).withColumn("note", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
     amount = number_or_zero(F.col("fee_amount")).cast("string")
-    core = [("Currency Id", "TEXT", at(k.FROM_CCY)), ("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD)), ("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE)), ("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE)), ("Transaction Amount in Foreign Currency", "AMOUNT", amount)]
-    customer = [("Cust Code", k.CIF_NO), ("CMF CODE", k.CIF_NO), ("Cust Name", k.CIF_NAME), ("Involved Party Id", k.TO_CIF_NO), ("Involved Party Name", k.TO_CIF_NAME), ("Country Id of Involved Party", k.TO_REGION)]
-    fields = [
-        c.Field("Receive Payment Transaction Date", c.date_of_set_or_reference(at(k.TXN_DATE), report_field("Data Set Date"), F.col("key")), at(k.TXN_DATE), report_field("Data Set Date")),
-        *(c.Field(name, c.typed(kind, e, report_field(name)), e, report_field(name)) for name, kind, e in core),
-        *(c.Field(name, c.optional_value(at(e), report_field(name)), at(e), report_field(name)) for name, e in customer),
-        c.Field("Receive Payment Item Description", c.optional_value(F.lit(""), report_field("Receive Payment Item Description")), F.lit(""), report_field("Receive Payment Item Description")),
-    ]
-    return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
+    typed = lambda name, kind, e, source, reason="Value Mismatch": c.Field(name, c.typed(kind, e, report_field(name)), e, report_field(name), source, reason)
+    date = "Receive Payment Transaction Date"
+    rules_of = {
+        date: c.Field(date, c.date_of_set_or_reference(at(k.TXN_DATE), report_field("Data Set Date"), F.col("key")), at(k.TXN_DATE), report_field("Data Set Date"), k.TXN_DATE, F.when(dates.loose_date(at(k.TXN_DATE)).isNull(), "Invalid Txn Date").otherwise("Txn Date does not match Data Set Date or Reference Transaction Date")),
+        "Currency Id": typed("Currency Id", "TEXT", at(k.FROM_CCY), k.FROM_CCY),
+        "Payment Method": typed("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD), ""),
+        "Receive Payment Transaction Type": typed("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE), ""),
+        "Receive Payment Item Type": typed("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE), ""),
+        "Transaction Amount in Foreign Currency": typed("Transaction Amount in Foreign Currency", "AMOUNT", amount, "Fee Amount"),
+    }
+    customer = [("Cust Code", k.CIF_NO), ("CMF CODE", k.CIF_NO), ("Cust Name", k.CIF_NAME), ("Involved Party Id", k.TO_CIF_NO), ("Involved Party Name", k.TO_CIF_NAME), ("Country Id of Involved Party", k.TO_REGION), ("Receive Payment Item Description", None)]
+
+    def optional(name: str, source: str | None) -> c.Field:
+        e, a = at(source) if source else F.lit(""), report_field(name)
+        reason = F.when(n.trim(a) == "", "Skipped: the report's value is blank").when(n.trim(e) == "", "Expected Value Is Blank").otherwise("Value Mismatch")
+        return c.Field(name, c.optional_value(e, a), e, a, source or "", reason)
+
+    fields = [*c.for_headers(rules_of, core, report_field), *(optional(*x) for x in customer)]
+    return finished(rows, fields, lambda found: F.array_join(rollup.row_lines(found, reason_line("TS", "DS-PTX"), c.FAIL), "\n"))
 
 
 def ftx(test: DataFrame, report: DataFrame) -> DataFrame:
     """Keys are case-sensitive and must be unique; excluded rows pass whether or not the report has them."""
+    test, report = identified(test), identified(report)
     who = n.first_filled(lookup(test, k.CUSTOMER_TYPE), lookup(test, k.CUSTOMER_TYPE_NAME))
     excluded = rules.excluded_conversion(lookup(test, k.FROM_CCY), lookup(test, k.SETTLED_CCY), who, number(lookup(test, k.SETTLED_AMOUNT)))
     wanted = (k.FROM_CCY, k.SETTLED_CCY, k.TXN_DATE)
-    expected = test.select("_row", lookup(test, k.TEST_NO).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("key"), excluded.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted)).withColumn("_id", F.col("_row"))
+    expected = test.select(*ROW, lookup(test, k.TEST_NO).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("key"), excluded.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted))
     actual = with_key(report, n.trim(lookup(report, "Ref. TX No.")), k.CONTRACTS["DS_FTX"].report)
-    rows = matching.match(expected, actual, "key", Policy.UNIQUE, ["_row"])
+    rows = matching.match(expected, actual, "key", Policy.UNIQUE, ROW)
     outcome = F.when(F.col("key") == "", "BLANK_KEY").when(F.col("excluded"), "EXCLUDED").when(F.col("match") == "MATCH", "COMPARE").otherwise(F.col("match"))
     rows = rows.withColumn("outcome", outcome).withColumn("note", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
     pairs = (("Buy Currency Id", k.FROM_CCY, c.spaced_text), ("Sell Currency Id", k.SETTLED_CCY, c.spaced_text), ("Transaction Date", k.TXN_DATE, c.loose_date))
-    fields = [c.Field(name, f(at(e), report_field(name)), at(e), report_field(name)) for name, e, f in pairs]
-    return finished(rows, c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], fields))
+    fields = [c.Field(name, f(at(e), report_field(name)), at(e), report_field(name), e) for name, e, f in pairs]
+    line = reason_line("Test Data", "DS_FTX", bare_blank=True)
+    return finished(rows, fields, lambda found: F.array_join(F.array_distinct(rollup.row_lines(found, line, c.FAIL)), "\n"), with_skip=False)
 
 
 def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Callable[[DataFrame], Column] | None = None) -> DataFrame:
@@ -137,16 +203,17 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
 
     exception(rows) may give a reason for which a row must not be in the report.
     """
+    test, report = identified(test), identified(report)
     source, target, settled = (n.upper_key(lookup(test, x)) for x in (k.FROM_CCY, k.TO_CCY, k.SETTLED_CCY))
     base = test.select(
-        "_row", lookup(test, k.TEST_NO).alias("test_no"), n.upper_key(lookup(test, k.TEST_ID)).alias("key"), rules.direction(source, target, "THB").alias("direction"), source.alias("from"), target.alias("to"),
+        *ROW, lookup(test, k.TEST_NO).alias("test_no"), n.upper_key(lookup(test, k.TEST_ID)).alias("key"), rules.direction(source, target, "THB").alias("direction"), source.alias("from"), target.alias("to"),
         settled.alias("settled"), number(lookup(test, k.SETTLED_AMOUNT)).alias("amount"), lookup(test, k.TXN_DATE).alias("date"), lookup(test, k.PURPOSE).alias("purpose"),
     ).where("key != ''")
     base = matching.looked_up(base, "settled", usd_rates, "rate")
     usd = F.when(F.col("settled") == "USD", F.col("amount")).otherwise(F.col("amount") * F.col("rate"))
-    expected = base.withColumn("usd", usd).withColumn("reason", exception(base) if exception else F.lit(None).cast("string")).withColumn("_id", F.col("_row"))
+    expected = base.withColumn("usd", usd).withColumn("reason", exception(base) if exception else F.lit(None).cast("string"))
     actual = with_key(report, n.upper_key(lookup(report, "Arr Number")), k.CONTRACTS["DS_FTU"].report).withColumn("report_amount", number(F.col("Foreign Currency Amount")))
-    rows = matching.match(expected, actual, "key", Policy.AGGREGATE, ["_row"], ("report_amount",))
+    rows = matching.match(expected, actual, "key", Policy.AGGREGATE, ROW, ("report_amount",))
     found = F.col("match") == "MATCH"
     unwanted = (F.col("direction") == "NOT_FTU") | F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False)) | F.col("reason").isNotNull()
     outcome = (
@@ -157,26 +224,37 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     )
     note = F.when(F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False)), F.concat(money(F.col("usd")), F.lit(" USD, not to be reported"))).otherwise(F.coalesce("reason", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" ")))))
     rows = rows.withColumn("outcome", outcome).withColumn("note", note)
-    # Every report row of a compared key; the sum is one more field.
-    many = rows.where("outcome = 'COMPARE'").drop("actual").join(actual.select("key", F.struct(*map(at, actual.columns)).alias("actual")), "key")
+    # Every report row of a compared key, in the report's order; the sum is one more field behind them.
+    many = rows.where("outcome = 'COMPARE'").drop("actual").join(actual.select("key", F.struct(*map(at, actual.columns)).alias("actual")), "key").withColumn("_at", F.struct(F.lit(0).alias("summed"), "actual._file", "actual._row"))
     country = F.element_at(F.create_map(*(F.lit(x) for pair in k.COUNTRY_OF.items() for x in pair)), F.col("to"))
     d = F.col("direction")
+    leg = c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL))
+    own = c.directional(d, report_field("Inflow Transaction Purpose"), report_field("Outflow Transaction Purpose"))
     fields = [
-        c.Field("Data Set Date", c.business_date(F.col("date"), report_field("Data Set Date")), F.col("date"), report_field("Data Set Date")),
-        c.Field("Leg Type", c.passed(n.upper_key(report_field("Leg Type")) == c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL))), c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL)), report_field("Leg Type")),
-        c.Field("Purpose", c.purpose(d, F.col("purpose"), report_field("Inflow Transaction Purpose"), report_field("Outflow Transaction Purpose")), F.col("purpose"), c.directional(d, report_field("Inflow Transaction Purpose"), report_field("Outflow Transaction Purpose"))),
-        c.Field("Country", c.passed(n.upper_key(report_field("Country Id of Beneficiary Involved Party")) == country), country, report_field("Country Id of Beneficiary Involved Party")),
-        c.Field("Currency Id", F.when(F.col("settled") == "", c.REVIEW).otherwise(c.passed(n.upper_key(report_field("Currency Id")) == F.col("settled"))), F.col("settled"), report_field("Currency Id")),
+        c.Field("Data Set Date", c.business_date(F.col("date"), report_field("Data Set Date")), F.col("date"), report_field("Data Set Date"), k.TXN_DATE),
+        c.Field("Leg Type", c.passed(n.upper_key(report_field("Leg Type")) == leg), leg, report_field("Leg Type"), fixed=True),
+        c.Field("Purpose", c.purpose(d, F.col("purpose"), report_field("Inflow Transaction Purpose"), report_field("Outflow Transaction Purpose")), F.col("purpose"), own, k.PURPOSE),
+        c.Field("Country", c.passed(n.upper_key(report_field("Country Id of Beneficiary Involved Party")) == country), country, report_field("Country Id of Beneficiary Involved Party"), k.TO_CCY),
+        c.Field("Currency Id", F.when(F.col("settled") == "", c.REVIEW).otherwise(c.passed(n.upper_key(report_field("Currency Id")) == F.col("settled"))), F.col("settled"), report_field("Currency Id"), k.SETTLED_CCY),
     ]
-    per_row = c.long_results(many, ["_id"], fields)
+    per_row = c.long_results(many, [*ROW, "_at"], fields)
     summed = F.when(F.col("amount").isNull(), c.REVIEW).otherwise(c.passed((F.col("nulls_report_amount") == 0) & within(F.col("amount"), F.col("sum_report_amount"))))
-    per_key = c.long_results(rows.where("outcome = 'COMPARE'"), ["_id"], [c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"))])
-    return finished(rows, per_row.unionByName(per_key))
+    whole = rows.where("outcome = 'COMPARE'").withColumn("_at", F.struct(F.lit(1).alias("summed"), F.lit("").alias("_file"), F.lit(0).cast(rows.schema["_row"].dataType).alias("_row")))
+    per_key = c.long_results(whole, [*ROW, "_at"], [c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)])
+    both = per_row.unionByName(per_key).withColumn("_place", F.struct("_at", "ordinal"))
+    result = F.struct(*(F.col(x) for x in ("field", "expected", "actual", "source", "reason", "fixed")))
+    fields_of = lambda s: F.array_sort(F.collect_set(F.when(F.col("status") == s, F.col("field"))))
+    rolled = both.groupBy(*ROW).agg(
+        rollup.group_status(F.col("status")).alias("_status"), rollup.ordered(pair_line("FTU")(result), F.col("status").isin(c.FAIL, c.REVIEW), "_place").alias("_lines"), *(fields_of(s).alias(f"_{s}") for s in (c.PASS, c.FAIL, c.REVIEW))
+    )
+    several = F.when(F.col("n_actual") > 1, F.array(F.format_string("Aggregate %d raw rows by Arr Number.", F.col("n_actual")))).otherwise(F.array().cast("array<string>"))
+    joined = rows.join(rolled, ROW, "left")
+    return named(joined, F.col("_status"), F.array_join(F.concat("_lines", several), "\n"), F.col(f"_{c.PASS}"), F.col(f"_{c.FAIL}"), F.col(f"_{c.REVIEW}"))
 
 
 def unmatched_report_rows(results: DataFrame, report: DataFrame, key: Column) -> DataFrame:
     """Report rows whose key no test row expects, with status UNTAGGED."""
-    rows = report.select(key.alias("key"), F.col("_row").alias("report_row"))
+    rows = identified(report).select(key.alias("key"), F.col("_file").alias("report_file"), F.col("_row").alias("report_row"))
     return matching.untagged(rows, results, "key").withColumn("status", F.lit("UNTAGGED"))
 
 

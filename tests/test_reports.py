@@ -21,7 +21,7 @@ def test_unique_keys(spark):
     report = sheet(spark, [row | {"Ref. TX No.": i} for i in ("ok ", "dup", "dup", "AB1", "thb", "extra")] + [row | {"Ref. TX No.": "bad", "Sell Currency Id": "JPY"}])
     out = reports.ftx(test, report)
     assert results(out) == {"ok": ("PASS", "COMPARE", 6), "bad": ("FAIL", "COMPARE", 12), "dup": ("FAIL", "DUPLICATE", 7), "gone": ("FAIL", "MISSING", None), "ab1": ("FAIL", "MISSING", None), "thb": ("PASS", "EXCLUDED", 10), "": ("FAIL", "BLANK_KEY", None)}
-    assert {r.key: r.remark for r in out.collect()}["bad"] == "Sell Currency Id: expected EUR, actual JPY"
+    assert {r.key: r.remark for r in out.collect()}["bad"] == "Sell Currency Id: Value Mismatch | [Test Data]: EUR | [DS_FTX]: JPY"
     left = reports.unmatched_report_rows(out, report, F.trim("`Ref. TX No.`"))
     assert sorted(r.key for r in left.collect()) == ["AB1", "extra"]
     assert tuple(reports.summary(out).first()) == (7, 2, 5, 0)
@@ -53,3 +53,49 @@ def test_summed_rows(spark):
     report = sheet(spark, [row | {"Arr Number": i, "Foreign Currency Amount": a} for i, a in (("SUM", "10"), ("sum", "20"), ("short", "10"), ("short", "20"), ("other", "1"))])
     out = results(reports.ftu(test, report, spark.createDataFrame([("JPY", 0.01)], "currency string, rate double")))
     assert {i: v[:2] for i, v in out.items()} == {"SUM": ("PASS", "COMPARE"), "SHORT": ("FAIL", "COMPARE"), "BIG": ("PASS", "EXPECTED_ABSENCE"), "GONE": ("FAIL", "MISSING"), "EUR": ("FAIL", "NO_RATE"), "BLANK": ("PASS", "EXPECTED_ABSENCE"), "THB": ("FAIL", "INVALID"), "OTHER": ("FAIL", "UNEXPECTED")}
+
+
+def test_rows_of_several_files(spark):
+    """Rows 6 of two files are two rows, on either side, in every plan."""
+    two = lambda rows: (lambda s: s.where("_row = 6").withColumn("_file", F.lit("a")).unionByName(s.where("_row = 7").withColumn("_file", F.lit("b")).withColumn("_row", F.lit(6).cast("long"))))(sheet(spark, rows))
+    both = lambda out: {(r.key, r._file): (r.status, r.remark != "", r.report_file) for r in out.collect()}
+    base = {k.TXN_DATE: "01/02/2025", k.FROM_CCY: "USD", k.TO_CCY: "THB", k.SETTLED_CCY: "USD", k.SETTLED_AMOUNT: "5", k.FROM_ACCOUNT: "acc", k.TRANSFER_AMOUNT: "5", k.CUSTOMER_TYPE: "NR", "Fee Type 1": "F", "Fee Amount Type 1": "5", k.PURPOSE: "P1"}
+    test = two([base | {k.TEST_ID: "good11", k.TEST_NO: "1"}, base | {k.TEST_ID: "baad11", k.TEST_NO: "2"}])
+    report = lambda key, one, other, row, wrong: two([row | {key: one} | wrong, row | {key: other}])
+    ftx = reports.ftx(test, report("Ref. TX No.", "baad11", "good11", {"Buy Currency Id": "USD", "Sell Currency Id": "USD", "Transaction Date": "01/02/2025"}, {"Buy Currency Id": "JPY"}))
+    assert both(ftx) == {("good11", "a"): ("PASS", False, "b"), ("baad11", "b"): ("FAIL", True, "a")}
+    ptx_row = {"Data Set Date": "01/02/2025", "Currency Id": "USD", "Payment Method": k.PAYMENT_METHOD, "Receive Payment Transaction Type": k.TRANSACTION_TYPE, "Receive Payment Item Type": k.ITEM_TYPE, "Transaction Amount in Foreign Currency": "5"}
+    ptx = reports.ptx(test, report("Reference Transaction Number", "BAAD11_01_GPMH_BAA_RM", "GOOD11_01_GPMH_GOO_RM", ptx_row, {"Currency Id": "JPY"}))
+    assert both(ptx) == {("GOOD11_01_GPMH_GOO_RM", "a"): ("PASS", False, "b"), ("BAAD11_01_GPMH_BAA_RM", "b"): ("FAIL", True, "a")}
+    ltx_row = {"FI Arrangement Number": "ACC", "Currency Id": "USD", "Transaction Date": "01/02/2025", "Outflow Transaction Purpose": "P1", "Transaction Amount": "5"}
+    ltx = reports.ltx(test, report("Reference Transaction Number", "BAAD11DR", "GOOD11DR", ltx_row, {"Transaction Amount": "6"}))
+    assert {key: v for key, v in both(ltx).items() if key[0].endswith("DR")} == {("GOOD11DR", "a"): ("PASS", False, "b"), ("BAAD11DR", "b"): ("FAIL", True, "a")}
+    ftu_row = {"Data Set Date": "01/02/2025", "Leg Type": k.LEG_BUY, "Inflow Transaction Purpose": "P1", "Country Id of Beneficiary Involved Party": "US", "Currency Id": "USD", "Foreign Currency Amount": "5"}
+    ftu = reports.ftu(test, report("Arr Number", "BAAD11", "GOOD11", ftu_row, {"Leg Type": k.LEG_SELL}), spark.createDataFrame([], "currency string, rate double"))
+    assert {key: v[0] for key, v in both(ftu).items()} == {("GOOD11", "a"): "FAIL", ("BAAD11", "b"): "FAIL"}
+    # Of equal keys the first and the last row go by file, then row.
+    same = report("Reference Transaction Number", "GOOD11DR", "GOOD11DR", ltx_row, {"Transaction Amount": "6"})
+    assert both(reports.ltx(test, same))["GOOD11DR", "a"] == ("FAIL", True, "a")
+
+
+def test_remarks(spark):
+    test = sheet(spark, [{k.TEST_ID: "abcdef", k.TEST_NO: "1", k.FROM_ACCOUNT: "acc", k.FROM_CCY: "USD", k.TXN_DATE: "01/02/2025", k.TRANSFER_AMOUNT: "5", k.TO_CIF_NAME: "N", "Fee Type 1": "F"}])
+    row = {"Reference Transaction Number": "ABCDEFDR", "FI Arrangement Number": "other", "Transaction Amount": "5", "Currency Id": "EUR", "Transaction Date": "01/02/2025", "Beneficiary or Sender Name": "N", "Relationship with Beneficiary or Sender": "1"}
+    ltx = reports.ltx(test, sheet(spark, [row])).first()
+    assert ltx.remark.split("\n") == [f'[TS] : {k.FROM_ACCOUNT} = "acc" | [LTX] : FI Arrangement Number = "other"', '[TS] : From Currency (CCY) = "USD" | [LTX] : Currency Id = "EUR"', f'[TS] : {k.PURPOSE} = "" | [LTX] : Outflow Transaction Purpose = ""', f'[LTX] : Relationship with Beneficiary or Sender = "1" {k.MUST_BE} "172064"', k.PLEASE_REVIEW]
+    ptx_row = {"Reference Transaction Number": "ABCDEF_01_GPMH_ABC_RM", "Data Set Date": "2025-02-01", "Currency Id": "USD", "Cust Code": "7", "Transaction Amount in Foreign Currency": ""}
+    ptx = reports.ptx(test, sheet(spark, [ptx_row]), core=("Currency Id", "Unheard Of")).first()
+    assert ptx.remark.split("\n") == ["Unheard Of: Compare Rule Not Found | [TS]: (blank) | [DS-PTX]: (blank)", "Cust Code: Expected Value Is Blank | [TS]: (blank) | [DS-PTX]: 7"]
+    assert ptx.passed_fields == ["Currency Id"] and ptx.failed_fields == ["Cust Code", "Unheard Of"]
+    ftu_test = sheet(spark, [{k.TEST_ID: "a", k.FROM_CCY: "THB", k.TO_CCY: "USD", k.SETTLED_CCY: "USD", k.SETTLED_AMOUNT: "3", k.TXN_DATE: "01/12/2025"}])
+    ftu_row = {"Arr Number": "A", "Data Set Date": "01/12/2025", "Leg Type": k.LEG_SELL, "Country Id of Beneficiary Involved Party": "US", "Currency Id": "USD", "Foreign Currency Amount": "1"}
+    ftu = reports.ftu(ftu_test, sheet(spark, [ftu_row, ftu_row]), spark.createDataFrame([], "currency string, rate double")).first()
+    assert ftu.status == "FAIL" and ftu.remark.split("\n")[-2:] == [f'[TS] : {k.SETTLED_AMOUNT} = "3.0" | [FTU] : Foreign Currency Amount = "2.0"', "Aggregate 2 raw rows by Arr Number."]
+
+
+def test_nothing_is_shuffled_after_the_match(spark):
+    base = {k.TEST_ID: "abcdef", k.TEST_NO: "1", k.TXN_DATE: "01/02/2025", k.FROM_CCY: "USD", "Fee Type 1": "F"}
+    test = report = sheet(spark, [base | {"Ref. TX No.": "abcdef", "Reference Transaction Number": "x"}])
+    for plan in (reports.ltx, reports.ptx, reports.ftx):
+        text = plan(test, report)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Scan ExistingRDD") <= 2 and text.count("Exchange") <= 3, plan
