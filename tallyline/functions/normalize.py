@@ -80,3 +80,9 @@ def blank(c: Column) -> Column:
 def first_filled(*cs: Column) -> Column:
     """The first trimmed value that isn't blank; blank if none is."""
     return F.coalesce(*(F.nullif(trim(c), F.lit("")) for c in cs), F.lit(""))
+
+
+def without_placeholder(c: Column, *messages: str) -> Column:
+    """The value, blank where it is a message that a validation left in a blank cell."""
+    v = value(c)
+    return F.when(v.isin(*messages), "").otherwise(v)

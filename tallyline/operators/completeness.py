@@ -22,7 +22,8 @@ def header_match(required: DataFrame, actual: DataFrame, aliases: DataFrame) ->
     known = named.unionByName(required.join(aliases, "name").select("name", n.canonical_header(F.col("alias")).alias("k"), F.lit(1).alias("by_alias")))
     heads = actual.select("position", "header", n.canonical_header(F.col("header")).alias("k"), n.bare_header(F.col("header")).alias("bare"))
     exact = known.join(heads, "k").groupBy("name").agg(F.min_by(F.struct("header", "position", "by_alias"), F.struct("position", "by_alias")).alias("e"))
-    like = required.select("name", n.bare_header(F.col("name")).alias("bare")).join(heads, "bare").groupBy("name").agg(F.min_by(F.struct("header", "position"), "position").alias("s"))
+    # Headers without a letter or digit are like none.
+    like = required.select("name", n.bare_header(F.col("name")).alias("bare")).where("bare != ''").join(heads, "bare").groupBy("name").agg(F.min_by(F.struct("header", "position"), "position").alias("s"))
     joined = required.join(exact, "name", "left").join(like, "name", "left")
     outcome = F.when(F.col("e.by_alias") == 0, "FOUND").when(F.col("e").isNotNull(), "ALIAS").when(F.col("s").isNotNull(), "SYMBOL_NOT_MATCH").otherwise("NO_SIMILAR_HEADER")
     return joined.select("name", outcome.alias("outcome"), F.coalesce("e.header", "s.header").alias("header"), F.coalesce("e.position", "s.position").alias("position"))
@@ -33,6 +34,11 @@ def not_in(required: DataFrame, actual: DataFrame, name: str) -> DataFrame:
     return required.select(name).distinct().join(actual.select(name), name, "left_anti")
 
 
+def unsupported(requested: list[str], supported: list[str]) -> list[str]:
+    """Distinct requested names, in order, that aren't supported."""
+    return [x for x in dict.fromkeys(requested) if x not in set(supported)]
+
+
 def required_cells(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """keys, header, value, status (FOUND or EMPTY) for each cell; columns that rows lack are left out."""
     have = [c for c in columns if c in rows.columns]
@@ -41,7 +47,7 @@ def required_cells(rows: DataFrame, keys: list[str], columns: list[str]) -> Data
 
 
 def complete_group(kind: Column, account: Column, amount: Column) -> Column:
-    """Array of (part, status) for a group of three cells.
+    """Array of (part, value, status) for a group of three cells.
 
     All filled: three FOUND. None: nothing. The amount alone: the others are to be checked. Else blanks
     are required.
@@ -50,19 +56,20 @@ def complete_group(kind: Column, account: Column, amount: Column) -> Column:
     filled = k.cast("int") + a.cast("int") + m.cast("int")
     alone = m & ~k & ~a
     state = lambda have: F.when(have, FOUND).when(alone, INCOMPLETE_CHECK).otherwise(INCOMPLETE_REQUIRED)
-    parts = F.array(*(F.struct(F.lit(p).alias("part"), state(have).alias("status")) for p, have in (("type", k), ("account", a), ("amount", m))))
+    cells = (("type", k, kind), ("account", a, account), ("amount", m, amount))
+    parts = F.array(*(F.struct(F.lit(p).alias("part"), n.value(c).alias("value"), state(have).alias("status")) for p, have, c in cells))
     return F.when(filled > 0, parts).otherwise(F.filter(parts, lambda x: F.lit(False)))
 
 
 def group_completeness(rows: DataFrame, keys: list[str], groups: list[tuple[str, str, str]]) -> DataFrame:
-    """keys, slot, part, status for each filled group; a group with a missing column is skipped."""
+    """keys, slot, part, value, status for each filled group; a group with a missing column is skipped."""
     have = [(i, g) for i, g in enumerate(groups, 1) if set(g) <= set(rows.columns)]
     made = F.flatten(F.array(*(_slotted(i, complete_group(*(F.col(f"`{c}`") for c in g))) for i, g in have)))
     return rows.select(*keys, F.inline(made))
 
 
 def _slotted(slot: int, parts: Column) -> Column:
-    return F.transform(parts, lambda x: F.struct(F.lit(slot).alias("slot"), x["part"].alias("part"), x["status"].alias("status")))
+    return F.transform(parts, lambda x: F.struct(F.lit(slot).alias("slot"), x["part"].alias("part"), x["value"].alias("value"), x["status"].alias("status")))
 
 
 def without_trailing_blanks(rows: DataFrame, per: list[str], ordinal: str, filled: Column) -> DataFrame:

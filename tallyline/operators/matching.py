@@ -105,7 +105,7 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Data
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
-def fan_out(actual: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+def fan_out(actual: DataFrame, groups: DataFrame, key: str | list[str]) -> DataFrame:
     """Each actual row with every result group of its key; rows without one stay, with blank status."""
     return actual.join(groups, key, "left")
 

@@ -15,6 +15,17 @@ def counts(rows: DataFrame, by: list[str], status: str = "status") -> DataFrame:
     return out.withColumn("balanced", F.col("total") == F.col("n_pass") + F.col("n_fail") + F.col("n_skip"))
 
 
+def integrity(results: DataFrame, details: DataFrame, status: str = "status") -> DataFrame:
+    """One row: total, n_pass, n_fail, n_skip, n_details, balanced (these make up the total) and complete (as many details as results)."""
+    total = counts(results, [], status)
+    return total.crossJoin(details.agg(F.count("*").alias("n_details"))).withColumn("complete", F.col("total") == F.col("n_details"))
+
+
+def violations(checked: DataFrame) -> DataFrame:
+    """Rows of integrity() that don't add up, for enforce()."""
+    return checked.where("not balanced or not complete")
+
+
 def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

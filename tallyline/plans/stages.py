@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as n
 from ..operators import completeness, matching, reshape, rollup
 from . import contracts as k
-from .reports import at, lookup
+from .reports import ROW, at, identified, lookup
 
 #: Headers of fee columns; the slot is the number in them.
 FEE_HEADERS = {"type": r"^fee type (\d+)$", "account": r"^fee charge account no\.? type (\d+)$", "amount": r"^fee amount(?: type)? (\d+)$", "currency": r"^fee currency (\d+)$"}
@@ -46,14 +47,29 @@ def require_headers(found: DataFrame) -> None:
 
 
 def check_cells(test: DataFrame, contract: k.Contract) -> DataFrame:
-    """_row, header, value, status for required cells, and for the parts of fee groups that have any; rows after the last filled one aren't checked."""
-    names = [c for c in (k.TEST_ID, *contract.core, *contract.customer)]
-    cells = completeness.required_cells(test.select("_row", *(lookup(test, c).alias(c) for c in names)), ["_row"], names)
+    """The validation sheet: _file, _row, header, value, status, remark for required cells, and for the parts of fee groups that have any; rows after a file's last filled one aren't checked."""
+    test = identified(test)
+    names = [k.TEST_ID, *contract.core, *contract.customer]
+    cells = completeness.required_cells(test.select(*ROW, *(lookup(test, c).alias(c) for c in names)), ROW, names)
     groups = [(i, g) for i, g in fee_columns(test.columns).items() if {"type", "account", "amount"} <= set(g) and i <= contract.fee_slots]
     if groups:
-        parts = completeness.group_completeness(test, ["_row"], [(g["type"], g["account"], g["amount"]) for _, g in groups])
-        header = F.concat_ws(" ", F.lit("Fee"), "part", "slot")
-        cells = cells.unionByName(parts.select("_row", header.alias("header"), F.lit("").alias("value"), "status"))
+        parts = completeness.group_completeness(test, ROW, [(g["type"], g["account"], g["amount"]) for _, g in groups])
+        slot = F.element_at(F.array(*(F.lit(i) for i, _ in groups)), F.col("slot"))
+        cells = cells.unionByName(parts.select(*ROW, F.concat_ws(" ", F.lit("Fee"), "part", slot).alias("header"), "value", "status"))
+    remark = F.when(F.col("status") == completeness.FOUND, k.HAS_VALUE).when(F.col("status") == completeness.INCOMPLETE_CHECK, k.CHECK_MESSAGE).otherwise(k.REQUIRED_MESSAGE)
+    return cells.withColumn("remark", remark)
+
+
+def validate(test: DataFrame, columns: list[str], contract: k.Contract, write: Callable[[str, DataFrame], None]) -> DataFrame:
+    """Check headers, then cells; hand both results to write; then raise if a required header is missing. Cells that don't pass fail nothing. Returns the cells' results.
+
+    Cells are never changed: what a check says about them stands beside them, not in them.
+    """
+    headers = check_headers(test.sparkSession, columns, contract.test_data(), contract.fee_slots)
+    cells = check_cells(test, contract)
+    write("headers", headers)
+    write("cells", cells)
+    require_headers(headers)
     return cells
 
 
@@ -62,26 +78,35 @@ def output_rows(results: DataFrame, report: DataFrame, key: Column, order: tuple
 
     A report row that several results share appears once for each.
     """
-    rows = report.withColumn("report_row", F.col("_row")).drop("_row", *({"_file"} & set(report.columns)))
-    tagged = results.select("test_no", "key", "status", "outcome", "remark", "report_row")
-    found = matching.fan_out(rows, tagged.where("report_row is not null"), "report_row").withColumn("key", F.coalesce("key", key))
+    rows = identified(report).withColumnsRenamed({"_row": "report_row", "_file": "report_file"})
+    tagged = results.select("test_no", "key", "status", "outcome", "remark", "report_file", "report_row")
+    found = matching.fan_out(rows, tagged.where("report_row is not null"), ["report_file", "report_row"]).withColumn("key", F.coalesce("key", key))
     lacking = tagged.where("report_row is null").withColumn("status", F.when(F.col("outcome") == "EXPECTED_ABSENCE", "EXPECTED_ABSENCE").when(F.col("status") == "FAIL", "MISSING").otherwise(F.col("status")))
     all_rows = found.withColumn("status", F.coalesce("status", F.lit("UNTAGGED"))).unionByName(lacking, allowMissingColumns=True)
-    return rollup.in_order(all_rows, "status", ["report_row", "key"], order)
+    return rollup.in_order(all_rows, "status", ["report_file", "report_row", "key"], order)
 
 
-def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] = ("DR", "FE")) -> DataFrame:
-    """Each result beside its test row: by reference without its suffix, else by test number where that is unique; `tier` tells which.
+def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] = ("DR", "FE"), by_reference: bool = True, fees_too: bool = True) -> DataFrame:
+    """Each result beside its test row (test_file, test_row): by reference without its suffix, else by test number where that is unique; `tier` tells which.
 
-    Filled fee groups come as one array column, `fees`, of (slot, type, account, amount).
+    Without by_reference the test number alone counts, of several test rows the first. Messages that a
+    validation left in blank cells are blank. Filled fee groups come as one array column, `fees`, of
+    (slot, type, account, amount).
     """
-    fees = {i: {p: n.text(at(g[p])) if p in g else F.lit("") for p in ("type", "account", "amount")} for i, g in fee_columns(test.columns).items()}
+    test = identified(test)
+    plain = lambda c: n.without_placeholder(c, k.REQUIRED_MESSAGE, k.CHECK_MESSAGE)
+    fees = {i: {p: plain(at(g[p])) if p in g else F.lit("") for p in ("type", "account", "amount")} for i, g in fee_columns(test.columns).items()} if fees_too else {}
     used = {i: (p["type"] != "") | (p["account"] != "") | (p["amount"] != "") for i, p in fees.items()}
     active = reshape.active_slots(fees, used) if fees else F.lit(None).cast("array<struct<slot:int,type:string,account:string,amount:string>>")
-    keyed = test.select(F.col("_row").alias("test_row"), n.summary_key(lookup(test, k.TEST_ID)).alias("reference"), n.summary_key(lookup(test, k.TEST_NO)).alias("number"), active.alias("fees"))
-    rows = results.withColumn("reference", n.strip_suffix(n.summary_key(F.col("key")), *suffixes)).withColumn("number", n.summary_key(F.col("test_no")))
-    found = matching.two_tier(rows, keyed.where("reference != ''"), "reference", "number", "test_row")
-    return found.join(keyed.select("test_row", "fees"), "test_row", "left").drop("reference", "number")
+    found_at = F.struct(F.col("_file").alias("test_file"), F.col("_row").alias("test_row"))
+    keyed = test.select(found_at.alias("test_at"), n.summary_key(plain(lookup(test, k.TEST_ID))).alias("reference"), n.summary_key(plain(lookup(test, k.TEST_NO))).alias("number"), active.alias("fees"))
+    rows = results.withColumn("reference", n.strip_suffix(n.summary_key(F.col("key")), *suffixes) if suffixes else n.summary_key(F.col("key"))).withColumn("number", n.summary_key(F.col("test_no")))
+    if by_reference:
+        found = matching.two_tier(rows, keyed.where("reference != ''"), "reference", "number", "test_at")
+    else:
+        first = keyed.where("number != ''").groupBy("number").agg(F.min("test_at").alias("test_at"))
+        found = rows.join(first, "number", "left").withColumn("tier", F.when(F.col("test_at").isNotNull(), 2).otherwise(0))
+    return found.join(keyed.select("test_at", "fees"), "test_at", "left").select("*", "test_at.test_file", "test_at.test_row").drop("reference", "number", "test_at")
 
 
 def repeated_tests(test: DataFrame) -> DataFrame:

@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAMP = r"(\d{8}_\d{6})"
 
 
-def listed(spark: SparkSession, folder: str, pattern: str = "*.xls*") -> DataFrame:
-    """(path, name, stamp, modified) of a folder's files; lock files are left out and no content is read. stamp: the last yyyyMMdd_HHmmss in the name."""
+#: What the names of results, which aren't reports, contain.
+RESULTS = ("COMPARE_RESULT", "AUTOMATION_SUMMARY")
+
+
+def listed(spark: SparkSession, folder: str, pattern: str = "*.xlsx", code: str = "", without: tuple[str, ...] = ()) -> DataFrame:
+    """(path, name, stamp, modified) of a folder's files; lock files are left out and no content is read. stamp: the last yyyyMMdd_HHmmss in the name.
+
+    Case aside, the name must contain code and none of `without`.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", F.col("modificationTime").alias("modified"))
     named = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).where("not startswith(name, '~$')")
+    named = named.where(F.contains(F.upper("name"), F.lit(code.upper())))
+    for part in without:
+        named = named.where(~F.contains(F.upper("name"), F.lit(part.upper())))
     stamps = F.regexp_extract_all("name", F.lit(STAMP), F.lit(1))
     return named.select("path", "name", F.get(stamps, F.size(stamps) - 1).alias("stamp"), "modified")
 
 
+def newest_report(spark: SparkSession, folder: str, code: str, by_name: bool = False) -> str:
+    """The newest workbook of a report: its name holds the report's code and isn't that of a result."""
+    return newest(listed(spark, folder, code=code, without=RESULTS), by_name)
+
+
 def newest(files: DataFrame, by_name: bool = True) -> str:
     """The path of the newest file, by the stamp in its name, then its time, then its name; raises if there is none."""
     order = [F.desc_nulls_last("stamp")] * by_name + [F.desc("modified"), F.desc("name")]
@@ -29,10 +47,32 @@ def report_code(name: Column, codes: list[str]) -> Column:
     return F.coalesce(*(F.when(F.contains(F.upper(name), F.lit(c)), c) for c in codes))
 
 
-def publish(results: DataFrame, base: str, report: str, run_id: str, kind: str = "parquet", inputs: tuple[str, ...] = ()) -> str:
-    """Write results under a folder of their own, which must not exist nor be an input; Spark's commit makes it appear whole."""
+def _plain(path: str) -> list[str]:
+    """The parts of a path, without scheme and host, `.` and `..`."""
+    return posixpath.normpath(re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path)).strip("/").split("/")
+
+
+def overlap(one: str, other: str) -> bool:
+    """Whether two paths are the same or one lies within the other, however they are written."""
+    a, b = _plain(one), _plain(other)
+    return a[: len(b)] == b or b[: len(a)] == a
+
+
+def free_name(spark: SparkSession, path: str, most: int = 9_999) -> str:
+    """The path, or the first of path_01, path_02, ... that doesn't exist; raises if all do."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in (path, *(f"{path}_{i:02d}" for i in range(1, most + 1))):
+        if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(name)):
+            return name
+    raise FileExistsError(f"{path} and {most} more names are taken")
+
+
+def publish(results: DataFrame, base: str, report: str, run_id: str, kind: str = "parquet", inputs: tuple[str, ...] = (), another_name: bool = False) -> str:
+    """Write results under a folder of their own, which must not exist nor overlap with an input; Spark's commit makes it appear whole. With another_name a taken folder gets the next free number instead."""
     path = f"{base.rstrip('/')}/report={report}/run={run_id}"
-    if path in {i.rstrip("/") for i in inputs}:
-        raise ValueError(f"{path} is an input")
+    if hit := [i for i in inputs if overlap(path, i)]:
+        raise ValueError(f"{path} is an input, or lies in or around one: {hit[0]}")
+    path = free_name(results.sparkSession, path) if another_name else path
     results.write.mode("errorifexists").format(kind).save(path)
     return path

@@ -8,16 +8,21 @@ from __future__ import annotations
 
 import datetime
 import io
+import itertools
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+#: Rows of a batch that a worker returns.
+BATCH = 2_000
+ARROW = {"string": pa.string(), "long": pa.int64(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "timestamp_ntz": pa.timestamp("us")}
 #: Built-in number formats that are dates.
 _DATES = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 
@@ -55,6 +60,22 @@ class Workbook:
         cells = root.find(f"{_NS}cellXfs")
         return {i for i, x in enumerate(cells if cells is not None else []) if int(x.get("numFmtId", 0)) in own | _DATES}
 
+    def typed(self, cell: ElementTree.Element) -> tuple[str, str, float | None, datetime.datetime | None, bool | None]:
+        """(kind, text, number, moment, truth) of a cell; kind: blank, text, number, date, boolean or error."""
+        text, kind, v = self._text(cell), cell.get("t"), cell.find(f"{_NS}v")
+        if kind in ("inlineStr", "s", "str"):
+            return ("text" if text else "blank"), text, None, None, None
+        if v is None or v.text is None:
+            return "blank", "", None, None, None
+        if kind == "b":
+            return "boolean", text, None, None, v.text == "1"
+        if kind == "e":
+            return "error", text, None, None, None
+        number = float(v.text)
+        if int(cell.get("s", 0)) in self.date_styles:
+            return "date", text, number, datetime.datetime(1899, 12, 30) + datetime.timedelta(days=number), None
+        return "number", text, number, None, None
+
     def _text(self, cell: ElementTree.Element) -> str:
         kind, v = cell.get("t"), cell.find(f"{_NS}v")
         if kind == "inlineStr":
@@ -72,8 +93,9 @@ class Workbook:
             return (datetime.datetime(1899, 12, 30) + datetime.timedelta(days=number)).strftime("%d/%m/%Y")
         return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
 
-    def rows(self, sheet: str | None = None) -> Iterator[tuple[int, dict[int, str]]]:
-        """(row number, position -> text) of the sheet of that name, case aside, or of the first one."""
+    def rows(self, sheet: str | None = None, cell=None) -> Iterator[tuple[int, dict[int, str]]]:
+        """(row number, position -> text, or what cell() makes of it) of the sheet of that name, case aside, or of the first one."""
+        cell = cell or self._text
         named = [part for name, part in self.sheets if sheet is None or name.lower() == sheet.lower()]
         if not named:
             raise ValueError(f"no sheet {sheet!r} among {[name for name, _ in self.sheets]}")
@@ -83,52 +105,77 @@ class Workbook:
                 if row.tag != f"{_NS}row":
                     continue
                 at = int(row.get("r", at + 1))
-                yield at, {_column(c.get("r")) if c.get("r") else i: self._text(c) for i, c in enumerate(row.iter(f"{_NS}c"))}
+                yield at, {_column(c.get("r")) if c.get("r") else i: cell(c) for i, c in enumerate(row.iter(f"{_NS}c"))}
                 row.clear()
 
 
-def headers(content: bytes, sheet: str | None, header_row: int, trimmed: bool) -> dict[int, str]:
-    """Position -> header; positions without one are left out."""
-    for at, cells in Workbook(content).rows(sheet):
+def headers(book: Workbook, sheet: str | None, header_row: int, trimmed: bool, blank: bool = False) -> dict[int, str]:
+    """Position -> header; positions without one are left out, or with blank are blank up to the sheet's last used position."""
+    found: dict[int, str] = {}
+    last = -1
+    for at, cells in book.rows(sheet):
+        last = max(last, *cells) if cells else last
         if at == header_row:
-            return {i: t for i, h in cells.items() if (t := h.strip() if trimmed else h).strip()}
-        if at > header_row:
+            found = {i: t for i, h in cells.items() if (t := h.strip() if trimmed else h).strip()}
+        if at >= header_row and not blank:
             break
-    return {}
+    return {i: found.get(i, "") for i in range(last + 1)} if blank else found
 
 
-def read_headers(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, trimmed: bool = True) -> DataFrame:
-    """(file, position, header) of each workbook under path; positions from 1."""
+def _mapped(spark: SparkSession, path: str, rows_of: Callable[[Workbook], Iterator[tuple]], schema: str) -> DataFrame:
+    """(file, ...) of what rows_of() makes of each workbook under path, in batches of BATCH rows."""
+    types = spark.createDataFrame([], schema).schema
+    kinds = [pa.string(), *(ARROW[f.dataType.typeName()] for f in types.fields[1:])]
 
     def run(batches):
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = sorted(headers(content, sheet, header_row, trimmed).items())
-                yield pa.RecordBatch.from_arrays([pa.array([file] * len(found), pa.string()), pa.array([i + 1 for i, _ in found], pa.int64()), pa.array([h for _, h in found], pa.string())], names=["file", "position", "header"])
+                rows = rows_of(Workbook(content))
+                while part := list(itertools.islice(rows, BATCH)):
+                    columns = [[file] * len(part), *map(list, zip(*part, strict=True))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=types.names)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, types)
+
+
+def read_headers(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, trimmed: bool = True, blank: bool = False) -> DataFrame:
+    """(file, position, header) of each workbook under path; positions from 1, those without a header only with blank."""
+    return _mapped(spark, path, lambda book: ((i + 1, h) for i, h in sorted(headers(book, sheet, header_row, trimmed, blank).items())), "file string, position long, header string")
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, position long, header string")
 
+def read_cells(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1) -> DataFrame:
+    """Typed cells below the header row: file, row, position, header, kind (blank cells are left out), text, number, moment, truth. A position without a header is named column<n>."""
 
-def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, trimmed: bool = True) -> DataFrame:
+    def rows_of(book: Workbook) -> Iterator[tuple]:
+        heads = headers(book, sheet, header_row, True)
+        for at, cells in book.rows(sheet, book.typed):
+            if at > header_row:
+                for i, (kind, *value) in sorted(cells.items()):
+                    if kind != "blank":
+                        yield (at, i + 1, heads.get(i, f"column{i + 1}"), kind, *value)
+
+    return _mapped(spark, path, rows_of, "file string, row long, position long, header string, kind string, text string, number double, moment timestamp_ntz, truth boolean")
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, trimmed: bool = True, nameless: bool = False) -> DataFrame:
     """The rows below the header row: `_file`, `_row` (from 1) and a text column for each header.
 
-    Of headers that repeat the last counts. Rows blank in all named columns are dropped. Only headers
-    are read ahead of the rows.
+    Of headers that repeat the last counts. Rows blank in all named columns are dropped. Only headers,
+    each once, are read ahead of the rows. nameless: positions without a header are columns too, named
+    column<n>.
     """
-    names = list(dict.fromkeys(r.header for r in read_headers(spark, path, sheet, header_row, trimmed).orderBy("file", "position").collect()))
-    fields = ["_file", "_row", *names]
+    found = read_headers(spark, path, sheet, header_row, trimmed, blank=nameless)
+    name = F.when(F.col("header") == "", F.concat(F.lit("column"), F.col("position").cast("string"))).otherwise(F.col("header"))
+    first = found.select("file", "position", name.alias("header")).groupBy("header").agg(F.min(F.struct("file", "position")).alias("at"))
+    names = [r.header for r in first.orderBy("at").select("header").collect()]
     schema = "_file string, _row long" + "".join(f", `{n.replace('`', '``')}` string" for n in names)
 
-    def run(batches):
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                heads = headers(content, sheet, header_row, trimmed)
-                out = [[] for _ in fields]
-                for at, cells in Workbook(content).rows(sheet):
-                    row = {heads[i]: t for i, t in sorted(cells.items()) if i in heads}
-                    if at > header_row and any(t.strip() for t in row.values()):
-                        for column, v in zip(out, [file, at, *(row.get(n, "") for n in names)], strict=True):
-                            column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if f == "_row" else pa.string()) for f, c in zip(fields, out, strict=True)], names=fields)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+    def rows_of(book: Workbook) -> Iterator[tuple]:
+        heads = headers(book, sheet, header_row, trimmed, blank=nameless)
+        heads = {i: h or f"column{i + 1}" for i, h in heads.items()}
+        for at, cells in book.rows(sheet):
+            row = {heads[i]: t for i, t in sorted(cells.items()) if i in heads}
+            if at > header_row and any(t.strip() for t in row.values()):
+                yield (at, *(row.get(n, "") for n in names))
+
+    return _mapped(spark, path, rows_of, schema)

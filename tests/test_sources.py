@@ -29,6 +29,12 @@ def test_sheet(spark, tmp_path):
     assert sorted(tuple(r)[1:] for r in rows.collect()) == [(6, "k1", "1.5", "15/03/2023"), (9, "k2", "7", "")]
     heads = sheet.read_headers(spark, str(tmp_path), "data", 5, trimmed=False)
     assert [(r.position, r.header) for r in heads.orderBy("position").collect()] == [(1, " Id "), (2, "Amount"), (4, "When"), (5, "Amount")]
+    heads = sheet.read_headers(spark, str(tmp_path), "data", 5, blank=True)
+    assert [(r.position, r.header) for r in heads.orderBy("position").collect()] == [(1, "Id"), (2, "Amount"), (3, ""), (4, "When"), (5, "Amount")]
+    wide = sheet.read_sheet(spark, str(tmp_path), header_row=5, nameless=True)
+    assert wide.columns == ["_file", "_row", "Id", "Amount", "column3", "When"] and [r.column3 for r in wide.orderBy("_row").collect()] == ["x", ""]
+    cells = [(r.row, r.header, r.kind, r.text, r.number, r.moment and r.moment.year) for r in sheet.read_cells(spark, str(tmp_path), header_row=5).orderBy("row", "position").collect()]
+    assert cells == [(6, "Id", "text", "k1", None, None), (6, "Amount", "number", "10", 10.0, None), (6, "column3", "text", "x", None, None), (6, "When", "date", "15/03/2023", 45000.0, 2023), (6, "Amount", "number", "1.5", 1.5, None), (7, "Id", "text", " ", None, None), (9, "Id", "text", "k2", None, None), (9, "Amount", "text", "7", None, None)]
     with pytest.raises(Exception, match="no sheet"):
         sheet.read_sheet(spark, str(tmp_path), "other")
 
@@ -42,6 +48,11 @@ def test_newest(spark, tmp_path):
     assert sorted(str(r.c) for r in codes) == ["DS_FTX", "DS_FTX", "None"]
     with pytest.raises(FileNotFoundError):
         files.newest(found.limit(0))
+    for name in ("ds_ftx_1.xlsx", "DS_FTX_compare_result_20990101_000000.xlsx", "AUTOMATION_SUMMARY_DS_FTX.xlsx", "DS_FTX_20990101_000000.xls"):
+        (tmp_path / name).write_bytes(b"x")
+    assert files.newest_report(spark, str(tmp_path), "DS_FTX", by_name=True).endswith("20260101_000000.xlsx")
+    left = files.listed(spark, str(tmp_path), code="DS_FTX", without=files.RESULTS)
+    assert sorted(r.name for r in left.collect()) == ["DS_FTX_20240101_000000_20260101_000000.xlsx", "DS_FTX_20250101_000000.xlsx", "ds_ftx_1.xlsx"]
 
 
 def test_publish(spark, tmp_path):
@@ -50,8 +61,11 @@ def test_publish(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         files.publish(rows, str(tmp_path), "DS_FTX", "1")
-    with pytest.raises(ValueError, match="is an input"):
-        files.publish(rows, str(tmp_path), "DS_FTX", "2", inputs=(f"{tmp_path}/report=DS_FTX/run=2",))
+    at = f"{tmp_path}/report=DS_FTX/run=2"
+    for other in (at, f"{at}/", f"file:{at}", f"file://{at}/part", f"{tmp_path}", f"{tmp_path}/x/../report=DS_FTX/run=2"):
+        with pytest.raises(ValueError, match="is an input"):
+            files.publish(rows, str(tmp_path), "DS_FTX", "2", inputs=(other,))
+    assert files.publish(rows, str(tmp_path), "DS_FTX", "1", another_name=True).endswith("run=1_01") and files.publish(rows, str(tmp_path), "DS_FTX", "1", another_name=True, inputs=(f"{at}0",)).endswith("run=1_02")
 
 
 def test_landing(spark, tmp_path):
