@@ -267,11 +267,17 @@ def max_active_slot(spark, sf_dir):
     return reshape.max_active_slot(table(spark, sf_dir, "lineitem"), _slots()[1]).select(big(F.col("max_slot")).alias("max_slot"))
 
 
-@query("""with x as (select o_orderkey, cast(l_linenumber as bigint) as slot, max(l_partkey) as part from orders join lineitem on l_orderkey = o_orderkey where l_linenumber <= 4 group by 1, 2)
-select o_orderkey, max(case when slot = 1 then part end) as part_1, max(case when slot = 2 then part end) as part_2, max(case when slot = 3 then part end) as part_3, max(case when slot = 4 then part end) as part_4 from x group by 1""")
+#: Line numbers of the driver's lineitem table; the query finds the highest by itself and fails if it is another.
+_LINES = 7
+
+
+@query(f"""with x as (select o_orderkey, cast(l_linenumber as bigint) as slot, max(l_partkey) as part from orders join lineitem on l_orderkey = o_orderkey group by 1, 2)
+select o_orderkey, {", ".join(f"max(case when slot = {i} then part end) as part_{i}" for i in range(1, _LINES + 1))} from x group by 1""")
 def fee_widen(spark, sf_dir):
-    long = lines(spark, sf_dir).where("l_linenumber <= 4").select("o_orderkey", F.col("l_linenumber").alias("slot"), F.col("l_partkey").alias("part"))
-    return reshape.widened(long, ["o_orderkey"], "slot", ["part"], 4)
+    """All lines of each order, in as many columns as the highest line number asks for; the SQL has its columns written out."""
+    long = lines(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", "left_semi").select("o_orderkey", F.col("l_linenumber").alias("slot"), F.col("l_partkey").alias("part"))
+    most = long.agg(F.max("slot")).first()[0]
+    return reshape.widened(long, ["o_orderkey"], "slot", ["part"], most)
 
 
 @query("""with x as (select *, case when o_orderstatus is distinct from lag(o_orderstatus) over w or row_number() over w = 1 then 1 else 0 end as fresh from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey))
@@ -295,33 +301,37 @@ def required_cells(spark, sf_dir):
 select o_orderkey, p as part, case when (p = 'type' and k) or (p = 'account' and a) or (p = 'amount' and m) then 'FOUND' when alone then 'INCOMPLETE_CHECK' else 'INCOMPLETE_REQUIRED' end as status from y, (values ('type'), ('account'), ('amount')) t(p)""")
 def group_completeness(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "T").alias("type"), F.when(F.col("o_custkey") % 3 == 0, "A").otherwise(" ").alias("account"), F.when(F.col("o_orderstatus") == "F", "1").alias("amount"))
-    return completeness.group_completeness(o, ["o_orderkey"], [("type", "account", "amount"), ("type", "account", "absent")]).drop("slot")
+    return completeness.group_completeness(o, ["o_orderkey"], [("type", "account", "amount"), ("type", "account", "absent")]).drop("slot", "value")
 
 
-_REQUIRED = ["From Account (A/C Client/Sender)", "Currency Id", "Transaction ID/ Reconcile ID", "Txn Date", "Fee Amount Type 2", "Leg Type"]
-_ACTUAL = ["Test No.", "From  Account ( A/C Client/Sender)", "Currency ID", "Transaction ID Reconcile ID", "Transaction Date", "Fee Amount 2", "Kind"]
-_ALIASES = [("Txn Date", "Transaction Date"), ("Fee Amount Type 2", "Fee Amount 2")]
+_HEADS = """req as (select distinct p_name || ' ' || p_brand as name from part),
+act as (select p_partkey as position, case when p_size <= 15 then upper(p_name) || '  ' || p_brand when p_size <= 30 then p_name || '-' || p_brand when p_size <= 40 then 'also ' || p_name || p_brand when p_size <= 45 then p_name || ' ' || p_brand else '***' end as header from part)"""
 
 
-def _values(rows) -> str:
-    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+def _heads(spark, sf_dir):
+    """Required headers, the headers of one wide sheet and aliases, made of all parts."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    size, name, brand = F.col("p_size"), F.col("p_name"), F.col("p_brand")
+    plain = F.concat_ws(" ", name, brand)
+    header = F.when(size <= 15, F.concat_ws("  ", F.upper(name), brand)).when(size <= 30, F.concat_ws("-", name, brand)).when(size <= 40, F.concat(F.lit("also "), name, brand)).when(size <= 45, plain).otherwise("***")
+    required = p.select(plain.alias("name")).distinct()
+    return required, p.select(F.col("p_partkey").alias("position"), header.alias("header")), required.select("name", F.concat(F.lit("Also "), F.col("name")).alias("alias"))
 
 
-@query(f"""with req(name) as (values {_values((x,) for x in _REQUIRED)}), act(position, header) as (values {_values(enumerate(_ACTUAL, 1))}), al(name, alias) as (values {_values(_ALIASES)}),
-e as (select name, min(position) position, 0 by_alias from req join act on regexp_replace(lower(name), '[ \\t\\r\\n]+', '', 'g') = regexp_replace(lower(header), '[ \\t\\r\\n]+', '', 'g') group by 1
-union all select al.name, min(position), 1 from al join act on regexp_replace(lower(alias), '[ \\t\\r\\n]+', '', 'g') = regexp_replace(lower(header), '[ \\t\\r\\n]+', '', 'g') group by 1),
-s as (select name, min(position) position from req join act on regexp_replace(lower(name), '[^a-z0-9]', '', 'g') = regexp_replace(lower(header), '[^a-z0-9]', '', 'g') group by 1)
-select req.name, case when e.by_alias = 0 then 'FOUND' when e.by_alias = 1 then 'ALIAS' when s.name is not null then 'SYMBOL_NOT_MATCH' else 'NO_SIMILAR_HEADER' end as outcome, cast(coalesce(e.position, s.position) as bigint) as position
+@query(f"""with {_HEADS}, c as (select position, header, regexp_replace(lower(header), '[ ]+', '', 'g') k, regexp_replace(lower(header), '[^a-z0-9]', '', 'g') bare from act),
+known as (select name, regexp_replace(lower(name), '[ ]+', '', 'g') k, 0 by_alias from req union all select name, 'also' || regexp_replace(lower(name), '[ ]+', '', 'g'), 1 from req),
+e as (select name, header, position, by_alias from known join c using (k) qualify row_number() over (partition by name order by position, by_alias) = 1),
+s as (select name, header, position from req join c on c.bare = regexp_replace(lower(name), '[^a-z0-9]', '', 'g') qualify row_number() over (partition by name order by position) = 1)
+select req.name, case when e.by_alias = 0 then 'FOUND' when e.by_alias = 1 then 'ALIAS' when s.name is not null then 'SYMBOL_NOT_MATCH' else 'NO_SIMILAR_HEADER' end as outcome, coalesce(e.header, s.header) as header, coalesce(e.position, s.position) as position
 from req left join e on e.name = req.name left join s on s.name = req.name""")
 def header_match(spark, sf_dir):
-    required = spark.createDataFrame([(x,) for x in _REQUIRED], "name string")
-    actual = spark.createDataFrame(list(enumerate(_ACTUAL, 1)), "position long, header string")
-    return completeness.header_match(required, actual, spark.createDataFrame(_ALIASES, "name string, alias string")).select("name", "outcome", "position")
+    return completeness.header_match(*_heads(spark, sf_dir))
 
 
-@query(f"""select name from (values {_values((x,) for x in _REQUIRED)}) r(name) except select header from (values {_values((x,) for x in _ACTUAL)}) a(header)""")
+@query(f"with {_HEADS} select name from req except select header from act")
 def missing_columns(spark, sf_dir):
-    return completeness.not_in(spark.createDataFrame([(x,) for x in _REQUIRED], "name string"), spark.createDataFrame([(x,) for x in _ACTUAL], "name string"), "name")
+    required, actual, _ = _heads(spark, sf_dir)
+    return completeness.not_in(required, actual.select(F.col("header").alias("name")), "name")
 
 
 @query("select distinct o_custkey from orders where o_orderstatus = 'F' except select o_custkey from orders where o_orderstatus = 'O'")
@@ -343,17 +353,24 @@ def trailing_blank_trim(spark, sf_dir):
 # ---- comparison and rollup
 
 
-def _compared(spark, sf_dir) -> DataFrame:
-    """Each order against its first line, in four fields."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    m = matching.match(o, lines(spark, sf_dir).select("o_orderkey", *LINE_ORDER, "l_linestatus"), "o_orderkey", Policy.FIRST, LINE_ORDER).where("match = 'MATCH'")
-    fields = [
+def _fields() -> list[c.Field]:
+    return [
         c.Field("status", c.typed("TEXT", F.col("o_orderstatus"), F.col("actual.l_linestatus")), F.col("o_orderstatus"), F.col("actual.l_linestatus")),
         c.Field("price", c.passed(within(F.col("o_totalprice"), F.col("actual.l_extendedprice"), 20_000.0)), F.lit("p"), F.lit("q")),
         c.Field("date", F.when(F.col("o_orderkey") % 4 == 0, c.SKIP).otherwise(c.passed(dates.same_or_next_weekday(F.col("o_orderdate").cast("date"), F.col("actual.l_shipdate").cast("date")))), F.lit(""), F.lit("x")),
         c.Field("line", F.when(F.col("o_orderkey") % 2 == 0, c.passed(F.col("actual.l_linenumber") == 1)), F.lit(1), F.col("actual.l_linenumber")),
     ]
-    return c.long_results(m, ["o_orderkey"], fields)
+
+
+def _matched(spark, sf_dir) -> DataFrame:
+    """Each order beside its first line."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return matching.match(o, lines(spark, sf_dir).select("o_orderkey", *LINE_ORDER, "l_linestatus"), "o_orderkey", Policy.FIRST, LINE_ORDER).where("match = 'MATCH'")
+
+
+def _compared(spark, sf_dir) -> DataFrame:
+    """Each order with the results of four fields, as an array in its row."""
+    return _matched(spark, sf_dir).select("o_orderkey", c.results(_fields()).alias("r"))
 
 
 _COMPARED = f"""with f as (select * from lineitem qualify row_number() over (partition by l_orderkey order by {", ".join(LINE_ORDER)}) = 1), j as (select *, cast(o_orderdate as date) as od, cast(l_shipdate as date) as sd from orders join f on l_orderkey = o_orderkey),
@@ -365,25 +382,59 @@ union all select o_orderkey, 3, 'line', '1', cast(l_linenumber as varchar), case
 
 @query(_COMPARED + " select o_orderkey, field, expected, actual, status from c")
 def field_compare_long(spark, sf_dir):
-    return _compared(spark, sf_dir).drop("ordinal")
+    return c.long_results(_matched(spark, sf_dir), ["o_orderkey"], _fields()).select("o_orderkey", "field", "expected", "actual", "status")
 
 
-@query(_COMPARED + """ select o_orderkey, case when bool_or(status = 'FAIL') then 'FAIL' when bool_and(status = 'SKIP') then 'SKIP' else 'PASS' end as status, count(*) as n_fields from c group by 1""")
+@query(_COMPARED + """ select o_orderkey, case when bool_or(status = 'FAIL') then 'FAIL' when bool_and(status = 'SKIP') then 'SKIP' else 'PASS' end as status, case when bool_or(status = 'FAIL') then 'FAIL' else 'PASS' end as plain, count(*) as n_fields from c group by 1""")
 def status_rollup(spark, sf_dir):
-    return rollup.rolled(_compared(spark, sf_dir), ["o_orderkey"]).select("o_orderkey", "status", "n_fields")
+    return _compared(spark, sf_dir).select("o_orderkey", rollup.row_status(F.col("r")).alias("status"), rollup.row_status(F.col("r"), with_skip=False).alias("plain"), big(F.size("r")).alias("n_fields"))
 
 
 @query(_COMPARED + """ select o_orderkey, coalesce(string_agg(field || ': expected ' || case when expected = '' then '(blank)' else expected end || ', actual ' || case when actual = '' then '(blank)' else actual end, chr(10) order by ordinal) filter (status = 'FAIL'), '') as remark from c group by 1""")
 def remark_agg(spark, sf_dir):
-    return rollup.rolled(_compared(spark, sf_dir), ["o_orderkey"]).select("o_orderkey", "remark")
+    return _compared(spark, sf_dir).select("o_orderkey", F.array_join(rollup.row_lines(F.col("r"), rollup.plain_line, c.FAIL), "\n").alias("remark"))
 
 
 @query(_COMPARED + """ select o_orderkey, coalesce(string_agg(field, ',' order by field) filter (status = 'FAIL'), '') as failed, coalesce(string_agg(field, ',' order by field) filter (status = 'PASS'), '') as passed, string_agg(field || '=' || status, ',' order by field) as fields from c group by 1""")
 def failed_field_map(spark, sf_dir):
-    x = _compared(spark, sf_dir)
-    rolled = rollup.rolled(x, ["o_orderkey"]).select("o_orderkey", F.array_join("failed_fields", ",").alias("failed"), F.array_join("passed_fields", ",").alias("passed"))
-    entries = F.transform(F.map_entries("fields"), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return rolled.join(rollup.field_map(x, ["o_orderkey"]).select("o_orderkey", F.array_join(F.array_sort(entries), ",").alias("fields")), "o_orderkey")
+    entries = F.transform(F.map_entries(rollup.row_map(F.col("r"))), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return _compared(spark, sf_dir).select("o_orderkey", F.array_join(rollup.row_names(F.col("r"), c.FAIL), ",").alias("failed"), F.array_join(rollup.row_names(F.col("r"), c.PASS), ",").alias("passed"), F.array_join(F.array_sort(entries), ",").alias("fields"))
+
+
+@query("""with c as (select o_orderkey, case when l_linestatus = o_orderstatus then 'PASS' when l_returnflag = 'R' then 'FAIL' else 'SKIP' end as status from orders join lineitem on l_orderkey = o_orderkey)
+select o_orderkey, case when bool_or(status = 'FAIL') then 'FAIL' when bool_and(status = 'SKIP') then 'SKIP' else 'PASS' end as status, count(*) as n_fields from c group by 1""")
+def grouped_rollup(spark, sf_dir):
+    """Every line of an order is compared, and the lines make one status."""
+    x = lines(spark, sf_dir).select("o_orderkey", "l_linestatus", "l_returnflag").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    status = F.when(F.col("l_linestatus") == F.col("o_orderstatus"), c.PASS).when(F.col("l_returnflag") == "R", c.FAIL).otherwise(c.SKIP)
+    return x.groupBy("o_orderkey").agg(rollup.group_status(status).alias("status"), F.count("*").alias("n_fields"))
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_returnflag = 'R' then 'FAIL' else 'PASS' end as as_number, case when l_returnflag = 'N' then 'PASS' when l_returnflag = 'R' then 'FAIL' when l_linenumber % 2 = 1 then 'PASS' else 'FAIL' end as as_amount from lineitem""")
+def typed_compare(spark, sf_dir):
+    """Numbers exactly, amounts within the tolerance; both blank are equal, thousands separators aren't understood."""
+    flag, price = F.col("l_returnflag"), F.col("l_extendedprice")
+    quantity = F.when(flag == "R", F.concat(F.lit("1,"), F.col("l_quantity").cast("string"))).otherwise(F.col("l_quantity").cast("string"))
+    whole = F.when(flag == "N", F.col("l_quantity").cast("int").cast("string")).otherwise(F.col("l_quantity").cast("decimal(12,4)").cast("string"))
+    shown = F.when(flag == "R", F.concat(price.cast("string"), F.lit(","))).when(flag != "N", price.cast("string"))
+    other = F.when(flag != "N", (price + F.when(F.col("l_linenumber") % 2 == 1, 0.005).otherwise(0.02)).cast("string"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", c.typed("NUMBER", quantity, whole).alias("as_number"), c.typed("AMOUNT", shown, other).alias("as_amount"))
+
+
+@query("""select o_orderkey, case when upper(o_orderstatus) = 'F' then 'PASS' else 'FAIL' end as known, 'FAIL' as unknown, 'Compare Rule Not Found' as reason from orders""")
+def rule_not_found(spark, sf_dir):
+    fields = c.for_headers({"status": c.Field("status", c.typed("TEXT", F.lit("f"), F.col("o_orderstatus")), F.lit("f"), F.col("o_orderstatus"))}, ("status", "priority"), lambda h: F.col("o_orderpriority"))
+    r = F.col("r")
+    return table(spark, sf_dir, "orders").select("o_orderkey", c.results(fields).alias("r")).select("o_orderkey", r[0]["status"].alias("known"), r[1]["status"].alias("unknown"), r[1]["reason"].alias("reason"))
+
+
+@query("""with x as (select o_custkey, o_orderkey, case o_orderstatus when 'F' then 'FAIL' when 'O' then 'SKIP' else case when o_orderpriority < '3' then 'PASS' when o_orderpriority < '4' then 'UNTAGGED' else 'MISSING' end end as status from orders)
+select o_custkey, o_orderkey, status, cast(row_number() over (partition by o_custkey order by list_position(['PASS', 'UNTAGGED', 'SKIP', 'FAIL', 'MISSING'], status), o_orderkey) as bigint) as place from x""")
+def result_order_skip(spark, sf_dir):
+    p = F.col("o_orderpriority")
+    status = F.when(F.col("o_orderstatus") == "F", "FAIL").when(F.col("o_orderstatus") == "O", "SKIP").when(p < "3", "PASS").when(p < "4", "UNTAGGED").otherwise("MISSING")
+    x = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", status.alias("status"))
+    return rollup.ordinals(x, "status", ["o_orderkey"], ["o_custkey"], rollup.ORDER_WITH_SKIP).select("o_custkey", "o_orderkey", "status", big(F.col("place")).alias("place"))
 
 
 @query("""with x as (select o_custkey, o_orderkey, case o_orderstatus when 'F' then 'FAIL' when 'O' then 'PASS' else 'UNTAGGED' end as status from orders)

@@ -6,7 +6,7 @@ import decimal
 import duckdb
 import pytest
 
-from tallyline.plans import catalogue
+from tallyline.plans import catalogue, report_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
