@@ -62,4 +62,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_decontamination, op4_near_duplicates, op5_token_counts, op6_toxicity, op7_packing, op8_language, op9_sharding, op10_pii)}
-ORACLE: dict[str, str] = {}
+#: The rest can't be said in SQL: learned models, sketches, the library's tokenizer, crc32, packing and keyed permutations. They are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op4_near_duplicates": r"""with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select doc_id, case when len(w) < 2 then w else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s from w),
+e as (select doc_id, len(s) as n, unnest(s) as t from s),
+p as (select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m from e a join e b on a.t = b.t and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l as (select a, b from p group by a, b, n, m having 100 * count(*) >= 80 * (n + m - count(*))),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on l.a = r.b)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) as component_id, s.doc_id = least(s.doc_id, coalesce(min(r.b), s.doc_id)) as kept from s left join r on r.a = s.doc_id group by s.doc_id, s.s""",
+}
