@@ -19,6 +19,9 @@ WHITE_CHARS = " \t\n\x0b\x0c\r"
 #: A side of a join is broadcast only after its rows were counted and are at most so many (of a few numbers each).
 BROADCAST_ROWS = 1_000_000
 
+#: A key is hot from so many rows on, and beyond LEAST_HOT * MOST_HOT rows from their MOST_HOT-th part on.
+LEAST_HOT, MOST_HOT = 500, 200_000
+
 #: Arrow batches are cut to about so many characters before Python strings are made from them.
 SLICE_CHARS = 4_000_000
 
@@ -109,6 +112,23 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def hot_rows(total: int) -> int:
+    """Rows of one key beyond which it is hot: of total rows at most MOST_HOT keys have so many."""
+    return max(LEAST_HOT, total // MOST_HOT)
+
+
+def looked_up(rows: DataFrame, values: DataFrame, key: str | list[str], total: int, count: str = "_m") -> DataFrame:
+    """rows joined with values, which has one row for each key and the number of rows that have it in `count`; total: all rows, at least.
+
+    A hot key's rows would all go to one task. There are MOST_HOT such keys at most, so their values are
+    broadcast and their rows stay where they are; all others are shuffled.
+    """
+    keys = [key] if isinstance(key, str) else key
+    hot, rest = values.where(F.col(count) > hot_rows(total)), values.where(F.col(count) <= hot_rows(total))
+    here = rows.join(F.broadcast(hot), keys)
+    return rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys).unionByName(here)
+
+
 def smaller_batches(spark: SparkSession) -> None:
     """Lower the session's rows to an Arrow batch to ARROW_ROWS, if it has more: a batch is held whole by a task and by its worker."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, keep, let, list_slices, small, smaller_batches, words
+from .common import forget, keep, let, list_slices, looked_up, small, smaller_batches, words
 from .components import components
 
 #: 32 bands of 4: a pair of similarity 0.8 shares no band once in 20 million times.
@@ -124,8 +124,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 
     b is the side that many pairs may share: it is dealt out in shares, and its text is copied once to each.
     """
-    shares = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEADER_SHARE).cast("int").alias("_shares"))
-    left = pairs.join(shares, "b").withColumn("_share", F.pmod(F.xxhash64("a"), F.col("_shares")).cast("int"))
+    shares = pairs.groupBy("b").agg(F.count("*").alias("_m")).withColumn("_shares", F.ceil(F.col("_m") / LEADER_SHARE).cast("int"))
+    left = looked_up(pairs, shares, "b", pairs.count()).withColumn("_share", F.pmod(F.xxhash64("a"), F.col("_shares")).cast("int"))
     left = left.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("_ta")), "a")
     right = shares.select("b", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share")).join(texts.select(F.col("rep").alias("b"), F.col("text").alias("_tb")), "b")
     both = left.join(right, ["b", "_share"]).select("a", "b", F.array_distinct(shingles(F.col("_ta"), n)).alias("_sa"), F.array_distinct(shingles(F.col("_tb"), n)).alias("_sb"))
@@ -142,10 +142,14 @@ def rare_shingles(active: DataFrame, texts: DataFrame, n: int, percent: int) ->
     sets = keep(active.join(texts, "rep").select("rep", "root", F.array_distinct(shingles(F.col("text"), n)).alias("s")), "sets")
     each = sets.select("rep", F.explode("s").alias("t"))
     often = each.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
-    common = each.join(often, "t").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("c"))
+    total = sets.agg(F.sum(F.size("s"))).first()[0] or 0
+    common = looked_up(each, often, "t", total, "df").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("c"))
     placed = sets.select("rep", "root", F.size("s").alias("n_shingles")).join(common, "rep").withColumn("own", F.col("n_shingles") - F.size("c"))
     room = F.greatest(F.lit(0), F.expr(f"n_shingles - (n_shingles * {percent} + 99) div 100 + 1 - own").cast("int"))
-    return placed.select("rep", "root", "n_shingles", "own", F.posexplode(F.slice("c", F.lit(1), room)).alias("k", "x")).select(F.col("x.t").alias("t"), "rep", "root", "n_shingles", (F.col("own") + F.col("k")).alias("place"))
+    made = placed.select("rep", "root", "n_shingles", "own", F.posexplode(F.slice("c", F.lit(1), room)).alias("k", "x")).select(F.col("x.t").alias("t"), "rep", "root", "n_shingles", (F.col("own") + F.col("k")).alias("place"))
+    made = keep(made, "postings")
+    forget(sets)
+    return made
 
 
 def tiled_pairs(postings: DataFrame, percent: int) -> DataFrame:
@@ -156,8 +160,8 @@ def tiled_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """
     counts = postings.groupBy("t", "root").count()
     main = counts.groupBy("t").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("all"), F.max("count").alias("most")).where("most < all")
-    main = main.select("t", "main", F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("na"), F.ceil(F.col("all") / TILE).cast("int").alias("nb"))
-    dealt = postings.join(main, "t").withColumn("_h", F.xxhash64("rep", F.lit(17)))
+    main = main.select("t", "main", F.col("all").alias("_m"), F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("na"), F.ceil(F.col("all") / TILE).cast("int").alias("nb"))
+    dealt = looked_up(postings, main, "t", postings.count()).withColumn("_h", F.xxhash64("rep", F.lit(17)))
     a = dealt.where("root != main").withColumns({"ta": F.pmod("_h", F.col("na")).cast("int"), "tb": F.explode(F.sequence(F.lit(0), F.col("nb") - 1)), "side": F.lit(0)})
     b = dealt.withColumns({"tb": F.pmod("_h", F.col("nb")).cast("int"), "ta": F.explode(F.sequence(F.lit(0), F.col("na") - 1)), "side": F.lit(1)})
     cols = ["t", "ta", "tb", "side", "rep", "root", "n_shingles", "place"]
@@ -205,47 +209,58 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = PERCENT, text: s
     lower-cased; a text with fewer words is one shingle). A null or empty text, or one of white space,
     has an empty set and is linked with nothing; nor is a row without an id, whose component is null and
     which is kept. component_id is the least id that can be reached by links. Ids are unique but for
-    repeated rows, which are one document: each gets its result.
+    repeated rows, which are one document: each gets its result. An empty table gives an empty result.
+    Texts of any length are compared whole.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sigs = keep(signatures(docs, n), "signatures")
     linked = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = keep(linked.groupBy("key0", "key1", "n_shingles").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("bands", *SKETCH))), "classes")
+    classes = keep(linked.groupBy("key0", "key1", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_m"), *(F.first(c).alias(c) for c in ("bands", *SKETCH))), "classes")
 
-    # Buckets of two members and more; a key tells the band too.
+    # Buckets of two members and more; a key tells the band too. Only ids go with it: 32 rows of two numbers for a class.
     members = classes.select("rep", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
-    buckets = keep(members.join(shared, "key").join(classes.select("rep", "n_shingles", *SKETCH), "rep"), "buckets")
+    shared = members.groupBy("key").agg(F.count("*").alias("_m")).where("_m > 1")
+    buckets = keep(looked_up(members, shared, "key", classes.count() * (HASHES // BAND)).select("key", "rep"), "buckets")
+    total = buckets.count()
     reps = buckets.select("rep").distinct()
     texts = docs.withColumnRenamed("doc_id", "rep").join(small(reps, reps.count()), "rep")
     if not linked.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["rep"])
     texts = keep(texts, "texts")
-
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
+    sketches = classes.select("rep", F.struct("n_shingles", *SKETCH).alias("sketch"))
+
+    def likely(found: DataFrame) -> DataFrame:
+        """The pairs (a, b), each once, that sizes and sketches don't rule out; b may be in very many."""
+        found = keep(found.distinct(), "met")
+        leading = found.groupBy("b").agg(F.count("*").alias("_m")).join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("two")), "b")
+        both = looked_up(found, leading, "b", found.count()).join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("one")), "a")
+        out = keep(both.where(alike("one", "two", percent)).select("a", "b"), "pairs")
+        forget(found)
+        return out
+
+    links = roots = None
     for step in range(LEADER_ROUNDS + 1):
-        rows = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        active = rows.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("_m")).where("_lo != _hi" + (" and _m > 2" if step else "")).select("key")
-        rows = rows.join(active, "key")
+        rows = buckets.withColumn("root", F.col("rep")) if roots is None else buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        # The first leader is the same in most buckets of a group; later ones differ by bucket.
+        order = F.struct(F.xxhash64("rep", *([F.col("key")] if step else [])).alias("h"), F.col("rep"), F.col("root"))
+        active = rows.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("_m"), F.min(order).alias("l")).where("_lo != _hi" + (" and _m > 2" if step else ""))
+        open_ = looked_up(rows, active.select("key", "_m", "l"), "key", total)
         if step < LEADER_ROUNDS:
-            # The first leader is the same in most buckets of a group; later ones differ by bucket.
-            order = F.struct(F.xxhash64("rep", *([F.col("key")] if step else [])).alias("h"), F.col("rep"), F.col("root"), F.col("n_shingles"), *SKETCH)
-            leaders = rows.groupBy("key").agg(F.min(order).alias("l"))
-            pairs = rows.alias("m").join(leaders, "key").where((F.col("m.root") != F.col("l.root")) & alike("m", "l", percent)).select(F.col("m.rep").alias("a"), F.col("l.rep").alias("b")).distinct()
+            pairs = likely(open_.where(F.col("root") != F.col("l.root")).select(F.col("rep").alias("a"), F.col("l.rep").alias("b")))
         else:
-            rest = keep(rows.select("rep", "root").distinct(), "active")
-            found = tiled_pairs(keep(rare_shingles(rest, texts, n, percent), "postings"), percent)
-            sketches = classes.select("rep", "n_shingles", *SKETCH).join(rest.select("rep"), "rep", "left_semi")
-            one, two = (sketches.select(F.col("rep").alias(c), F.struct("n_shingles", *SKETCH).alias(f"s{c}")) for c in "ab")
-            pairs = found.join(one, "a").join(two, "b").where(alike("sa", "sb", percent)).select("a", "b")
-        pairs = keep(pairs, "pairs")
-        links = keep(links.union(confirmed(pairs, texts, n, percent)).distinct(), "confirmed")
-        roots = components(links)
-        forget(pairs)
-
-    found = classes.select("key0", "key1", "n_shingles", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key0", "key1", "n_shingles", F.coalesce("root", "rep").alias("_root"))
-    group = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_root")).otherwise(F.col("doc_id"))
-    out = sigs.select("doc_id", "n_shingles", "key0", "key1").join(found, ["key0", "key1", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
+            rest = keep(open_.select("rep", "root").distinct(), "active")
+            postings = rare_shingles(rest, texts, n, percent)
+            pairs = likely(tiled_pairs(postings, percent))
+            forget(rest, postings)
+        new = confirmed(pairs, texts, n, percent)
+        merged = keep(new if links is None else links.union(new).distinct(), "confirmed")
+        forget(pairs, *(t for t in (links, roots) if t is not None))
+        links, roots = merged, components(merged)
+    forget(links, buckets, texts)
+
+    keys = ["key0", "key1", "n_shingles"]
+    found = classes.select(*keys, "rep", "_m").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, "_m", F.coalesce("root", "rep").alias("component_id"))
+    numbered = looked_up(linked.select("doc_id", *keys), found, keys, sigs.count()).select("doc_id", "n_shingles", "component_id")
+    alone = sigs.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return numbered.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
