@@ -28,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates; of repeated rows one. Rows without an id all stay, as do texts without words."""
-    found = neardup.near_duplicates(docs)
+    """One document, the one with the least id, of each group of near duplicates (sets of five-word shingles alike by 0.8); of repeated rows one. Rows without an id all stay, as do texts without words."""
+    found = neardup.near_duplicates(docs, n=5)
     gone = keep(found.where("not kept").select("doc_id").distinct(), "gone")
     out = docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
