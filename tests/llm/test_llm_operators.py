@@ -451,6 +451,78 @@ def test_packing(spark):
     packing.GROUP_ROWS = 4_000
 
 
+def brute_pack(pieces, capacity, per_source):
+    """Best fit over a plain list of bins: (size, source, cluster) of each piece in order -> its bin."""
+    bins, out = [], []
+    for size, source, cluster in pieces:
+        fits = [b for b in bins if b["left"] >= size and size < capacity and cluster not in b["clusters"] and (source is None or b["sources"][source] < per_source)]
+        b = min(fits, key=lambda b: (b["left"], b["id"]), default=None)
+        if b is None:
+            b = {"id": len(bins), "left": capacity, "clusters": set(), "sources": collections.Counter()}
+            bins.append(b)
+        b["left"] -= size
+        b["sources"][source] += 1
+        if cluster is not None:
+            b["clusters"].add(cluster)
+        out.append(b["id"])
+    return out
+
+
+def test_best_fit_equals_brute_force():
+    r = random.Random(14)
+    for _ in range(60):
+        n = r.randint(1, 120)
+        sizes = np.array([r.choice([r.randint(1, 40), 100]) for _ in range(n)])
+        sources, clusters = [r.choice(["a", "b", "c", None]) for _ in range(n)], [r.choice([r.randint(0, 20), ("own", i)]) for i in range(n)]
+        bins, offsets = packing.pack_group(sizes, sources, clusters, np.arange(n), 100, 2)
+        order = np.lexsort((np.arange(n), -sizes))
+        # A cluster of one piece conflicts with nothing.
+        twice = {c for c, k in collections.Counter(clusters).items() if k > 1}
+        want = brute_pack([(int(sizes[i]), sources[i], clusters[i] if clusters[i] in twice else None) for i in order], 100, 2)
+        assert [int(bins[i]) for i in order] == want
+
+
+def test_language_equals_brute_force(spark):
+    """Naive Bayes over the hashed n-grams of each text, one n-gram at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names, matrix = language.train(docs)
+    found = {r.doc_id: r for r in language.identify(docs, (names, matrix)).collect()}
+    mask = (1 << 32) - 1
+    for row in docs.limit(25).collect():
+        codes = [ord(c) if c.isalpha() else 32 for c in f" {row.text.lower()}  "]
+        total = matrix[-1].astype(float)
+        for i in range(len(codes) - 2):
+            h = 0
+            for k, factor in enumerate((0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)):
+                h = ((h ^ codes[i + k]) * factor) & mask
+                total = total + matrix[h >> 17]
+        odds = np.exp(total - total.max())
+        assert found[row.doc_id].lang_pred == names[int(total.argmax())] and abs(found[row.doc_id].score - odds.max() / odds.sum()) < 1e-3
+
+
+LONG = ["word " * 120_000, "x" * 600_000, "a1-" * 200_000 + "@", "Zwei Wörter. " * 40_000]
+
+
+@pytest.mark.parametrize("name", [*SIMPLE, "decontamination"])
+def test_very_long_texts(spark, name):
+    """Texts of half a million characters, without a space, with one word, or of repeats, have their result."""
+    docs = table(spark, LONG)
+    if name == "decontamination":
+        bench = spark.createDataFrame([(1, "Zwei Wörter. " * 10), (2, "nothing of this is in any text")], "item_id long, text string")
+        assert {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs, bench).collect()} == {(3, 1)}
+        return
+    assert {r.doc_id for r in SIMPLE[name](docs).select("doc_id").collect()} == {0, 1, 2, 3}
+
+
+def test_decontamination_edge_rows(spark):
+    """Nulls, empty texts, repeats, rows without an id and clashing columns: the named texts with a passage, each once."""
+    bench = spark.createDataFrame([(1, "a cat sat x on it"), (1, "a cat sat x on it"), (2, None), (None, "one"), (3, "")], "item_id long, text string").withColumn("tokens", F.lit("t"))
+    docs = table(spark, [None, "", "so a cat sat x on it", "other"]).withColumn("seed", F.lit(1)).withColumn("at", F.lit(2))
+    docs = docs.union(docs.where("doc_id = 2")).union(docs.where("doc_id = 2").withColumn("doc_id", F.lit(None).cast("long")))
+    assert [(x.doc_id, x.item_id, x.n_equal) for x in decontaminate.overlaps(docs, bench).collect()] == [(2, 1, 6)]
+    assert decontaminate.overlaps(docs.limit(0), bench.limit(0)).count() == 0
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     bins = packing.Bins(10, 1)
     assert bins.put(6, 1, 0) == (0, 0) and bins.put(7, 2, 1) == (1, 0)

@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage."""
 
+import pytest
+
 import corpus_pipeline
 from tallyline.llm import neardup, toxicity
 
@@ -17,7 +19,7 @@ def test_stages(spark):
             rejected = {r.doc_id for r in toxicity.score(docs, toxicity.train(docs, labels)).where("predicted = 1").collect()}
             assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - rejected and rejected
         if name == "near_dedup":
-            assert {r.doc_id for r in out.collect()} == {r.component_id for r in neardup.near_duplicates(docs).collect()}
+            assert {r.doc_id for r in out.collect()} == {r.component_id for r in neardup.near_duplicates(docs, n=5).collect()}
             assert out.count() == out.select("doc_id").distinct().count()
         if name == "packing":
             assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
@@ -28,11 +30,52 @@ def test_stages(spark):
 
 
 def test_clashing_and_repeated_rows(spark):
+    """Columns of any name, repeated rows, and rows without an id go through all five stages with their own text."""
     from pyspark.sql import functions as F
 
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20).withColumn("score", F.lit(1)).withColumn("_row", F.lit("x")).withColumn("n_email", F.lit(None).cast("string"))
-    docs = docs.union(docs.limit(3)).union(docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long"))).cache()
+    null = F.lit(None).cast("long")
+    unnamed = docs.limit(1).select(F.explode(F.array(F.lit(None).cast("string"), F.lit("first of three texts"), F.lit("second text without an id"), F.lit("second text without an id"))).alias("text"), *(c for c in docs.columns if c != "text")).select(docs.columns).withColumn("doc_id", null)
+    docs = docs.union(docs.limit(3)).union(unnamed).cache()
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF).cache()
         assert docs.columns[-3:] == ["score", "_row", "n_email"] and all(r.score == 1 and r._row == "x" for r in docs.collect()), name
-    assert docs.where("doc_id is null").count() == 1 and docs.count() == docs.select("doc_id").distinct().count()
+    named = docs.where("doc_id is not null")
+    assert docs.where("doc_id is null").count() == 4 and named.count() == named.select("doc_id").distinct().count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    texts = {r.doc_id: r.text or "" for r in named.collect()}
+    whole: dict = {}
+    for r in sorted((r for r in packed if r.doc_id is not None), key=lambda r: (r.doc_id, r.piece)):
+        whole[r.doc_id] = whole.get(r.doc_id, "") + r.text
+    assert whole == texts and sorted(r.text for r in packed if r.doc_id is None) == ["", "first of three texts", "second text without an id", "second text without an id"]
+
+
+def test_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
+
+
+def test_run_leaves_nothing_behind(spark):
+    from tallyline.llm import common
+
+    before = len(common.kept())
+    rows = corpus_pipeline.run(spark, SF)
+    assert rows.count() > 0 and rows.columns == ["doc_id", "piece", "n_pieces", "start", "length", "bin_id", "offset", "text"]
+    # What the lazy result reads is left: the output of the stage before it, and the keyed copy that is packed.
+    left = common.kept()[before:]
+    assert len(left) <= 2
+    common.forget(*left)
+    assert len(common.kept()) == before
+
+
+def test_a_shared_folder_is_asked_for():
+    import types
+
+    from tallyline.llm import common
+
+    session = lambda master, conf: types.SimpleNamespace(conf={"spark.checkpoint.dir": conf} if conf else {}, sparkContext=types.SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+    assert common.shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(session("spark://host:7077", None))
