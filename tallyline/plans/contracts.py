@@ -74,6 +74,8 @@ CONTRACTS = {
         ),
     )
 }
+#: The first columns of a result sheet; the report's own columns follow.
+RESULT_SHEETS = {code: ("Test Script No.", "Test Result." if code in ("DS_LTX", "DS_FTU") else "Result", "Remark") for code in CONTRACTS}
 #: Known reports without required columns yet: they may be asked for, and are refused by name.
 STUBS = ("DF_FXU", "DF_OLB", "DF_FXM")
 

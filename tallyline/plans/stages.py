@@ -86,6 +86,13 @@ def output_rows(results: DataFrame, report: DataFrame, key: Column, order: tuple
     return rollup.in_order(all_rows, "status", ["report_file", "report_row", "key"], order)
 
 
+def result_sheet(code: str, output: DataFrame, report: DataFrame) -> DataFrame:
+    """The output rows under the headers of the report's result sheet: test number, result, remark, then the report's columns; its order is the rows' order."""
+    number, result, remark = k.RESULT_SHEETS[code]
+    own = [c for c in report.columns if c not in ROW]
+    return output.select(F.col("test_no").alias(number), F.col("status").alias(result), F.col("remark").alias(remark), *map(at, own))
+
+
 def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] = ("DR", "FE"), by_reference: bool = True, fees_too: bool = True) -> DataFrame:
     """Each result beside its test row (test_file, test_row): by reference without its suffix, else by test number where that is unique; `tier` tells which.
 

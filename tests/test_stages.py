@@ -40,6 +40,8 @@ def test_output_and_details(spark):
     results = reports.ftx(test, report)
     out = stages.output_rows(results, report, F.col("`Ref. TX No.`")).collect()
     assert [(r.key, r.status) for r in out] == [("a", "PASS"), ("x", "UNTAGGED"), ("b", "FAIL"), ("c", "MISSING")]
+    made = stages.result_sheet("DS_FTX", stages.output_rows(results, report, F.col("`Ref. TX No.`")), report)
+    assert made.columns == ["Test Script No.", "Result", "Remark", *(c for c in report.columns if c != "_row")] and [r["Test Script No."] for r in made.collect()] == ["1", None, "2", "3"]
     details = {r.key: (r.tier, r.test_row, [tuple(f) for f in r.fees]) for r in stages.detail_rows(results, test).collect()}
     assert details == {x: (1, 6 + i, [(2, "F", "", "3")]) for i, x in enumerate("abc")}
     summary.enforce(stages.repeated_tests(test), "repeated id")
