@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as n
-from . import contracts as k, registry, reports, stages
+from . import contracts as k, registry, stages
 from .catalogue import lines, query, table
 
 def of_orders() -> tuple[Column, Column, Column]:
