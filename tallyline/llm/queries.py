@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, language, neardup, packing, pii, quality, secrets, sharding, tokens, toxicity
 from .common import held_out, table

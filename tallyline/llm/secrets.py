@@ -8,7 +8,6 @@ ratio of the two models is high enough, in total and for each character.
 from __future__ import annotations
 
 import bisect
-import hashlib
 import itertools
 import math
 import random
