@@ -55,10 +55,8 @@ def repeated_words(h: Column) -> Column:
 
 def found(text: Column, chars: str) -> Column:
     """How many characters of the text are among chars."""
-    rest = text
-    for c in chars:
-        rest = F.replace(rest, F.lit(c), F.lit(""))
-    return (F.length(text) - F.length(rest)).cast("long")
+    some = "".join(rf"\{c}" if not c.isalnum() else c for c in chars)
+    return (F.length(text) - F.length(F.regexp_replace(text, f"[{some}]+", ""))).cast("long")
 
 
 def statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -83,7 +81,8 @@ def statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
             F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
             found(F.col("_t"), ".?").alias("n_ends"),
             found(F.col("_t"), "!").alias("n_exclaims"),
-            F.length(F.regexp_replace("_t", r"\P{L}+", "")).cast("long").alias("n_letters"),
+            # What is left without letters and white space are the other characters of words.
+            (F.length(F.array_join("_w", "")) - F.length(F.regexp_replace("_t", r"[\p{L}\x20\x09-\x0D]+", ""))).cast("long").alias("n_letters"),
             F.length(F.regexp_replace("_t", r"\P{Lu}+", "")).cast("long").alias("n_capitals"),
             F.size(F.filter("_w", lambda x: F.length(x) == 1)).cast("long").alias("n_single"),
             F.size(F.filter("_w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_lettered"),
