@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, neardup, packing, pii, quality, secrets, sharding, tokens, toxicity
+from . import classifier, decontaminate, language, neardup, packing, pii, quality, search, secrets, sharding, spelling, tokens, toxicity
 from .common import held_out, table
 
 
@@ -60,7 +60,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), pii_key(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_decontamination, op4_near_duplicates, op5_token_counts, op6_toxicity, op7_packing, op8_language, op9_sharding, op10_pii)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = classifier.score(docs, classifier.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", classifier.not_learned().alias("held_out"), "score", "predicted")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_decontamination, op4_near_duplicates, op5_token_counts, op6_toxicity, op7_packing, op8_language, op9_sharding, op10_pii, op11_spelling_variants, op12_quality_classifier, op13_lexical_search)}
 #: The rest can't be said in SQL: learned models, sketches, the library's tokenizer, crc32, packing and keyed permutations. They are tested against brute force.
 ORACLE: dict[str, str] = {
     "op4_near_duplicates": r"""with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
@@ -70,4 +84,11 @@ p as (select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m from e a join e b
 l as (select a, b from p group by a, b, n, m having 100 * count(*) >= 80 * (n + m - count(*))),
 r(a, b) as (select a, b from l union select r.a, l.b from r join l on l.a = r.b)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) as component_id, s.doc_id = least(s.doc_id, coalesce(min(r.b), s.doc_id)) as kept from s left join r on r.a = s.doc_id group by s.doc_id, s.s""",
+    "op13_lexical_search": r"""with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+s as (select count(*) as n, cast(sum(len(t)) as bigint) as l from d where len(t) > 0),
+q as (select item_id, term, count(*) as k from (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by all),
+p as (select doc_id, len(t) as len, unnest(t) as term from d), f as (select doc_id, len, term, count(*) as tf from p where term in (select term from q) group by all),
+w as (select term, cast(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) as bigint) as w from f, s group by term, n),
+x as (select item_id, doc_id, cast(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * len * n) // l))))) as bigint) as score from q join f using (term) join w using (term), s group by all)
+select item_id, cast(rank as integer) as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from x where score > 0) where rank <= 10""",
 }
