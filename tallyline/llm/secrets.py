@@ -169,9 +169,9 @@ class Finder:
     def whole(self, text: str, a: int, b: int, x: int, y: int) -> tuple[int, int]:
         """The stretch (x, y) of the piece (a, b), its ends moved to the next mark if that is near."""
         p, q = x, y
-        while p > a and text[p - 1] not in MARKS:
+        while p > a and x - p <= NEAR and text[p - 1] not in MARKS:
             p -= 1
-        while q < b and text[q] not in MARKS:
+        while q < b and q - y <= NEAR and text[q] not in MARKS:
             q += 1
         return p if x - p <= NEAR else x, q if q - y <= NEAR else y
 
