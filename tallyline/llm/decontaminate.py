@@ -8,6 +8,7 @@ and alike enough counts, whatever lies beside it.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -19,12 +20,14 @@ from pyspark.sql import types as T
 
 from .common import BROADCAST_ROWS, keep, list_slices, small, smaller_batches
 
-#: Masks of weight 6: tokens at the places of a 1 are hashed.
-MASKS = ("111111", "1101001011", "11001010011", "101100110001", "110100100101")
+#: Masks of longer items have this weight and span so many tokens at most. (tokens, unequal ones): whichever tokens of such a passage are unequal, one of the masks misses them all.
+WEIGHT, SPAN, LOSSLESS = 5, 11, ((14, 4), (17, 5))
 #: Items of up to LONGEST_SHORT tokens have masks of their own. Those with fewer than LEAST_TOKENS must be matched exactly; below LEAST_EXACT an item is too short to tell.
 LONGEST_SHORT, LEAST_TOKENS, LEAST_EXACT = 12, 6, 4
 #: A stretch must hold so many equal tokens, or LEAST_SHARE of an item's tokens if that is less, at an identity of LEAST_SHARE.
 LEAST_EQUAL, LEAST_SHARE = 13, 0.7
+#: Pairs of tokens that are held against each other at once.
+TILE = 4_000_000
 #: Shares of a hot hash, where the join by hash shuffles.
 SALTS = 16
 #: With up to so many test hashes the training side drops windows without a hit before the join.
@@ -45,13 +48,27 @@ def masks_of(n: int) -> set[str]:
     return {"".join("1" if any(at[b] <= i < at[b + 1] for b in pair) else "0" for i in range(n)).strip("0") for pair in itertools.combinations(range(blocks), 2)}
 
 
+@functools.cache
+def long_masks() -> tuple[str, ...]:
+    """Masks (tokens at the places of a 1 are hashed) that leave a seed for all of LOSSLESS, and so for all that verification accepts of 13 to 18 tokens: each is the one that finds most of what those before it don't."""
+    left = [(n, np.array([sum(1 << i for i in gone) for gone in itertools.combinations(range(n), k)])) for n, k in LOSSLESS]
+    shapes = [(span, sum(1 << i for i in (0, *inner, span - 1))) for span in range(WEIGHT, SPAN + 1) for inner in itertools.combinations(range(1, span - 1), WEIGHT - 2)]
+    seen_by = lambda shape, n, gone: np.logical_or.reduce([gone & (shape[1] << at) == 0 for at in range(n - shape[0] + 1)])
+    out = []
+    while any(len(gone) for _, gone in left):
+        best = max(shapes, key=lambda s: sum(seen_by(s, n, gone).mean() for n, gone in left if len(gone)))
+        out.append("".join(str(best[1] >> i & 1) for i in range(best[0])))
+        left = [(n, gone[~seen_by(best, n, gone)]) for n, gone in left]
+    return tuple(out)
+
+
 def masks_for(lengths: list[int]) -> tuple[tuple[str, frozenset[int]], ...]:
     """(mask, the lengths of short items that it is for) with those of longer items first, whose set is empty."""
     short: dict[str, set[int]] = {}
     for n in lengths:
         for m in sorted(masks_of(n)):
             short.setdefault(m, set()).add(n)
-    return (*((m, frozenset()) for m in MASKS), *((m, frozenset(ns)) for m, ns in short.items()))
+    return (*((m, frozenset()) for m in long_masks()), *((m, frozenset(ns)) for m, ns in short.items()))
 
 
 #: Scripts that put no spaces between words; each of their letters, with its marks, is a token.
@@ -172,10 +189,30 @@ def stretch(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return int(p[i]), int(p[j]) + 1, j - i + 1
 
 
+def equal_tokens(doc: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
+    """On each diagonal the equal tokens in all, TILE items at once."""
+    n = len(item)
+    # What lies beyond the text's ends equals nothing.
+    other = next(x for x in range(n + 1) if x not in item)
+    around = np.full(n, other, doc.dtype)
+    seen = np.lib.stride_tricks.sliding_window_view(np.concatenate([around, doc, around]), n)
+    step = max(1, TILE // max(1, n))
+    return np.concatenate([np.zeros(0, np.int64), *((seen[diagonals[i : i + step] + n] == item).sum(axis=1) for i in range(0, len(diagonals), step))])
+
+
 def best_passage(doc: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> tuple[int, int, int, float] | None:
-    """(first, end, equal tokens, identity) of the passage with the most equal tokens, then the highest identity, then the furthest place; None if none holds."""
+    """(first, end, equal tokens, identity) of the passage with the most equal tokens, then the highest identity, then the furthest place; None if none holds.
+
+    Diagonals are taken by falling number of equal tokens, which a passage can't exceed, until none can be better.
+    """
     best = None
-    for shift in diagonals.tolist():
+    total = equal_tokens(doc, item, diagonals)
+    enough = total >= least_equal(len(item))
+    diagonals, total = diagonals[enough], total[enough]
+    order = np.lexsort((-diagonals, -total))
+    for shift, most in zip(diagonals[order].tolist(), total[order].tolist(), strict=True):
+        if best and (most < best[0] or best[0] == len(item)):
+            break
         lo, hi = max(0, shift), min(len(doc), shift + len(item))
         start, end, equal = stretch(doc[lo:hi], item[lo - shift : hi - shift])
         if equal and equal >= least_equal(len(item)):
@@ -184,6 +221,12 @@ def best_passage(doc: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> tu
     return best and (best[2], best[3], best[0], best[1])
 
 
+def diagonals_of(doc_at: np.ndarray, item_at: np.ndarray) -> np.ndarray:
+    """The different shifts of an item that bring some place in it to one in the text, TILE pairs at once."""
+    step = max(1, TILE // max(1, len(item_at)))
+    return np.unique(np.concatenate([np.unique(doc_at[i : i + step, None] - item_at) for i in range(0, len(doc_at), step)]))
+
+
 def verified(pairs: DataFrame) -> DataFrame:
     """(doc_id, item_id, hits, tokens, item) -> the best passage of each pair that holds; hits: array of (doc_at, item_at), the places of one hash in both."""
     names = ["doc_id", "item_id", "first_token", "end_token", "n_equal", "identity"]
@@ -197,7 +240,7 @@ def verified(pairs: DataFrame) -> DataFrame:
             out = [[] for _ in names]
             ids, items, hits, docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), *(numbers(batch.column(i)) for i in (3, 4))
             for i in range(batch.num_rows):
-                found = [np.unique(h["doc_at"].values.to_numpy()[:, None] - h["item_at"].values.to_numpy()) for h in hits[i]]
+                found = [diagonals_of(h["doc_at"].values.to_numpy(), h["item_at"].values.to_numpy()) for h in hits[i]]
                 if held := best_passage(docs[i], texts[i], np.unique(np.concatenate(found))):
                     for c, v in zip(out, (ids[i], items[i], *held), strict=True):
                         c.append(v)
