@@ -47,17 +47,23 @@ MONTHS = tuple(
 )
 MONTH_OF = {name: (names, i + 1) for names in reversed(MONTHS) for i, name in enumerate(names)}
 
+#: Phone numbers with a country's code, of North America, or national with a leading zero.
+_PHONE = r"""(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:(?!\ 0)[ .-]?\(?\d{1,4}\)?){1,5}|\+\d{8,15}|\(?0\d{1,4}\)?[ /-]\d{3,8}(?:[ -]\d{2,5}){0,2}"""
+_CARD = r"\d{4}(?P<a>[ -])\d{4}(?P=a)\d{4}(?P=a)\d{1,7}|\d{4}(?P<b>[ -])\d{6}(?P=b)\d{5}|\d{13,19}"
 NUMBER = re.compile(
-    r"""(?<![\w@])(?:
-      (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\w@]|\.\d)
-    | (?P<ymd>\d{4}([-/.])\d{1,2}\3\d{1,2})(?:(?=T\d\d:?\d\d)|(?![\w@]|[-/.]\d))
-    | (?P<dmy>\d{1,2}([-/.])\d{1,2}\5\d{4})(?![\w@]|[-/.]\d)
-    | (?P<ssn>\d{3}-\d{2}-\d{4})(?![\w@]|-\d)
-    | (?P<card>\d{4}([ -])\d{4}\8\d{4}\8\d{1,7}|\d{4}([ -])\d{6}\9\d{5}|\d{13,19})(?![\w@]|-\d)
-    | (?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:(?!\ 0)[ .-]?\(?\d{1,4}\)?){1,5}|\+\d{8,15}|\(?0\d{1,4}\)?[ /-]\d{3,8}(?:[ -]\d{2,5}){0,2})(?![\w@]|[-/.]\d)
+    rf"""(?<![\w@])(?:
+      (?P<ip>\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}})(?![\w@]|\.\d)
+    | (?P<ymd>\d{{4}}(?P<y>[-/.])\d{{1,2}}(?P=y)\d{{1,2}})(?:(?=T\d\d:?\d\d)|(?![\w@]|[-/.]\d))
+    | (?P<dmy>\d{{1,2}}(?P<d>[-/.])\d{{1,2}}(?P=d)\d{{4}})(?![\w@]|[-/.]\d)
+    | (?P<ssn>\d{{3}}-\d{{2}}-\d{{4}})(?![\w@]|-\d)
+    | (?P<card>{_CARD})(?![\w@]|-\d)
+    | (?P<phone>{_PHONE})(?![\w@]|[-/.]\d)
     )""",
     re.X | re.A,
 )
+PHONE, CARD = re.compile(rf"(?:{_PHONE})(?![\w@]|[-/.]\d)", re.A), re.compile(rf"(?<![\w@])(?:{_CARD})(?![\w@]|-\d)", re.A)
+#: What card numbers begin with.
+ISSUER = re.compile(r"[3-6]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)")
 #: A day and a year with a month's name between, or behind one: `word` is looked up or looked for.
 DAY_FIRST = re.compile(r"(?<![\w.,-])(?P<day>\d{1,2})(?P<mark>\.|st|nd|rd|th)?(?P<a>\s(?:de\s|of\s)?)(?P<word>[^\W\d_]{3,10})(?P<b>\.?,?\s(?:de\s)?)(?P<year>\d{4})(?![\w])")
 MONTH_FIRST = re.compile(r"(?<=[^\W\d_])(?P<a>\.?\s)(?P<day>\d{1,2})(?P<mark>st|nd|rd|th)?(?P<b>,?\s)(?P<year>\d{4})(?![\w])")
@@ -211,6 +217,11 @@ class Permuter:
         body = f"{self.number(int(digits[:-1]), 10 ** (len(digits) - 1), 'card'):0{len(digits) - 1}d}"
         return laid(text, body + next(c for c in "0123456789" if luhn(body + c)))
 
+    def digits(self, text: str) -> str:
+        """Any number in any layout."""
+        plain = re.sub(r"\D", "", text)
+        return laid(text, f"{self.number(int(plain), 10 ** len(plain), 'digits'):0{len(plain)}d}")
+
     def phone(self, text: str) -> str | None:
         """The country's code stays; the rest is permuted in whatever layout, so that it is linked with the number without a code."""
         digits = re.sub(r"\D", "", text)
@@ -278,18 +289,45 @@ class Redactor:
                 out.append((start, m.end(), "date", f"{new[2]}{m['a']}{new[0]}{new[1]}{m['b']}{new[3]}"))
         return out
 
+    def passing(self, kind: str, whole: str) -> tuple[str, str | None]:
+        """What of a match passes its validation, and its pseudonym: behind a phone's number another one may follow after a space."""
+        while not (new := self.swap(kind, whole)) and kind == "phone" and " " in whole:
+            whole = whole.rpartition(" ")[0]
+        return whole, new
+
+    def overlapping(self, text: str, start: int, end: int) -> re.Match | None:
+        """A card's number that begins behind the start of one that was found, and ends behind its end."""
+        at = start + 1
+        while at < end and (m := CARD.search(text, at, end + 40)) and m.start() < end:
+            if m.end() > end and self.swap("card", m[0]):
+                return m
+            at = m.start() + 1
+        return None
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym), in order and without overlaps."""
         found = self.emails(text) if "@" in text else []
         at = 0
         while m := NUMBER.search(text, at):
-            kind, whole, at = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup, m[0], m.end()
-            while not (new := self.swap(kind, whole)) and kind == "phone" and " " in whole:
-                # Another number may follow after a space; the scan goes on behind the part that passes.
-                whole = whole.rpartition(" ")[0]
-            if new:
-                at = m.start() + len(whole)
-                found.append((m.start(), at, kind, new))
+            kind, start = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup, m.start()
+            whole, new = self.passing(kind, m[0])
+            if not new and kind == "card" and (p := PHONE.match(text, start)):
+                kind, (whole, new) = "phone", self.passing("phone", p[0])
+            if not new:
+                # What fails may hide a number that begins within it, behind another one's digits.
+                at = start + 1
+                continue
+            at = start + len(whole)
+            more = self.overlapping(text, start, at) if kind in ("card", "phone") else None
+            if more and ISSUER.match(more[0]) and (kind == "phone" or not ISSUER.match(whole)):
+                # Of two readings the one is taken that begins as cards do, and has a check digit.
+                at = more.start()
+                continue
+            found.append((start, at, kind, new))
+            if more:
+                # It can't be told which of the two is the card: the rest of the other one doesn't stay in clear either.
+                found.append((at, more.end(), "card", self.swap("digits", text[at : more.end()])))
+                at = more.end()
         found += self.named_dates(text)
         if ":" in text:
             found += [(*m.span(), "ip", new) for m in IPV6.finditer(text) if (new := self.swap("ipv6", m[0]))]
