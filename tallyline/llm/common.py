@@ -129,6 +129,24 @@ def looked_up(rows: DataFrame, values: DataFrame, key: str | list[str], total: i
     return rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys).unionByName(here)
 
 
+#: Equal rows that one row of the table of counts makes at once.
+COPIES = 1_000
+
+
+def told_apart(counted: DataFrame, count: str, into: str) -> DataFrame:
+    """Each row of a table of counts as often as `count` says, its copies numbered from 0 in `into`.
+
+    So equal rows of an input are told apart without a place in the input; those that are very many are
+    made by many tasks.
+    """
+    rest = [F.col(f"`{c}`") for c in counted.columns if c != count]
+    few = counted.where(F.col(count) <= COPIES).select(*rest, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)).alias(into))
+    blocks = counted.where(F.col(count) > COPIES).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{count}` - 1) div {COPIES}"))).alias("_from"))
+    first = F.col("_from") * COPIES
+    many = blocks.repartition("_from").select(*rest, F.explode(F.sequence(first, F.least(F.col(count), first + COPIES) - 1)).alias(into))
+    return few.unionByName(many)
+
+
 def smaller_batches(spark: SparkSession) -> None:
     """Lower the session's rows to an Arrow batch to ARROW_ROWS, if it has more: a batch is held whole by a task and by its worker."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import words
+from .common import WHITE, keep, let, told_apart
 
 #: Characters that a bin holds, and a separator of one character after each piece.
 CAPACITY = 16_384
@@ -88,23 +88,25 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     one duplicate cluster share a bin, nor more than per_source pieces of one source; rows without a
     source are of no source. cluster: a column; by default texts with equal words, case aside, are a
     cluster, texts without words (white space alone) are in none. Repeated rows are packed each for
-    itself; an empty table gives no rows. The bins of an input are the same in every run. key: a column of whole numbers that names each row, for ids that are
-    null or not unique; with it the result has `row_key` too. Rows without an id, and all rows where an
-    id repeats, are dealt to groups by their text and their key, or their place in the input if there is
-    none, so that no group grows with the repeats. Only lengths, ids and clusters are shuffled, no texts.
+    itself; an empty table gives no rows. key: a column of whole numbers that names each row, for ids that
+    are null or not unique; with it the result has `row_key` too. Pieces are dealt to groups by a hash of
+    id, text, piece and key; equal rows are counted and told apart by a number, so that no group grows with
+    them. Of rows alike in all of these it makes no difference which is which, so that the bins of an input
+    are the same in every run and for every layout. Only lengths, ids and clusters are shuffled, no texts.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    own = F.xxhash64(F.array_join(words(F.lower(t)), " ")) if cluster is None else F.col(cluster)
-    wordless = F.size(words(t)) == 0
+    # The words, case aside, with one space between; a text without words is in no cluster.
+    plain = F.btrim(F.regexp_replace(F.lower(t), WHITE, " "), F.lit(" "))
+    own = let(plain, lambda p: F.when(p != "", F.xxhash64(p))) if cluster is None else F.col(cluster)
     named = [] if key is None else ["row_key"]
     own_key = [] if key is None else [F.col(key).cast("long").alias("row_key")]
-    place = F.xxhash64(t, F.monotonically_increasing_id() if key is None else F.col(key))
-    rows = docs.select(*own_key, place.alias("_place"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).alias("n"), (F.when(~wordless, own) if cluster is None else own).alias("cluster"))
-    rows = rows.withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
-    total, most = rows.groupBy("doc_id").agg(F.sum("n_pieces").alias("p"), F.when(F.col("doc_id").isNotNull(), F.count("*")).alias("k")).agg(F.sum("p"), F.max("k")).first()
+    rows = docs.select(*own_key, F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).cast("long").alias("n"), own.alias("cluster"), F.xxhash64(t).alias("_text"))
+    # A few numbers for each row are written once; texts aren't read again.
+    rows = keep(rows.groupBy(*rows.columns).agg(F.count("*").alias("_k")), "lengths").withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
+    total = rows.agg(F.sum(F.col("n_pieces") * F.col("_k"))).first()[0]
     groups = max(1, (total or 0) // GROUP_ROWS)
-    # Ids that are unique deal the pieces alone; where some repeat, or there is none, rows are told apart by their place.
-    dealt = [F.col("doc_id"), F.col("piece"), F.col("_place") if (most or 0) > 1 else F.when(F.col("doc_id").isNull(), F.col("_place"))]
+    rows = told_apart(rows, "_k", "_copy").withColumn("_other", F.xxhash64("source", "cluster"))
+    dealt = [*named, "doc_id", "_text", "_copy", "piece"]
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")))
     pieces = pieces.withColumn("size", F.col("length") + F.when(F.col("piece") == F.col("n_pieces") - 1, 1).otherwise(0)).withColumn("_g", F.pmod(F.xxhash64(*dealt), F.lit(groups)))
@@ -114,7 +116,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         # Clusters with no id are single; a document's own pieces may not share a bin unless they have no cluster.
         clusters = [c if c is not None else ("", i) for i, c in enumerate(table.column("cluster").to_pylist())]
         ids = np.array([-1 if x is None else x for x in table.column("doc_id").to_pylist()], np.int64)
-        order = np.lexsort((table.column("size").to_numpy(), table.column("piece").to_numpy(), ids))
+        order = np.lexsort((*(table.column(c).to_numpy() for c in ("_copy", *named, "_other", "_text", "size", "piece")), ids))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         bins, offsets = pack_group(table.column("size").to_numpy(), table.column("source").to_pylist(), clusters, rank, capacity, per_source)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, told_apart
 
 #: Rows that a range holds, about; a range is ranked in one task. Ranges of a block, whose counts are summed up in one task.
 RANGE_ROWS, BLOCK = 2_000, 1_000
@@ -44,21 +44,23 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 42, source: str =
 
     size: UTF-8 bytes of the text plus 8; a null text has no bytes, and its crc32 is that of none, 0.
     Shards' row counts differ by one at most; with fewer rows than shards some stay empty. Rows without
-    a source are a source of their own; rows without an id take their order from their text and place in
-    the input. Rows alike in id, text and source change places freely; the result is the same. An empty
-    table gives no rows. Texts of any length count by size and crc32 alone.
+    a source are a source of their own. A row's order is a hash of its id and text; rows alike in these and
+    in source are counted and told apart by a number, so that however many there are, they are dealt to
+    all ranges, and the result doesn't depend on the layout of the input. An empty table gives no rows.
+    Texts of any length count by size and crc32 alone.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    unnamed = F.xxhash64("size", "text_crc32", F.monotonically_increasing_id(), F.lit(seed))
-    rows = rows.withColumn("_h", F.when(F.col("doc_id").isNull(), unnamed).otherwise(F.xxhash64("doc_id", F.lit(seed))))
     # A few numbers for each row are written once; texts aren't read again.
-    rows = keep(rows.withColumn("_s", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))), "sizes")
-    total = rows.count()
+    counted = keep(rows.groupBy(*rows.columns).agg(F.count("*").alias("_k")), "sizes")
+    total = counted.agg(F.sum("_k")).first()[0] or 0
     ranges = max(1, total // RANGE_ROWS)
 
-    order = ["_h", "doc_id", "text_crc32", "size"]
-    rows = ranked(rows.withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(ranges))), ["_s"], "_b", order, "_rank")
+    # Ranges are dealt by all that tells rows apart, so that many rows of one id or one text don't lie in one.
+    rows = told_apart(counted, "_k", "_copy").withColumn("_s", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))))
+    rows = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(seed))).withColumn("_b", F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "_copy", F.lit(seed)), F.lit(ranges)))
+    order = ["_h", "doc_id", "text_crc32", "size", "_copy"]
+    rows = keep(ranked(rows, ["_s"], "_b", order, "_rank"), "ranked")
 
     # The fractional rank is (rank + 1/2) / n; its range is exact in whole numbers.
     rows = rows.withColumn("_f", (F.col("_rank") * 2 + 1) / (F.col("_n") * 2)).withColumn("_b", F.expr(f"((_rank * 2 + 1) * {ranges}) div (_n * 2)")).drop("_n")
