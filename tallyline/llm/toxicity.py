@@ -1,16 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words and marks are mapped to classes (insult, threat, target, negation, reporting verb, quotation mark,
-pause, end). Small transducers read the classes: negation and reported speech say in which scope a word
-stands, insult and threat note what a clause says in it, target notes whom. Quotation holds what a
-quoted passage says until a reporting verb before or behind it tells whose words they are. Their
-composition is one transducer over clauses, made state by state as texts need it; it emits the kind of
-each clause that matched. A document's score is a logistic function of its matched clauses, so that a
-listed word weighs by the clause it stands in.
-
-The stems of insults and the weights of clause kinds are learned from labelled documents that aren't
-held out; threats, targets, negations and reporting verbs are given below. A stem stands for every
-word that begins with it, so that an inflected form needn't have been seen.
+Words and marks are mapped to classes (insult, threat, target, negation, reporting verb, conjunction,
+quotation mark, pause, end). Small transducers read the classes: negation and reported speech say in which
+scope a word stands, up to the end of the clause, insult and threat note what a clause says in it, target
+notes whom. Quotation holds what a quoted passage says until a reporting verb before or behind it tells
+whose words they are. Their composition is one transducer over clauses, made state by state as texts need
+it; it emits the kind of each clause that matched. A document's score is a logistic function of its matched
+clauses, so that a listed word weighs by the clause it stands in.
+
+Below are listed a few insults and threats, and all targets, negations, reporting verbs and conjunctions.
+Further stems of insults and threats, and the weights of clause kinds, are learned from labelled documents
+that aren't held out: a learned stem is a threat's if whom it is for mostly stands behind it. A stem stands
+for every word that begins with it, so that an inflected form needn't have been seen.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, keep, map_text, small
+from .common import held_out, keep, map_text, slices, small
 
 #: Labelled documents that stems and weights are fitted on, about; lengths of stems (a word of any length matches by its beginning).
 SAMPLE_DOCS = 8_000
@@ -36,28 +38,38 @@ LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 4, 0.03, 3.5
 SAME_STEM = 0.95
 THRESHOLD = 0.3
 
-OTHER, INSULT, THREAT, TARGET, OBJECT, OWNER, NEGATION, REPORT, SOFT, QUOTE, PAUSE, END, BREAK = range(13)
+#: A learned stem is a threat's if in this share of its toxic texts a target follows it.
+THREAT_SHARE = 0.6
+
+OTHER, INSULT, THREAT, TARGET, OBJECT, OWNER, NEGATION, REPORT, SOFT, QUOTE, PAUSE, END, BREAK, JOIN, TURN, FILLER = range(16)
 WORDS = {
     INSULT: "idiot idiots moron morons stupid dumb loser losers scum trash worthless pathetic disgusting imbecile dumbass bastard vermin dummkopf arschloch abschaum imbécile connard ordure crétin estúpido imbécil basura escoria",
-    THREAT: "kill hurt destroy murder strangle stab shoot töten umbringen verprügeln tuer frapper égorger matar golpear destruir",
+    THREAT: "hurt hurts hurting shoot shoots shooting shot beat beats beating beaten töten tötet töte umbringen verprügeln tuer tuerai frapper frapperai égorger matar mataré golpear destruir",
     TARGET: "you yourself u he she they him her them these those du ihr sie tu toi vous ils elles tú ti usted ustedes ellos ellas",
     OBJECT: "dich dir euch ihn te",
     OWNER: "your yours dein deine euer eure votre tes vuestro tus",
-    NEGATION: "not never isn't aren't wasn't don't doesn't didn't won't nobody nicht kein keine nie niemals jamais aucun nunca jamás tampoco",
-    REPORT: "said says told called wrote writes claimed quoted reported shouted sagte schrieb nannte behauptete dit disait écrivait appelait dijo escribió llamó afirmó",
+    NEGATION: "not no never isn't aren't wasn't weren't don't doesn't didn't won't wouldn't can't couldn't nobody nicht kein keine nie niemals jamais aucun nunca jamás tampoco",
+    REPORT: "said says told tells called wrote writes claimed quoted reported shouted sagte schrieb nannte behauptete dit disait écrivait appelait dijo escribió llamó afirmó",
     SOFT: "kindness laughter laughing tickles freundlichkeit gentillesse amabilidad",
     QUOTE: '" “ ” „ « »',
     PAUSE: ", :",
     END: ". ! ? ;",
+    JOIN: "and und et y or oder ou",
+    TURN: "but because although though aber denn weil obwohl mais car parce pero porque aunque",
+    FILLER: "up down all both of out the hell every each one",
 }
-#: Words that a negation or a reporting verb reaches, and those between a threat and whom it is for.
-SCOPE, NEAR = 4, 2
+#: English verbs of threats that are inflected by rule, and their endings.
+REGULAR, ENDINGS = "kill murder destroy strangl stabb punch slaughter", ("", "e", "s", "es", "ed", "ing")
+#: Words between a threat and whom it is for, fillers not counted, or between a reporting verb and the pause of direct speech.
+NEAR = 2
 #: Kinds of clauses, and the weights before any document is seen.
 CLAUSES = ("plain", "targeted", "negated", "reported", "threat")
 PRIOR = np.array([3.0, 3.5, 1.0, 1.0, 2.5])
 PRIOR_VARIANCE = 4.0
 
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+#: A passage in single quotation marks; apostrophes within words aren't any.
+_SINGLE = re.compile(r"(?<![^\W_])'(?=\S)([^'\n]*(?:(?<=[^\W_])'(?=[^\W_])[^'\n]*)*)'(?![^\W_])")
 _TOKEN = re.compile(_WORD.pattern + r'|[.!?;:,\n"“”„«»]')
 
 #: Of two mentions the stronger one counts, and of two clauses within one quotation.
@@ -71,28 +83,30 @@ def countdown(left: int, on: bool, reach: int) -> int:
 
 
 class Negation(NamedTuple):
-    """Reaches SCOPE words, to the clause's end at most."""
+    """Reaches to the clause's end: a pause or end, a word that turns against it, or `and` with a subject of its own."""
 
-    left: int = 0
+    on: bool = False
+    joined: bool = False
 
     def word(self, c: int) -> Negation:
-        return Negation(countdown(self.left, c == NEGATION, SCOPE))
+        ended = c == TURN or (self.joined and c == TARGET)
+        return Negation(c == NEGATION or (self.on and not ended), c == JOIN)
 
 
 class Reporting(NamedTuple):
-    """A reporting verb reaches SCOPE words; a pause right behind it, as before direct speech, makes it reach to the sentence's end."""
+    """A reporting verb reaches to the clause's end; a pause right behind it, as before direct speech, makes it reach to the sentence's end. since: words behind the verb, as far as they are counted."""
 
-    left: int = 0
+    on: bool = False
+    joined: bool = False
+    since: int = 0
     held: bool = False
 
     def word(self, c: int) -> Reporting:
-        return Reporting(countdown(self.left, c == REPORT, SCOPE), self.held)
+        ended = c == TURN or (self.joined and c == TARGET)
+        return Reporting(c == REPORT or (self.on and not ended), c == JOIN, 0 if c == REPORT else min(self.since + 1, NEAR + 1), self.held)
 
     def pause(self) -> Reporting:
-        return Reporting(0, self.held or self.left >= SCOPE - NEAR)
-
-    def on(self) -> bool:
-        return self.held or self.left > 0
+        return Reporting(held=self.held or (self.on and self.since <= NEAR))
 
 
 class Insult(NamedTuple):
@@ -121,16 +135,15 @@ class Threat(NamedTuple):
             return Threat(max(self.mode, mode, key=MODES.get), None, 0, before) if self.object_left else Threat(self.mode, mode, NEAR, before)
         if self.armed and c in (TARGET, OBJECT):
             return Threat(max(self.mode, self.armed, key=MODES.get), None, 0, before)
-        left = max(0, self.left - 1)
+        left = self.left if c == FILLER else max(0, self.left - 1)
         return Threat(self.mode, self.armed if left else None, left, before)
 
 
 class Quotation(NamedTuple):
-    """place: out, own (a quotation without a reporting verb before it), reported, or behind (an own one, for SCOPE words). pending: the strongest clause of an own one."""
+    """place: out, own (a quotation without a reporting verb before it), reported, or behind (an own one, to the clause's end). pending: the strongest clause of an own one."""
 
     place: str = "out"
     pending: str | None = None
-    left: int = 0
 
 
 class State(NamedTuple):
@@ -156,7 +169,7 @@ def strongest(a: str | None, b: str | None) -> str | None:
 @functools.lru_cache(maxsize=200_000)
 def step(state: State, c: int) -> tuple[State, str | None]:
     """The composition's next state and the kind of clause that it emits, if any."""
-    q, rest = state.quotation, State()
+    q, rest, reported = state.quotation, State(), state.reporting.on or state.reporting.held
     if c == BREAK:
         return rest, strongest(q.pending, state.clause())
     if c == QUOTE:
@@ -164,10 +177,10 @@ def step(state: State, c: int) -> tuple[State, str | None]:
         if q.place == "own":
             # What was quoted waits for a reporting verb behind it.
             pending = strongest(q.pending, said)
-            return rest._replace(quotation=Quotation("behind", pending, SCOPE) if pending else Quotation()), None
+            return rest._replace(quotation=Quotation("behind", pending) if pending else Quotation()), None
         if q.place == "reported":
             return rest, said
-        return rest._replace(quotation=Quotation("reported" if state.reporting.on() else "own")), strongest(q.pending, said)
+        return rest._replace(quotation=Quotation("reported" if reported else "own")), strongest(q.pending, said)
     if c in (PAUSE, END):
         kept = rest._replace(reporting=state.reporting.pause() if c == PAUSE else Reporting(), quotation=q)
         if q.place == "own":
@@ -176,62 +189,89 @@ def step(state: State, c: int) -> tuple[State, str | None]:
             return (state, None) if c == PAUSE else (rest, strongest(q.pending, state.clause()))
         return kept, state.clause()
     said = None
-    if q.place == "behind":
-        if c == REPORT:
-            said, q = ("reported" if q.pending != "negated" else "negated"), Quotation()
-        else:
-            q = q._replace(left=q.left - 1)
-            if not q.left:
-                said, q = q.pending, Quotation()
-    mode = "negated" if state.negation.left else "reported" if state.reporting.on() or q.place == "reported" else "plain"
+    if q.place == "behind" and c == REPORT:
+        said, q = ("reported" if q.pending != "negated" else "negated"), Quotation()
+    mode = "negated" if state.negation.on else "reported" if reported or q.place == "reported" else "plain"
     return State(state.negation.word(c), state.reporting.word(c), state.insult.word(c, mode), state.threat.word(c, mode), q), said
 
 
+class Stems:
+    """Stems, of SHORTEST characters at least, and whether a word begins with one."""
+
+    def __init__(self, stems):
+        self.by_start: dict[str, tuple[str, ...]] = {}
+        for stem in stems:
+            self.by_start[stem[:SHORTEST]] = (*self.by_start.get(stem[:SHORTEST], ()), stem)
+
+    def among(self, words: set[str]) -> set[str]:
+        return {w for w in words if w[:SHORTEST] in self.by_start and w.startswith(self.by_start[w[:SHORTEST]])}
+
+
+def plain_marks(text: str) -> str:
+    """Lower case, apostrophes straight, and single quotation marks double."""
+    low = text.lower().replace("’", "'").replace("‘", "'")
+    return _SINGLE.sub(r'"\1"', low) if "'" in low else low
+
+
 class Grammar:
-    """insults: stems, of SHORTEST characters at least."""
+    """insults, threats: learned stems."""
 
-    def __init__(self, insults: list[str]):
-        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | {"\n": BREAK}
+    def __init__(self, insults, threats=()):
+        self.classes = {w: c for c, listed in WORDS.items() for w in listed.split()} | {w + e: THREAT for w in REGULAR.split() for e in ENDINGS} | {"stab": THREAT, "stabs": THREAT, "\n": BREAK}
         self.hot = frozenset(w for w, c in self.classes.items() if c in (INSULT, THREAT))
-        self.stems: dict[str, tuple[str, ...]] = {}
-        for stem in insults:
-            self.stems[stem[:SHORTEST]] = (*self.stems.get(stem[:SHORTEST], ()), stem)
+        # Words of the grammar stay what they are, even if they are learned with what stands beside them.
+        self.given = frozenset(self.classes) - self.hot
+        self.insults, self.threats = Stems(insults), Stems(threats)
 
     def clauses(self, text: str | None) -> list[int]:
         """How many clauses of each kind the text has."""
         found = dict.fromkeys(CLAUSES, 0)
         if not text:
             return [*found.values()]
-        low = text.lower().replace("’", "'")
-        seen = set(_WORD.findall(low))
-        stemmed = {w for w in seen if w[:SHORTEST] in self.stems and w.startswith(self.stems[w[:SHORTEST]])}
-        if not stemmed and self.hot.isdisjoint(seen):
+        low = plain_marks(text)
+        seen = set(_WORD.findall(low)) - self.given
+        learned = dict.fromkeys(self.threats.among(seen), THREAT) | dict.fromkeys(self.insults.among(seen), INSULT)
+        if not learned and self.hot.isdisjoint(seen):
             return [*found.values()]
-        state, get = State(), self.classes.get
+        state, get = State(), (self.classes | learned).get
         for token in (*_TOKEN.findall(low), "\n"):
-            state, kind = step(state, INSULT if token in stemmed else get(token, OTHER))
+            state, kind = step(state, get(token, OTHER))
             if kind:
                 found[kind] += 1
         return [*found.values()]
 
+    def followed(self, text: str | None) -> tuple[set[str], set[str]]:
+        """The learned stems that the text has, and those with a target among the NEAR words behind them or as an object before."""
+        tokens = [t for t in _TOKEN.findall(plain_marks(text or "")) if self.classes.get(t) != FILLER]
+        seen, aimed = set(), set()
+        for i, t in enumerate(tokens):
+            for stem in self.insults.by_start.get(t[:SHORTEST], ()):
+                if t.startswith(stem):
+                    seen.add(stem)
+                    behind = [self.classes.get(x) for x in tokens[i + 1 : i + 1 + NEAR]]
+                    if {TARGET, OBJECT} & set(behind) or (i and self.classes.get(tokens[i - 1]) == OBJECT):
+                        aimed.add(stem)
+        return seen, aimed
+
 
 @dataclass(frozen=True)
 class Model:
     insults: tuple[str, ...]
     bias: float
     weights: tuple[float, ...]
+    threats: tuple[str, ...] = ()
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, sample_docs: int, doc_id: str, text: str, label: str) -> DataFrame:
     """(doc_id, text, toxic) of about sample_docs labelled documents that aren't held out. Of several labels of one document the highest counts."""
     usable = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(doc_id).agg(F.max(label).alias("toxic"))
     share = max(1, usable.count() // sample_docs)
-    chosen = usable.where(F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(share)) == 0)
-    return docs.select(doc_id, text).join(small(chosen, sample_docs), doc_id)
+    chosen = keep(usable.where(F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(share)) == 0), "labelled")
+    return docs.select(doc_id, text).join(small(chosen, chosen.count()), doc_id)
 
 
 def learn_insults(rows: DataFrame, text: str) -> list[str]:
-    """Stems whose presence speaks for the label, by log-odds over texts; near copies of a text mostly share its least word hash and count once.
+    """Stems of insults and threats: those whose presence speaks for the label, by log-odds over texts; near copies of a text mostly share its least word hash and count once.
 
     rows is a sample of bounded size; only stems of enough toxic texts are counted in the others.
     """
@@ -261,6 +301,22 @@ def chosen_stems(texts: dict[str, int]) -> list[str]:
     return sorted(left, key=lambda s: (-texts[s], s))
 
 
+def threats_among(rows: DataFrame, stems: list[str], text: str) -> set[str]:
+    """The stems that in THREAT_SHARE of their toxic texts have a target behind them; rows is a sample of bounded size."""
+
+    def run(batches):
+        grammar = Grammar(stems)
+        for batch in batches:
+            for part in slices(batch, 0):
+                found = [(stem, stem in aimed) for t in part.column(0).to_pylist() for seen, aimed in [grammar.followed(t)] for stem in sorted(seen)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in ((0, pa.string()), (1, pa.bool_()))], names=["stem", "aimed"])
+
+    if not stems:
+        return set()
+    counted = rows.where("toxic = 1").select(text).mapInArrow(run, "stem string, aimed boolean").groupBy("stem").agg((F.count_if("aimed") / F.count("*")).alias("share"))
+    return {r.stem for r in counted.where(F.col("share") >= THREAT_SHARE).collect()}
+
+
 def fit(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[float, tuple[float, ...]]:
     """Logistic regression over (clause counts, label, documents), counts by log2(1 + n), with the prior weights as the mean of a normal prior; bias first."""
     mean = np.concatenate([[-3.0], PRIOR])
@@ -285,17 +341,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, do
     The sample is written to the shared folder once, so that the documents are read once.
     """
     rows = keep(learning_rows(docs, labels, sample_docs, doc_id, text, label), "sample")
-    insults = tuple(learn_insults(rows, text))
-    found = clauses(rows, insults, text, ("toxic",))
+    stems = learn_insults(rows, text)
+    aimed = threats_among(rows, stems, text)
+    insults, threats = tuple(x for x in stems if x not in aimed), tuple(x for x in stems if x in aimed)
+    found = clauses(rows, insults, text, ("toxic",), threats)
     patterns = found.groupBy("toxic", *(f"n_{k}" for k in CLAUSES)).count().collect()
-    return Model(insults, *fit([(tuple(r[1:-1]), int(r.toxic), r[-1]) for r in patterns]))
+    return Model(insults, *fit([(tuple(r[1:-1]), int(r.toxic), r[-1]) for r in patterns]), threats)
 
 
-def clauses(docs: DataFrame, insults: tuple[str, ...], text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def clauses(docs: DataFrame, insults: tuple[str, ...], text: str = "text", carry: tuple[str, ...] = ("doc_id",), threats: tuple[str, ...] = ()) -> DataFrame:
     """The carried columns and n_<kind>: matched clauses of each kind."""
 
     def make():
-        grammar = Grammar(list(insults))
+        grammar = Grammar(insults, threats)
         return lambda texts: list(zip(*(grammar.clauses(t) for t in texts), strict=True))
 
     return map_text(docs, make, [(f"n_{k}", T.LongType()) for k in CLAUSES], text, carry)
@@ -311,5 +369,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: tuple[str, .
     odds = F.lit(model.bias)
     for kind, w in zip(CLAUSES, model.weights, strict=True):
         odds = odds + F.log2(1.0 + F.col(f"n_{kind}")) * w
-    scored = clauses(docs, model.insults, text, carry).withColumn("score", 1 / (1 + F.exp(-odds)))
+    scored = clauses(docs, model.insults, text, carry, model.threats).withColumn("score", 1 / (1 + F.exp(-odds)))
     return scored.select(*carry, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -311,12 +311,12 @@ def test_grammar_against_brute_force():
         for w in sentences:
             modes = []
             for i, x in enumerate(w):
-                near = w[max(0, i - 4) : i]
-                mode = "negated" if "not" in near else "reported" if "said" in near else "plain"
+                before = w[:i]
+                mode = "negated" if "not" in before else "reported" if "said" in before else "plain"
                 if x.startswith("zorp"):
                     modes.append(("targeted" if {"you", "your", "dich"} & set(w) else "plain") if mode == "plain" else mode)
                 if x == "kill":
-                    behind = list(itertools.takewhile(lambda y: y != "kill", w[i + 1 : i + 3]))
+                    behind = list(itertools.takewhile(lambda y: y != "kill", [y for y in w[i + 1 :] if y != "the"][:2]))
                     if "dich" in w[max(0, i - 3) : i] or {"you", "dich"} & set(behind):
                         modes.append("threat" if mode == "plain" else mode)
             if modes:
