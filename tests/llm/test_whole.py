@@ -3,6 +3,7 @@
 import collections
 import itertools
 import random
+import re
 import string
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyline.llm import decontaminate, packing, pii, secrets
+from tallyline.llm import common, decontaminate, packing, pii, secrets, sharding, toxicity
 
 
 def test_rows_without_id_keep_their_own_text(spark):
@@ -191,3 +192,173 @@ def test_groups_count_pieces(spark, monkeypatch):
     assert len(found) == 1010 and len({r.bin_id % 20 for r in found}) == 20
     full = [r.bin_id for r in found if r.length == 100]
     assert len(set(full)) == len(full) == 1000
+
+
+def test_a_million_characters_without_a_mark(spark):
+    """Random strings within one run of ordinary words without a mark, which is read in linear time."""
+    finder, r = secrets.Finder(secrets.train(secrets.default_samples(spark))), random.Random(4)
+    made, parts = [], []
+    for _ in range(2_500):
+        made.append("".join(r.choices(string.ascii_letters + string.digits, k=36)))
+        parts += [made[-1], "".join(r.choices(secrets.IDENTIFIER_WORDS, k=50))]
+    text = "".join(parts)
+    spans = finder.added(text, finder.base(text))
+    covered = np.zeros(len(text) + 1, int)
+    for _, a, e in spans:
+        covered[a] += 1
+        covered[e] -= 1
+    covered, at, found = np.cumsum(covered), 0, 0
+    for i, p in enumerate(parts):
+        found += i % 2 == 0 and covered[at : at + len(p)].mean() > 0.75
+        at += len(p)
+    assert len(text) > 750_000 and found >= 0.95 * len(made)
+
+
+@pytest.mark.parametrize("n", range(13, 31))
+def test_recall_of_masks_by_item_length(n):
+    """Items of n tokens with as many substituted as verification accepts, at random places: nearly all have a seed, those of 13 to 18 tokens all."""
+    r, masks = np.random.default_rng(n), decontaminate.long_masks()
+    held = found = 0
+    while held < 1_000:
+        k = min(n - decontaminate.least_equal(n), int(n * (1 - decontaminate.LEAST_SHARE) + 1e-9))
+        same = np.ones(n, bool)
+        same[r.choice(n, k, replace=False)] = False
+        if decontaminate.stretch(np.where(same, 1, 2), np.ones(n, int))[2] < decontaminate.least_equal(n):
+            continue
+        held += 1
+        found += any(all(same[at + i] for i, c in enumerate(m) if c == "1") for m in masks for at in range(n - len(m) + 1))
+    assert found >= (1 if n <= 18 else 0.99) * held
+
+
+def test_a_million_equal_tokens():
+    """A text of one repeated token and an item of it: pairs of places are taken in tiles, and the search ends with the first whole match."""
+    doc, item = np.full(1_000_000, 7), np.full(300, 7)
+    shifts = decontaminate.diagonals_of(np.arange(999_990), np.arange(290))
+    assert len(shifts) == 999_990 + 289 and decontaminate.best_passage(doc, item, shifts) == (999_700, 1_000_000, 300, 1.0)
+
+
+def test_best_passage_against_every_diagonal():
+    r = np.random.default_rng(12)
+    for _ in range(300):
+        doc, item = r.integers(0, 4, r.integers(1, 60)), r.integers(0, 4, r.integers(4, 25))
+        shifts, best = np.arange(1 - len(item), len(doc)), None
+        for s in shifts.tolist():
+            lo, hi = max(0, s), min(len(doc), s + len(item))
+            a, b, equal = decontaminate.stretch(doc[lo:hi], item[lo - s : hi - s])
+            if equal and equal >= decontaminate.least_equal(len(item)):
+                best = max(best or (0,), (equal, equal / (b - a), lo + a, lo + b))
+        assert decontaminate.best_passage(doc, item, shifts) == (best and (best[2], best[3], best[0], best[1]))
+
+
+def test_bins_do_not_depend_on_the_layout(spark, monkeypatch):
+    """Repeated rows, equal ids with other texts and rows without an id: the same bins however the rows lie, and groups of bounded size."""
+    monkeypatch.setattr(packing, "GROUP_ROWS", 40)
+    rows = [*((i, f"text {i} " * (i % 50), f"s{i % 7}") for i in range(300)), *((5, "same text", "s1") for _ in range(200)), *((None, f"t{i % 3}", None) for i in range(60)), *((9, f"other {i}", "s2") for i in range(40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: tuple((x is None, x) for x in r)
+    one, two = (sorted(map(tuple, packing.pack(docs.repartition(n), capacity=300).collect()), key=key) for n in (1, 7))
+    assert one == two and len(one) >= 600
+    groups = len(one) // 40
+    assert max(collections.Counter(r[5] % groups for r in one).values()) < 3 * 40
+
+
+def test_many_rows_of_one_id_are_dealt_to_all_ranges(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 50)
+    monkeypatch.setattr(common, "COPIES", 100)
+    rows = [*((7, "same text", "a") for _ in range(900)), *((7, f"text {i}", "a") for i in range(300)), *((i, "x", "b") for i in range(300))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: tuple((x is None, x) for x in r)
+    one, two = (sorted(map(tuple, sharding.interleave(docs.repartition(n)).collect()), key=key) for n in (2, 5))
+    assert one == two and len(one) == 1500
+    placed = collections.defaultdict(list)
+    for r in one:
+        placed[r[5]].append(r)
+    assert {len(g) for g in placed.values()} <= {62, 63} and all(abs(sum(x[1] == "b" for x in g) - 12.5) <= 2 for g in placed.values())
+    counts = common.told_apart(spark.createDataFrame([("a", 950), ("b", 3), ("c", 100)], "v string, k long"), "k", "i").collect()
+    assert sorted((r.v, r.i) for r in counts) == sorted([*(("a", i) for i in range(950)), *(("b", i) for i in range(3)), *(("c", i) for i in range(100))])
+
+
+# ---- numbers behind other numbers, against an independent reading
+
+
+def luhn_sum(digits):
+    doubled = [int(c) * 2 if i % 2 else int(c) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10
+
+
+def planted_numbers(r, n):
+    """(kind, value, text): a valid card, social security or phone number behind and before other numbers."""
+    digits = lambda k: "".join(r.choices("0123456789", k=k))
+    for _ in range(n):
+        body = r.choice("3456") + digits(14)
+        card = next(body + c for c in "0123456789" if not luhn_sum(body + c))
+        mark = r.choice(" -")
+        value = {
+            "card": r.choice([card, mark.join(card[i : i + 4] for i in range(0, 16, 4))]),
+            "ssn": f"{r.randint(1, 665):03d}-{r.randint(1, 99):02d}-{r.randint(1, 9999):04d}",
+            "phone": r.choice(["{}-{}-{}", "{}.{}.{}", "({}) {}-{}"]).format(r.randint(200, 999), r.randint(200, 999), digits(4)),
+        }
+        kind = r.choice(sorted(value))
+        before = r.choice(["paid in 2023", "Room 0201", f"{digits(4)}", f"{digits(2)}", f"{digits(3)} {digits(4)}", f"id {digits(4)} {digits(4)}", f"0{digits(3)}", "on 2020-01-02 at 12"])
+        yield kind, value[kind], f"a {before} {value[kind]}{r.choice(['', ' 2024', f' {digits(4)} {digits(4)}', ', 12'])} end"
+
+
+def test_numbers_behind_other_numbers():
+    r, redactor = random.Random(31), pii.Redactor(b"k")
+    for kind, value, text in planted_numbers(r, 4_000):
+        new, counts = redactor.redact(text)
+        assert value not in new, text
+        assert len(re.sub(r"\D", "", new)) == len(re.sub(r"\D", "", text)) and sum(counts.values())
+        if kind == "card":
+            # No group of the card stays where it was but by chance, and what stands for a card is one.
+            at = text.index(value)
+            assert new[at : at + len(value)][-4:] != value[-4:] or new[at : at + len(value)][-9:-5] != value[-9:-5], text
+    for text in ("paid in 2023 4111 1111 1111 1111", "1201 4111 1111 1111 1111", "Room 0201 555-123-4567"):
+        assert not any(x in redactor.redact(text)[0] for x in ("1111 1111", "555-123"))
+
+
+@pytest.mark.parametrize("kind, size", [("card", 16), ("ssn", 9), ("phone", 10)])
+def test_pseudonyms_are_permutations(kind, size):
+    """Distinct valid numbers have distinct valid pseudonyms in the same layout, which the key takes back by an independent Feistel walk."""
+    r, p = random.Random(size), pii.Permuter(b"k")
+    made, valid = {}, {"card": lambda d: not luhn_sum(d), "ssn": lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000", "phone": lambda d: True}[kind]
+    while len(made) < 500:
+        d = "".join(r.choices("123456789", k=size))
+        if valid(d):
+            made[d] = re.sub(r"\D", "", getattr(p, kind)(d if kind == "card" else f"{d[:3]}-{d[3:5]}-{d[5:]}" if kind == "ssn" else f"{d[:3]}-{d[3:6]}-{d[6:]}"))
+    assert len(set(made.values())) == 500 and all(valid(x) and len(x) == size for x in made.values())
+    for old, new in list(made.items())[:50]:
+        tweak, cut = {"card": ("card", 15), "ssn": ("ssn", 9), "phone": ("phone10", 10)}[kind]
+        back = int(new[:cut])
+        while True:
+            back = p.number(back, 10**cut, tweak, back=True)
+            if kind != "ssn" or valid(f"{back:09d}"):
+                break
+        assert f"{back:0{cut}d}" == old[:cut]
+
+
+# ---- scopes, threats and quotations
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("He told me that you are an idiot", ["reported"]), ("I would never ever in my life hurt you", ["negated"]), ("I am killing you", ["threat"]), ("They shot him", ["threat"]), ("I will beat you up", ["threat"]),
+    ("You're no idiot", ["negated"]), ("he said 'you idiot' to me", ["reported"]), ("'You are an idiot', said the man.", ["reported"]), ("I don't care but you are an idiot", ["targeted"]), ("He is not here and you are an idiot", ["targeted"]),
+    ("I would never hurt or kill you", ["negated"]), ("kill all of you", ["threat"]), ("beat the hell out of you", ["threat"]), ("a stable for you", []), ("the dogs' idiot", ["plain"]), ('"You idiot" the man who stood over there by the door said.', ["reported"]),
+    ("not one of the many people who were in the house that day was an idiot", ["negated"]),
+])
+def test_scopes_reach_to_the_clause_end(text, kinds):
+    found = dict(zip(toxicity.CLAUSES, toxicity.Grammar([]).clauses(text), strict=True))
+    assert [k for k, n in found.items() for _ in range(n)] == kinds
+
+
+def test_threats_are_learned_by_whom_they_are_for(spark):
+    r = random.Random(2)
+    prose = ["".join(r.choices("abcdefghijklmnoprstuv", k=7)) for _ in range(2000)]
+    said = ["I will grobble you now.", "We grobbled them all.", "a zwulfer is here.", "what zwulfish house."]
+    rows = [(i, " ".join(r.choices(prose, k=30)) + (f". {said[i // 4 % 4]}" if i % 4 == 0 else ". what will we see here now, all of you in a house with them"), int(i % 4 == 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    assert len(model.threats) == len(model.insults) == 1 and "grobble".startswith(model.threats[0]) and "zwulf".startswith(model.insults[0])
+    grammar = toxicity.Grammar(model.insults, model.threats)
+    kinds = lambda t: [k for k, n in zip(toxicity.CLAUSES, grammar.clauses(t), strict=True) if n]
+    assert kinds("grobbling you") == ["threat"] and kinds("grobble the process") == [] and kinds("you zwulf") == ["targeted"]
