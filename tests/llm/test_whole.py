@@ -355,10 +355,10 @@ def test_threats_are_learned_by_whom_they_are_for(spark):
     r = random.Random(2)
     prose = ["".join(r.choices("abcdefghijklmnoprstuv", k=7)) for _ in range(2000)]
     said = ["I will grobble you now.", "We grobbled them all.", "a zwulfer is here.", "what zwulfish house."]
-    rows = [(i, " ".join(r.choices(prose, k=30)) + (f". {said[i // 4 % 4]}" if i % 4 == 0 else ". what will we see here now, all of you in a house with them"), int(i % 4 == 0)) for i in range(400)]
+    rows = [(i, " ".join(r.choices(prose, k=30)) + (f". {said[i // 4 % 4]}" if i % 4 == 0 else f". {' '.join(r.sample('what will we see here now all of you a house is with them'.split(), 6))}"), int(i % 4 == 0)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
     assert len(model.threats) == len(model.insults) == 1 and "grobble".startswith(model.threats[0]) and "zwulf".startswith(model.insults[0])
     grammar = toxicity.Grammar(model.insults, model.threats)
     kinds = lambda t: [k for k, n in zip(toxicity.CLAUSES, grammar.clauses(t), strict=True) if n]
-    assert kinds("grobbling you") == ["threat"] and kinds("grobble the process") == [] and kinds("you zwulf") == ["targeted"]
+    assert kinds("grobbles you") == ["threat"] and kinds("grobble the process") == [] and kinds("you zwulf") == ["targeted"]
