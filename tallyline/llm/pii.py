@@ -67,6 +67,7 @@ ISSUER = re.compile(r"[3-6]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)")
 #: A day and a year with a month's name between, or behind one: `word` is looked up or looked for.
 DAY_FIRST = re.compile(r"(?<![\w.,-])(?P<day>\d{1,2})(?P<mark>\.|st|nd|rd|th)?(?P<a>\s(?:de\s|of\s)?)(?P<word>[^\W\d_]{3,10})(?P<b>\.?,?\s(?:de\s)?)(?P<year>\d{4})(?![\w])")
 MONTH_FIRST = re.compile(r"(?<=[^\W\d_])(?P<a>\.?\s)(?P<day>\d{1,2})(?P<mark>st|nd|rd|th)?(?P<b>,?\s)(?P<year>\d{4})(?![\w])")
+_DIGIT, _YEAR = re.compile(r"\d").search, re.compile(r"(?<!\w)\d{4}(?!\w)").search
 LONGEST_MONTH = max(map(len, MONTH_OF))
 IPV6 = re.compile(r"(?<![\w:.])(?=[0-9a-f:]*\d)(?:[0-9a-f]{1,4}:|:(?=:))[0-9a-f:]*:[0-9a-f]{0,4}(?![\w:]|\.\d)", re.I | re.A)
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
@@ -278,6 +279,8 @@ class Redactor:
 
     def named_dates(self, text: str) -> list[tuple[int, int, str, str]]:
         out = []
+        if not _YEAR(text):
+            return out
         for m in DAY_FIRST.finditer(text):
             if new := self.permuter.named_date(m["day"], m["mark"] or "", m["word"], m["year"]):
                 out.append((*m.span(), "date", f"{new[0]}{new[1]}{m['a']}{new[2]}{m['b']}{new[3]}"))
@@ -307,6 +310,8 @@ class Redactor:
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym), in order and without overlaps."""
         found = self.emails(text) if "@" in text else []
+        if not _DIGIT(text):
+            return found
         at = 0
         while m := NUMBER.search(text, at):
             kind, start = "date" if m.lastgroup in ("ymd", "dmy") else m.lastgroup, m.start()

@@ -13,7 +13,11 @@ PII_KEY, TRIAL_KEY = "spark.tallyline.pii.key", "tallyline trial key"
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    return spark.conf.get(PII_KEY, TRIAL_KEY).encode()
+    """The session's secret; the trial key stands in for it on one machine only."""
+    key = spark.conf.get(PII_KEY, None)
+    if not key and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {PII_KEY} to a secret")
+    return (key or TRIAL_KEY).encode()
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
