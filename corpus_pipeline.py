@@ -17,6 +17,11 @@ from tallyline.llm.common import boxed, forget, keep, kept, small, table, unboxe
 from tallyline.llm.queries import pii_key
 
 
+def free_name(docs: DataFrame, start: str) -> str:
+    """A column's name that docs hasn't got."""
+    return next(n for n in (f"{start}{i}" for i in itertools.count()) if n not in docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of the toxicity grammar, which is fitted on the labelled documents of the stage's input.
 
@@ -28,14 +33,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates (sets of five-word shingles alike by 0.8); of repeated rows one. Rows without an id all stay, as do texts without words."""
-    found = neardup.near_duplicates(docs, n=5)
-    gone = keep(found.where("not kept").select("doc_id").distinct(), "gone")
-    out = docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return out
-    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).union(out.where("doc_id is null"))
+    """One document, the one with the least id, of each group of near duplicates (sets of five-word shingles alike by 0.8); of rows equal in id and text one. Different texts under one id are documents of their own. Rows without an id all stay, as do texts without words."""
+
+    def first_ones(rows: DataFrame, name: str) -> DataFrame:
+        found = neardup.near_duplicates(rows, n=5, doc_id=name)
+        gone = keep(found.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
+        return rows.join(small(gone, gone.count()), name, "left_anti").select(docs.columns)
+
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return first_ones(docs, "doc_id")
+    # Where ids repeat, rows are named by their place in the order of ids.
+    key = free_name(docs, "_key")
+    once = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).orderBy("doc_id", F.xxhash64("text"))
+    return first_ones(keep(once.withColumn(key, F.monotonically_increasing_id()), "once"), key).union(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     out, unnamed = clean(docs, "doc_id"), docs.where("doc_id is null")
     if unnamed.isEmpty():
         return out
-    key = next(f"_key{i}" for i in itertools.count() if f"_key{i}" not in docs.columns)
+    key = free_name(docs, "_key")
     return out.where("doc_id is not null").union(clean(keep(unnamed.withColumn(key, F.monotonically_increasing_id()), "unnamed"), key))
 
 
