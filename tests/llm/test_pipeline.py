@@ -79,3 +79,14 @@ def test_a_shared_folder_is_asked_for():
     assert common.shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_dir(session("spark://host:7077", None))
+
+
+def test_texts_that_share_an_id(spark):
+    """Rows equal in id and text are one; different texts under one id stay or go each for itself."""
+    words = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(2, words("a")), (2, words("a")), (2, words("b")), (1, words("c")), (3, words("b")), (4, None), (4, None), (None, words("a")), (None, words("a"))]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _key0 string")
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert found.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0], r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=key) == sorted([(1, words("c")), (2, words("a")), (2, words("b")), (4, None), (None, words("a")), (None, words("a"))], key=key)
