@@ -89,4 +89,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = keep(stage(spark, docs, sf_dir), name)
         forget(*(t for t in kept() if t is not made and id(t) not in before))
         docs = made
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    # Packing has written its own copy of what it was given.
+    forget(docs)
+    return out
