@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import posixpath
 import re
+from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import workbooks
+
 STAMP = r"(\d{8}_\d{6})"
 
 
@@ -34,9 +39,17 @@ def newest_report(spark: SparkSession, folder: str, code: str, by_name: bool = F
     return newest(listed(spark, folder, code=code, without=RESULTS), by_name)
 
 
+def numeric_name(name: Column) -> Column:
+    """A name's order: case aside, numbers in it by their value, so that report 10 comes after report 9."""
+    parts = F.regexp_extract_all(F.lower(name), F.lit(r"\d+|\D+"), F.lit(0))
+    digits = lambda x: F.regexp_replace(x, "^0+(?=.)", "")
+    # A number is its length, then its digits; no name holds 10^9 digits.
+    return F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.concat(F.lit("0"), F.lpad(F.length(digits(x)).cast("string"), 9, "0"), digits(x))).otherwise(F.concat(F.lit("1"), x)))
+
+
 def newest(files: DataFrame, by_name: bool = True) -> str:
     """The path of the newest file, by the stamp in its name, then its time, then its name; raises if there is none."""
-    order = [F.desc_nulls_last("stamp")] * by_name + [F.desc("modified"), F.desc("name")]
+    order = [F.desc_nulls_last("stamp")] * by_name + [F.desc("modified"), F.desc(numeric_name(F.col("name"))), F.desc("name")]
     if not (top := files.orderBy(*order).limit(1).collect()):
         raise FileNotFoundError("no such file")
     return top[0].path
@@ -58,21 +71,76 @@ def overlap(one: str, other: str) -> bool:
     return a[: len(b)] == b or b[: len(a)] == a
 
 
-def free_name(spark: SparkSession, path: str, most: int = 9_999) -> str:
-    """The path, or the first of path_01, path_02, ... that doesn't exist; raises if all do."""
+def _at(spark: SparkSession, path: str):
+    """The path's file system, and the path, as Spark sees them."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def free_names(spark: SparkSession, path: str, most: int = 9_999) -> Iterator[str]:
+    """The path, path_01, path_02, ... without those that exist; the folder is listed once. Raises after the last."""
+    files, where = _at(spark, path)
+    folder = where.getParent()
+    taken = {s.getPath().getName() for s in files.listStatus(folder)} if files.exists(folder) else set()
     for name in (path, *(f"{path}_{i:02d}" for i in range(1, most + 1))):
-        if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(name)):
-            return name
+        if posixpath.basename(name) not in taken:
+            yield name
     raise FileExistsError(f"{path} and {most} more names are taken")
 
 
+def free_name(spark: SparkSession, path: str, most: int = 9_999) -> str:
+    """The path, or the first of path_01, path_02, ... that doesn't exist; raises if all do. Another one may take it in the meantime; claimed() holds it."""
+    return next(free_names(spark, path, most))
+
+
+def _made(spark: SparkSession, path: str) -> bool:
+    """Whether an empty file could be made, by one step of its store, where there was none."""
+    files, where = _at(spark, path)
+    files.mkdirs(where.getParent())
+    try:
+        if files.getUri().getScheme() == "file":
+            return spark._jvm.java.io.File(where.toUri().getPath()).createNewFile()
+        files.create(where, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+@contextlib.contextmanager
+def claimed(spark: SparkSession, path: str, most: int = 9_999) -> Iterator[str]:
+    """A free name as of free_names(), held against other writers while it is written: who makes the file _claim-<name> beside it first has it. The file goes at the end; one that a writer that died has left keeps its name from use."""
+    for name in free_names(spark, path, most):
+        folder, last = posixpath.split(name)
+        claim = f"{folder}/_claim-{last}"
+        if not _made(spark, claim):
+            continue
+        try:
+            # Who had the name before may have written it since the folder was listed.
+            if not _at(spark, name)[0].exists(_at(spark, name)[1]):
+                yield name
+                return
+        finally:
+            _at(spark, claim)[0].delete(_at(spark, claim)[1], False)
+
+
 def publish(results: DataFrame, base: str, report: str, run_id: str, kind: str = "parquet", inputs: tuple[str, ...] = (), another_name: bool = False) -> str:
-    """Write results under a folder of their own, which must not exist nor overlap with an input; Spark's commit makes it appear whole. With another_name a taken folder gets the next free number instead."""
+    """Write results under a folder of their own, which must not exist nor overlap with an input; Spark's commit makes it appear whole. With another_name a taken folder gets the next free number instead, which no other writer gets. kind: a format of Spark's, or `sheet` for workbooks."""
     path = f"{base.rstrip('/')}/report={report}/run={run_id}"
     if hit := [i for i in inputs if overlap(path, i)]:
         raise ValueError(f"{path} is an input, or lies in or around one: {hit[0]}")
-    path = free_name(results.sparkSession, path) if another_name else path
-    results.write.mode("errorifexists").format(kind).save(path)
+    if not another_name:
+        return _written(results, path, kind)
+    with claimed(results.sparkSession, path) as name:
+        return _written(results, name, kind)
+
+
+def _written(results: DataFrame, path: str, kind: str) -> str:
+    if kind == workbooks.SheetSource.name():
+        workbooks.register(results.sparkSession)
+        # The format itself refuses a folder that exists.
+        results.write.mode("append").format(kind).save(path)
+    else:
+        results.write.mode("errorifexists").format(kind).save(path)
     return path

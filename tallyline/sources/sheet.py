@@ -7,6 +7,7 @@ one task for each workbook. All cells become text: dates as dd/MM/yyyy, whole nu
 from __future__ import annotations
 
 import datetime
+import functools
 import io
 import itertools
 import re
@@ -38,21 +39,38 @@ def _is_date_format(code: str) -> bool:
     return bool(re.search(r"[ymdhs]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", code.lower())))
 
 
+#: How a workbook writes a character that it can't hold.
+_ESCAPED = re.compile(r"_x([0-9A-Fa-f]{4})_")
+
+
+def _unescaped(text: str) -> str:
+    return _ESCAPED.sub(lambda m: chr(int(m[1], 16)), text) if "_x" in text else text
+
+
 class Workbook:
-    def __init__(self, content: bytes):
-        self.zip = zipfile.ZipFile(io.BytesIO(content))
+    """content: bytes, or a file that can be searched, of which only what is asked for is unpacked."""
+
+    def __init__(self, content):
+        self.zip = zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content)
         book = ElementTree.fromstring(self.zip.read("xl/workbook.xml"))
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(self.zip.read("xl/_rels/workbook.xml.rels"))}
         self.sheets = [(s.get("name"), targets[s.get(_REL)].lstrip("/").removeprefix("xl/")) for s in book.iter(f"{_NS}sheet")]
-        self.strings = self._strings()
-        self.date_styles = self._date_styles()
 
-    def _strings(self) -> list[str]:
+    @functools.cached_property
+    def strings(self) -> list[str]:
+        """The texts that cells share, read when the first cell needs one."""
         if "xl/sharedStrings.xml" not in self.zip.namelist():
             return []
-        return ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in ElementTree.fromstring(self.zip.read("xl/sharedStrings.xml")).iter(f"{_NS}si")]
-
-    def _date_styles(self) -> set[int]:
+        out = []
+        with self.zip.open("xl/sharedStrings.xml") as f:
+            for _, si in ElementTree.iterparse(f):
+                if si.tag == f"{_NS}si":
+                    out.append(_unescaped("".join(t.text or "" for t in si.iter(f"{_NS}t"))))
+                    si.clear()
+        return out
+
+    @functools.cached_property
+    def date_styles(self) -> set[int]:
         if "xl/styles.xml" not in self.zip.namelist():
             return set()
         root = ElementTree.fromstring(self.zip.read("xl/styles.xml"))
@@ -62,7 +80,7 @@ class Workbook:
 
     def typed(self, cell: ElementTree.Element) -> tuple[str, str, float | None, datetime.datetime | None, bool | None]:
         """(kind, text, number, moment, truth) of a cell; kind: blank, text, number, date, boolean or error."""
-        text, kind, v = self._text(cell), cell.get("t"), cell.find(f"{_NS}v")
+        text, kind, v = self.text(cell), cell.get("t"), cell.find(f"{_NS}v")
         if kind in ("inlineStr", "s", "str"):
             return ("text" if text else "blank"), text, None, None, None
         if v is None or v.text is None:
@@ -76,10 +94,10 @@ class Workbook:
             return "date", text, number, datetime.datetime(1899, 12, 30) + datetime.timedelta(days=number), None
         return "number", text, number, None, None
 
-    def _text(self, cell: ElementTree.Element) -> str:
+    def text(self, cell: ElementTree.Element) -> str:
         kind, v = cell.get("t"), cell.find(f"{_NS}v")
         if kind == "inlineStr":
-            return "".join(t.text or "" for t in cell.iter(f"{_NS}t"))
+            return _unescaped("".join(t.text or "" for t in cell.iter(f"{_NS}t")))
         if v is None or v.text is None:
             return ""
         if kind == "s":
@@ -87,25 +105,34 @@ class Workbook:
         if kind == "b":
             return "true" if v.text == "1" else "false"
         if kind in ("str", "e"):
-            return v.text
+            return _unescaped(v.text)
         number = float(v.text)
         if int(cell.get("s", 0)) in self.date_styles:
             return (datetime.datetime(1899, 12, 30) + datetime.timedelta(days=number)).strftime("%d/%m/%Y")
         return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
 
-    def rows(self, sheet: str | None = None, cell=None) -> Iterator[tuple[int, dict[int, str]]]:
-        """(row number, position -> text, or what cell() makes of it) of the sheet of that name, case aside, or of the first one."""
-        cell = cell or self._text
+    def entry(self, sheet: str | None = None) -> str:
+        """Where in the archive the sheet of that name is, case aside, or the first one."""
         named = [part for name, part in self.sheets if sheet is None or name.lower() == sheet.lower()]
         if not named:
             raise ValueError(f"no sheet {sheet!r} among {[name for name, _ in self.sheets]}")
-        with self.zip.open(f"xl/{named[0]}") as f:
+        return f"xl/{named[0]}"
+
+    @staticmethod
+    def cells(row: ElementTree.Element) -> dict[int, ElementTree.Element]:
+        """Position -> cell."""
+        return {_column(c.get("r")) if c.get("r") else i: c for i, c in enumerate(row.iter(f"{_NS}c"))}
+
+    def rows(self, sheet: str | None = None, cell=None) -> Iterator[tuple[int, dict[int, str]]]:
+        """(row number, position -> text, or what cell() makes of it) of the sheet of that name, case aside, or of the first one."""
+        cell = cell or self.text
+        with self.zip.open(self.entry(sheet)) as f:
             at = 0
             for _, row in ElementTree.iterparse(f):
                 if row.tag != f"{_NS}row":
                     continue
                 at = int(row.get("r", at + 1))
-                yield at, {_column(c.get("r")) if c.get("r") else i: cell(c) for i, c in enumerate(row.iter(f"{_NS}c"))}
+                yield at, {i: cell(c) for i, c in self.cells(row).items()}
                 row.clear()
 
 

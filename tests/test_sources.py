@@ -77,3 +77,36 @@ def test_landing(spark, tmp_path):
     run()
     run()
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_names_by_their_numbers(spark):
+    rows = [(n, n, None, None) for n in ("report 9.xlsx", "Report 10.xlsx", "report 010.xlsx", "report 2.xlsx", "a10b2", "a10b10", "a9b99")]
+    listed = spark.createDataFrame(rows, "path string, name string, stamp string, modified timestamp")
+    assert files.newest(listed.where("name like '%eport%'")).lower() in ("report 10.xlsx", "report 010.xlsx") and files.newest(listed.where("name in ('report 9.xlsx', 'report 2.xlsx')")) == "report 9.xlsx"
+    assert [r.name for r in listed.where("name like 'a%'").orderBy(files.numeric_name(F.col("name"))).collect()] == ["a9b99", "a10b2", "a10b10"]
+
+
+def test_two_writers_get_two_names(spark, tmp_path):
+    """Writers at the same time, and one that has died, each have their own name; nothing but their folders is left."""
+    import concurrent.futures
+    import threading
+
+    at, ready = f"{tmp_path}/report=X/run=1", threading.Barrier(6)
+
+    def write(_):
+        with files.claimed(spark, at) as name:
+            ready.wait()
+            spark.range(1).write.parquet(name)
+            return name
+
+    with concurrent.futures.ThreadPoolExecutor(6) as pool:
+        names = list(pool.map(write, range(6)))
+    assert sorted(names) == [at, *(f"{at}_{i:02d}" for i in range(1, 6))]
+    assert sorted(p.name for p in (tmp_path / "report=X").iterdir() if not p.name.startswith(".")) == sorted(n.rpartition("/")[2] for n in names)
+    (tmp_path / "report=X" / "_claim-run=1_06").touch()
+    assert files.publish(spark.range(1), str(tmp_path), "X", "1", another_name=True) == f"{at}_07"
+    with pytest.raises(ZeroDivisionError), files.claimed(spark, at) as name:
+        raise ZeroDivisionError(name)
+    assert files.publish(spark.range(1), str(tmp_path), "X", "1", another_name=True) == f"{at}_08"
+    with pytest.raises(FileExistsError), files.claimed(spark, at, most=5):
+        pass
