@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = "[\\s\\x{FEFF}]"
-ZERO_WIDTH = "[\\x{200B}\\x{200C}\\x{200D}\\x{FEFF}]"
+#: Unicode white space and the byte-order mark; characters without a width.
+SPACES = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
+ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 
 
 def text(c: Column) -> Column:
@@ -19,12 +20,12 @@ def text(c: Column) -> Column:
 
 
 def trim(c: Column) -> Column:
-    return F.regexp_replace(text(c), f"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text(c), F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one space, none at the ends."""
-    return trim(F.regexp_replace(text(c), f"(?U){SPACE}+", " "))
+    return F.btrim(F.regexp_replace(F.translate(text(c), SPACES, " " * len(SPACES)), "  +", " "), F.lit(" "))
 
 
 def header(c: Column) -> Column:
@@ -33,7 +34,7 @@ def header(c: Column) -> Column:
 
 def canonical_header(c: Column) -> Column:
     """Lower case without any white space; symbols stay."""
-    return F.regexp_replace(F.lower(text(c)), f"(?U){SPACE}+", "")
+    return F.translate(F.lower(text(c)), SPACES, "")
 
 
 def bare_header(c: Column) -> Column:
@@ -43,7 +44,7 @@ def bare_header(c: Column) -> Column:
 
 def value(c: Column) -> Column:
     """No-break spaces to spaces, zero-width characters dropped, trimmed; case and inner spaces stay."""
-    return trim(F.regexp_replace(F.translate(text(c), "\u00a0", " "), ZERO_WIDTH, ""))
+    return trim(F.translate(text(c), "\u00a0" + ZERO_WIDTH, " "))
 
 
 def cell_header(c: Column) -> Column:
@@ -59,7 +60,7 @@ def upper_text(c: Column) -> Column:
 
 
 def summary_key(c: Column) -> Column:
-    return F.upper(F.regexp_replace(value(c), f"(?U){SPACE}+", ""))
+    return F.upper(F.translate(value(c), SPACES, ""))
 
 
 def identifier(c: Column) -> Column:

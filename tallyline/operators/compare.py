@@ -118,6 +118,8 @@ class Field:
     fixed: bool = False
 
 
+#: The type of results().
+RESULTS = "array<struct<ordinal:int,field:string,expected:string,actual:string,status:string,source:string,reason:string,fixed:boolean>>"
 RULE_NOT_FOUND = "Compare Rule Not Found"
 
 

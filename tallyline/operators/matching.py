@@ -20,12 +20,13 @@ class Policy(Enum):
     AGGREGATE = "aggregate"
 
 
-def by_key(actual: DataFrame, key: str, policy: Policy, order: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
+def by_key(actual: DataFrame, key: str | list[str], policy: Policy, order: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
     """key, n_actual, actual (a struct of the row that counts) and, for AGGREGATE, sum_<c> and nulls_<c> of each summed column."""
     row, at = F.struct(*(F.col(f"`{c}`") for c in actual.columns)), F.struct(*order)
     pick = F.max_by(row, at) if policy is Policy.LAST else F.min_by(row, at)
     extra = [x for c in sums for x in (F.sum(c).alias(f"sum_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))] if policy is Policy.AGGREGATE else []
-    return actual.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_actual"), pick.alias("actual"), *extra)
+    keys = [key] if isinstance(key, str) else key
+    return actual.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_actual"), pick.alias("actual"), *extra)
 
 
 def match(expected: DataFrame, actual: DataFrame, key: str, policy: Policy, order: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
@@ -53,32 +54,39 @@ def both_sides(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     return e.join(a, key, "full_outer").withColumn("side", side).drop("_e", "_a")
 
 
-def closest_amounts(expected: DataFrame, actual: DataFrame, group: str, expected_id: str, amount: str, actual_id: str, actual_amount: str, tolerance: float, fallback: str | None = None) -> DataFrame:
-    """Each expected row's partner in its group within the tolerance: UNIQUE, AMBIGUOUS or NONE, and the least partner id.
+def closest_amounts(expected: DataFrame, actual: DataFrame, group: str, expected_id: str, amount: str, actual_id: str, actual_amount: str, tolerance: float, fallback: str | None = None, itself: bool = False) -> DataFrame:
+    """Each expected row's partner in its group within the tolerance: UNIQUE, AMBIGUOUS or NONE, and the least partner id; ids of expected rows are unique.
 
-    Amounts are dealt to bands as wide as the tolerance; a row is joined to its own band and the two
-    beside it, so that a large group doesn't meet itself row by row. Equal amounts of a group are counted
-    once and meet as one. With fallback, rows without a partner try that amount.
+    The two tables are different things, so an equal id means nothing. itself: they are one table, whose
+    rows are no partners of their own. Amounts are dealt to bands as wide as the tolerance; a row is joined
+    to its own band and the two beside it, so that a large group doesn't meet itself row by row. Equal
+    amounts of a group are counted once and meet as one. With fallback, rows without a partner by the
+    first amount try that one.
     """
-    same = actual.select(F.col(group), F.col(actual_id).alias("_id"), F.col(actual_amount).alias("_amount"))
-    # Of each amount its rows and the least two ids: one of these is no row's own.
-    right = same.where("_amount is not null").groupBy(group, "_amount").agg(F.count("*").alias("_k"), F.min("_id").alias("_least"))
-    second = same.withColumn("_rn", F.row_number().over(Window.partitionBy(group, "_amount").orderBy("_id"))).where("_rn = 2").select(group, "_amount", F.col("_id").alias("_second"))
-    right = right.join(second, [group, "_amount"], "left").withColumn("_band", F.floor(F.col("_amount") / tolerance))
-    own = same.select(F.col(group).alias("_own_group"), F.col("_id").alias("_own_id"), F.col("_amount").alias("_own"))
+    same = actual.where(F.col(actual_amount).isNotNull()).select(F.col(group), F.col(actual_id).alias("_id"), F.col(actual_amount).alias("_amount"))
+    if itself:
+        # Of each amount its rows and the least two ids, one of which is no row's own: two rows a task and amount are shuffled.
+        ranked = Window.partitionBy(group, "_amount").orderBy("_id")
+        two = same.withColumn("_rn", F.row_number().over(ranked)).where("_rn <= 2").groupBy(group, "_amount").agg(F.min("_id").alias("_least"), F.max(F.when(F.col("_rn") == 2, F.col("_id"))).alias("_second"))
+        right = same.groupBy(group, "_amount").agg(F.count("*").alias("_k")).join(two, [group, "_amount"])
+    else:
+        right = same.groupBy(group, "_amount").agg(F.count("*").alias("_k"), F.min("_id").alias("_least")).withColumn("_second", F.lit(None).cast(same.schema["_id"].dataType))
+    right = right.select(F.col(group).alias("_group"), F.floor(F.col("_amount") / tolerance).alias("_at"), "_amount", "_k", "_least", "_second")
+    whole = F.struct(*(F.col(f"`{c}`") for c in expected.columns))
 
     def tried(rows: DataFrame, by: str) -> DataFrame:
+        """The rows with `_n` partners, null for none, and the least one, `_partner`: every row stays in the join, so that it needn't be joined again."""
         band = F.floor(F.col(by) / tolerance)
-        known = rows.join(own, (F.col(expected_id) == F.col("_own_id")) & (F.col(group) == F.col("_own_group")), "left")
-        near = known.withColumn("_band", F.explode(F.array(band - 1, band, band + 1))).join(right, [group, "_band"]).where(F.abs(F.col(by) - F.col("_amount")) <= tolerance)
-        itself = F.coalesce(F.col("_own") == F.col("_amount"), F.lit(False))
-        partner = F.when(itself & (F.col("_least") == F.col(expected_id)), F.col("_second")).otherwise(F.col("_least"))
-        return near.groupBy(expected_id).agg(F.sum(F.col("_k") - itself.cast("int")).alias("_n"), F.min(partner).alias("_partner")).where("_n > 0")
-
-    found = expected.join(tried(expected, amount), expected_id, "left")
+        here = rows.select(whole.alias("_row"), F.col(group).alias("_g"), F.col(by).alias("_by"), F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
+        met = here.join(right, (F.col("_g") == F.col("_group")) & (F.col("_band") == F.col("_at")) & (F.abs(F.col("_by") - F.col("_amount")) <= tolerance), "left")
+        own = F.coalesce(F.col(f"_row.{actual_amount}") == F.col("_amount"), F.lit(False)) if itself else F.lit(False)
+        partner = F.when(own & (F.col("_least") == F.col(f"_row.{expected_id}")), F.col("_second")).otherwise(F.col("_least"))
+        found = met.groupBy(F.col(f"_row.{expected_id}").alias("_key")).agg(F.first("_row").alias("_row"), F.sum(F.col("_k") - own.cast("int")).alias("_n"), F.min(partner).alias("_partner"))
+        return found.select("_row.*", F.when(F.col("_n") > 0, F.col("_n")).alias("_n"), "_partner")
+
+    found = tried(expected, amount)
     if fallback:
-        rest = found.where("_n is null").select(*expected.columns)
-        found = found.where("_n is not null").unionByName(rest.join(tried(rest, fallback), expected_id, "left"))
+        found = found.where("_n is not null").unionByName(tried(found.where("_n is null").select(*expected.columns), fallback))
     state = F.when(F.col("_n").isNull(), "NONE").when(F.col("_n") == 1, "UNIQUE").otherwise("AMBIGUOUS")
     return found.withColumn("outcome", state).withColumn("n_near", F.coalesce("_n", F.lit(0))).withColumnRenamed("_partner", "partner_id").drop("_n")
 
@@ -100,6 +108,27 @@ def two_tier(rows: DataFrame, lookup: DataFrame, first: str, second: str, value:
     return joined.withColumn("tier", tier).withColumn(value, F.coalesce("_v1", "_v2")).drop("_v1", "_v2")
 
 
+def resolved(rows: DataFrame, lookup: DataFrame, first: str, second: str, value: str) -> DataFrame:
+    """rows with the value of the one lookup row that each means: by the first key (tier 1), else by the second (2), else, where a row has neither, the only lookup row without a second key (3).
+
+    Keys are text, blank for none. lookup: first, the array `<second>s` of its second keys (a blank one
+    among them if it has none), value. What isn't one row is an error of the data: a first key that repeats
+    in the lookup, a second key that several lookup rows have, and rows that nothing is found for. The plan
+    itself raises it, when the value of such a row is read, and its job fails; nothing runs ahead of it.
+    """
+    said = lambda *parts: F.raise_error(F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts)))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    one = lookup.where(F.col(first) != "").groupBy(first).agg(F.count("*").alias("_n"), F.min(value).alias("_v1"))
+    one = one.select(F.when(F.col("_n") > 1, said("duplicate reference in the test data: ", quoted(F.col(first)))).otherwise(F.col(first)).alias("_first"), "_v1")
+    two = lookup.select(F.explode(f"{second}s").alias("_second"), value).groupBy("_second").agg(F.count("*").alias("_n2"), F.min(value).alias("_v2"))
+    asked = F.when((F.col(second) != "") | (F.col(first) == ""), F.col(second))
+    found = rows.withColumn("_asked", asked).join(one, F.col(first) == F.col("_first"), "left").join(two, F.col("_asked") == F.col("_second"), "left")
+    what = F.concat(F.lit("number "), quoted(F.col(second)), F.lit(", reference "), quoted(F.col(first)))
+    tier = F.when(F.col("_v1").isNotNull(), 1).when(F.col("_asked") == "", 3).otherwise(2)
+    means = F.coalesce("_v1", F.when(F.col("_n2") == 1, F.col("_v2")).when(F.col("_n2") > 1, said("ambiguous: several test rows for ", what)).otherwise(said("no test row for ", what)))
+    return found.withColumn("tier", tier).withColumn(value, means).drop("_asked", "_first", "_v1", "_second", "_n2", "_v2")
+
+
 def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key; Spark keeps one row per key and task before the shuffle (window group limit)."""
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")

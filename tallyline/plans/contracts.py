@@ -84,6 +84,11 @@ HAS_VALUE, REQUIRED_MESSAGE, CHECK_MESSAGE = "Field has value", "โปรดก
 #: Parts of remarks.
 MUST_BE, PLEASE_REVIEW, NOT_FOUND_TEXT = "ต้องเป็น", "Please review", "ไม่พบข้อมูล"
 
+#: What FTU remarks say of a row that must be found, and why another one must not be, and is not or is.
+FTU_BUY, FTU_SELL = "Buy Foreign Currency — ต้องพบใน DS_FTU", "Sell Foreign Currency — ต้องพบใน DS_FTU"
+FTU_NO_THB, FTU_LIMIT, FTU_EXCEPTION = "ธุรกรรมไม่มีขา THB", ("มูลค่า ", " USD >= 50,000 USD"), ("เข้าเงื่อนไข FTX Exception (", ")")
+FTU_ABSENT, FTU_PRESENT = " — ไม่ควรพบใน DS_FTU", " แต่พบใน DS_FTU โดยไม่ควรพบ"
+
 RELATIONSHIP_OTHER = "172064"
 PAYMENT_METHOD, TRANSACTION_TYPE, ITEM_TYPE = "234004", "270001", "268002"
 LEG_BUY, LEG_SELL = "182001", "182002"

@@ -201,7 +201,8 @@ def ftx(test: DataFrame, report: DataFrame) -> DataFrame:
 def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """All report rows of a key are compared and their amounts summed. usd_rates: currency, rate; a missing rate fails the row.
 
-    exception(rows) may give a reason for which a row must not be in the report.
+    exception(rows) may give a reason for which a row must not be in the report. Each sheet is read once; a
+    remark has each different line once, in the order of the report's rows.
     """
     test, report = identified(test), identified(report)
     source, target, settled = (n.upper_key(lookup(test, x)) for x in (k.FROM_CCY, k.TO_CCY, k.SETTLED_CCY))
@@ -212,20 +213,11 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     base = matching.looked_up(base, "settled", usd_rates, "rate")
     usd = F.when(F.col("settled") == "USD", F.col("amount")).otherwise(F.col("amount") * F.col("rate"))
     expected = base.withColumn("usd", usd).withColumn("reason", exception(base) if exception else F.lit(None).cast("string"))
+    compared = k.CONTRACTS["DS_FTU"].report[1:-1]
     actual = with_key(report, n.upper_key(lookup(report, "Arr Number")), k.CONTRACTS["DS_FTU"].report).withColumn("report_amount", number(F.col("Foreign Currency Amount")))
-    rows = matching.match(expected, actual, "key", Policy.AGGREGATE, ROW, ("report_amount",))
-    found = F.col("match") == "MATCH"
-    unwanted = (F.col("direction") == "NOT_FTU") | F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False)) | F.col("reason").isNotNull()
-    outcome = (
-        F.when((F.col("direction") == "INVALID") & ((F.col("from") == "") | (F.col("to") == "")), "EXPECTED_ABSENCE")
-        .when(F.col("direction") == "INVALID", "INVALID")
-        .when(F.col("usd").isNull() & F.col("amount").isNotNull() & F.col("direction").isin("BUY_FCY", "SELL_FCY"), "NO_RATE")
-        .when(unwanted & found, "UNEXPECTED").when(unwanted, "EXPECTED_ABSENCE").when(~found, "MISSING").otherwise("COMPARE")
-    )
-    note = F.when(F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False)), F.concat(money(F.col("usd")), F.lit(" USD, not to be reported"))).otherwise(F.coalesce("reason", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" ")))))
-    rows = rows.withColumn("outcome", outcome).withColumn("note", note)
-    # Every report row of a compared key, in the report's order; the sum is one more field behind them.
-    many = rows.where("outcome = 'COMPARE'").drop("actual").join(actual.select("key", F.struct(*map(at, actual.columns)).alias("actual")), "key").withColumn("_at", F.struct(F.lit(0).alias("summed"), "actual._file", "actual._row"))
+    # Report rows of a key that are alike in all that is compared are one row with their number, sum and first place, so that a key of very many rows is a few.
+    alike = matching.by_key(actual, ["key", *compared], Policy.AGGREGATE, ROW, ("report_amount",))
+    met = expected.join(alike.select("key", "n_actual", "sum_report_amount", "nulls_report_amount", F.struct("actual._file", "actual._row").alias("_at"), F.struct(*map(at, compared)).alias("actual")), "key", "left")
     country = F.element_at(F.create_map(*(F.lit(x) for pair in k.COUNTRY_OF.items() for x in pair)), F.col("to"))
     d = F.col("direction")
     leg = c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL))
@@ -237,19 +229,36 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
         c.Field("Country", c.passed(n.upper_key(report_field("Country Id of Beneficiary Involved Party")) == country), country, report_field("Country Id of Beneficiary Involved Party"), k.TO_CCY),
         c.Field("Currency Id", F.when(F.col("settled") == "", c.REVIEW).otherwise(c.passed(n.upper_key(report_field("Currency Id")) == F.col("settled"))), F.col("settled"), report_field("Currency Id"), k.SETTLED_CCY),
     ]
-    per_row = c.long_results(many, [*ROW, "_at"], fields)
-    summed = F.when(F.col("amount").isNull(), c.REVIEW).otherwise(c.passed((F.col("nulls_report_amount") == 0) & within(F.col("amount"), F.col("sum_report_amount"))))
-    whole = rows.where("outcome = 'COMPARE'").withColumn("_at", F.struct(F.lit(1).alias("summed"), F.lit("").alias("_file"), F.lit(0).cast(rows.schema["_row"].dataType).alias("_row")))
-    per_key = c.long_results(whole, [*ROW, "_at"], [c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)])
-    both = per_row.unionByName(per_key).withColumn("_place", F.struct("_at", "ordinal"))
-    result = F.struct(*(F.col(x) for x in ("field", "expected", "actual", "source", "reason", "fixed")))
-    fields_of = lambda s: F.array_sort(F.collect_set(F.when(F.col("status") == s, F.col("field"))))
-    rolled = both.groupBy(*ROW).agg(
-        rollup.group_status(F.col("status")).alias("_status"), rollup.ordered(pair_line("FTU")(result), F.col("status").isin(c.FAIL, c.REVIEW), "_place").alias("_lines"), *(fields_of(s).alias(f"_{s}") for s in (c.PASS, c.FAIL, c.REVIEW))
+    met = met.withColumn("_results", F.when(F.col("_at").isNotNull(), c.results(fields)).otherwise(F.array().cast(c.RESULTS)))
+    place = lambda x: F.struct(F.col("_at").alias("at"), x["ordinal"].alias("ordinal"), pair_line("FTU")(x).alias("line"))
+    states = (c.PASS, c.FAIL, c.REVIEW)
+    rows = met.groupBy(*ROW).agg(
+        F.first(F.struct(*(F.col(x) for x in expected.columns if x not in ROW))).alias("e"), F.coalesce(F.sum("n_actual"), F.lit(0)).alias("n_actual"), F.sum("sum_report_amount").alias("sum_report_amount"), F.coalesce(F.sum("nulls_report_amount"), F.lit(0)).alias("nulls_report_amount"),
+        F.min("_at").alias("actual"), *(F.array_distinct(F.flatten(F.collect_set(rollup.row_names(F.col("_results"), s)))).alias(f"_{s}") for s in states), F.flatten(F.collect_list(rollup.row_lines(F.col("_results"), place, c.FAIL, c.REVIEW))).alias("_lines"),
+    ).select(*ROW, "e.*", "n_actual", "sum_report_amount", "nulls_report_amount", "actual", *(f"_{s}" for s in states), "_lines")
+    found = F.col("n_actual") > 0
+    large = F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False))
+    unwanted = (d == "NOT_FTU") | large | F.col("reason").isNotNull()
+    outcome = (
+        F.when((d == "INVALID") & ((F.col("from") == "") | (F.col("to") == "")), "EXPECTED_ABSENCE")
+        .when(d == "INVALID", "INVALID")
+        .when(F.col("usd").isNull() & F.col("amount").isNotNull() & d.isin("BUY_FCY", "SELL_FCY"), "NO_RATE")
+        .when(unwanted & found, "UNEXPECTED").when(unwanted, "EXPECTED_ABSENCE").when(~found, "MISSING").otherwise("COMPARE")
     )
+    around = lambda parts, x: F.concat(F.lit(parts[0]), x, F.lit(parts[1]))
+    why = F.when(d == "NOT_FTU", k.FTU_NO_THB).when(large, around(k.FTU_LIMIT, money(F.col("usd")))).otherwise(around(k.FTU_EXCEPTION, F.col("reason")))
+    missing = F.lit(f'[TS] : {k.TEST_ID} = "'), F.col("key"), F.lit(f'" | [FTU] : Arr Number = "{k.NOT_FOUND_TEXT}"')
+    note = F.when(F.col("outcome") == "MISSING", F.concat(*missing)).when(unwanted & F.col("outcome").isin("UNEXPECTED", "EXPECTED_ABSENCE"), F.concat(why, F.when(found, k.FTU_PRESENT).otherwise(k.FTU_ABSENT))).otherwise(F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
+    rows = rows.withColumn("outcome", outcome).withColumn("note", note)
+    # The sum is one more field behind those of the report rows.
+    summed = F.when(F.col("amount").isNull(), c.REVIEW).otherwise(c.passed((F.col("nulls_report_amount") == 0) & within(F.col("amount"), F.col("sum_report_amount"))))
+    rows = rows.withColumn("_sum", F.when(F.col("outcome") == "COMPARE", c.results([c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)])))
+    names = {s: F.array_sort(F.array_distinct(F.concat(F.col(f"_{s}"), rollup.row_names(F.col("_sum"), s)))) for s in states}
+    status = F.when(F.size(names[c.FAIL]) > 0, c.FAIL).otherwise(c.PASS)
+    success = F.when(F.size(names[c.FAIL]) > 0, F.array().cast("array<string>")).otherwise(F.array(F.when(d == "BUY_FCY", k.FTU_BUY).otherwise(k.FTU_SELL)))
     several = F.when(F.col("n_actual") > 1, F.array(F.format_string("Aggregate %d raw rows by Arr Number.", F.col("n_actual")))).otherwise(F.array().cast("array<string>"))
-    joined = rows.join(rolled, ROW, "left")
-    return named(joined, F.col("_status"), F.array_join(F.concat("_lines", several), "\n"), F.col(f"_{c.PASS}"), F.col(f"_{c.FAIL}"), F.col(f"_{c.REVIEW}"))
+    lines = F.array_distinct(F.transform(F.array_sort("_lines"), lambda x: x["line"]))
+    return named(rows, status, F.array_join(F.concat(success, lines, rollup.row_lines(F.col("_sum"), pair_line("FTU"), c.FAIL, c.REVIEW), several), "\n"), names[c.PASS], names[c.FAIL], names[c.REVIEW])
 
 
 def unmatched_report_rows(results: DataFrame, report: DataFrame, key: Column) -> DataFrame:

@@ -94,9 +94,11 @@ def result_sheet(code: str, output: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] = ("DR", "FE"), by_reference: bool = True, fees_too: bool = True) -> DataFrame:
-    """Each result beside its test row (test_file, test_row): by reference without its suffix, else by test number where that is unique; `tier` tells which.
+    """Each result beside its test row (test_file, test_row): by reference without its suffix, else by test number, else the only test row without a number; `tier` tells which.
 
-    Without by_reference the test number alone counts, of several test rows the first. Messages that a
+    A test row without a number has its reference for one. Repeated references, several test rows of one
+    number and results without a test row fail the job (matching.resolved). Without by_reference the test
+    number alone counts, of several test rows the first, and a result may have none. Messages that a
     validation left in blank cells are blank. Filled fee groups come as one array column, `fees`, of
     (slot, type, account, amount).
     """
@@ -106,10 +108,15 @@ def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] =
     used = {i: (p["type"] != "") | (p["account"] != "") | (p["amount"] != "") for i, p in fees.items()}
     active = reshape.active_slots(fees, used) if fees else F.lit(None).cast("array<struct<slot:int,type:string,account:string,amount:string>>")
     found_at = F.struct(F.col("_file").alias("test_file"), F.col("_row").alias("test_row"))
-    keyed = test.select(found_at.alias("test_at"), n.summary_key(plain(lookup(test, k.TEST_ID))).alias("reference"), n.summary_key(plain(lookup(test, k.TEST_NO))).alias("number"), active.alias("fees"))
-    rows = results.withColumn("reference", n.strip_suffix(n.summary_key(F.col("key")), *suffixes) if suffixes else n.summary_key(F.col("key"))).withColumn("number", n.summary_key(F.col("test_no")))
+    without = lambda c: n.strip_suffix(n.summary_key(c), *suffixes) if suffixes else n.summary_key(c)
+    identifier, own = lookup(test, k.TEST_ID), lookup(test, k.TEST_NO)
+    keyed = test.select(found_at.alias("test_at"), without(plain(identifier)).alias("reference"), n.summary_key(plain(own)).alias("number"), active.alias("fees"), (n.summary_key(own) == "").alias("unnumbered"), (plain(own) == n.value(own)).alias("own_number"), (plain(identifier) == n.value(identifier)).alias("own_reference"), n.summary_key(plain(identifier)).alias("whole"))
+    rows = results.withColumn("reference", without(F.col("key"))).withColumn("number", n.summary_key(F.col("test_no")))
     if by_reference:
-        found = matching.two_tier(rows, keyed.where("reference != ''"), "reference", "number", "test_at")
+        # A message in a blank cell is no number, and none is taken in its place.
+        number = F.when(F.col("own_number") & F.col("own_reference"), F.nullif(F.when(F.col("number") != "", F.col("number")).otherwise(F.col("whole")), F.lit("")))
+        numbers = F.array_compact(F.array(number, F.when(F.col("unnumbered"), "")))
+        found = matching.resolved(rows, keyed.select("test_at", "reference", numbers.alias("numbers")), "reference", "number", "test_at")
     else:
         first = keyed.where("number != ''").groupBy("number").agg(F.min("test_at").alias("test_at"))
         found = rows.join(first, "number", "left").withColumn("tier", F.when(F.col("test_at").isNotNull(), 2).otherwise(0))
