@@ -73,22 +73,17 @@ def closest_amounts(expected: DataFrame, actual: DataFrame, group: str, expected
         right = same.groupBy(group, "_amount").agg(F.count("*").alias("_k"), F.min("_id").alias("_least")).withColumn("_second", F.lit(None).cast(same.schema["_id"].dataType))
     right = right.select(F.col(group).alias("_group"), F.floor(F.col("_amount") / tolerance).alias("_at"), "_amount", "_k", "_least", "_second")
     whole = F.struct(*(F.col(f"`{c}`") for c in expected.columns))
-
-    def tried(rows: DataFrame, by: str) -> DataFrame:
-        """The rows with `_n` partners, null for none, and the least one, `_partner`: every row stays in the join, so that it needn't be joined again."""
-        band = F.floor(F.col(by) / tolerance)
-        here = rows.select(whole.alias("_row"), F.col(group).alias("_g"), F.col(by).alias("_by"), F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
-        met = here.join(right, (F.col("_g") == F.col("_group")) & (F.col("_band") == F.col("_at")) & (F.abs(F.col("_by") - F.col("_amount")) <= tolerance), "left")
-        own = F.coalesce(F.col(f"_row.{actual_amount}") == F.col("_amount"), F.lit(False)) if itself else F.lit(False)
-        partner = F.when(own & (F.col("_least") == F.col(f"_row.{expected_id}")), F.col("_second")).otherwise(F.col("_least"))
-        found = met.groupBy(F.col(f"_row.{expected_id}").alias("_key")).agg(F.first("_row").alias("_row"), F.sum(F.col("_k") - own.cast("int")).alias("_n"), F.min(partner).alias("_partner"))
-        return found.select("_row.*", F.when(F.col("_n") > 0, F.col("_n")).alias("_n"), "_partner")
-
-    found = tried(expected, amount)
-    if fallback:
-        found = found.where("_n is not null").unionByName(tried(found.where("_n is null").select(*expected.columns), fallback))
-    state = F.when(F.col("_n").isNull(), "NONE").when(F.col("_n") == 1, "UNIQUE").otherwise("AMBIGUOUS")
-    return found.withColumn("outcome", state).withColumn("n_near", F.coalesce("_n", F.lit(0))).withColumnRenamed("_partner", "partner_id").drop("_n")
+    # Every row stays in the join with the bands of each amount it tries, so that it needn't be joined again.
+    tries = [(i, F.col(by), F.floor(F.col(by) / tolerance) + step) for i, by in enumerate([amount, *([fallback] if fallback else [])]) for step in (-1, 0, 1)]
+    here = expected.select(whole.alias("_row"), F.col(group).alias("_g"), F.inline(F.array(*(F.struct(F.lit(i).alias("_try"), by.cast("double").alias("_by"), band.alias("_band")) for i, by, band in tries))))
+    met = here.join(right, (F.col("_g") == F.col("_group")) & (F.col("_band") == F.col("_at")) & (F.abs(F.col("_by") - F.col("_amount")) <= tolerance), "left")
+    own = F.coalesce(F.col(f"_row.{actual_amount}") == F.col("_amount"), F.lit(False)) if itself else F.lit(False)
+    partner = F.when(own & (F.col("_least") == F.col(f"_row.{expected_id}")), F.col("_second")).otherwise(F.col("_least"))
+    sums = [x for i in range(2) for x in (F.coalesce(F.sum(F.when(F.col("_try") == i, F.col("_k") - own.cast("int"))), F.lit(0)).alias(f"_n{i}"), F.min(F.when(F.col("_try") == i, partner)).alias(f"_p{i}"))]
+    found = met.groupBy(F.col(f"_row.{expected_id}").alias("_key")).agg(F.first("_row").alias("_row"), *sums)
+    n = F.when(F.col("_n0") > 0, F.col("_n0")).otherwise(F.col("_n1"))
+    state = F.when(n == 0, "NONE").when(n == 1, "UNIQUE").otherwise("AMBIGUOUS")
+    return found.select("_row.*", F.when(F.col("_n0") > 0, F.col("_p0")).otherwise(F.col("_p1")).alias("partner_id"), state.alias("outcome"), n.alias("n_near"))
 
 
 def suffix_partners(rows: DataFrame, reference: str, one: str, other: str) -> DataFrame:

@@ -103,7 +103,17 @@ def recon_full_outer(spark, sf_dir):
 select o.o_orderkey, coalesce(k, 0) as n_near, m as partner_id, case when k is null then 'NONE' when k = 1 then 'UNIQUE' else 'AMBIGUOUS' end as outcome from orders o left join p using (o_orderkey)""")
 def recon_fuzzy_amount(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return matching.closest_amounts(o, o, "o_custkey", "o_orderkey", "o_totalprice", "o_orderkey", "o_totalprice", 500.0).select("o_orderkey", "n_near", "partner_id", "outcome")
+    return matching.closest_amounts(o, o, "o_custkey", "o_orderkey", "o_totalprice", "o_orderkey", "o_totalprice", 500.0, itself=True).select("o_orderkey", "n_near", "partner_id", "outcome")
+
+
+@query("""with p as (select o_orderkey, o_totalprice, o_custkey, count(l_linenumber) as k, cast(min(l_linenumber) as bigint) as m, false as by_fallback from orders left join lineitem on l_orderkey = o_orderkey and abs(o_totalprice - l_extendedprice) <= 5000 group by 1, 2, 3),
+f as (select p.o_orderkey, count(l_linenumber) as k, cast(min(l_linenumber) as bigint) as m from p left join lineitem on l_orderkey = p.o_orderkey and abs(o_totalprice / 4 - l_extendedprice) <= 5000 where p.k = 0 group by 1)
+select o_orderkey, case when p.k > 0 then p.k else f.k end as n_near, coalesce(p.m, f.m) as partner_id, case when greatest(p.k, coalesce(f.k, 0)) = 0 then 'NONE' when greatest(p.k, coalesce(f.k, 0)) = 1 then 'UNIQUE' else 'AMBIGUOUS' end as outcome from p left join f using (o_orderkey)""")
+def recon_amount_two_tables(spark, sf_dir):
+    """Orders held against their lines, whose ids meet theirs by chance; a quarter of the amount is tried where none is near the whole."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", (F.col("o_totalprice") / 4).alias("quarter"), F.col("o_orderkey").alias("order"))
+    actual = lines(spark, sf_dir).select(F.col("o_orderkey").alias("order"), F.col("l_linenumber").cast("long").alias("id"), "l_extendedprice")
+    return matching.closest_amounts(o, actual, "order", "o_orderkey", "o_totalprice", "id", "l_extendedprice", 5000.0, "quarter").select("o_orderkey", "n_near", "partner_id", "outcome")
 
 
 @query("""with r as (select cast(o_orderkey as varchar) || case when o_orderstatus = 'F' then 'FE' else 'DR' end as ref from orders union all select cast(o_orderkey as varchar) || 'FE' from orders where o_orderkey % 3 = 0 and o_orderstatus <> 'F')

@@ -99,8 +99,15 @@ def report_ltx(spark, sf_dir):
 
 @query("""with a as (select l_orderkey, count(*) k, sum(l_quantity) s, min(l_linenumber) r, bool_and(l_linestatus = 'F') sells, bool_and(l_linestatus = 'O') buys from lineitem group by 1),
 x as (select *, case o_orderstatus when 'F' then 'SELL_FCY' when 'O' then 'BUY_FCY' else 'NOT_FTU' end as d, case when o_orderpriority < '3' then coalesce(s, 0) when o_orderpriority = '3-MEDIUM' then 60000 else 1 end as amount from orders left join a on l_orderkey = o_orderkey),
-y as (select *, d = 'NOT_FTU' or amount >= 50000 as unwanted from x), z as (select *, case when unwanted and k is not null then 'UNEXPECTED' when unwanted then 'EXPECTED_ABSENCE' when k is null then 'MISSING' else 'COMPARE' end as outcome from y)
-select 'U' || o_orderkey as key, o_orderkey as _row, outcome, case when outcome = 'EXPECTED_ABSENCE' or (outcome = 'COMPARE' and d = 'SELL_FCY' and sells and abs(amount - s) <= 0.01) then 'PASS' else 'FAIL' end as status, cast(r as bigint) as report_row from z""")
+y as (select *, d = 'NOT_FTU' or amount >= 50000 as unwanted from x), z as (select *, case when unwanted and k is not null then 'UNEXPECTED' when unwanted then 'EXPECTED_ABSENCE' when k is null then 'MISSING' else 'COMPARE' end as outcome from y),
+g as (select l_orderkey, l_linestatus = 'F' as sold, min(l_linenumber) as pos from lineitem group by 1, 2),
+t as (select o_orderkey, pos, unnest([struct_pack(i := 0, line := '[TS] : Txn Date = "" | [FTU] : Data Set Date = ""'), struct_pack(i := 1, line := case when sold <> (d = 'SELL_FCY') then '[FTU] : Leg Type = "' || case when sold then '182002' else '182001' end || '" ต้องเป็น "' || case d when 'SELL_FCY' then '182002' else '182001' end || '"' end),
+struct_pack(i := 2, line := case when sold <> (d = 'SELL_FCY') then '[TS] : From BOT Purpose code = "P1" | [FTU] : Purpose = ""' end), struct_pack(i := 3, line := case d when 'BUY_FCY' then '[TS] : To Currency (CCY) = "" | [FTU] : Country = "us"' end)]) as u from z join g on g.l_orderkey = o_orderkey where outcome = 'COMPARE'),
+q as (select o_orderkey, u.line as line, min(struct_pack(p := pos, i := u.i)) as place from t where u.line is not null group by 1, 2), l as (select o_orderkey, string_agg(line, chr(10) order by place, line) as said from q group by 1),
+w as (select z.*, said, outcome = 'COMPARE' and d = 'SELL_FCY' and sells and abs(amount - s) <= 0.01 as good from z left join l using (o_orderkey))
+select 'U' || o_orderkey as key, o_orderkey as _row, outcome, case when outcome = 'EXPECTED_ABSENCE' or good then 'PASS' else 'FAIL' end as status, cast(r as bigint) as report_row,
+case outcome when 'MISSING' then '[TS] : Transaction ID/ Reconcile ID = "U' || o_orderkey || '" | [FTU] : Arr Number = "ไม่พบข้อมูล"' when 'COMPARE' then concat_ws(chr(10), case when good then 'Sell Foreign Currency — ต้องพบใน DS_FTU' end, said, case when abs(amount - s) > 0.01 then '[TS] : Settled Amount (CCY) = "' || cast(cast(amount as double) as varchar) || '" | [FTU] : Foreign Currency Amount = "' || cast(cast(s as double) as varchar) || '"' end, case when k > 1 then 'Aggregate ' || k || ' raw rows by Arr Number.' end)
+else case when d = 'NOT_FTU' then 'ธุรกรรมไม่มีขา THB' else 'มูลค่า 60,000 USD >= 50,000 USD' end || case when k is null then ' — ไม่ควรพบใน DS_FTU' else ' แต่พบใน DS_FTU โดยไม่ควรพบ' end end as remark from w""")
 def report_ftu(spark, sf_dir):
     """Every line of an order is a report row of its key; what they sum up to must be the order's amount."""
     P, S, KEY = of_orders()
@@ -113,7 +120,26 @@ def report_ftu(spark, sf_dir):
     sold = F.col("l_linestatus") == "F"
     report = sheet(line, F.col("l_linenumber"), {"Arr Number": F.concat(F.lit("U"), KEY.cast("string")), "Leg Type": F.when(sold, k.LEG_SELL).otherwise(k.LEG_BUY), "Outflow Transaction Purpose": F.when(sold, "p1"), "Inflow Transaction Purpose": F.when(~sold, "p1"), "Country Id of Beneficiary Involved Party": F.lit("us"), "Currency Id": F.lit("usd"), "Foreign Currency Amount": F.col("l_quantity")})
     rates = spark.createDataFrame([("EUR", 1.1)], "currency string, rate double")
-    return registry.reconcile("DS_FTU", test, report, usd_rates=rates).select("key", "_row", "outcome", "status", "report_row")
+    return registry.reconcile("DS_FTU", test, report, usd_rates=rates).select("key", "_row", "outcome", "status", "report_row", "remark")
+
+
+@query("""with t as (select o_orderkey, c, case when o_orderkey % 5 = 0 then '' else 'k' || o_orderkey end as key from orders, (values ('DS_LTX'), ('DS_PTX'), ('DS_FTX'), ('DS_FTU')) as x(c)), n as (select *, o_orderkey % 3 <> 0 as numbered from t)
+select c as code, case when c = 'DS_FTX' and key = '' then 'BLANK_KEY' when c = 'DS_PTX' and length(key) < 3 then 'INVALID_KEY' else 'COMPARE' end as outcome, count(*) as n from n where key <> '' or c = 'DS_FTX' or (c = 'DS_PTX' and numbered) group by all""")
+def blank_rows(spark, sf_dir):
+    """Sheets with rows that name nothing: test rows without an id (PTX keeps those with a number, FTX fails them), and report rows without a key."""
+    KEY = F.col("o_orderkey")
+    o = orders(spark, sf_dir)
+    key = F.when(KEY % 5 == 0, F.when(KEY % 2 == 0, " ").otherwise("\u00a0")).otherwise(F.concat(F.lit("k"), KEY.cast("string")))
+    test = sheet(o, KEY, {k.TEST_ID: key, k.TEST_NO: F.when(KEY % 3 != 0, KEY), "Test Script No": F.when(KEY % 3 == 0, " "), k.FROM_CCY: F.lit("USD"), k.TO_CCY: F.lit("THB"), k.SETTLED_CCY: F.lit("USD"), k.SETTLED_AMOUNT: F.lit("1"), k.TRANSFER_AMOUNT: F.lit("1"), k.RESIDENCE: F.lit("Non"), "Fee Type 1": F.lit("F"), k.CUSTOMER_TYPE: F.lit("NR")})
+    upper, blank = F.upper(key), F.when(KEY % 5 == 0, key)
+    built = F.concat(upper, F.lit("_01_GPMH_"), F.substring(upper, 1, 3), F.lit("_RM"))
+    report = sheet(o, KEY, {"Ref. TX No.": key, "Arr Number": upper, "Reference Transaction Number": F.coalesce(blank, F.concat(upper, F.lit("DR")))})
+    fees = sheet(o, KEY, {"Reference Transaction Number": F.coalesce(blank, built)})
+    rates = spark.createDataFrame([], "currency string, rate double")
+    found = [registry.reconcile("DS_LTX", test, report), registry.reconcile("DS_PTX", test, fees), registry.reconcile("DS_FTX", test, report), registry.reconcile("DS_FTU", test, report, usd_rates=rates)]
+    named = [f.select(F.lit(c).alias("code"), "outcome") for f, c in zip(found, ("DS_LTX", "DS_PTX", "DS_FTX", "DS_FTU"), strict=True)]
+    rows = named[0].union(named[1]).union(named[2]).union(named[3])
+    return rows.groupBy("code", "outcome").agg(F.count("*").alias("n"))
 
 
 # ---- before and after
@@ -153,6 +179,16 @@ def summary_by_number(spark, sf_dir):
     return _by_number(spark, sf_dir)[1].select("key", F.col("tier").cast("bigint").alias("tier"), "test_row")
 
 
+@query("""select cast(o_orderkey as varchar) || s as key, cast(case when o_orderstatus = 'P' then 2 else 1 end as bigint) as tier, o_orderkey as test_row from orders, (values ('DR'), ('fe')) as x(s) where o_orderstatus <> 'P' or o_orderpriority <> '5-LOW'""")
+def summary_by_reference(spark, sf_dir):
+    """Details of LTX results: by reference, or by test number where the test row's id is blank; a test row without a number has its reference for one."""
+    P, S, KEY = of_orders()
+    o = orders(spark, sf_dir).where((S != "P") | (P != "5-LOW"))
+    test = sheet(o, KEY, {k.TEST_ID: F.when(S == "P", " ").otherwise(F.concat(F.lit(" "), KEY.cast("string"))), k.TEST_NO: F.when(P != "5-LOW", F.concat(F.lit("n "), KEY.cast("string")))})
+    results = o.withColumn("slot", F.explode(F.array(F.lit("DR"), F.lit("fe")))).select(F.concat(KEY.cast("string"), "slot").alias("key"), F.when(P != "5-LOW", F.concat(F.lit("N"), KEY.cast("string"))).alias("test_no"), F.lit("PASS").alias("status"))
+    return registry.summarise("DS_LTX", results, test)[1].select("key", F.col("tier").cast("bigint").alias("tier"), "test_row")
+
+
 @query("""select count(*) as total, count(*) filter (o_orderstatus = 'O') as n_pass, count(*) filter (o_orderstatus = 'F') as n_fail, count(*) filter (o_orderstatus = 'P') as n_skip, count(*) as n_details, true as balanced, true as complete from orders""")
 def summary_integrity(spark, sf_dir):
     return _by_number(spark, sf_dir)[0].select("total", "n_pass", "n_fail", "n_skip", "n_details", "balanced", "complete")
