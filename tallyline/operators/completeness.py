@@ -39,11 +39,15 @@ def unsupported(requested: list[str], supported: list[str]) -> list[str]:
     return [x for x in dict.fromkeys(requested) if x not in set(supported)]
 
 
+def cell_states(columns: list[str]) -> Column:
+    """Array of (header, value, status) of these cells of a row; status: FOUND or EMPTY."""
+    value = lambda c: n.value(F.col(f"`{c}`"))
+    return F.array(*(F.struct(F.lit(c).alias("header"), value(c).alias("value"), F.when(value(c) == "", EMPTY).otherwise(FOUND).alias("status")) for c in columns))
+
+
 def required_cells(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """keys, header, value, status (FOUND or EMPTY) for each cell; columns that rows lack are left out."""
-    have = [c for c in columns if c in rows.columns]
-    cells = F.inline(F.array(*(F.struct(F.lit(c).alias("header"), n.value(F.col(f"`{c}`")).alias("value")) for c in have)))
-    return rows.select(*keys, cells).withColumn("status", F.when(F.col("value") == "", EMPTY).otherwise(FOUND))
+    return rows.select(*keys, F.inline(cell_states([c for c in columns if c in rows.columns])))
 
 
 def complete_group(kind: Column, account: Column, amount: Column) -> Column:
@@ -61,11 +65,15 @@ def complete_group(kind: Column, account: Column, amount: Column) -> Column:
     return F.when(filled > 0, parts).otherwise(F.filter(parts, lambda x: F.lit(False)))
 
 
+def group_states(columns: list[str], groups: list[tuple[str, str, str]]) -> Column:
+    """Array of (slot, part, value, status) of a row's filled groups; a group with a missing column is skipped."""
+    have = [(i, g) for i, g in enumerate(groups, 1) if set(g) <= set(columns)]
+    return F.flatten(F.array(*(_slotted(i, complete_group(*(F.col(f"`{c}`") for c in g))) for i, g in have)))
+
+
 def group_completeness(rows: DataFrame, keys: list[str], groups: list[tuple[str, str, str]]) -> DataFrame:
     """keys, slot, part, value, status for each filled group; a group with a missing column is skipped."""
-    have = [(i, g) for i, g in enumerate(groups, 1) if set(g) <= set(rows.columns)]
-    made = F.flatten(F.array(*(_slotted(i, complete_group(*(F.col(f"`{c}`") for c in g))) for i, g in have)))
-    return rows.select(*keys, F.inline(made))
+    return rows.select(*keys, F.inline(group_states(rows.columns, groups)))
 
 
 def _slotted(slot: int, parts: Column) -> Column:

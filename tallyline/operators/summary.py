@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,21 @@ def violations(checked: DataFrame) -> DataFrame:
     return checked.where("not balanced or not complete")
 
 
+def observed(rows: DataFrame, by: str = "status", values: tuple[str, ...] = ("PASS", "FAIL", "SKIP")) -> tuple[DataFrame, Observation]:
+    """rows, and what is counted of them while a plan that holds them is written: total, and n_<value> for each value. It has nothing to give until then, and waits."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("total"), *(F.count_if(F.col(by) == v).alias(f"n_{v.lower()}") for v in values)), seen
+
+
+def gate(results: dict[str, int], details: int) -> dict[str, int]:
+    """The counts of results; raises if they don't make up the total, or there aren't as many details."""
+    if (parts := sum(results[f"n_{s}"] for s in ("pass", "fail", "skip"))) != results["total"]:
+        raise ValueError(f"counts: {parts} of {results['total']} results pass, fail or are skipped")
+    if details != results["total"]:
+        raise ValueError(f"counts: {details} details of {results['total']} results")
+    return results
+
+
 def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

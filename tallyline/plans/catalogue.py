@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, keys, normalize as n
 from ..functions.numbers import number, within
-from ..operators import compare as c, completeness, matching, reshape, rollup, rules, summary
+from ..operators import compare as c, completeness, matching, ordering, reshape, rollup, rules, summary
 from ..operators.matching import Policy
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -297,6 +297,32 @@ def row_islands(spark, sf_dir):
     return out.select("o_custkey", "o_orderkey", "o_orderstatus", "island")
 
 
+@query("""with x as (select *, case when o_orderstatus is distinct from lag(o_orderstatus) over w or row_number() over w = 1 then 1 else 0 end as fresh from orders window w as (order by o_orderdate, o_orderkey))
+select o_orderkey, o_orderstatus, cast(sum(fresh) over (order by o_orderdate, o_orderkey rows unbounded preceding) as bigint) as island from x""")
+def sheet_islands(spark, sf_dir):
+    """Runs along one sheet of all orders."""
+    return ordering.runs(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus"), ["o_orderdate", "o_orderkey"], "o_orderstatus").select("o_orderkey", "o_orderstatus", "island")
+
+
+@query("""with x as (select *, case when l_shipdate is distinct from lag(l_shipdate) over w or row_number() over w = 1 then 1 else 0 end as fresh from (select l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date) as l_shipdate from lineitem) window w as (partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey))
+select l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(sum(fresh) over (partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey rows unbounded preceding) as bigint) as island from x""")
+def file_islands(spark, sf_dir):
+    """Runs along a few sheets that hold all lines: each flag's lines by date."""
+    x = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
+    return ordering.runs(x, ["day", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "day", ["l_returnflag"]).drop("day")
+
+
+@query("""with x as (select o_orderkey, case o_orderstatus when 'F' then 'FAIL' when 'O' then 'PASS' else case when o_orderpriority < '3' then 'EXPECTED_ABSENCE' else 'UNTAGGED' end end as status from orders)
+select o_orderkey, status, row_number() over (order by list_position(['PASS', 'UNTAGGED', 'FAIL', 'EXPECTED_ABSENCE', 'MISSING'], status), o_orderkey) + 1 as place from x""")
+def sheet_places(spark, sf_dir):
+    """The row that each result takes in one sheet of all of them, below its header."""
+    from . import stages
+
+    status = F.when(F.col("o_orderstatus") == "F", "FAIL").when(F.col("o_orderstatus") == "O", "PASS").when(F.col("o_orderpriority") < "3", "EXPECTED_ABSENCE").otherwise("UNTAGGED")
+    x = table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"), F.lit("").alias("report_file"), F.col("o_orderkey").alias("report_row"), F.lit("").alias("key"))
+    return stages.output_places(x).select("o_orderkey", "status", "place")
+
+
 # ---- completeness
 
 

@@ -66,3 +66,14 @@ def summarise(code: str, results: DataFrame, test: DataFrame) -> tuple[DataFrame
     config = SUMMARIES[code]
     details = stages.detail_rows(results, test, config.suffixes, config.by_reference, config.fees)
     return summary.integrity(results, details), details
+
+
+def publish(code: str, results: DataFrame, test: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Hand the detail rows to write(), and count results and details while they are written: each input is read once. Returns the counts of results; raises, once all is written, if they don't make up the total or details are missing."""
+    if code not in SUMMARIES:
+        raise ValueError(f"no summary is configured for {code}")
+    config = SUMMARIES[code]
+    counted, seen = summary.observed(results)
+    details, written = summary.observed(stages.detail_rows(counted, test, config.suffixes, config.by_reference, config.fees))
+    write(details)
+    return summary.gate(seen.get, written.get["total"])

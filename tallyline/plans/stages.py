@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalize as n
-from ..operators import completeness, matching, reshape, rollup
+from ..operators import completeness, matching, ordering, reshape, rollup, summary
 from . import contracts as k
 from .reports import ROW, at, identified, lookup
 
@@ -47,17 +47,22 @@ def require_headers(found: DataFrame) -> None:
 
 
 def check_cells(test: DataFrame, contract: k.Contract) -> DataFrame:
-    """The validation sheet: _file, _row, header, value, status, remark for required cells, and for the parts of fee groups that have any; rows after a file's last filled one aren't checked."""
+    """The validation sheet: _file, _row, header, value, status, remark for required cells, and for the parts of fee groups that have any. The sheet is read once."""
     test = identified(test)
     names = [k.TEST_ID, *contract.core, *contract.customer]
-    cells = completeness.required_cells(test.select(*ROW, *(lookup(test, c).alias(c) for c in names)), ROW, names)
-    groups = [(i, g) for i, g in fee_columns(test.columns).items() if {"type", "account", "amount"} <= set(g) and i <= contract.fee_slots]
-    if groups:
-        parts = completeness.group_completeness(test, ROW, [(g["type"], g["account"], g["amount"]) for _, g in groups])
-        slot = F.element_at(F.array(*(F.lit(i) for i, _ in groups)), F.col("slot"))
-        cells = cells.unionByName(parts.select(*ROW, F.concat_ws(" ", F.lit("Fee"), "part", slot).alias("header"), "value", "status"))
+    asked = test.select(*ROW, *(lookup(test, c).alias(c) for c in names), *(at(g[p]).alias(f"{p} {i}") for i, g in fee_columns(test.columns).items() for p in g))
+    slots = [i for i, g in fee_columns(test.columns).items() if {"type", "account", "amount"} <= set(g) and i <= contract.fee_slots]
+    cells = completeness.cell_states(names)
+    if slots:
+        parts = completeness.group_states(asked.columns, [(f"type {i}", f"account {i}", f"amount {i}") for i in slots])
+        number = F.array(*map(F.lit, slots))
+        named = F.transform(parts, lambda x: F.struct(F.concat_ws(" ", F.lit("Fee"), x["part"], F.element_at(number, x["slot"])).alias("header"), x["value"].alias("value"), x["status"].alias("status")))
+        cells = F.concat(cells, named)
     remark = F.when(F.col("status") == completeness.FOUND, k.HAS_VALUE).when(F.col("status") == completeness.INCOMPLETE_CHECK, k.CHECK_MESSAGE).otherwise(k.REQUIRED_MESSAGE)
-    return cells.withColumn("remark", remark)
+    return asked.select(*ROW, F.inline(cells)).withColumn("remark", remark)
+
+
+STATES = (completeness.FOUND, completeness.EMPTY, completeness.INCOMPLETE_REQUIRED, completeness.INCOMPLETE_CHECK)
 
 
 def validate(test: DataFrame, columns: list[str], contract: k.Contract, write: Callable[[str, DataFrame], None]) -> DataFrame:
@@ -65,12 +70,17 @@ def validate(test: DataFrame, columns: list[str], contract: k.Contract, write: C
 
     Cells are never changed: what a check says about them stands beside them, not in them.
     """
+    return validated(test, columns, contract, write)[0]
+
+
+def validated(test: DataFrame, columns: list[str], contract: k.Contract, write: Callable[[str, DataFrame], None]) -> tuple[DataFrame, Observation]:
+    """validate(), and the number of cells of each state, counted as write() writes them: the sheet is read once for both. A write() that runs nothing counts nothing."""
     headers = check_headers(test.sparkSession, columns, contract.test_data(), contract.fee_slots)
-    cells = check_cells(test, contract)
+    cells, seen = summary.observed(check_cells(test, contract), values=STATES)
     write("headers", headers)
     write("cells", cells)
     require_headers(headers)
-    return cells
+    return cells, seen
 
 
 def output_rows(results: DataFrame, report: DataFrame, key: Column, order: tuple[str, ...] = rollup.ORDER) -> DataFrame:
@@ -86,6 +96,11 @@ def output_rows(results: DataFrame, report: DataFrame, key: Column, order: tuple
     return rollup.in_order(all_rows, "status", ["report_file", "report_row", "key"], order)
 
 
+def output_places(output: DataFrame, order: tuple[str, ...] = rollup.ORDER) -> DataFrame:
+    """output_rows() with `place`, the row of the result sheet that each takes, below the header's. No task holds the sheet."""
+    return ordering.placed(output.withColumn("bucket", rollup.bucket(F.col("status"), order)), ["bucket", "report_file", "report_row", "key"]).withColumn("place", F.col("place") + k.REPORT_HEADER_ROW)
+
+
 def result_sheet(code: str, output: DataFrame, report: DataFrame) -> DataFrame:
     """The output rows under the headers of the report's result sheet: test number, result, remark, then the report's columns; its order is the rows' order."""
     number, result, remark = k.RESULT_SHEETS[code]
@@ -110,7 +125,7 @@ def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] =
     found_at = F.struct(F.col("_file").alias("test_file"), F.col("_row").alias("test_row"))
     without = lambda c: n.strip_suffix(n.summary_key(c), *suffixes) if suffixes else n.summary_key(c)
     identifier, own = lookup(test, k.TEST_ID), lookup(test, k.TEST_NO)
-    keyed = test.select(found_at.alias("test_at"), without(plain(identifier)).alias("reference"), n.summary_key(plain(own)).alias("number"), active.alias("fees"), (n.summary_key(own) == "").alias("unnumbered"), (plain(own) == n.value(own)).alias("own_number"), (plain(identifier) == n.value(identifier)).alias("own_reference"), n.summary_key(plain(identifier)).alias("whole"))
+    keyed = test.select(F.struct(found_at.alias("at"), active.alias("fees")).alias("test_at"), without(plain(identifier)).alias("reference"), n.summary_key(plain(own)).alias("number"), (n.summary_key(own) == "").alias("unnumbered"), (plain(own) == n.value(own)).alias("own_number"), (plain(identifier) == n.value(identifier)).alias("own_reference"), n.summary_key(plain(identifier)).alias("whole"))
     rows = results.withColumn("reference", without(F.col("key"))).withColumn("number", n.summary_key(F.col("test_no")))
     if by_reference:
         # A message in a blank cell is no number, and none is taken in its place.
@@ -120,7 +135,7 @@ def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] =
     else:
         first = keyed.where("number != ''").groupBy("number").agg(F.min("test_at").alias("test_at"))
         found = rows.join(first, "number", "left").withColumn("tier", F.when(F.col("test_at").isNotNull(), 2).otherwise(0))
-    return found.join(keyed.select("test_at", "fees"), "test_at", "left").select("*", "test_at.test_file", "test_at.test_row").drop("reference", "number", "test_at")
+    return found.select("*", "test_at.fees", "test_at.at.*").drop("reference", "number", "test_at")
 
 
 def repeated_tests(test: DataFrame) -> DataFrame:
