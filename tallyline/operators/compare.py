@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,6 +128,21 @@ def for_headers(rules: dict[str, Field], headers: tuple[str, ...], actual: Calla
     return [rules.get(h) or Field(h, F.lit(FAIL), F.lit(""), actual(h), reason=RULE_NOT_FOUND) for h in headers]
 
 
+Choice = Callable[[Field], "bool | Column"]
+
+
+def chosen(fields: list[Field], wanted: Choice | None) -> list[Field]:
+    """The fields of a rule set that a caller picks, in their order: all of a field's rows (a bool), or those for which a Column over the expected and the `actual` row holds."""
+    out = []
+    for f in fields:
+        keep = True if wanted is None else wanted(f)
+        if isinstance(keep, Column):
+            out.append(replace(f, status=F.when(keep, f.status)))
+        elif keep:
+            out.append(f)
+    return out
+
+
 def results(fields: list[Field]) -> Column:
     """Array of the applicable fields' results, in order: a row's comparison stays in the row."""
     reason = lambda f: f.reason if isinstance(f.reason, Column) else F.lit(f.reason)
@@ -138,7 +153,7 @@ def results(fields: list[Field]) -> Column:
         )
         for i, f in enumerate(fields)
     ]
-    return F.filter(F.array(*items), lambda x: x["status"].isNotNull())
+    return F.filter(F.array(*items).cast(RESULTS), lambda x: x["status"].isNotNull())
 
 
 def long_results(rows: DataFrame, keys: list[str], fields: list[Field]) -> DataFrame:

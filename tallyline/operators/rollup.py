@@ -76,12 +76,6 @@ def rolled(results: DataFrame, keys: list[str], with_skip: bool = True) -> DataF
     )
 
 
-def field_map(results: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and a map from field to its status; of repeated fields the last ordinal counts."""
-    last = results.groupBy(*keys, "field").agg(F.max_by("status", "ordinal").alias("status"))
-    return last.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "status")))).alias("fields"))
-
-
 #: Order of the output by status; what isn't listed comes after the listed.
 ORDER_WITH_SKIP = ("PASS", "UNTAGGED", "SKIP", "FAIL", "MISSING")
 ORDER = ("PASS", "UNTAGGED", "FAIL", "EXPECTED_ABSENCE", "MISSING")

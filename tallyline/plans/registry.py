@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators import completeness, rollup, summary
-from ..operators.compare import Field
 from . import contracts as k, reports, stages
 
 #: Report code -> plan(test data, report, ...) -> row results.
@@ -51,14 +50,10 @@ def selected(requested: list[str]) -> list[str]:
 
 
 def reconcile(code: str, test: DataFrame, report: DataFrame, **more) -> DataFrame:
+    """The row results of a report's plan. more: what the plan takes beside its sheets, as its case builder (`cases`), the choice of its rules (`wanted`) and, for PTX, slots and mapping."""
     return PLANS[selected([code])[0]](test, report, **more)
 
 
-def chosen(fields: list[Field], wanted: Callable[[Field], bool]) -> list[Field]:
-    """The fields of a rule set that a caller's predicate picks, in their order."""
-    return [f for f in fields if wanted(f)]
-
-
 def summarise(code: str, results: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(integrity counts, detail rows) of a report's results, as its configuration says; raises for a report without one."""
     if code not in SUMMARIES:

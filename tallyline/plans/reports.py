@@ -79,28 +79,34 @@ def named(rows: DataFrame, status: Column, remark: Column, passed: Column, faile
     )
 
 
-def finished(rows: DataFrame, fields: list[c.Field], remark: Callable[[Column], Column], with_skip: bool = True) -> DataFrame:
-    """rows (with `outcome` and `note`), each compared and rolled up where it stands: after the match nothing is shuffled."""
-    rows = rows.withColumn("_results", F.when(F.col("outcome") == "COMPARE", c.results(fields)))
+def finished(rows: DataFrame, fields: list[c.Field], remark: Callable[[Column], Column], with_skip: bool = True, wanted: c.Choice | None = None) -> DataFrame:
+    """rows (with `outcome` and `note`), each compared by the wanted fields and rolled up where it stands: after the match nothing is shuffled."""
+    rows = rows.withColumn("_results", F.when(F.col("outcome") == "COMPARE", c.results(c.chosen(fields, wanted))))
     found = F.col("_results")
     return named(rows, rollup.row_status(found, with_skip), remark(found), *(rollup.row_names(found, s) for s in (c.PASS, c.FAIL, c.REVIEW)))
 
 
-def ltx(test: DataFrame, report: DataFrame) -> DataFrame:
-    """Two slots per test row, DR for the transfer and FE for the fees; the first report row counts.
+#: The expected cases of a test sheet: DataFrame -> DataFrame. Another builder takes the place of a plan's own by the argument `cases`.
+Cases = Callable[[DataFrame], DataFrame]
 
-    The row's status comes from its key conditions (account and amount); field rules only ask for review.
-    """
+
+def ltx_cases(test: DataFrame) -> DataFrame:
+    """Two slots per test row, DR for the transfer and FE for the fees, if their amounts are above the tolerance: ROW, test_no, key, suffix, fees, transfer, debit, expectation and the columns that rules read."""
     fees = total(*(number(lookup(test, *k.fee_aliases(5)[k.fee_headers(i)[2]])) for i in range(1, 6)))
     transfer, debit = number(lookup(test, k.TRANSFER_AMOUNT)), number(lookup(test, k.DEBIT_AMOUNT))
     large = lambda a: F.coalesce(a > TOLERANCE, F.lit(False))
-    test, report = identified(test), identified(report)
     base = test.select(
         *ROW, n.trim(F.regexp_replace(lookup(test, k.TEST_NO), "(?i)-return$", "")).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("id"), fees.alias("fees"), transfer.alias("transfer"), debit.alias("debit"),
         rules.decide([rules.RESIDENT_THB_TO_FOREIGN], field=lambda f: lookup(test, f)).alias("expectation"),
         *(lookup(test, x).alias(x) for x in (k.FROM_ACCOUNT, k.FROM_CCY, k.TXN_DATE, k.PURPOSE, k.TO_CIF_NAME, k.TO_REGION, k.CIF_NO, k.CIF_NAME)),
     ).where("id != ''")
-    expected = base.select("*", F.inline(keys.suffix_keys(F.col("id"), {"DR": large(F.col("transfer")) | large(F.col("debit")), "FE": large(F.col("fees"))})))
+    return base.select("*", F.inline(keys.suffix_keys(F.col("id"), {"DR": large(F.col("transfer")) | large(F.col("debit")), "FE": large(F.col("fees"))})))
+
+
+def ltx(test: DataFrame, report: DataFrame, cases: Cases = ltx_cases, wanted: c.Choice | None = None) -> DataFrame:
+    """The first report row of a case's key counts. The row's status comes from its key conditions (account and amount); field rules only ask for review."""
+    test, report = identified(test), identified(report)
+    expected = cases(test)
     actual = with_key(report, n.upper_key(lookup(report, "Reference Transaction Number")), k.CONTRACTS["DS_LTX"].report)
     rows = matching.match(expected, actual, "key", Policy.FIRST, ROW)
     rows = rows.withColumn("outcome", rules.presence(F.col("expectation"), F.col("match") == "MATCH")).withColumn("note", F.when(F.col("outcome") == "MISSING", "not in the report").when(F.col("outcome") == "UNEXPECTED", "in the report, but must not be").otherwise("must not be in the report, and is not"))
@@ -131,63 +137,87 @@ def ltx(test: DataFrame, report: DataFrame) -> DataFrame:
         last = F.when(F.size(review) > 0, F.array(F.lit(k.PLEASE_REVIEW))).otherwise(F.array().cast("array<string>"))
         return F.array_join(F.concat(rollup.row_lines(found, pair_line("LTX"), c.FAIL), review, last), "\n")
 
-    return finished(rows, fields, remark)
+    return finished(rows, fields, remark, wanted=wanted)
 
 
 PTX_CORE = ("Receive Payment Transaction Date", "Currency Id", "Payment Method", "Receive Payment Transaction Type", "Receive Payment Item Type", "Transaction Amount in Foreign Currency")
 
 
-def ptx(test: DataFrame, report: DataFrame, no_fee_fails: bool = False, core: tuple[str, ...] = PTX_CORE) -> DataFrame:
-    """One expected row per fee slot; the last report row counts. A row without fees is skipped, or fails with no_fee_fails.
+#: Report field -> slot -> the names of the test data's column that it is held against.
+Mapping = dict[str, Callable[[int], tuple[str, ...]]]
+PTX_FIELDS: Mapping = {
+    "Receive Payment Transaction Date": lambda slot: (k.TXN_DATE,), "Currency Id": lambda slot: (k.FROM_CCY,), "Transaction Amount in Foreign Currency": lambda slot: tuple(k.fee_aliases(slot)[k.fee_headers(slot)[2]]),
+    "Cust Code": lambda slot: (k.CIF_NO,), "CMF CODE": lambda slot: (k.CIF_NO,), "Cust Name": lambda slot: (k.CIF_NAME,), "Involved Party Id": lambda slot: (k.TO_CIF_NO,), "Involved Party Name": lambda slot: (k.TO_CIF_NAME,), "Country Id of Involved Party": lambda slot: (k.TO_REGION,),
+}
+PTX_SLOTS = (1, 2)
 
-    core: the headers to compare; one that no rule is known for fails.
-    """
-    test, report = identified(test), identified(report)
-    fee = {i: {"fee_type": lookup(test, k.fee_headers(i)[0]), "fee_amount": lookup(test, *k.fee_aliases(2)[k.fee_headers(i)[2]])} for i in (1, 2)}
-    used = {i: ~n.blank(p["fee_type"]) | ~n.blank(p["fee_amount"]) for i, p in fee.items()}
+
+def of(field: str) -> Column:
+    """What a report's field is held against."""
+    return n.text(at(f"of {field}"))
+
+
+def ptx_cases(test: DataFrame, slots: tuple[int, ...] = PTX_SLOTS, mapping: Mapping = PTX_FIELDS) -> DataFrame:
+    """One row per filled fee slot, or one without a slot: ROW, test_no, id, slot, has_slot, key, excluded, and `of <field>` for each mapped field, from the slot's own columns."""
+    kinds, amounts = ({i: lookup(test, *name(i)) for i in slots} for name in (lambda i: (k.fee_headers(i)[0],), PTX_FIELDS["Transaction Amount in Foreign Currency"]))
+    parts = {i: {f"of {f}": lookup(test, *name(i)) for f, name in mapping.items()} for i in slots}
+    used = {i: ~n.blank(kinds[i]) | ~n.blank(amounts[i]) for i in slots}
     number_names = ("Test No.", "Test No", "Test Script No.", "Test Script No")
     resident = rules.resident_to_foreign_account(lookup(test, k.RESIDENCE), lookup(test, k.FROM_CCY), lookup(test, k.TO_ACCOUNT_TYPE), lookup(test, k.TO_CCY))
-    wanted = (k.TXN_DATE, k.FROM_CCY, k.CIF_NO, k.CIF_NAME, k.TO_CIF_NO, k.TO_CIF_NAME, k.TO_REGION)
-    slotted = reshape.slots(test, fee, used)
-    base = slotted.select(*ROW, "slot", "has_slot", "fee_amount", n.first_filled(*(lookup(test, x) for x in number_names)).alias("test_no"), lookup(test, k.TEST_ID).alias("id"), resident.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted))
+    base = reshape.slots(test, parts, used).select(*ROW, "slot", "has_slot", n.first_filled(*(lookup(test, x) for x in number_names)).alias("test_no"), lookup(test, k.TEST_ID).alias("id"), resident.alias("excluded"), *(at(f"of {f}") for f in mapping))
     base = base.where((n.trim(F.col("id")) != "") | (F.col("test_no") != ""))
-    key = F.when(F.col("has_slot"), keys.slot_key(F.col("id"), F.col("slot"))).otherwise(F.concat(F.lit("NO_FEE_ROW_"), F.col("_row").cast("string")))
-    expected = base.withColumn("key", key)
+    return base.withColumn("key", F.when(F.col("has_slot"), keys.slot_key(F.col("id"), F.col("slot"))).otherwise(F.concat(F.lit("NO_FEE_ROW_"), F.col("_row").cast("string"))))
+
+
+def ptx(test: DataFrame, report: DataFrame, no_fee_fails: bool = False, core: tuple[str, ...] = PTX_CORE, slots: tuple[int, ...] = PTX_SLOTS, mapping: Mapping = PTX_FIELDS, cases: Cases | None = None, wanted: c.Choice | None = None) -> DataFrame:
+    """One expected row per fee slot; the last report row counts. A row without fees is skipped, or fails with no_fee_fails.
+
+    core: the headers to compare; one that no rule is known for fails. slots, mapping: the fee slots, and
+    which column of the test data a report's field is held against in each; a field that isn't mapped is
+    held against nothing.
+    """
+    test, report = identified(test), identified(report)
+    mapping = dict.fromkeys(PTX_FIELDS, lambda slot: ()) | mapping
+    expected = (cases or (lambda t: ptx_cases(t, slots, mapping)))(test)
     names = tuple(dict.fromkeys((*k.CONTRACTS["DS_PTX"].report, *core, "Receive Payment Item Description", "Data Set Date")))
     actual = with_key(report, n.trim(lookup(report, "Reference Transaction Number")), names)
     rows = matching.match(expected, actual, "key", Policy.LAST, ROW)
     found = F.col("match") == "MATCH"
     outcome = F.when(F.col("excluded") & found, "UNEXPECTED").when(F.col("excluded"), "EXPECTED_ABSENCE").when(~F.col("has_slot") & ~F.lit(no_fee_fails), "SKIP").when(F.col("key").isNull(), "INVALID_KEY").when(~found, "MISSING").otherwise("COMPARE")
     rows = rows.withColumn("outcome", outcome).withColumn("note", F.lower(F.replace(F.col("outcome"), F.lit("_"), F.lit(" "))))
-    amount = number_or_zero(F.col("fee_amount")).cast("string")
-    typed = lambda name, kind, e, source, reason="Value Mismatch": c.Field(name, c.typed(kind, e, report_field(name)), e, report_field(name), source, reason)
-    date = "Receive Payment Transaction Date"
+    source = lambda f: next(iter(mapping[f](slots[0])), "")
+    typed = lambda name, kind, e, source="", reason="Value Mismatch": c.Field(name, c.typed(kind, e, report_field(name)), e, report_field(name), source, reason)
+    date, money_field = "Receive Payment Transaction Date", "Transaction Amount in Foreign Currency"
     rules_of = {
-        date: c.Field(date, c.date_of_set_or_reference(at(k.TXN_DATE), report_field("Data Set Date"), F.col("key")), at(k.TXN_DATE), report_field("Data Set Date"), k.TXN_DATE, F.when(dates.loose_date(at(k.TXN_DATE)).isNull(), "Invalid Txn Date").otherwise("Txn Date does not match Data Set Date or Reference Transaction Date")),
-        "Currency Id": typed("Currency Id", "TEXT", at(k.FROM_CCY), k.FROM_CCY),
-        "Payment Method": typed("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD), ""),
-        "Receive Payment Transaction Type": typed("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE), ""),
-        "Receive Payment Item Type": typed("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE), ""),
-        "Transaction Amount in Foreign Currency": typed("Transaction Amount in Foreign Currency", "AMOUNT", amount, "Fee Amount"),
+        date: c.Field(date, c.date_of_set_or_reference(of(date), report_field("Data Set Date"), F.col("key")), of(date), report_field("Data Set Date"), source(date), F.when(dates.loose_date(of(date)).isNull(), "Invalid Txn Date").otherwise("Txn Date does not match Data Set Date or Reference Transaction Date")),
+        "Currency Id": typed("Currency Id", "TEXT", of("Currency Id"), source("Currency Id")),
+        "Payment Method": typed("Payment Method", "TEXT", F.lit(k.PAYMENT_METHOD)),
+        "Receive Payment Transaction Type": typed("Receive Payment Transaction Type", "TEXT", F.lit(k.TRANSACTION_TYPE)),
+        "Receive Payment Item Type": typed("Receive Payment Item Type", "TEXT", F.lit(k.ITEM_TYPE)),
+        money_field: typed(money_field, "AMOUNT", number_or_zero(of(money_field)).cast("string"), "Fee Amount"),
     }
-    customer = [("Cust Code", k.CIF_NO), ("CMF CODE", k.CIF_NO), ("Cust Name", k.CIF_NAME), ("Involved Party Id", k.TO_CIF_NO), ("Involved Party Name", k.TO_CIF_NAME), ("Country Id of Involved Party", k.TO_REGION), ("Receive Payment Item Description", None)]
 
-    def optional(name: str, source: str | None) -> c.Field:
-        e, a = at(source) if source else F.lit(""), report_field(name)
+    def optional(name: str, e: Column, source: str = "") -> c.Field:
+        a = report_field(name)
         reason = F.when(n.trim(a) == "", "Skipped: the report's value is blank").when(n.trim(e) == "", "Expected Value Is Blank").otherwise("Value Mismatch")
-        return c.Field(name, c.optional_value(e, a), e, a, source or "", reason)
+        return c.Field(name, c.optional_value(e, a), e, a, source, reason)
 
-    fields = [*c.for_headers(rules_of, core, report_field), *(optional(*x) for x in customer)]
-    return finished(rows, fields, lambda found: F.array_join(rollup.row_lines(found, reason_line("TS", "DS-PTX"), c.FAIL), "\n"))
+    customer = [optional(f, of(f), source(f)) for f in ("Cust Code", "CMF CODE", "Cust Name", "Involved Party Id", "Involved Party Name", "Country Id of Involved Party")]
+    fields = [*c.for_headers(rules_of, core, report_field), *customer, optional("Receive Payment Item Description", F.lit(""))]
+    return finished(rows, fields, lambda found: F.array_join(rollup.row_lines(found, reason_line("TS", "DS-PTX"), c.FAIL), "\n"), wanted=wanted)
 
 
-def ftx(test: DataFrame, report: DataFrame) -> DataFrame:
-    """Keys are case-sensitive and must be unique; excluded rows pass whether or not the report has them."""
-    test, report = identified(test), identified(report)
+def ftx_cases(test: DataFrame) -> DataFrame:
+    """ROW, test_no, key, excluded and the columns that rules read."""
     who = n.first_filled(lookup(test, k.CUSTOMER_TYPE), lookup(test, k.CUSTOMER_TYPE_NAME))
     excluded = rules.excluded_conversion(lookup(test, k.FROM_CCY), lookup(test, k.SETTLED_CCY), who, number(lookup(test, k.SETTLED_AMOUNT)))
-    wanted = (k.FROM_CCY, k.SETTLED_CCY, k.TXN_DATE)
-    expected = test.select(*ROW, lookup(test, k.TEST_NO).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("key"), excluded.alias("excluded"), *(lookup(test, x).alias(x) for x in wanted))
+    return test.select(*ROW, lookup(test, k.TEST_NO).alias("test_no"), n.trim(lookup(test, k.TEST_ID)).alias("key"), excluded.alias("excluded"), *(lookup(test, x).alias(x) for x in (k.FROM_CCY, k.SETTLED_CCY, k.TXN_DATE)))
+
+
+def ftx(test: DataFrame, report: DataFrame, cases: Cases = ftx_cases, wanted: c.Choice | None = None) -> DataFrame:
+    """Keys are case-sensitive and must be unique; excluded rows pass whether or not the report has them."""
+    test, report = identified(test), identified(report)
+    expected = cases(test)
     actual = with_key(report, n.trim(lookup(report, "Ref. TX No.")), k.CONTRACTS["DS_FTX"].report)
     rows = matching.match(expected, actual, "key", Policy.UNIQUE, ROW)
     outcome = F.when(F.col("key") == "", "BLANK_KEY").when(F.col("excluded"), "EXCLUDED").when(F.col("match") == "MATCH", "COMPARE").otherwise(F.col("match"))
@@ -195,21 +225,26 @@ def ftx(test: DataFrame, report: DataFrame) -> DataFrame:
     pairs = (("Buy Currency Id", k.FROM_CCY, c.spaced_text), ("Sell Currency Id", k.SETTLED_CCY, c.spaced_text), ("Transaction Date", k.TXN_DATE, c.loose_date))
     fields = [c.Field(name, f(at(e), report_field(name)), at(e), report_field(name), e) for name, e, f in pairs]
     line = reason_line("Test Data", "DS_FTX", bare_blank=True)
-    return finished(rows, fields, lambda found: F.array_join(F.array_distinct(rollup.row_lines(found, line, c.FAIL)), "\n"), with_skip=False)
+    return finished(rows, fields, lambda found: F.array_join(F.array_distinct(rollup.row_lines(found, line, c.FAIL)), "\n"), with_skip=False, wanted=wanted)
 
 
-def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Callable[[DataFrame], Column] | None = None) -> DataFrame:
+def ftu_cases(test: DataFrame) -> DataFrame:
+    """ROW, test_no, key, direction, from, to, settled, amount, date, purpose."""
+    source, target, settled = (n.upper_key(lookup(test, x)) for x in (k.FROM_CCY, k.TO_CCY, k.SETTLED_CCY))
+    return test.select(
+        *ROW, lookup(test, k.TEST_NO).alias("test_no"), n.upper_key(lookup(test, k.TEST_ID)).alias("key"), rules.direction(source, target, "THB").alias("direction"), source.alias("from"), target.alias("to"),
+        settled.alias("settled"), number(lookup(test, k.SETTLED_AMOUNT)).alias("amount"), lookup(test, k.TXN_DATE).alias("date"), lookup(test, k.PURPOSE).alias("purpose"),
+    ).where("key != ''")
+
+
+def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Callable[[DataFrame], Column] | None = None, cases: Cases = ftu_cases, wanted: c.Choice | None = None) -> DataFrame:
     """All report rows of a key are compared and their amounts summed. usd_rates: currency, rate; a missing rate fails the row.
 
     exception(rows) may give a reason for which a row must not be in the report. Each sheet is read once; a
     remark has each different line once, in the order of the report's rows.
     """
     test, report = identified(test), identified(report)
-    source, target, settled = (n.upper_key(lookup(test, x)) for x in (k.FROM_CCY, k.TO_CCY, k.SETTLED_CCY))
-    base = test.select(
-        *ROW, lookup(test, k.TEST_NO).alias("test_no"), n.upper_key(lookup(test, k.TEST_ID)).alias("key"), rules.direction(source, target, "THB").alias("direction"), source.alias("from"), target.alias("to"),
-        settled.alias("settled"), number(lookup(test, k.SETTLED_AMOUNT)).alias("amount"), lookup(test, k.TXN_DATE).alias("date"), lookup(test, k.PURPOSE).alias("purpose"),
-    ).where("key != ''")
+    base = cases(test)
     base = matching.looked_up(base, "settled", usd_rates, "rate")
     usd = F.when(F.col("settled") == "USD", F.col("amount")).otherwise(F.col("amount") * F.col("rate"))
     expected = base.withColumn("usd", usd).withColumn("reason", exception(base) if exception else F.lit(None).cast("string"))
@@ -229,7 +264,7 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
         c.Field("Country", c.passed(n.upper_key(report_field("Country Id of Beneficiary Involved Party")) == country), country, report_field("Country Id of Beneficiary Involved Party"), k.TO_CCY),
         c.Field("Currency Id", F.when(F.col("settled") == "", c.REVIEW).otherwise(c.passed(n.upper_key(report_field("Currency Id")) == F.col("settled"))), F.col("settled"), report_field("Currency Id"), k.SETTLED_CCY),
     ]
-    met = met.withColumn("_results", F.when(F.col("_at").isNotNull(), c.results(fields)).otherwise(F.array().cast(c.RESULTS)))
+    met = met.withColumn("_results", F.when(F.col("_at").isNotNull(), c.results(c.chosen(fields, wanted))).otherwise(F.array().cast(c.RESULTS)))
     place = lambda x: F.struct(F.col("_at").alias("at"), x["ordinal"].alias("ordinal"), pair_line("FTU")(x).alias("line"))
     states = (c.PASS, c.FAIL, c.REVIEW)
     rows = met.groupBy(*ROW).agg(
@@ -252,7 +287,7 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     rows = rows.withColumn("outcome", outcome).withColumn("note", note)
     # The sum is one more field behind those of the report rows.
     summed = F.when(F.col("amount").isNull(), c.REVIEW).otherwise(c.passed((F.col("nulls_report_amount") == 0) & within(F.col("amount"), F.col("sum_report_amount"))))
-    rows = rows.withColumn("_sum", F.when(F.col("outcome") == "COMPARE", c.results([c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)])))
+    rows = rows.withColumn("_sum", F.when(F.col("outcome") == "COMPARE", c.results(c.chosen([c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)], wanted))))
     names = {s: F.array_sort(F.array_distinct(F.concat(F.col(f"_{s}"), rollup.row_names(F.col("_sum"), s)))) for s in states}
     status = F.when(F.size(names[c.FAIL]) > 0, c.FAIL).otherwise(c.PASS)
     success = F.when(F.size(names[c.FAIL]) > 0, F.array().cast("array<string>")).otherwise(F.array(F.when(d == "BUY_FCY", k.FTU_BUY).otherwise(k.FTU_SELL)))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyline.plans import contracts as k, reports
+from tallyline.plans import contracts as k, registry, reports
 
 
 def sheet(spark, rows):
@@ -99,3 +99,57 @@ def test_nothing_is_shuffled_after_the_match(spark):
     for plan in (reports.ltx, reports.ptx, reports.ftx):
         text = plan(test, report)._jdf.queryExecution().executedPlan().toString()
         assert text.count("Scan ExistingRDD") <= 2 and text.count("Exchange") <= 3, plan
+
+
+def test_another_builder_of_cases(spark):
+    """A plan takes its expected cases from a builder that a caller gives, here one more slot for each row and none for the others."""
+    base = {k.TEST_ID: "abcdef", k.TEST_NO: "1", k.FROM_ACCOUNT: "acc", k.FROM_CCY: "USD", k.TXN_DATE: "01/02/2025", k.TRANSFER_AMOUNT: "5"}
+    test = sheet(spark, [base, base | {k.TEST_ID: "other", k.TEST_NO: "skip"}])
+    row = {"FI Arrangement Number": "ACC", "Transaction Amount": "5", "Currency Id": "USD", "Transaction Date": "01/02/2025"}
+    report = sheet(spark, [row | {"Reference Transaction Number": x} for x in ("ABCDEFDR", "ABCDEFXX")])
+
+    def doubled(rows):
+        made = reports.ltx_cases(rows).where("test_no != 'skip'")
+        return made.union(made.withColumn("key", F.regexp_replace("key", "DR$", "XX")))
+
+    assert results(reports.ltx(test, report, cases=doubled)) == {"ABCDEFDR": ("PASS", "COMPARE", 6), "ABCDEFXX": ("PASS", "COMPARE", 7)}
+    only = lambda f: lambda rows: f(rows).where("test_no = '1'")
+    assert set(results(reports.ftx(test, report, cases=only(reports.ftx_cases)))) == {"abcdef"} and set(results(registry.reconcile("DS_PTX", test, report, cases=only(reports.ptx_cases)))) == {"NO_FEE_ROW_6"}
+    assert set(results(reports.ftu(test, report, spark.createDataFrame([], "currency string, rate double"), cases=only(reports.ftu_cases)))) == {"ABCDEF"}
+
+
+def test_slots_and_their_columns(spark):
+    """A third slot, and a field that is held against another column in each slot."""
+    base = {k.TEST_ID: "abc123", k.TEST_NO: "1", k.TXN_DATE: "01/02/2025", k.FROM_CCY: "USD", "Payer 1": "P1", "Payer 3": "P3", k.CIF_NO: "7"}
+    test = sheet(spark, [base | {"Fee Type 1": "F", "Fee Amount Type 1": "1", "Fee Type 3": "F", "Fee Amount Type 3": "3"}])
+    row = {"Data Set Date": "2025-02-01", "Currency Id": "usd", "Payment Method": k.PAYMENT_METHOD, "Receive Payment Transaction Type": k.TRANSACTION_TYPE, "Receive Payment Item Type": k.ITEM_TYPE}
+    report = sheet(spark, [row | {"Reference Transaction Number": f"ABC123_0{i}_GPMH_ABC_RM", "Transaction Amount in Foreign Currency": str(i), "Cust Code": who} for i, who in ((1, "P1"), (3, "P3"))])
+    two = results(reports.ptx(test, report))
+    assert two == {"ABC123_01_GPMH_ABC_RM": ("FAIL", "COMPARE", 6)}
+    payer = reports.PTX_FIELDS | {"Cust Code": lambda slot: (f"Payer {slot}",)}
+    three = registry.reconcile("DS_PTX", test, report, slots=(1, 2, 3), mapping=payer)
+    assert results(three) == {"ABC123_01_GPMH_ABC_RM": ("PASS", "COMPARE", 6), "ABC123_03_GPMH_ABC_RM": ("PASS", "COMPARE", 7)}
+    wrong = reports.ptx(test, report, slots=(1, 3), mapping=payer | {"Cust Code": lambda slot: (f"Payer {4 - slot}",)})
+    assert {r.key[7:9]: r.remark for r in wrong.collect()} == {"01": "Cust Code: Value Mismatch | [TS]: P3 | [DS-PTX]: P1", "03": "Cust Code: Value Mismatch | [TS]: P1 | [DS-PTX]: P3"}
+    # A field that isn't mapped is held against nothing.
+    assert "Expected Value Is Blank" in reports.ptx(test, report, mapping={f: m for f, m in payer.items() if f != "Cust Code"}).first().remark
+
+
+def test_chosen_rules(spark):
+    """Rules that a caller leaves out, or asks for in some rows only."""
+    base = {k.TEST_NO: "1", k.FROM_ACCOUNT: "acc", k.FROM_CCY: "USD", k.TXN_DATE: "01/02/2025", k.TRANSFER_AMOUNT: "5", "Fee Amount Type 1": "5", k.SETTLED_CCY: "EUR", k.CUSTOMER_TYPE: "NR"}
+    test = sheet(spark, [base | {k.TEST_ID: "abcdef"}])
+    row = {"FI Arrangement Number": "other", "Transaction Amount": "5", "Currency Id": "EUR", "Transaction Date": "01/02/2025", "Outflow Transaction Purpose": ""}
+    report = sheet(spark, [row | {"Reference Transaction Number": x} for x in ("ABCDEFDR", "ABCDEFFE")])
+    state = lambda wanted: {r.key[-2:]: (r.status, r.review_fields) for r in reports.ltx(test, report, wanted=wanted).collect()}
+    assert {x: s for x, (s, _) in state(None).items()} == {"DR": "FAIL", "FE": "FAIL"}
+    assert state(lambda f: f.name in ("Transaction Amount", "Currency Id")) == {"DR": ("PASS", ["Currency Id"]), "FE": ("PASS", ["Currency Id"])}
+    assert state(lambda f: f.name == "Transaction Amount" or (F.col("suffix") == "DR" if f.name == "FI Arrangement Number" else False)) == {"DR": ("FAIL", []), "FE": ("PASS", [])}
+    assert state(lambda f: (F.col("actual")["Transaction Amount"] == "5") & (f.name == "Currency Id"))["DR"] == ("PASS", ["Currency Id"])
+    assert state(lambda f: False) == {"DR": ("PASS", []), "FE": ("PASS", [])}
+    ftx = reports.ftx(test, sheet(spark, [{"Ref. TX No.": "abcdef", "Buy Currency Id": "JPY", "Sell Currency Id": "EUR", "Transaction Date": "2025-02-01"}]), wanted=lambda f: f.name != "Buy Currency Id").first()
+    assert (ftx.status, ftx.passed_fields) == ("PASS", ["Sell Currency Id", "Transaction Date"])
+    ftu_test = sheet(spark, [{k.TEST_ID: "a", k.FROM_CCY: "THB", k.TO_CCY: "USD", k.SETTLED_CCY: "USD", k.SETTLED_AMOUNT: "3", k.TXN_DATE: "01/12/2025"}])
+    ftu_row = {"Arr Number": "A", "Leg Type": k.LEG_SELL, "Foreign Currency Amount": "1"}
+    ftu = reports.ftu(ftu_test, sheet(spark, [ftu_row]), spark.createDataFrame([], "currency string, rate double"), wanted=lambda f: f.name == "Leg Type").first()
+    assert (ftu.status, ftu.passed_fields, ftu.remark) == ("PASS", ["Leg Type"], k.FTU_SELL)

@@ -127,3 +127,22 @@ def test_published_as_workbooks(spark, tmp_path):
     with pytest.raises(Exception, match="exists"):
         files.publish(spark.range(5), str(tmp_path), "DS_FTX", "1", kind="sheet")
     assert files.publish(spark.range(5), str(tmp_path), "DS_FTX", "1", kind="sheet", another_name=True).endswith("run=1_01")
+
+
+def test_a_report_from_workbook_to_workbook(spark, tmp_path):
+    """Sheets are read by ranges, reconciled, laid out in the order of their status and written as one workbook a partition, which hold that order."""
+    from tallyline.plans import contracts as k, registry, stages
+
+    heads = [k.TEST_ID, k.TEST_NO, k.FROM_CCY, k.SETTLED_CCY, k.TXN_DATE]
+    workbook(tmp_path / "test.xlsx", {k.TEST_DATA_HEADER_ROW: heads} | {k.TEST_DATA_HEADER_ROW + 1 + i: [f"id{i}", i, "USD", "EUR", "01/02/2025"] for i in range(90)}, "DS_FTX")
+    workbook(tmp_path / "report.xlsx", {1: ["Ref. TX No.", "Buy Currency Id", "Sell Currency Id", "Transaction Date"]} | {2 + i: [f"id{i}", "usd" if i % 3 else "JPY", "EUR", "01/02/2025"] for i in range(10, 120)}, "DS_FTX")
+    test = read(spark, tmp_path / "test.xlsx", header_row=k.TEST_DATA_HEADER_ROW, sheet="ds_ftx", part=1500)
+    report = read(spark, tmp_path / "report.xlsx", part=1500)
+    results = registry.reconcile("DS_FTX", test, report)
+    made = stages.result_sheet("DS_FTX", stages.output_rows(results, report, F.trim("`Ref. TX No.`")), report)
+    path = files.publish(made, str(tmp_path / "out"), "DS_FTX", "1", kind="sheet", inputs=(str(tmp_path / "test.xlsx"), str(tmp_path / "report.xlsx")))
+    rows = sorted((tuple(r) for r in read(spark, path).collect()), key=lambda r: r[:2])
+    assert read(spark, path).columns[2:] == ["Test Script No.", "Result", "Remark", "Ref. TX No.", "Buy Currency Id", "Sell Currency Id", "Transaction Date"]
+    order = [r[3] for r in rows]
+    assert order == ["PASS"] * sum(i % 3 > 0 for i in range(10, 90)) + ["UNTAGGED"] * 30 + ["FAIL"] * sum(i % 3 == 0 for i in range(10, 90)) + ["MISSING"] * 10
+    assert [r[5] for r in rows if r[3] == "FAIL"] == [f"id{i}" for i in range(12, 90, 3)] and rows[0][2:6] == ("10", "PASS", "", "id10")
