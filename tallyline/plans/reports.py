@@ -251,8 +251,9 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     compared = k.CONTRACTS["DS_FTU"].report[1:-1]
     actual = with_key(report, n.upper_key(lookup(report, "Arr Number")), k.CONTRACTS["DS_FTU"].report).withColumn("report_amount", number(F.col("Foreign Currency Amount")))
     # Report rows of a key that are alike in all that is compared are one row with their number, sum and first place, so that a key of very many rows is a few.
-    alike = matching.by_key(actual, ["key", *compared], Policy.AGGREGATE, ROW, ("report_amount",))
-    met = expected.join(alike.select("key", "n_actual", "sum_report_amount", "nulls_report_amount", F.struct("actual._file", "actual._row").alias("_at"), F.struct(*map(at, compared)).alias("actual")), "key", "left")
+    amounts = F.sum("report_amount").alias("sum_report_amount"), F.count_if(F.col("report_amount").isNull()).alias("nulls_report_amount")
+    alike = actual.groupBy("key", *map(at, compared)).agg(F.count("*").alias("n_actual"), *amounts, F.min(F.struct(*ROW)).alias("_at"))
+    met = expected.join(alike.select("key", "n_actual", "sum_report_amount", "nulls_report_amount", "_at", F.struct(*map(at, compared)).alias("actual")), "key", "left")
     country = F.element_at(F.create_map(*(F.lit(x) for pair in k.COUNTRY_OF.items() for x in pair)), F.col("to"))
     d = F.col("direction")
     leg = c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL))
