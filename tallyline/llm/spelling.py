@@ -28,6 +28,8 @@ LETTERS, SHORTEST, LEAST, TYPO, TIMES = "A-Za-zÀ-ÿ", 7, 2, 31, 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters of a block beyond which it is cut in two, and of the blocks that are searched at once; blocks that are cut at most, beyond which blocks are larger.
 BLOCK_CHARS, MOST_CUT = 200_000, 1_000_000
+#: Words and forms are broadcast up to so many bytes, as words may be of any length.
+ROOT_BYTES = 16_000_000
 #: Queries that go down the wavelet tree at once.
 QUERIES = 500_000
 
@@ -210,10 +212,11 @@ def nearest(rows: DataFrame) -> DataFrame:
 def roots(forms: DataFrame) -> DataFrame:
     """word, form -> word, root: the end of the chain of forms. A form is TIMES as frequent as its word, so chains are short; each round doubles the steps taken."""
     now = keep(forms.select("word", F.col("form").alias("root")), "roots")
-    n = now.count()
+    size = now.agg(F.sum(F.octet_length("word") + F.octet_length("root") + 32)).first()[0] or 0
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        new = keep(now.join(small(further, n), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        further = F.broadcast(further) if size <= ROOT_BYTES else further
+        new = keep(now.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         forget(now)
         if new.where("moved").isEmpty():
             return new.drop("moved")
