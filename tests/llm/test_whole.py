@@ -362,3 +362,31 @@ def test_threats_are_learned_by_whom_they_are_for(spark):
     grammar = toxicity.Grammar(model.insults, model.threats)
     kinds = lambda t: [k for k, n in zip(toxicity.CLAUSES, grammar.clauses(t), strict=True) if n]
     assert kinds("grobbles you") == ["threat"] and kinds("grobble the process") == [] and kinds("you zwulf") == ["targeted"]
+
+
+def brute_stretches(scores):
+    """Maximal scoring stretches by their definition: the best stretch of all, then those to its left and to its right."""
+    best = max(((sum(scores[a:b]), a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0), key=lambda x: (x[0], -x[1], x[2]))
+    if best[0] <= 0:
+        return []
+    _, a, b = best
+    return [*brute_stretches(scores[:a]), (a, b), *((a2 + b, b2 + b) for a2, b2 in brute_stretches(scores[b:]))]
+
+
+def test_markov_spans_against_brute_force(spark):
+    """The ratio of pairs by counting, the maximal stretches by their definition, and whole runs that pass."""
+    samples = secrets.default_samples(spark, 200, seed=6)
+    rows, n = [(x.text, x.label) for x in samples.collect()], len(secrets.ALPHABET) + 1
+    pairs = {label: collections.Counter(t[i : i + 2] for t, y in rows if y == label for i in range(len(t) - 1)) for label in (0, 1)}
+    firsts = {label: collections.Counter(p[0] for p in c.elements()) for label, c in pairs.items()}
+    odds = lambda label, p: (pairs[label][p] + 0.5) / (firsts[label][p[0]] + 0.5 * n)
+    ratio = secrets.train(samples)
+    assert all(abs(ratio[a + b] - np.log(odds(1, a + b) / odds(0, a + b))) < 1e-9 for a in secrets.ALPHABET for b in secrets.ALPHABET)
+    finder, r = secrets.Finder(ratio), random.Random(3)
+    for _ in range(150):
+        s = "".join(r.choice([r.choice(secrets.IDENTIFIER_WORDS), "".join(r.choices(string.ascii_letters + string.digits, k=r.randint(1, 12))), r.choice("/_-")]) for _ in range(6))
+        scores = [ratio[s[i : i + 2]] - finder.least_pair for i in range(len(s) - 1)]
+        want = [(a, b + 1) for a, b in brute_stretches(scores) if sum(ratio[s[i : i + 2]] for i in range(a, b)) >= max(finder.least, finder.least_pair * (b - a))]
+        assert finder.stretches(s) == want, s
+        if len(s) >= 20 and re.fullmatch(r"[A-Za-z0-9+/_=-]+", s) and not finder.base(s) and sum(ratio[s[i : i + 2]] for i in range(len(s) - 1)) >= max(finder.least, finder.least_pair * (len(s) - 1)):
+            assert finder.added(f"a {s} b", []) == [("markov", 2, 2 + len(s))]
