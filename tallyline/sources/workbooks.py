@@ -43,6 +43,7 @@ _CONTROL = re.compile(r"[\x00-\x08\x0b-\x1f
 
 
 def store(path: str) -> tuple[pafs.FileSystem, str]:
+    path = re.sub(r"^file:/(?!/)", "file:///", path)
     return pafs.FileSystem.from_uri(path) if re.match(r"[A-Za-z][\w+.-]+:/", path) else (pafs.LocalFileSystem(), posixpath.abspath(path))
 
 

@@ -37,6 +37,8 @@ def test_same_rows_in_any_ranges(spark, tmp_path):
         got = read(spark, tmp_path, header_row=5, part=part)
         assert got.columns == want.columns and plain(got) == plain(want)
         assert got.rdd.getNumPartitions() == {10**9: 2, 5_000: got.rdd.getNumPartitions(), 777: got.rdd.getNumPartitions()}[part] and (part == 10**9 or got.rdd.getNumPartitions() > 10)
+    for where in (f"file:{tmp_path}", f"file://{tmp_path}/a.xlsx"):
+        assert read(spark, where, header_row=5).count() > 400
     assert plain(read(spark, tmp_path / "*.xlsx", header_row=5, nameless=True)) == plain(sheet.read_sheet(spark, str(tmp_path), header_row=5, nameless=True))
     assert plain(read(spark, tmp_path / "b.xlsx", header_row=5, trimmed=False, sheet="data")) == plain(sheet.read_sheet(spark, str(tmp_path / "b.xlsx"), "data", 5, trimmed=False))
 
