@@ -192,3 +192,21 @@ def summary_by_reference(spark, sf_dir):
 @query("""select count(*) as total, count(*) filter (o_orderstatus = 'O') as n_pass, count(*) filter (o_orderstatus = 'F') as n_fail, count(*) filter (o_orderstatus = 'P') as n_skip, count(*) as n_details, true as balanced, true as complete from orders""")
 def summary_integrity(spark, sf_dir):
     return _by_number(spark, sf_dir)[0].select("total", "n_pass", "n_fail", "n_skip", "n_details", "balanced", "complete")
+
+
+@query("""with d as (select *, s as slot, case when o_orderstatus = 'F' and s = 'FE' then 'FAIL' else 'PASS' end as status, o_orderkey * 2 + (s = 'FE')::int as report_row from orders, (values ('DR'), ('FE')) as x(s) where s = 'DR' or o_orderpriority < '4'),
+p as (select *, row_number() over (order by case status when 'PASS' then 1 else 3 end, report_row) as place from d), b as (select *, case when o_orderkey is distinct from lag(o_orderkey) over (order by place) then 1 else 0 end as fresh from p)
+select place, cast(sum(fresh) over (order by place rows unbounded preceding) as bigint) as block, status as "Test Result", lower(status) as "Reason", 'S' || o_orderkey || slot as "Reference", 'N' || o_orderkey as "Test No", cast(cast(o_orderdate as date) as varchar) as "Txn Date",
+case when o_orderpriority > '1-URGENT' then o_orderpriority else '' end as "Fee Type 1", '' as "Fee Charge Account No Type 1", '' as "Fee Amount Type 1", '' as "Fee Currency 1", '' as "Fee Type 2", '' as "Fee Charge Account No Type 2", '' as "Fee Amount Type 2", '' as "Fee Currency 2",
+'' as "Fee Type 3", '' as "Fee Charge Account No Type 3", case when o_orderstatus = 'O' then '5' else '' end as "Fee Amount Type 3", case when o_orderstatus = 'O' then 'USD' else '' end as "Fee Currency 3" from b""")
+def summary_sheet(spark, sf_dir):
+    """Details side by side with their test rows; a fourth fee group that no row fills isn't shown."""
+    P, S, KEY = of_orders()
+    o = orders(spark, sf_dir)
+    identifier = F.concat(F.lit("s"), KEY.cast("string"))
+    test = sheet(o, KEY, {k.TEST_ID: identifier, k.TEST_NO: F.concat(F.lit("N"), KEY.cast("string")), k.TXN_DATE: day("yyyy-MM-dd"), "Fee Type 1": F.when(P == "1-URGENT", k.CHECK_MESSAGE).otherwise(P), "Fee Amount Type 3": F.when(S == "O", "5"), "Fee Currency 3": F.when(S == "O", "USD"), "Fee Type 4": F.lit(" ")})
+    results = o.withColumn("slot", F.explode(F.when(P < "4", F.array(F.lit("DR"), F.lit("FE"))).otherwise(F.array(F.lit("DR")))))
+    status = F.when((S == "F") & (F.col("slot") == "FE"), "FAIL").otherwise("PASS")
+    results = results.select(F.concat(F.upper(identifier), "slot").alias("key"), F.lit("").alias("test_no"), status.alias("status"), F.lower(status).alias("remark"), F.lit("").alias("report_file"), (KEY * 2 + (F.col("slot") == "FE").cast("int")).alias("report_row"))
+    made = stages.summary_sheet(registry.summarise("DS_LTX", results, test)[1], test, (k.TXN_DATE,), 2)
+    return made.toDF(*(c.replace(".", "") for c in made.columns))

@@ -138,6 +138,36 @@ def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] =
     return found.select("*", "test_at.fees", "test_at.at.*").drop("reference", "number", "test_at")
 
 
+#: Headers of a summary sheet's fee groups, by part.
+SUMMARY_FEES = {"type": "Fee Type {}", "account": "Fee Charge Account No. Type {}", "amount": "Fee Amount Type {}", "currency": "Fee Currency {}"}
+
+
+def summary_sheet(details: DataFrame, test: DataFrame, fields: tuple[str, ...], least_fees: int = 0, order: tuple[str, ...] = rollup.ORDER) -> DataFrame:
+    """The rows of a summary sheet: place (from 1), block, test result, reason, reference, then of the test row its number, `fields`, and its fee groups side by side.
+
+    details: of detail_rows(). There are as many fee groups as the highest that any row's test row fills, at
+    least least_fees, gaps among them left blank; that number is found by a count ahead. Rows are in the
+    order of a result sheet; neighbours with the same test row are a block, whose cells of the test row a
+    sheet shows once. Messages that a validation left in blank cells are blank.
+    """
+    test = identified(test)
+    plain = lambda c: n.without_placeholder(c, k.REQUIRED_MESSAGE, k.CHECK_MESSAGE)
+    fees = {i: {p: plain(at(g[p])) if p in g else F.lit("") for p in SUMMARY_FEES} for i, g in fee_columns(test.columns).items()}
+    names = {f: f"field {i}" for i, f in enumerate((k.TEST_NO, *fields))}
+    parts = {(i, p): f"{p} {i}" for i in fees for p in SUMMARY_FEES}
+    row = test.select(F.col("_file").alias("test_file"), F.col("_row").alias("test_row"), *(plain(lookup(test, f)).alias(c) for f, c in names.items()), *(fees[i][p].alias(c) for (i, p), c in parts.items()))
+    told = details.select("test_file", "test_row", F.col("status").alias("Test Result"), F.col("remark").alias("Reason"), F.col("key").alias("Reference"), rollup.bucket(F.col("status"), order).alias("_bucket"), "report_file", "report_row")
+    joined = told.join(row, ["test_file", "test_row"], "left")
+    used = {i: F.concat(*(F.coalesce(at(parts[i, p]), F.lit("")) for p in SUMMARY_FEES)) != "" for i in fees}
+    most = max(least_fees, reshape.max_active_slot(joined, used).first()[0] if used else 0)
+    order_by = ["_bucket", "report_file", "report_row", "Reference"]
+    same = F.struct("test_file", "test_row")
+    numbered = ordering.runs(ordering.placed(joined.withColumn("_test", same), order_by), ["place"], "_test", into="block")
+    shown = lambda c: F.coalesce(at(c), F.lit(""))
+    wide = [(shown(parts[i, p]) if i in fees else F.lit("")).alias(head.format(i)) for i in range(1, most + 1) for p, head in SUMMARY_FEES.items()]
+    return numbered.select("place", "block", "Test Result", "Reason", "Reference", *(shown(c).alias(f) for f, c in names.items()), *wide)
+
+
 def repeated_tests(test: DataFrame) -> DataFrame:
     """Transaction ids that several test rows share; for summary.enforce where a report asks for unique ones."""
     keyed = test.select(n.upper_key(lookup(test, k.TEST_ID)).alias("key")).where("key != ''")

@@ -103,3 +103,15 @@ def test_one_pass_over_each_sheet(spark):
     assert bad.status == "FAIL" and bad.remark.split("\n") == [f'[TS] : {k.SETTLED_CCY} = "USD" | [FTU] : Currency Id = "EUR"', f"Aggregate {n} raw rows by Arr Number."]
     assert good.status == "PASS" and good.remark.split("\n") == [k.FTU_SELL, f"Aggregate {n} raw rows by Arr Number."] and good.report_row == 6
     assert (bad.failed_fields, bad.passed_fields) == (["Currency Id"], ["Country", "Currency Id", "Data Set Date", "Foreign Currency Amount", "Leg Type", "Purpose"])
+
+
+def test_summary_sheet(spark):
+    """Test rows beside their results, once for each block, and as many fee groups as the template or a row asks for."""
+    test = sheet(spark, [{k.TEST_ID: f"x{i}", k.TEST_NO: f"T{i}", "Fee Amount 2": "7" if i == 1 else k.REQUIRED_MESSAGE, "Fee Type 5": "late" if i == 9 else " ", "Scenario": f"s{i}"} for i in range(3)])
+    rows = [("X0DR", "PASS", 1), ("X0FE", "PASS", 2), ("X1DR", "FAIL", 3), ("X1FE", "PASS", 4), ("X2DR", "PASS", 5)]
+    results = spark.createDataFrame([(key, "", s, s.lower(), "f", r) for key, s, r in rows], "key string, test_no string, status string, remark string, report_file string, report_row long")
+    out = stages.summary_sheet(stages.detail_rows(results, test), test, ("Scenario",), 1)
+    assert out.columns == ["place", "block", "Test Result", "Reason", "Reference", k.TEST_NO, "Scenario", *(h.format(i) for i in (1, 2) for h in stages.SUMMARY_FEES.values())]
+    found = sorted(tuple(r) for r in out.collect())
+    assert [r[:7] for r in found] == [(1, 1, "PASS", "pass", "X0DR", "T0", "s0"), (2, 1, "PASS", "pass", "X0FE", "T0", "s0"), (3, 2, "PASS", "pass", "X1FE", "T1", "s1"), (4, 3, "PASS", "pass", "X2DR", "T2", "s2"), (5, 4, "FAIL", "fail", "X1DR", "T1", "s1")]
+    assert [r[13] for r in found] == ["", "", "7", "", "7"] and not any("".join(r[7:13]) for r in found)
