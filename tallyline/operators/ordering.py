@@ -7,25 +7,19 @@ adds these up, one row for each partition, and every row is moved on by what lie
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_folder
+
 #: A row's place in its partition fills so many bits of the number that Spark gives it, its partition those above.
 _BITS = 33
 PART, INDEX = "_part", "_index"
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:
-    """rows, computed once and written to the session's checkpoint folder; a session on one machine may go without one, and gets a temporary one."""
-    spark: SparkSession = rows.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyline-"))
+    """rows, computed once and written to the session's checkpoint folder."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as n
+from ..operators import ordering
+from ..sources import files, workbooks
 from . import contracts as k, registry, stages
-from .catalogue import lines, query, table
+from .catalogue import cents, lines, query, table
 
 def of_orders() -> tuple[Column, Column, Column]:
     """An order's priority, status and key."""
@@ -210,3 +212,16 @@ def summary_sheet(spark, sf_dir):
     results = results.select(F.concat(F.upper(identifier), "slot").alias("key"), F.lit("").alias("test_no"), status.alias("status"), F.lower(status).alias("remark"), F.lit("").alias("report_file"), (KEY * 2 + (F.col("slot") == "FE").cast("int")).alias("report_row"))
     made = stages.summary_sheet(registry.summarise("DS_LTX", results, test)[1], test, (k.TXN_DATE,), 2)
     return made.toDF(*(c.replace(".", "") for c in made.columns))
+
+
+@query("""select row_number() over (order by o_orderdate, o_orderkey) as place, o_orderkey, o_orderstatus, cast(round(o_totalprice * 100) as bigint) as price_cents, strftime(o_orderdate, '%d/%m/%Y') as day, case when o_orderpriority = '5-LOW' then '' else o_orderpriority || chr(10) || ' <&>' end as note from orders""")
+def workbook_round_trip(spark, sf_dir):
+    """All orders written as workbooks in their order, and read again by ranges of the sheets; blank notes are no cells."""
+    P = F.col("o_orderpriority")
+    path = files.work_folder(spark, "orders")
+    rows = orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias(" Order Date "), F.when(P != "5-LOW", F.concat(P, F.lit("\n <&>"))).alias("note"))
+    workbooks.register(spark)
+    rows.orderBy("` Order Date `", "o_orderkey").write.format("sheet").mode("append").option("sheet", "Orders").option("rows", 5_000).save(path)
+    read = spark.read.format("sheet").option("sheet", "orders").option("part", 400_000).load(path)
+    placed = ordering.placed(read, ["_file", "_row"])
+    return placed.select("place", F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", cents(F.col("o_totalprice").cast("double")).alias("price_cents"), F.col("Order Date").alias("day"), "note")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import posixpath
 import re
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
@@ -77,6 +79,25 @@ def _at(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, as the session names it for checkpoints; a session on one machine may go without one, and gets a temporary one."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyline-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/tallyline-{name}-{uuid.uuid4().hex}"
+    files, where = _at(spark, path)
+    files.deleteOnExit(where)
+    return path
+
+
 def free_names(spark: SparkSession, path: str, most: int = 9_999) -> Iterator[str]:
     """The path, path_01, path_02, ... without those that exist; the folder is listed once. Raises after the last."""
     files, where = _at(spark, path)
