@@ -133,14 +133,18 @@ def looked_up(rows: DataFrame, values: DataFrame, key: str | list[str], total: i
 COPIES = 1_000
 
 
-def told_apart(counted: DataFrame, count: str, into: str) -> DataFrame:
-    """Each row of a table of counts as often as `count` says, its copies numbered from 0 in `into`.
+def told_apart(counted: DataFrame, count: str, into: str, most: int) -> DataFrame:
+    """Each row of a table of counts as often as `count` says, its copies numbered from 0 in `into`; most: the highest count.
 
     So equal rows of an input are told apart without a place in the input; those that are very many are
     made by many tasks.
     """
     rest = [F.col(f"`{c}`") for c in counted.columns if c != count]
+    if most <= 1:
+        return counted.select(*rest, F.lit(0).cast("long").alias(into))
     few = counted.where(F.col(count) <= COPIES).select(*rest, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)).alias(into))
+    if most <= COPIES:
+        return few
     blocks = counted.where(F.col(count) > COPIES).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{count}` - 1) div {COPIES}"))).alias("_from"))
     first = F.col("_from") * COPIES
     many = blocks.repartition("_from").select(*rest, F.explode(F.sequence(first, F.least(F.col(count), first + COPIES) - 1)).alias(into))

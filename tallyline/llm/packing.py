@@ -103,9 +103,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     rows = docs.select(*own_key, F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.length(t).cast("long").alias("n"), own.alias("cluster"), F.xxhash64(t).alias("_text"))
     # A few numbers for each row are written once; texts aren't read again.
     rows = keep(rows.groupBy(*rows.columns).agg(F.count("*").alias("_k")), "lengths").withColumn("n_pieces", F.expr(f"cast((n + {capacity}) div {capacity} as int)"))
-    total = rows.agg(F.sum(F.col("n_pieces") * F.col("_k"))).first()[0]
+    total, most = rows.agg(F.sum(F.col("n_pieces") * F.col("_k")), F.max("_k")).first()
     groups = max(1, (total or 0) // GROUP_ROWS)
-    rows = told_apart(rows, "_k", "_copy").withColumn("_other", F.xxhash64("source", "cluster"))
+    rows = told_apart(rows, "_k", "_copy", most or 0).withColumn("_other", F.xxhash64("source", "cluster"))
     dealt = [*named, "doc_id", "_text", "_copy", "piece"]
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")))

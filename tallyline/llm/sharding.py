@@ -53,11 +53,11 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 42, source: str =
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
     # A few numbers for each row are written once; texts aren't read again.
     counted = keep(rows.groupBy(*rows.columns).agg(F.count("*").alias("_k")), "sizes")
-    total = counted.agg(F.sum("_k")).first()[0] or 0
+    total, most = (x or 0 for x in counted.agg(F.sum("_k"), F.max("_k")).first())
     ranges = max(1, total // RANGE_ROWS)
 
     # Ranges are dealt by all that tells rows apart, so that many rows of one id or one text don't lie in one.
-    rows = told_apart(counted, "_k", "_copy").withColumn("_s", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))))
+    rows = told_apart(counted, "_k", "_copy", most).withColumn("_s", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))))
     rows = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(seed))).withColumn("_b", F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "_copy", F.lit(seed)), F.lit(ranges)))
     order = ["_h", "doc_id", "text_crc32", "size", "_copy"]
     rows = keep(ranked(rows, ["_s"], "_b", order, "_rank"), "ranked")
