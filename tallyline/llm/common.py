@@ -22,6 +22,9 @@ BROADCAST_ROWS = 1_000_000
 #: A key is hot from so many rows on, and beyond LEAST_HOT * MOST_HOT rows from their MOST_HOT-th part on.
 LEAST_HOT, MOST_HOT = 500, 200_000
 
+#: Values of up to so many rows' keys, of a few numbers each, are broadcast whole.
+FEW_ROWS = 200_000
+
 #: Arrow batches are cut to about so many characters before Python strings are made from them.
 SLICE_CHARS = 4_000_000
 
@@ -121,9 +124,12 @@ def looked_up(rows: DataFrame, values: DataFrame, key: str | list[str], total: i
     """rows joined with values, which has one row for each key and the number of rows that have it in `count`; total: all rows, at least.
 
     A hot key's rows would all go to one task. There are MOST_HOT such keys at most, so their values are
-    broadcast and their rows stay where they are; all others are shuffled.
+    broadcast and their rows stay where they are; all others are shuffled. Of FEW_ROWS rows at most all
+    values, which are no more, are broadcast.
     """
     keys = [key] if isinstance(key, str) else key
+    if total <= FEW_ROWS:
+        return rows.join(F.broadcast(values), keys)
     hot, rest = values.where(F.col(count) > hot_rows(total)), values.where(F.col(count) <= hot_rows(total))
     here = rows.join(F.broadcast(hot), keys)
     return rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys).unionByName(here)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyline.llm import common, decontaminate, packing, pii, secrets, sharding, toxicity
+from tallyline.llm import common, components, decontaminate, neardup, packing, pii, secrets, sharding, toxicity
 
 
 def test_rows_without_id_keep_their_own_text(spark):
@@ -391,3 +391,37 @@ def test_markov_spans_against_brute_force(spark):
         assert finder.stretches(s) == want, s
         if len(s) >= 20 and re.fullmatch(r"[A-Za-z0-9+/_=-]+", s) and not finder.base(s) and sum(ratio[s[i : i + 2]] for i in range(len(s) - 1)) >= max(finder.least, finder.least_pair * (len(s) - 1)):
             assert finder.added(f"a {s} b", []) == [("markov", 2, 2 + len(s))]
+
+
+@pytest.mark.parametrize("few", [-1, common.FEW_ROWS])
+def test_values_are_joined_alike_by_either_way(spark, monkeypatch, few):
+    """Whether values are broadcast whole or by hot keys and the rest, joins, components and near duplicates are the same."""
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    monkeypatch.setattr(common, "LEAST_HOT", 20)
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 100, i) for i in range(300)] + [(999, 1), (None, 2)], "k long, x long")
+    values = rows.groupBy("k").agg(F.count("*").alias("_m"), F.max("x").alias("v")).where("k < 500")
+    got = sorted(map(tuple, common.looked_up(rows, values, "k", 302).select("k", "x", "v").collect()))
+    top = {}
+    for i in range(300):
+        top[i % 7 if i % 3 else 100] = i
+    assert got == sorted((i % 7 if i % 3 else 100, i, top[i % 7 if i % 3 else 100]) for i in range(300))
+    r = random.Random(8)
+    links = [(i, r.randrange(i)) for i in r.sample(range(1, 200), 120)] + [(300, i) for i in range(301, 360)]
+    found = {x.node: x.root for x in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    root = {n: n for e in links for n in e}
+    for _ in range(400):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    assert found == root
+    words = [f"w{i}" for i in range(200)]
+    base = [r.choices(words, k=60) for _ in range(8)]
+    texts = [" ".join([*b[:at], r.choice(words), *b[at + 1 :]]) for b in base for at in r.choices(range(60), k=15)] + ["alone in the world"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)} for t in texts]
+    root = list(range(len(texts)))
+    for _ in range(6):
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert {x.doc_id: x.component_id for x in neardup.near_duplicates(docs).collect()} == dict(enumerate(root))
