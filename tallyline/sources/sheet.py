@@ -2,6 +2,7 @@
 
 Workbooks are read as binary files by Spark, from any store that it reads, and parsed on the workers,
 one task for each workbook. All cells become text: dates as dd/MM/yyyy, whole numbers without a point.
+The data source in workbooks reads one sheet in many tasks, from the stores that pyarrow knows.
 """
 
 from __future__ import annotations
