@@ -102,6 +102,16 @@ def two_tier(rows: DataFrame, lookup: DataFrame, first: str, second: str, value:
     return joined.withColumn("tier", tier).withColumn(value, F.coalesce("_v1", "_v2")).drop("_v1", "_v2")
 
 
+def asked(rows: DataFrame, lookup: DataFrame, of: Column, key: str, spread: Column) -> DataFrame:
+    """rows with the columns of the lookup's row whose key is `of`, where that isn't null; the lookup has one row per key.
+
+    Rows that ask for nothing are dealt by `spread`: a join by null, or by any one value that stands for it,
+    has all of them in one task.
+    """
+    by = rows.withColumn("_by", F.coalesce(of, spread)).withColumn("_asks", of.isNotNull())
+    return by.join(lookup, (F.col("_by") == F.col(key)) & F.col("_asks"), "left").drop("_by", "_asks")
+
+
 def resolved(rows: DataFrame, lookup: DataFrame, first: str, second: str, value: str) -> DataFrame:
     """rows with the value of the one lookup row that each means: by the first key (tier 1), else by the second (2), else, where a row has neither, the only lookup row without a second key (3).
 
@@ -115,8 +125,9 @@ def resolved(rows: DataFrame, lookup: DataFrame, first: str, second: str, value:
     one = lookup.where(F.col(first) != "").groupBy(first).agg(F.count("*").alias("_n"), F.min(value).alias("_v1"))
     one = one.select(F.when(F.col("_n") > 1, said("duplicate reference in the test data: ", quoted(F.col(first)))).otherwise(F.col(first)).alias("_first"), "_v1")
     two = lookup.select(F.explode(f"{second}s").alias("_second"), value).groupBy("_second").agg(F.count("*").alias("_n2"), F.min(value).alias("_v2"))
-    asked = F.when((F.col(second) != "") | (F.col(first) == ""), F.col(second))
-    found = rows.withColumn("_asked", asked).join(one, F.col(first) == F.col("_first"), "left").join(two, F.col("_asked") == F.col("_second"), "left")
+    wanted = F.when((F.col(second) != "") | (F.col(first) == ""), F.col(second))
+    found = asked(rows.withColumn("_asked", wanted), one, F.when(F.col(first) != "", F.col(first)), "_first", F.col(second))
+    found = asked(found, two, F.col("_asked"), "_second", F.col(first))
     what = F.concat(F.lit("number "), quoted(F.col(second)), F.lit(", reference "), quoted(F.col(first)))
     tier = F.when(F.col("_v1").isNotNull(), 1).when(F.col("_asked") == "", 3).otherwise(2)
     means = F.coalesce("_v1", F.when(F.col("_n2") == 1, F.col("_v2")).when(F.col("_n2") > 1, said("ambiguous: several test rows for ", what)).otherwise(said("no test row for ", what)))

@@ -1,8 +1,10 @@
 """Places in, and runs of equal values along, one order over all rows, without a window over all rows.
 
 Rows are sorted by ranges, one partition a range, and checkpointed, so that a row's partition and its place
-in it are fixed whatever is lost later. Each partition then tells a few numbers about itself; the driver
-adds these up, one row for each partition, and every row is moved on by what lies before its partition.
+in it are fixed whatever is lost later. Partitions are cut into blocks of so many rows, which are dealt anew
+where neighbours are compared, so that no task holds a range. Each block then tells a few numbers about
+itself; the driver adds these up, one row for each block, and every row is moved on by what lies before its
+block.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..sources.files import shared_folder
 
-#: A row's place in its partition fills so many bits of the number that Spark gives it, its partition those above.
-_BITS = 33
+#: A row's place in its block fills so many bits of the number that Spark gives it; those above are the block's, its partition and its place there.
+_BITS = 16
 PART, INDEX = "_part", "_index"
 
 
@@ -24,14 +26,14 @@ def checkpointed(rows: DataFrame) -> DataFrame:
 
 
 def sequenced(rows: DataFrame, order: list[Column | str]) -> DataFrame:
-    """rows sorted by ranges of the order, with `_part`, the number of the partition, and `_index`, the place in it from 0. An order without ties gives the same in every run."""
+    """rows sorted by ranges of the order, with `_part`, the number of the block, and `_index`, the place in it from 0. An order without ties gives the same in every run."""
     sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     numbered = sorted_.withColumns({PART: F.shiftright("_id", _BITS), INDEX: F.col("_id").bitwiseAND(F.lit((1 << _BITS) - 1))}).drop("_id")
     return checkpointed(numbered)
 
 
 def moved(rows: DataFrame, before: dict[int, int], into: str, value: Column) -> DataFrame:
-    """value, raised by what lies before the row's partition."""
+    """value, raised by what lies before the row's block."""
     table = rows.sparkSession.createDataFrame(sorted(before.items()), f"{PART} long, _before long")
     return rows.join(F.broadcast(table), PART).withColumn(into, (value + F.col("_before")).cast("long")).drop("_before")
 
@@ -47,7 +49,7 @@ def placed(rows: DataFrame, order: list[Column | str], into: str = "place") -> D
 def runs(rows: DataFrame, order: list[str], value: str, per: list[str] = (), into: str = "island") -> DataFrame:
     """Runs of equal neighbouring values in that order: `island` numbers them from 1, and from 1 again in each group of `per`, by which the order begins.
 
-    A run, and a group, may go on over many partitions. Null is a value like others.
+    A run, and a group, may go on over many blocks. Null is a value like others.
     """
     made = sequenced(rows, [*per, *order])
     here = Window.partitionBy(PART).orderBy(INDEX)
@@ -56,7 +58,7 @@ def runs(rows: DataFrame, order: list[str], value: str, per: list[str] = (), int
     group = F.struct(*(F.col(f"`{c}`") for c in per)) if per else F.lit(True)
     begins = ~first & ~group.eqNullSafe(F.lag(group).over(here))
     fresh = first | begins | ~F.col(f"`{value}`").eqNullSafe(F.lag(f"`{value}`").over(here))
-    # The runs so far in the partition, and how many of them were before its last group began; null while that is the group it begins with.
+    # The runs so far in the block, and how many of them were before its last group began; null while that is the group it begins with.
     made = made.withColumns({"_fresh": fresh.cast("long"), "_begins": begins}).withColumn("_runs", F.sum("_fresh").over(up_to))
     made = made.withColumn("_ahead", F.max(F.when(F.col("_begins"), F.col("_runs") - 1)).over(up_to)).drop("_fresh", "_begins")
     ends = F.struct(group.alias("group"), F.col(f"`{value}`").alias("value"))

@@ -133,8 +133,8 @@ def detail_rows(results: DataFrame, test: DataFrame, suffixes: tuple[str, ...] =
         numbers = F.array_compact(F.array(number, F.when(F.col("unnumbered"), "")))
         found = matching.resolved(rows, keyed.select("test_at", "reference", numbers.alias("numbers")), "reference", "number", "test_at")
     else:
-        first = keyed.where("number != ''").groupBy("number").agg(F.min("test_at").alias("test_at"))
-        found = rows.join(first, "number", "left").withColumn("tier", F.when(F.col("test_at").isNotNull(), 2).otherwise(0))
+        first = keyed.where("number != ''").groupBy(F.col("number").alias("_number")).agg(F.min("test_at").alias("test_at"))
+        found = matching.asked(rows, first, F.when(F.col("number") != "", F.col("number")), "_number", F.col("reference")).drop("_number").withColumn("tier", F.when(F.col("test_at").isNotNull(), 2).otherwise(0))
     return found.select("*", "test_at.fees", "test_at.at.*").drop("reference", "number", "test_at")
 
 

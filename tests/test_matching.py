@@ -115,3 +115,25 @@ def test_summary_sheet(spark):
     found = sorted(tuple(r) for r in out.collect())
     assert [r[:7] for r in found] == [(1, 1, "PASS", "pass", "X0DR", "T0", "s0"), (2, 1, "PASS", "pass", "X0FE", "T0", "s0"), (3, 2, "PASS", "pass", "X1FE", "T1", "s1"), (4, 3, "PASS", "pass", "X2DR", "T2", "s2"), (5, 4, "FAIL", "fail", "X1DR", "T1", "s1")]
     assert [r[13] for r in found] == ["", "", "7", "", "7"] and not any("".join(r[7:13]) for r in found)
+
+
+def test_rows_that_ask_for_nothing_are_dealt(spark):
+    """Rows with a reference and no number, and rows with a number and no reference, don't meet in one task of the join that they don't need."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    kept = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        blank = F.lit("")
+        name = F.concat(F.lit("r"), F.col("id").cast("string"))
+        table = spark.range(2000).select(F.when(F.col("id") < 1000, name).otherwise(blank).alias("reference"), F.array(F.upper(name)).alias("numbers"), F.col("id").alias("row"))
+        for rows in (spark.range(1000).select(name.alias("reference"), blank.alias("number"), "id"), spark.range(1000, 2000).select(blank.alias("reference"), F.upper(name).alias("number"), "id")):
+            for part in (matching.resolved(rows, table, "reference", "number", "row"), matching.asked(rows, table.select(F.col("numbers")[0].alias("key"), "row"), F.when(F.col("id") < 0, "none"), "key", F.concat("reference", "number"))):
+                found = part.withColumn("task", F.spark_partition_id())
+                sizes = [r.n for r in found.groupBy("task").agg(F.count("*").alias("n"), F.sum("row").alias("of")).collect()]
+                assert len(sizes) == 8 and max(sizes) < 250, sizes
+            found = matching.resolved(rows, table, "reference", "number", "row")
+            assert found.columns == ["reference", "number", "id", "tier", "row"] and found.where("row = id").count() == 1000
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)

@@ -117,3 +117,15 @@ def test_published_details_and_their_counts_in_one_pass(spark, tmp_path):
 def test_places_of_the_result_sheet(spark):
     out = spark.createDataFrame([("a", "FAIL", "f", 9), ("b", "PASS", "f", 12), ("c", "PASS", "f", 3), ("d", "MISSING", None, None), ("e", "UNTAGGED", "f", 4), ("f", "EXPECTED_ABSENCE", None, None)], "key string, status string, report_file string, report_row long")
     assert {r.key: r.place for r in stages.output_places(out).collect()} == {"c": 2, "b": 3, "e": 4, "a": 5, "f": 6, "d": 7}
+
+
+def test_a_range_is_many_blocks(spark, partitions, monkeypatch):
+    """What lies in one partition is dealt anew in blocks of so many rows; places and runs go on over their ends."""
+    partitions(2)
+    monkeypatch.setattr(ordering, "_BITS", 4)
+    rows = [("f" if i < 90 else "g", i, "ab"[i // 40 % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o long, v string")
+    blocks = [r["count"] for r in ordering.sequenced(df, ["o"]).groupBy(ordering.PART).count().collect()]
+    assert max(blocks) == 16 and len(blocks) >= 200 / 16
+    assert {r.o: r.place for r in ordering.placed(df, ["o"]).collect()} == {i: i + 1 for i in range(200)}
+    assert {(x.g, x.o): x.island for x in ordering.runs(df, ["o"], "v", ["g"]).collect()} == brute_runs(rows)
