@@ -9,6 +9,7 @@ block.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,9 +39,17 @@ def moved(rows: DataFrame, before: dict[int, int], into: str, value: Column) ->
     return rows.join(F.broadcast(table), PART).withColumn(into, (value + F.col("_before")).cast("long")).drop("_before")
 
 
-def placed(rows: DataFrame, order: list[Column | str], into: str = "place") -> DataFrame:
-    """rows with the place of each, from 1, in that order over all of them."""
+def placed(rows: DataFrame, order: list[Column | str], into: str = "place", kept: bool = False) -> DataFrame:
+    """rows with the place of each, from 1, in that order over all of them.
+
+    kept: rows that are dear to make, as those of sheets, lie on the executors' disks until they are sorted;
+    else they are made twice, as ranges are chosen by a look at all rows.
+    """
+    if kept:
+        rows = rows.persist(StorageLevel.DISK_ONLY)
     made, before, total = sequenced(rows, order), {}, 0
+    if kept:
+        rows.unpersist()
     for r in made.groupBy(PART).count().orderBy(PART).collect():
         before[r[PART]], total = total, total + r["count"]
     return moved(made, before, into, F.col(INDEX) + 1).drop(PART, INDEX)

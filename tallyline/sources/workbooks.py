@@ -15,6 +15,7 @@ import datetime
 import fnmatch
 import io
 import itertools
+import operator
 import posixpath
 import re
 import uuid
@@ -37,6 +38,9 @@ from .sheet import BATCH, Workbook, headers
 PART, CHUNK = 32_000_000, 1 << 18
 #: Rows of a sheet at most, the day that days are counted from, and the number of a date's cell style below.
 MOST_ROWS, DAY_0, DATE_STYLE = 1_048_576, datetime.datetime(1899, 12, 30), 1
+_BY_POSITION = operator.itemgetter(0)
+#: Characters of rows that are packed at once.
+WRITTEN = 1 << 16
 _ROW = re.compile(rb"<((?:\w+:)?)row(?=[\s/>])[^>]*?(/?)>")
 _NUMBER = re.compile(rb"""\sr=["'](\d+)["']""")
 _CONTROL = re.compile(r"[\x00-\x08\x0b-\x1f￾￿]|_(?=x[0-9A-Fa-f]{4}_)")
@@ -90,6 +94,10 @@ class Stream:
                             return
                         continue
                     head = found[0], b"</" + (found[1] or b"") + b"worksheet>"
+                if place + len(rest) <= start and (gone := self.passed(rest, head[1][2:-10])):
+                    number, done = gone
+                    place, rest = place + done, rest[done:]
+                    continue
                 done, wanted = 0, []
                 for m in _ROW.finditer(rest):
                     if place + m.start() >= end:
@@ -98,7 +106,7 @@ class Stream:
                     close = m.end() if m[2] else rest.find(b"</" + m[1] + b"row>", m.end())
                     if close < 0:
                         break
-                    own = _NUMBER.search(m[0])
+                    own = _NUMBER.search(rest, m.start(), m.end())
                     number = int(own[1]) if own else number + 1
                     done = close if m[2] else close + len(m[1]) + 6
                     if place + m.start() >= start and number > least:
@@ -112,6 +120,14 @@ class Stream:
                 if not piece:
                     return
 
+    @staticmethod
+    def passed(rest: bytes, prefix: bytes) -> tuple[int, int] | None:
+        """The number of the last whole row of a piece that lies before the range, and where it ends; none where that row doesn't tell its number, so that rows must be counted."""
+        close = rest.rfind(b"</" + prefix + b"row>")
+        m = _ROW.match(rest, rest.rfind(b"<" + prefix + b"row", 0, max(0, close))) if close > 0 else None
+        own = _NUMBER.search(rest, m.start(), m.end()) if m and not m[2] else None
+        return (int(own[1]), close + len(prefix) + 6) if own else None
+
     @staticmethod
     def parsed(head: tuple[bytes, bytes], rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, ElementTree.Element]]:
         if rows:
@@ -151,9 +167,9 @@ class SheetReader(DataSourceReader):
     def values(book: Workbook, rows, heads: dict[int, str], names: set[str]) -> Iterator[tuple[int, dict[str, str]]]:
         """(row number, column -> text) of the rows that aren't blank in all named columns, for the asked columns only. Of headers that repeat the last cell counts."""
         for number, row in rows:
-            cells = {i: c for i, c in sorted(book.cells(row).items()) if i in heads}
+            cells = {i: c for i, c in sorted(book.cells(row).items(), key=_BY_POSITION) if i in heads}
             asked = {h: book.text(c) for h, c in {heads[i]: c for i, c in cells.items()}.items() if h in names}
-            if any(t.strip() for t in asked.values()) or any(book.text(c).strip() for c in dict((heads[i], c) for i, c in cells.items() if heads[i] not in names).values()):
+            if any(map(str.strip, asked.values())) or any(book.text(c).strip() for c in dict((heads[i], c) for i, c in cells.items() if heads[i] not in names).values()):
                 yield number, asked
 
 
@@ -192,7 +208,9 @@ def cell(at: str, value) -> str:
         return f'<c r="{at}" s="{DATE_STYLE}"><v>{(moment.replace(tzinfo=None) - DAY_0) / datetime.timedelta(days=1)!r}</v></c>'
     if isinstance(value, (int, float)) and value == value and abs(value) != float("inf"):
         return f'<c r="{at}"><v>{value!r}</v></c>'
-    shown = _CONTROL.sub(lambda m: f"_x{ord(m[0]):04X}_", str(value))
+    shown = str(value)
+    if _CONTROL.search(shown):
+        shown = _CONTROL.sub(lambda m: f"_x{ord(m[0]):04X}_", shown)
     return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(shown)}</t></is></c>'
 
 
@@ -218,13 +236,22 @@ class SheetFile:
         put("xl/styles.xml", f'<styleSheet {_MAIN}><fonts count="1"><font/></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14" applyNumberFormat="1"/></cellXfs></styleSheet>')
         self.sheet = self.zip.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
         self.sheet.write(f"<worksheet {_MAIN}><sheetData>".encode())
+        self.held, self.size = [], 0
         self.row(names)
 
     def row(self, values) -> None:
         self.rows += 1
-        self.sheet.write(f'<row r="{self.rows}">{"".join(cell(f"{c}{self.rows}", v) for c, v in zip(self.letters, values, strict=True))}</row>'.encode("utf-8", "surrogatepass"))
+        self.held.append(f'<row r="{self.rows}">{"".join([cell(f"{c}{self.rows}", v) for c, v in zip(self.letters, values, strict=True)])}</row>')
+        self.size += len(self.held[-1])
+        if self.size >= WRITTEN:
+            self.flush()
+
+    def flush(self) -> None:
+        self.sheet.write("".join(self.held).encode("utf-8", "surrogatepass"))
+        self.held, self.size = [], 0
 
     def close(self) -> None:
+        self.flush()
         last = f"{self.letters[-1]}{self.rows}" if self.letters else "A1"
         self.sheet.write(f'</sheetData><autoFilter ref="A1:{last}"/></worksheet>'.encode())
         self.sheet.close()

@@ -129,3 +129,17 @@ def test_a_range_is_many_blocks(spark, partitions, monkeypatch):
     assert max(blocks) == 16 and len(blocks) >= 200 / 16
     assert {r.o: r.place for r in ordering.placed(df, ["o"]).collect()} == {i: i + 1 for i in range(200)}
     assert {(x.g, x.o): x.island for x in ordering.runs(df, ["o"], "v", ["g"]).collect()} == brute_runs(rows)
+
+
+def test_rows_that_are_dear_are_made_once(spark):
+    """Ranges are chosen by a look at all rows; kept ones aren't made anew for the sort, and aren't kept any longer."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).mapInArrow(count, "id long")
+    assert {r.id: r.place for r in ordering.placed(rows, [F.desc("id")], kept=True).collect()} == {i: 1000 - i for i in range(1000)}
+    assert made.value == 1000 and not spark.sparkContext._jsc.getPersistentRDDs()
