@@ -248,6 +248,17 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     base = matching.looked_up(base, "settled", usd_rates, "rate")
     usd = F.when(F.col("settled") == "USD", F.col("amount")).otherwise(F.col("amount") * F.col("rate"))
     expected = base.withColumn("usd", usd).withColumn("reason", exception(base) if exception else F.lit(None).cast("string"))
+    d = F.col("direction")
+    large = F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False))
+    unwanted = (d == "NOT_FTU") | large | F.col("reason").isNotNull()
+    # What a test row comes to without a look at its fields; they are compared where this is null.
+    settled = (
+        F.when((d == "INVALID") & ((F.col("from") == "") | (F.col("to") == "")), "EXPECTED_ABSENCE")
+        .when(d == "INVALID", "INVALID")
+        .when(F.col("usd").isNull() & F.col("amount").isNotNull() & d.isin("BUY_FCY", "SELL_FCY"), "NO_RATE")
+        .when(unwanted, "UNWANTED")
+    )
+    expected = expected.withColumn("_settled", settled)
     compared = k.CONTRACTS["DS_FTU"].report[1:-1]
     actual = with_key(report, n.upper_key(lookup(report, "Arr Number")), k.CONTRACTS["DS_FTU"].report).withColumn("report_amount", number(F.col("Foreign Currency Amount")))
     # Report rows of a key that are alike in all that is compared are one row with their number, sum and first place, so that a key of very many rows is a few.
@@ -255,7 +266,6 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     alike = actual.groupBy("key", *map(at, compared)).agg(F.count("*").alias("n_actual"), *amounts, F.min(F.struct(*ROW)).alias("_at"))
     met = expected.join(alike.select("key", "n_actual", "sum_report_amount", "nulls_report_amount", "_at", F.struct(*map(at, compared)).alias("actual")), "key", "left")
     country = F.element_at(F.create_map(*(F.lit(x) for pair in k.COUNTRY_OF.items() for x in pair)), F.col("to"))
-    d = F.col("direction")
     leg = c.directional(d, F.lit(k.LEG_BUY), F.lit(k.LEG_SELL))
     own = c.directional(d, report_field("Inflow Transaction Purpose"), report_field("Outflow Transaction Purpose"))
     fields = [
@@ -265,22 +275,27 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
         c.Field("Country", c.passed(n.upper_key(report_field("Country Id of Beneficiary Involved Party")) == country), country, report_field("Country Id of Beneficiary Involved Party"), k.TO_CCY),
         c.Field("Currency Id", F.when(F.col("settled") == "", c.REVIEW).otherwise(c.passed(n.upper_key(report_field("Currency Id")) == F.col("settled"))), F.col("settled"), report_field("Currency Id"), k.SETTLED_CCY),
     ]
-    met = met.withColumn("_results", F.when(F.col("_at").isNotNull(), c.results(c.chosen(fields, wanted))).otherwise(F.array().cast(c.RESULTS)))
-    place = lambda x: F.struct(F.col("_at").alias("at"), x["ordinal"].alias("ordinal"), pair_line("FTU")(x).alias("line"))
-    states = (c.PASS, c.FAIL, c.REVIEW)
-    rows = met.groupBy(*ROW).agg(
-        F.first(F.struct(*(F.col(x) for x in expected.columns if x not in ROW))).alias("e"), F.coalesce(F.sum("n_actual"), F.lit(0)).alias("n_actual"), F.sum("sum_report_amount").alias("sum_report_amount"), F.coalesce(F.sum("nulls_report_amount"), F.lit(0)).alias("nulls_report_amount"),
-        F.min("_at").alias("actual"), *(F.array_distinct(F.flatten(F.collect_set(rollup.row_names(F.col("_results"), s)))).alias(f"_{s}") for s in states), F.flatten(F.collect_list(rollup.row_lines(F.col("_results"), place, c.FAIL, c.REVIEW))).alias("_lines"),
-    ).select(*ROW, "e.*", "n_actual", "sum_report_amount", "nulls_report_amount", "actual", *(f"_{s}" for s in states), "_lines")
+    picked, states = c.chosen(fields, wanted), (c.PASS, c.FAIL, c.REVIEW)
+    here = F.col("_at").isNotNull() & F.col("_settled").isNull()
+    met = met.withColumns({f"_status {i}": F.when(here, f.status) for i, f in enumerate(picked)})
+    status = lambda i: at(f"_status {i}")
+    # One bit for each field and status, so that what the rows of a key came to is one number; lines are made of what doesn't pass alone.
+    bit = lambda i, s: 1 << (i * len(states) + states.index(s))
+    bits = F.lit(0)
+    for i in range(len(picked)):
+        bits = bits + F.when(status(i) == c.PASS, bit(i, c.PASS)).when(status(i) == c.FAIL, bit(i, c.FAIL)).when(status(i) == c.REVIEW, bit(i, c.REVIEW)).otherwise(0)
+    line = lambda f: pair_line("FTU")({"field": F.lit(f.name), "source": F.lit(f.source), "expected": n.text(f.expected), "actual": n.text(f.actual), "fixed": F.lit(f.fixed)})
+    said = [F.when(status(i).isin(c.FAIL, c.REVIEW), F.struct(F.col("_at").alias("at"), F.lit(i).alias("ordinal"), line(f).alias("line"))) for i, f in enumerate(picked)]
+    lines = F.array_compact(F.array(*said)) if said else F.array().cast("array<struct<at:struct<_file:string,_row:bigint>,ordinal:int,line:string>>")
+    carried = [x for x in expected.columns if x not in ("key", *ROW)]
+    # A test row has one key, by which its rows lie together since the join.
+    rows = met.groupBy("key", *ROW).agg(
+        F.first(F.struct(*carried)).alias("e"), F.coalesce(F.sum("n_actual"), F.lit(0)).alias("n_actual"), F.sum("sum_report_amount").alias("sum_report_amount"), F.coalesce(F.sum("nulls_report_amount"), F.lit(0)).alias("nulls_report_amount"),
+        F.min("_at").alias("actual"), F.bit_or(bits).alias("_bits"), F.flatten(F.collect_list(lines)).alias("_lines"),
+    ).select("key", *ROW, "e.*", "n_actual", "sum_report_amount", "nulls_report_amount", "actual", "_bits", "_lines")
     found = F.col("n_actual") > 0
-    large = F.coalesce(F.col("usd") >= k.USD_LIMIT, F.lit(False))
-    unwanted = (d == "NOT_FTU") | large | F.col("reason").isNotNull()
-    outcome = (
-        F.when((d == "INVALID") & ((F.col("from") == "") | (F.col("to") == "")), "EXPECTED_ABSENCE")
-        .when(d == "INVALID", "INVALID")
-        .when(F.col("usd").isNull() & F.col("amount").isNotNull() & d.isin("BUY_FCY", "SELL_FCY"), "NO_RATE")
-        .when(unwanted & found, "UNEXPECTED").when(unwanted, "EXPECTED_ABSENCE").when(~found, "MISSING").otherwise("COMPARE")
-    )
+    before = F.col("_settled")
+    outcome = F.when(before != "UNWANTED", before).when(before.isNotNull() & found, "UNEXPECTED").when(before.isNotNull(), "EXPECTED_ABSENCE").when(~found, "MISSING").otherwise("COMPARE")
     around = lambda parts, x: F.concat(F.lit(parts[0]), x, F.lit(parts[1]))
     why = F.when(d == "NOT_FTU", k.FTU_NO_THB).when(large, around(k.FTU_LIMIT, money(F.col("usd")))).otherwise(around(k.FTU_EXCEPTION, F.col("reason")))
     missing = F.lit(f'[TS] : {k.TEST_ID} = "'), F.col("key"), F.lit(f'" | [FTU] : Arr Number = "{k.NOT_FOUND_TEXT}"')
@@ -288,8 +303,10 @@ def ftu(test: DataFrame, report: DataFrame, usd_rates: DataFrame, exception: Cal
     rows = rows.withColumn("outcome", outcome).withColumn("note", note)
     # The sum is one more field behind those of the report rows.
     summed = F.when(F.col("amount").isNull(), c.REVIEW).otherwise(c.passed((F.col("nulls_report_amount") == 0) & within(F.col("amount"), F.col("sum_report_amount"))))
-    rows = rows.withColumn("_sum", F.when(F.col("outcome") == "COMPARE", c.results(c.chosen([c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)], wanted))))
-    names = {s: F.array_sort(F.array_distinct(F.concat(F.col(f"_{s}"), rollup.row_names(F.col("_sum"), s)))) for s in states}
+    sum_fields = c.chosen([c.Field("Foreign Currency Amount", summed, F.col("amount"), F.col("sum_report_amount"), k.SETTLED_AMOUNT)], wanted)
+    rows = rows.withColumn("_sum", F.when(F.col("outcome") == "COMPARE", c.results(sum_fields)))
+    having = lambda s: [(f.name, F.col("_bits").bitwiseAND(F.lit(bit(i, s))) != 0) for i, f in enumerate(picked)] + [(f.name, f.status == s) for f in sum_fields]
+    names = {s: F.array_compact(F.array(*(F.when(on, F.lit(name)) for name, on in sorted(having(s), key=lambda x: x[0])))).cast("array<string>") for s in states}
     status = F.when(F.size(names[c.FAIL]) > 0, c.FAIL).otherwise(c.PASS)
     success = F.when(F.size(names[c.FAIL]) > 0, F.array().cast("array<string>")).otherwise(F.array(F.when(d == "BUY_FCY", k.FTU_BUY).otherwise(k.FTU_SELL)))
     several = F.when(F.col("n_actual") > 1, F.array(F.format_string("Aggregate %d raw rows by Arr Number.", F.col("n_actual")))).otherwise(F.array().cast("array<string>"))

@@ -153,3 +153,20 @@ def test_chosen_rules(spark):
     ftu_row = {"Arr Number": "A", "Leg Type": k.LEG_SELL, "Foreign Currency Amount": "1"}
     ftu = reports.ftu(ftu_test, sheet(spark, [ftu_row]), spark.createDataFrame([], "currency string, rate double"), wanted=lambda f: f.name == "Leg Type").first()
     assert (ftu.status, ftu.passed_fields, ftu.remark) == ("PASS", ["Leg Type"], k.FTU_SELL)
+
+
+def test_summed_rows_stay_where_they_met(spark):
+    """FTU shuffles the report by all that is compared, and both sides by the key; results of several report rows are folded there, by field and status."""
+    test = sheet(spark, [{k.TEST_ID: "a", k.FROM_CCY: "THB", k.TO_CCY: "USD", k.SETTLED_CCY: "USD", k.SETTLED_AMOUNT: "3", k.TXN_DATE: "01/12/2025", k.PURPOSE: "P1"}])
+    row = {"Arr Number": "A", "Data Set Date": "01/12/2025", "Leg Type": k.LEG_SELL, "Outflow Transaction Purpose": "P1", "Country Id of Beneficiary Involved Party": "US", "Currency Id": "USD", "Foreign Currency Amount": "1"}
+    report = sheet(spark, [row, row | {"Leg Type": "x"}, row | {"Currency Id": "JPY"}])
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = reports.ftu(test, report, spark.createDataFrame([], "currency string, rate double"))
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+        found = out.first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert found.passed_fields == ["Country", "Currency Id", "Data Set Date", "Foreign Currency Amount", "Leg Type", "Purpose"] and found.failed_fields == ["Currency Id", "Leg Type"] and found.review_fields == []
+    assert [line.split(" = ")[0] for line in found.remark.split("\n")[:2]] == ["[FTU] : Leg Type", f"[TS] : {k.SETTLED_CCY}"]
