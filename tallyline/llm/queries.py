@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import classifier, decontaminate, language, neardup, packing, pii, quality, search, secrets, sharding, spelling, tokens, toxicity
@@ -12,12 +15,23 @@ from .common import held_out, table
 PII_KEY, TRIAL_KEY = "spark.tallyline.pii.key", "tallyline trial key"
 
 
+#: Secrets by application, where none is set; not held in a setting, as settings are logged.
+_DRAWN: dict[str, bytes] = {}
+
+
+def drawn_key(application: str) -> bytes:
+    """A random secret, the same one throughout an application."""
+    if application not in _DRAWN:
+        warnings.warn(f"{PII_KEY} isn't set: pseudonyms are made under a random secret of this application, and aren't linked with those of any other", stacklevel=3)
+    return _DRAWN.setdefault(application, os.urandom(64))
+
+
 def pii_key(spark: SparkSession) -> bytes:
-    """The session's secret; the trial key stands in for it on one machine only."""
-    key = spark.conf.get(PII_KEY, None)
-    if not key and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {PII_KEY} to a secret")
-    return (key or TRIAL_KEY).encode()
+    """The session's secret. Where none is set, one is drawn for the application; on one machine the trial key stands in for it."""
+    if key := spark.conf.get(PII_KEY, None):
+        return key.encode()
+    context = spark.sparkContext
+    return TRIAL_KEY.encode() if context.master.startswith("local") else drawn_key(context.applicationId)
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

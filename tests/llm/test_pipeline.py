@@ -81,6 +81,25 @@ def test_a_shared_folder_is_asked_for():
         common.shared_dir(session("spark://host:7077", None))
 
 
+def test_pseudonyms_without_a_key_on_a_cluster(spark):
+    """Where no key is set, the stage runs on any master, under a secret that isn't in the source and is one for the whole application."""
+    import types
+
+    from tallyline.llm import pii, queries
+
+    session = lambda app, conf={}, master="spark://host:7077": types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master, applicationId=app))  # noqa: B006, E731
+    docs = spark.createDataFrame([(1, "to jo@mail.example.com"), (2, None), (2, ""), (None, "jo@mail.example.com wrote")], "doc_id long, text string").coalesce(1)
+    made = lambda s: [(r.doc_id, r.text) for r in corpus_pipeline.pseudonymise(s, docs, "").collect()]
+    with pytest.warns(UserWarning, match=queries.PII_KEY):
+        first = made(session("app-1"))
+    name = first[0][1].removeprefix("to ")
+    assert name != "jo@mail.example.com" and first == [(1, f"to {name}"), (2, None), (2, ""), (None, f"{name} wrote")]
+    assert made(session("app-1")) == first != made(session("app-2"))
+    assert name != pii.Redactor(queries.TRIAL_KEY.encode()).redact("jo@mail.example.com")[0]
+    # A key that is set holds everywhere, and one machine's trials stay as they are.
+    assert queries.pii_key(session("app-1", {queries.PII_KEY: "mine"})) == b"mine" and queries.pii_key(session("x", master="local[4]")) == queries.TRIAL_KEY.encode()
+
+
 def test_texts_that_share_an_id(spark):
     """Rows equal in id and text are one; different texts under one id stay or go each for itself."""
     words = lambda s: " ".join(f"{s}{i}" for i in range(40))
