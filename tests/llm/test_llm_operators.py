@@ -280,6 +280,21 @@ def test_pii_keeps_the_rest(spark):
     assert [out[i][0].text for i in range(len(TEXTS))] == TEXTS
 
 
+@pytest.mark.filterwarnings("ignore:spark.tallyline.pii.key")
+def test_op10_without_a_key_on_a_cluster(spark):
+    """Every row of the table, with the finds that the trial key gives; pseudonyms are others, and as many."""
+    import types
+
+    sf = "/root/testdata/sf0.001"
+    cluster = types.SimpleNamespace(read=spark.read, conf={}, sparkContext=types.SimpleNamespace(master="spark://host:7077", applicationId="app-op10"))
+    old, trial, made = ({r.doc_id: r for r in d.collect()} for d in (spark.read.parquet(f"{sf}/documents.parquet"), queries.op10_pii(spark, sf), queries.op10_pii(cluster, sf)))
+    finds = lambda r: [r[f"n_{k}"] for k in pii.KINDS]
+    assert old.keys() == made.keys() and {i: finds(r) for i, r in made.items()} == {i: finds(r) for i, r in trial.items()}
+    some = {i for i, r in made.items() if any(finds(r))}
+    assert some and all((i in some) == (made[i].text != old[i].text) == (made[i].text != trial[i].text) for i in old)
+    assert len({r.text for r in made.values()}) == len({r.text for r in trial.values()})
+
+
 def test_grammar():
     g = toxicity.Grammar(["zorp"])
     kinds = lambda t: dict(zip(toxicity.CLAUSES, g.clauses(t), strict=True))
